@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.tables import partitions, save, shared_dir  # noqa: F401
+
 #: Words are runs of anything but these characters (Java and RE2 syntax alike).
 SPACE = r"\x20\x09-\x0D"
 WORD = rf"[^{SPACE}]+"
@@ -19,29 +18,6 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
-def save(df: DataFrame, *partition_by: str) -> DataFrame:
-    """Write df as a table in the shared checkpoint folder and read it back: lineage ends there, and a lost
-    executor costs nothing but the task it ran."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
-    writer = df.write.option("compression", "zstd")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session; a folder of our own only where that is unset (tests, local mode)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = f"file://{tempfile.mkdtemp(prefix='spark-')}"
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-def partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def lower_ascii(col):
     return F.translate(col, UPPER, LOWER)
 
