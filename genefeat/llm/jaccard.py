@@ -11,9 +11,10 @@ The link graph's components are wanted, not its pairs, so no group of copies is
    A map task counts what it has twice itself and sends such an n-gram once, so a passage that a third of all
    documents share is one entry a task.
 3. Partners must share one of their floor(n/5)+1 smallest hashes. Of each such n-gram's classes, those that are not yet
-   known to be connected are compared: in two rounds with one class (the smallest, then one of another component),
-   and last all pairs between components that are left. Each comparison counts the overlap of the two whole sets.
-   The rounds leave the last one little to do where groups are large; it makes the result exact in every case.
+   known to be connected are compared by whole sets: in two rounds with one of them (the smallest; one drawn by hash),
+   then all that are left in different components, by products of blocks of classes that accumulate the overlap
+   counts and let only links out. The rounds leave the last step little where groups are large; it makes the result
+   exact in every case.
 
 Defined results: a null or empty text has no shingles and links with nothing (component: its own id); a row without an
 id is returned and not linked; rows that repeat are one class. Other columns are not looked at.
@@ -181,28 +182,104 @@ def entries(sets: DataFrame, num: int, den: int) -> DataFrame:
     return sets.select("id", "n", "hashes").mapInArrow(cut, f"h bigint, id {kind}, n bigint")
 
 
+def product(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Overlap counts of every set of a with every set of b: incidence of a times that of b, over the hashes in both."""
+    out = np.zeros((len(a), len(b)), dtype=np.float32)
+    sides = []
+    both = np.intersect1d(np.unique(np.concatenate(a)), np.unique(np.concatenate(b)), assume_unique=True)
+    for sets in (a, b):
+        h, row = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        column = np.searchsorted(both, h)
+        inside = (column < len(both)) & (both[np.minimum(column, len(both) - 1)] == h) if len(both) else np.zeros(len(h), bool)
+        by = np.argsort(column[inside], kind="stable")
+        column, row = column[inside][by], row[inside][by]
+        sides.append((row, np.searchsorted(column, np.arange(len(both) + 1))))
+    (ra, ca), (rb, cb) = sides
+    na, nb = np.diff(ca), np.diff(cb)
+    dense = np.flatnonzero(na * nb > 64)
+    for lo in range(0, len(dense), 2048):  # columns that many sets have: as dense slabs
+        some = dense[lo : lo + 2048]
+        slabs = []
+        for rows, starts, counts, size in ((ra, ca, na, len(a)), (rb, cb, nb, len(b))):
+            slab = np.zeros((size, len(some)), dtype=np.float32)
+            at = np.concatenate([rows[starts[c] : starts[c + 1]] for c in some])
+            slab[at, np.repeat(np.arange(len(some)), counts[some])] = 1
+            slabs.append(slab)
+        out += slabs[0] @ slabs[1].T
+    light = np.flatnonzero((na * nb <= 64) & (na * nb > 0))
+    for lo in range(0, len(light), 50_000):  # the others: pair by pair
+        some = light[lo : lo + 50_000]
+        each = na[some] * nb[some]
+        column = np.repeat(some, each)
+        k = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+        np.add.at(out, (ra[ca[column] + k // nb[column]], rb[cb[column] + k % nb[column]]), 1)
+    return out
+
+
+def _block_links(num: int, den: int, kind: pa.DataType):
+    def links(table: pa.Table) -> pa.Table:
+        side = np.array(table.column("side").to_pylist())
+        ids, labels = table.column("id").to_pylist(), np.unique(table.column("label").to_numpy(zero_copy_only=False), return_inverse=True)[1]
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("hashes").combine_chunks()]
+        rows = np.flatnonzero(side == 0)
+        columns = np.flatnonzero(side == 1)
+        columns = columns if len(columns) else rows
+        n = np.array([len(s) for s in sets])
+        shared = product([sets[i] for i in rows], [sets[i] for i in columns])
+        linked = den * shared >= num * (n[rows][:, None] + n[columns][None] - shared)
+        linked &= labels[rows][:, None] != labels[columns][None]
+        x, y = np.nonzero(linked)
+        return pa.table({"a": pa.array([ids[rows[i]] for i in x], kind), "b": pa.array([ids[columns[i]] for i in y], kind)})
+
+    return links
+
+
+def product_links(open_: DataFrame, sets: DataFrame, num: int, den: int, block: int = 800) -> DataFrame:
+    """Links (a, b) between classes of different labels that share a prefix hash. open_: (h, id, label).
+
+    Classes that such hashes connect are a family; a family's classes are dealt into blocks of about `block`, those of a
+    large label apart, and every two blocks that may hold a link are multiplied in one task. Only links leave it."""
+    from pyspark.sql.types import LongType
+
+    hubs = open_.groupBy("h").agg(F.min("id").alias("hub"))
+    families = connected_components(open_.join(hubs, "h").select("id", "hub").distinct(), "id", "hub").select(F.col("node").alias("id"), F.col("label").alias("family"))
+    members = open_.select("id", "label").distinct().join(families, "id")
+    large = members.groupBy("family", "label").count().select("family", "label", F.when(F.col("count") * 2 >= block, F.col("label")).alias("own"))
+    members = members.join(large, ["family", "label"])
+    sizes = members.groupBy("family", "own").agg(F.ceil(F.count("*") / block).alias("parts"))
+    same = F.col("m.family").eqNullSafe(F.col("s.family")) & F.col("m.own").eqNullSafe(F.col("s.own"))
+    dealt = members.alias("m").join(sizes.alias("s"), same).select("m.id", "m.label", "m.family", "m.own", F.pmod(F.xxhash64("m.id"), F.col("s.parts")).alias("part"))
+    dealt = save(dealt.withColumn("block", F.xxhash64("family", "own", "part")))
+    blocks = dealt.select("family", "own", "block").distinct()
+    p, q = blocks.alias("p"), blocks.alias("q")
+    pairs = p.join(q, F.col("p.family") == F.col("q.family")).filter("p.block <= q.block").filter("p.own is null or q.own is null or p.own <> q.own")
+    pairs = pairs.select(F.col("p.block").alias("b1"), F.col("q.block").alias("b2"))
+    sent = pairs.select("b1", "b2", F.col("b1").alias("block"), F.lit(0).alias("side")).unionByName(pairs.filter("b1 <> b2").select("b1", "b2", F.col("b2").alias("block"), F.lit(1).alias("side")))
+    rows = sent.join(dealt.select("block", "id", "label"), "block").join(sets.select("id", "hashes"), "id")
+    kind = sets.schema["id"].dataType
+    arrow = pa.int64() if isinstance(kind, LongType) else pa.int32() if kind.simpleString() == "int" else pa.string()
+    return rows.groupBy("b1", "b2").applyInArrow(_block_links(num, den, arrow), f"a {kind.simpleString()}, b {kind.simpleString()}")
+
+
 def link_components(sets: DataFrame, num: int, den: int) -> DataFrame:
     """(node, label) of the classes that have a link."""
     found = save(entries(sets, num, den))
     fits = F.least("n", "n2") * den >= F.greatest("n", "n2") * num
     kind = sets.schema["id"].dataType.simpleString()
     links = labels = None
-    for step in ("first", "other", "all"):
-        if labels is None:
-            told = found.withColumn("label", F.col("id"))
-        else:
+    for step in ("smallest", "drawn", "all"):
+        told = found.withColumn("label", F.col("id"))
+        if labels is not None:
             told = found.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("label", "id"))
-        several = told.groupBy("h").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min(F.struct("label", "id", "n")).alias("x"), F.max(F.struct("label", "id", "n")).alias("y")).filter("low <> high")
+        drawn = F.col("id") if step == "smallest" else F.xxhash64("id", "h")
+        several = told.groupBy("h").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min_by(F.struct("id", "n", "label"), drawn).alias("c")).filter("low <> high")
         if step == "all":
-            open_ = save(told.join(several.select("h"), "h", "left_semi"))
-            pairs = open_.alias("p").join(open_.select("h", F.col("id").alias("b"), F.col("n").alias("n2"), F.col("label").alias("label2")).alias("q"), "h").filter(F.col("label") < F.col("label2")).filter(fits).select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b"))
+            new = product_links(save(told.join(several.select("h"), "h", "left_semi")), sets, num, den)
         else:
-            with_centre = told.join(several.select("h", *(("x",) if step == "first" else ("x", "y"))), "h")
-            ends = [with_centre.select("id", "n", "label", F.col(f"{c}.id").alias("b"), F.col(f"{c}.n").alias("n2"), F.col(f"{c}.label").alias("label2")) for c in (("x",) if step == "first" else ("x", "y"))]
-            both = ends[0] if len(ends) == 1 else ends[0].unionByName(ends[1])
-            pairs = both.filter("label <> label2").filter(fits).select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b"))
-        new = save(verified(pairs.distinct(), sets, num, den))
-        links = new if links is None else links.unionByName(new)
+            centred = told.join(several.select("h", F.col("c.id").alias("b"), F.col("c.n").alias("n2"), F.col("c.label").alias("label2")), "h")
+            pairs = centred.filter("label <> label2").filter(fits)
+            new = verified(pairs.select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct(), sets, num, den)
+        links = save(new) if links is None else links.unionByName(save(new))
         labels = save(connected_components(links))
     return labels.select(F.col("node").cast(kind).alias("node"), F.col("label").cast(kind).alias("label"))
 
