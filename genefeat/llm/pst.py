@@ -18,7 +18,6 @@ hashed as the empty text. With no training documents every count is 0. Other col
 
 from __future__ import annotations
 
-import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -29,7 +28,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Hashes, binary_list, mix, partitions, save, shared_dir
+from ..functions.tables import save_bucketed
+from .common import Hashes, binary_list, mix, partitions, save
 
 _M1 = np.uint64(0x9E3779B97F4A7C15)
 END, START = (np.uint64(xxhash.xxh3_64_intdigest(x)) for x in (b" ", b"\t"))  # no word has a space
@@ -44,7 +44,6 @@ def encode(docs: DataFrame, id_col: str, text_col: str, chunk_tokens: int) -> Da
     """A row for each chunk: ids, lens (tokens of each document), train (a byte each), tokens (places in words), words
     (sorted hashes), n_tokens, n_train, d_train. Saved as a table bucketed by chunk."""
     kind = docs.schema[id_col].dataType.simpleString()
-    spark = docs.sparkSession
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, number = Hashes(), TaskContext.get().partitionId() << 32
@@ -73,10 +72,7 @@ def encode(docs: DataFrame, id_col: str, text_col: str, chunk_tokens: int) -> Da
 
     schema = f"chunk bigint, ids array<{kind}>, lens binary, train binary, tokens binary, words binary, n_tokens bigint, n_train bigint, d_train bigint"
     made = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(make, schema)
-    name = f"pst_{uuid.uuid4().hex}"
-    buckets = min(100_000, 2 * partitions(spark))
-    made.write.bucketBy(buckets, "chunk").option("path", f"{shared_dir(spark)}/{name}").option("compression", "zstd").saveAsTable(name)
-    return spark.table(name)
+    return save_bucketed(made, "chunk")
 
 
 def _add(kind: str):

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, licenses, mixing, resample, rules, secrets
+from . import chat, decontam, jaccard, licenses, mixing, pst, resample, rules, secrets, suffixes
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,10 +40,22 @@ def op6_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents"))
 
 
+def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents")).drop("class_id")
+
+
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.duplicate_spans(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.quality_rules(table(spark, sf_dir, "documents")).drop("class_distance", "word_distance")
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pst.score(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -53,7 +65,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_quality_classifier,
         op5_chat_formatting,
         op6_license_scans,
+        op7_ngram_jaccard_join,
+        op8_suffix_array_dedup,
         op9_quality_rules,
+        op10_lm_scoring,
     )
 }
 

@@ -104,7 +104,7 @@ def kth_largest(keys: DataFrame, column: str, k: int, parts: int = 4096) -> tupl
     return lo, k
 
 
-def resample(docs: DataFrame, good_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text", fraction: float = 0.75, buckets: int = 10_000, length_cap: int = 200, most_targets: int = 50_000, seed: int = 0) -> DataFrame:
+def resample(docs: DataFrame, good_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text", fraction: float = 0.8, buckets: int = 10_000, length_cap: int = 200, most_targets: int = 50_000, seed: int = 0) -> DataFrame:
     """A row for each row of docs: id, n_ngrams, log_weight, gumbel_key, kept (the k = fraction * rows largest keys)."""
     ratios = fit(docs, good_ids, id_col, text_col, buckets, most_targets)
     noise = -F.log(-F.log((uniform(F.coalesce(F.col(id_col).cast("string"), F.lit("")), seed) * float(1 << 52) + 0.5) / float(1 << 52)))
