@@ -42,8 +42,9 @@ def identity(s: np.ndarray) -> tuple[int, int]:
         return int(s.sum(dtype=np.uint64).astype(np.int64)), int(mix(s ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64).astype(np.int64))
 
 
-def set_table(docs: DataFrame, id_col: str, text_col: str, k: int, with_hashes: bool = False) -> DataFrame:
-    """(id, n, c1, c2[, hashes]): a row for each row of docs. hashes: the set's sorted 64-bit hashes as bytes."""
+def set_table(docs: DataFrame, id_col: str, text_col: str, k: int, keep) -> DataFrame:
+    """(id, n, c1, c2, hashes): a row for each row of docs. hashes: keep(n) smallest of the set's hashes, sorted, as
+    bytes."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -54,12 +55,11 @@ def set_table(docs: DataFrame, id_col: str, text_col: str, k: int, with_hashes:
                 sets = [shingles(t.lower().split() if t else [], hashes, k) for t in texts[lo : lo + 500]]
                 both = [identity(s) for s in sets]
                 columns = [ids.slice(lo, 500), pa.array([len(s) for s in sets], pa.int64()), pa.array([x for x, _ in both], pa.int64()), pa.array([x for _, x in both], pa.int64())]
-                if with_hashes:
-                    columns.append(pa.array([s.tobytes() for s in sets], pa.binary()))
-                yield pa.RecordBatch.from_arrays(columns, ["id", "n", "c1", "c2", "hashes"][: len(columns)])
+                columns.append(pa.array([s[: keep(len(s))].tobytes() for s in sets], pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, ["id", "n", "c1", "c2", "hashes"])
 
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return picked.mapInArrow(make, f"id {kind}, n bigint, c1 bigint, c2 bigint" + ", hashes binary" * with_hashes)
+    return picked.mapInArrow(make, f"id {kind}, n bigint, c1 bigint, c2 bigint, hashes binary")
 
 
 def _pack(sets: list[np.ndarray], classes: list[int], blocks: int) -> pa.RecordBatch:
@@ -92,7 +92,8 @@ def _pack(sets: list[np.ndarray], classes: list[int], blocks: int) -> pa.RecordB
 
 
 def _count_block(table: pa.Table) -> pa.Table:
-    """(class, n, pre) of one block: its hashes that another class has too; what map tasks counted."""
+    """Of one block, packed by range of class: how many of a class's hashes another class has too, and what map tasks
+    counted (`pre`, -1 where that is not told)."""
     classes, hashes, hot, pre = [], [], [], []
     for c, p, h, x, pc, pn in zip(*(table.column(n).to_pylist() for n in ("classes", "places", "hashes", "hot", "pre_classes", "pre")), strict=True):
         own, found = np.frombuffer(c, np.int64), np.frombuffer(h, np.uint64)
@@ -114,7 +115,31 @@ def _count_block(table: pa.Table) -> pa.Table:
     shared |= np.isin(h, np.unique(np.concatenate(hot)))
     found, n = np.unique(c[shared], return_counts=True)
     pc, pn = (np.concatenate(x) for x in zip(*pre, strict=True)) if pre else (np.empty(0, np.int64), np.empty(0, np.int32))
-    return pa.table({"c1": pa.array(np.concatenate([found, pc])), "n": pa.array(np.concatenate([n, np.zeros(len(pc), np.int64)])), "pre": pa.concat_arrays([pa.nulls(len(found), pa.int32()), pa.array(pn.astype(np.int32))])})
+    ranges = max(1, _span(table))
+    c, n, pre = np.concatenate([found, pc]), np.concatenate([n, np.zeros(len(pc), np.int64)]), np.concatenate([np.full(len(found), -1), pn])
+    by = np.argsort(c, kind="stable")
+    c, n, pre = c[by], n[by].astype(np.int32), pre[by].astype(np.int32)
+    cut = np.searchsorted(c, [-(1 << 63) + (r << 64) // ranges for r in range(ranges)] + [(1 << 63) - 1], "left")
+    cut[-1] = len(c)
+    some = [r for r in range(ranges) if cut[r] < cut[r + 1]]
+    return pa.table({"range": pa.array(some, pa.int32()), **{name: pa.array([x[cut[r] : cut[r + 1]].tobytes() for r in some], pa.binary()) for name, x in (("c", c), ("n", n), ("pre", pre))}})
+
+
+def _span(table: pa.Table) -> int:
+    """How many ranges of classes there are: the same number for all blocks of a job."""
+    return table.column("ranges")[0].as_py()
+
+
+def _add_counts(table: pa.Table) -> pa.Table:
+    """(c1, shared) of one range. An entry that is single in some task is in the sum; one that every task counted itself
+    is in every task's count."""
+    c, n, pre = (np.concatenate([np.frombuffer(x, t) for x in table.column(k).to_pylist()]) for k, t in (("c", np.int64), ("n", np.int32), ("pre", np.int32)))
+    found, place = np.unique(c, return_inverse=True)
+    least = np.full(len(found), np.iinfo(np.int32).max)
+    told = pre >= 0
+    np.minimum.at(least, place[told], pre[told])
+    least[least == np.iinfo(np.int32).max] = 0
+    return pa.table({"c1": pa.array(found), "shared": pa.array(np.bincount(place, weights=n, minlength=len(found)).astype(np.int64) + least)})
 
 
 _ROW = "block int, classes binary, places binary, hashes binary, hot binary, pre_classes binary, pre binary"
@@ -123,9 +148,9 @@ _ROW = "block int, classes binary, places binary, hashes binary, hot binary, pre
 def shared_counts(rows: DataFrame) -> DataFrame:
     """(c1, shared): an upper bound of how many of each class's entries some other class has, exact but for classes
     whose copies are in several tasks. From packed rows."""
-    counted = rows.groupBy("block").applyInArrow(_count_block, "c1 bigint, n bigint, pre int")
-    # An entry that is single in some task is in the sum; one that every task counted itself is in every task's count.
-    return counted.groupBy("c1").agg((F.sum("n") + F.coalesce(F.min("pre"), F.lit(0))).alias("shared"))
+    ranges = partitions(rows.sparkSession)
+    counted = rows.withColumn("ranges", F.lit(ranges)).groupBy("block").applyInArrow(_count_block, "range int, c binary, n binary, pre binary")
+    return counted.groupBy("range").applyInArrow(_add_counts, "c1 bigint, shared bigint")
 
 
 def packed(frame: DataFrame, blocks: int, sets_of) -> DataFrame:
@@ -223,7 +248,10 @@ def _block_links(num: int, den: int, kind: pa.DataType):
         sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("hashes").combine_chunks()]
         rows = np.flatnonzero(side == 0)
         columns = np.flatnonzero(side == 1)
-        columns = columns if len(columns) else rows
+        if table.column("b1")[0] == table.column("b2")[0]:
+            columns = rows
+        if not len(rows) or not len(columns):
+            return pa.table({"a": pa.array([], kind), "b": pa.array([], kind)})
         n = np.array([len(s) for s in sets])
         shared = product([sets[i] for i in rows], [sets[i] for i in columns])
         linked = den * shared >= num * (n[rows][:, None] + n[columns][None] - shared)
@@ -235,27 +263,28 @@ def _block_links(num: int, den: int, kind: pa.DataType):
 
 
 def product_links(open_: DataFrame, sets: DataFrame, num: int, den: int, block: int = 800) -> DataFrame:
-    """Links (a, b) between classes of different labels that share a prefix hash. open_: (h, id, label).
+    """Links (a, b) between classes of different labels that share a prefix hash. open_: (h, id, n, label).
 
-    Classes that such hashes connect are a family; a family's classes are dealt into blocks of about `block`, those of a
-    large label apart, and every two blocks that may hold a link are multiplied in one task. Only links leave it."""
+    A class's home is the most common of its open hashes, so classes with much in common are at home together. The
+    classes of a home are dealt into blocks of about `block`, those of a large label apart. A class goes to the product of
+    its block with another one if they share a hash there, with some class of another label and a size in reach. Only
+    links leave a product."""
     from pyspark.sql.types import LongType
 
-    hubs = open_.groupBy("h").agg(F.min("id").alias("hub"))
-    families = connected_components(open_.join(hubs, "h").select("id", "hub").distinct(), "id", "hub").select(F.col("node").alias("id"), F.col("label").alias("family"))
-    members = open_.select("id", "label").distinct().join(families, "id")
-    large = members.groupBy("family", "label").count().select("family", "label", F.when(F.col("count") * 2 >= block, F.col("label")).alias("own"))
-    members = members.join(large, ["family", "label"])
-    sizes = members.groupBy("family", "own").agg(F.ceil(F.count("*") / block).alias("parts"))
-    same = F.col("m.family").eqNullSafe(F.col("s.family")) & F.col("m.own").eqNullSafe(F.col("s.own"))
-    dealt = members.alias("m").join(sizes.alias("s"), same).select("m.id", "m.label", "m.family", "m.own", F.pmod(F.xxhash64("m.id"), F.col("s.parts")).alias("part"))
-    dealt = save(dealt.withColumn("block", F.xxhash64("family", "own", "part")))
-    blocks = dealt.select("family", "own", "block").distinct()
-    p, q = blocks.alias("p"), blocks.alias("q")
-    pairs = p.join(q, F.col("p.family") == F.col("q.family")).filter("p.block <= q.block").filter("p.own is null or q.own is null or p.own <> q.own")
-    pairs = pairs.select(F.col("p.block").alias("b1"), F.col("q.block").alias("b2"))
-    sent = pairs.select("b1", "b2", F.col("b1").alias("block"), F.lit(0).alias("side")).unionByName(pairs.filter("b1 <> b2").select("b1", "b2", F.col("b2").alias("block"), F.lit(1).alias("side")))
-    rows = sent.join(dealt.select("block", "id", "label"), "block").join(sets.select("id", "hashes"), "id")
+    common = open_.groupBy("h").agg(F.count("*").alias("df"))
+    homes = open_.join(common, "h").groupBy("id", "n", "label").agg(F.max(F.struct("df", "h")).alias("m")).select("id", "n", "label", F.col("m.h").alias("home"))
+    large = homes.groupBy("home", "label").count().select("home", "label", F.when(F.col("count") * 2 >= block, F.col("label")).alias("own"))
+    homes = homes.join(large, ["home", "label"])
+    sizes = homes.groupBy("home", "own").agg(F.ceil(F.count("*") / block).alias("parts"))
+    same = (F.col("m.home") == F.col("s.home")) & F.col("m.own").eqNullSafe(F.col("s.own"))
+    part = F.pmod(F.xxhash64("m.id"), F.col("s.parts"))
+    dealt = save(homes.alias("m").join(sizes.alias("s"), same).select("m.id", F.xxhash64("m.home", "m.own", part).alias("block")))
+    placed = save(open_.join(dealt, "id"))
+    there = placed.groupBy("h", "block").agg(F.min("label").alias("l1"), F.max("label").alias("l2"), F.min("n").alias("n1"), F.max("n").alias("n2")).withColumnRenamed("block", "other")
+    reach = (F.col("n2") * den >= F.col("n") * num) & (F.col("n1") * num <= F.col("n") * den)
+    sent = placed.join(there, "h").filter(((F.col("l1") != F.col("label")) | (F.col("l2") != F.col("label"))) & reach)
+    sent = sent.select("id", "label", F.least("block", "other").alias("b1"), F.greatest("block", "other").alias("b2"), F.when(F.col("block") > F.col("other"), 1).otherwise(0).alias("side")).distinct()
+    rows = sent.join(sets.select("id", "hashes"), "id")
     kind = sets.schema["id"].dataType
     arrow = pa.int64() if isinstance(kind, LongType) else pa.int32() if kind.simpleString() == "int" else pa.string()
     return rows.groupBy("b1", "b2").applyInArrow(_block_links(num, den, arrow), f"a {kind.simpleString()}, b {kind.simpleString()}")
@@ -288,34 +317,27 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """A row for each row of docs: id, n_shingles, component_id (the smallest id that links reach), class_id (the
     smallest id of equal sets)."""
     spark = docs.sparkSession
-    rows = save(set_table(docs, id_col, text_col, k))
+    spare = lambda n: n - -(-n * num // den)
+    rows = save(set_table(docs, id_col, text_col, k, lambda n: 2 * spare(n) + 1))
     classes = save(rows.filter("n > 0 and id is not null").groupBy("c1", "c2", "n").agg(F.min("id").alias("rep")))
     total = rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    spare = lambda n: n - -(-n * num // den)
     blocks = lambda n: max(partitions(spark), -(-n // _BLOCK))
 
-    def from_texts(batch, state):
-        hashes = state.setdefault("hashes", Hashes())
-        for t in binary_list(batch.column("text")):
-            s = shingles(t.lower().split() if t else [], hashes, k)
-            yield s[: 2 * spare(len(s)) + 1], identity(s)[0]
-
-    def from_sets(batch, state):
+    def sets_of(batch, state):
         for x, c in zip(batch.column("hashes"), batch.column("c1").to_pylist(), strict=True):
             yield np.frombuffer(x.as_buffer(), np.uint64), c
 
     least = F.ceil(F.col("n") * num / den)
-    picked = docs.filter(F.col(id_col).isNotNull()).select(F.col(text_col).alias("text"))
-    counts = shared_counts(packed(picked, blocks(total // 2), from_texts))
+    counts = shared_counts(packed(rows.filter("n > 0 and id is not null").select("hashes", "c1"), blocks(total // 2), sets_of))
     likely = save(classes.join(counts, "c1").filter(F.col("shared") >= F.floor((least - F.ceil(least * num / den))) + 1).select("rep", "c1", "c2"))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(likely.select(F.col("rep").alias("id")), "id", "left_semi")
-    sets = set_table(texts, "id", "text", k, with_hashes=True).dropDuplicates(["id", "c1", "c2"])
+    sets = set_table(texts, "id", "text", k, lambda n: n).dropDuplicates(["id", "c1", "c2"])
     sets = save(sets.join(likely.withColumnRenamed("rep", "id"), ["id", "c1", "c2"], "left_semi"))
     kept = sets.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    counts = shared_counts(packed(sets.select("hashes", "c1"), blocks(kept), from_sets))
+    counts = shared_counts(packed(sets.select("hashes", "c1"), blocks(kept), sets_of))
     sets = save(sets.join(counts, "c1").filter(F.col("shared") >= least).select("id", "n", "hashes"))
     labels = link_components(sets, num, den)
     named = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("c1", "c2", "n", "rep", F.coalesce("label", "rep").alias("label"))
-    joined = rows.join(named, ["c1", "c2", "n"], "left")
+    joined = rows.drop("hashes").join(named, ["c1", "c2", "n"], "left")
     linked = F.col("id").isNotNull() & (F.col("n") > 0)
     return joined.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(linked, F.col("label")).otherwise(F.col("id")).alias("component_id"), F.when(linked, F.col("rep")).otherwise(F.col("id")).alias("class_id"))
