@@ -27,15 +27,12 @@ def reverse_complement(seq: str | Column) -> Column:
 def amino_acids(seq: str | Column) -> Column:
     """One letter for each whole codon from the first base on: * for stops, X for codons with other characters.
     A codon's place in the table is a sum over its bases, so there is no lookup per codon."""
-    seq = F.upper(_col(seq))
-    codons = F.floor(F.length(seq) / 3).cast("int")
-
-    def one(i: Column) -> Column:
-        at = [F.instr(F.lit(BASES), F.substring(seq, i * 3 + k, F.lit(1))) for k in (1, 2, 3)]
+    def one(codon: Column) -> Column:
+        at = [F.instr(F.lit(BASES), F.substring(codon, k, 1)) for k in (1, 2, 3)]
         known = (at[0] > 0) & (at[1] > 0) & (at[2] > 0)
         return F.when(known, F.substring(F.lit(AMINO_ACIDS), at[0] * 16 + at[1] * 4 + at[2] - 20, F.lit(1))).otherwise("X")
 
-    return F.when(codons > 0, F.array_join(F.transform(F.sequence(F.lit(0), codons - 1), one), "")).otherwise(F.when(seq.isNotNull(), ""))
+    return F.array_join(F.transform(F.regexp_extract_all(F.upper(_col(seq)), F.lit("(?s)(...)")), one), "")
 
 
 def translate_codons(seq: str | Column) -> Column:

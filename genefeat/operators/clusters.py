@@ -47,12 +47,14 @@ def resolve_overlaps(hits: DataFrame, mode: str = "beaten", score: str = "score"
         on = ["seq_region", "strand", "start", "end", score, name]
         return tidy.join(beaten.select(on), on, "left_anti")
 
+    columns = tidy.columns
+
     def pick(group):
         kept = []
         for row in group.sort_values([score, name, "start", "end"], ascending=[False, True, True, True]).itertuples():
             if all(row.start > b or row.end < a for a, b, _ in kept):
                 kept.append((row.start, row.end, row.Index))
-        return group.loc[sorted(i for *_, i in kept), tidy.columns]
+        return group.loc[sorted(i for *_, i in kept), columns]
 
     return cluster_by_span(tidy).groupBy("seq_region", "strand", "cluster_start").applyInPandas(pick, tidy.schema)
 

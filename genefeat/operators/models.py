@@ -160,8 +160,8 @@ def gene_biotypes(transcripts: DataFrame) -> DataFrame:
 def override_biotypes(transcripts: DataFrame, coding: str, noncoding: str) -> DataFrame:
     """The gene's by its canonical transcript's coding status, each transcript's by its own."""
     named = lambda c: F.when(c, coding).otherwise(noncoding)
-    canonical = canonical_transcripts(transcripts)
-    codes = transcripts.join(canonical, F.col("transcript_id") == F.col("canonical_transcript")).select(canonical["gene_id"].alias("__g"), F.col("cds_start").isNotNull().alias("__codes"))
+    heads = canonical_transcripts(transcripts).select(F.col("gene_id").alias("__g"), F.col("canonical_transcript").alias("__t"))
+    codes = transcripts.select(F.col("transcript_id").alias("__t"), F.col("cds_start").isNotNull().alias("__codes")).join(heads, "__t").drop("__t")
     joined = transcripts.drop("gene_biotype").join(codes, F.col("gene_id") == F.col("__g"))
     return joined.withColumn("gene_biotype", named(F.col("__codes"))).withColumn("biotype", named(F.col("cds_start").isNotNull())).drop("__g", "__codes")
 

@@ -1,9 +1,628 @@
-"""Registered queries over the given tables."""
+"""Registered queries: each operator over tables derived from the given ones."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+from ..functions import sequence as sq
+from ..functions.tables import save, shared_dir
+from ..operators import clusters, evidence, filters, intervals, joining, models, reads, slices
+from ..sinks import export
+from ..sources import tools
+from . import fixtures, geneset
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+
+
+def query(f: Query) -> Query:
+    QUERIES[f.__name__] = f
+    return f
+
+
+def tx(spark, d, *sources: str) -> DataFrame:
+    t = fixtures.transcripts(spark, d)
+    return t.filter(F.col("source").isin(*sources)) if sources else t
+
+
+def named_contigs(spark, d) -> DataFrame:
+    return fixtures.contigs(spark, d).select(F.col("doc_id").cast("string").alias("name"), "seq")
+
+
+def wide_utr(t: DataFrame) -> DataFrame:
+    """A CDS over the middle half of each span."""
+    quarter = F.floor((F.col("end") - F.col("start")) / 4)
+    return t.withColumns({"cds_start": F.col("start") + quarter, "cds_end": F.col("end") - quarter})
+
+
+def told_exons(t: DataFrame) -> DataFrame:
+    return models.numbered_exons(t).select("transcript_id", "rank", "start", "end")
+
+
+@query
+def canonical_transcripts(spark, d):
+    t = tx(spark, d)
+    best = models.canonical_transcripts(t)
+    told = t.select(F.col("transcript_id").alias("canonical_transcript"), F.size("exons").cast("bigint").alias("n_exons"), F.size(sq.introns("exons")).cast("bigint").alias("n_introns"), (F.col("end") - F.col("start") + 1).alias("span"))
+    return best.join(told, "canonical_transcript").select("gene_id", "canonical_transcript", "n_exons", "n_introns", "span")
+
+
+@query
+def gene_models(spark, d):
+    return models.build_genes(tx(spark, d))
+
+
+@query
+def intron_lengths(spark, d):
+    return models.derive_introns(tx(spark, d)).select("transcript_id", "rank", "start", "end", "length")
+
+
+@query
+def short_intron_merge(spark, d):
+    return models.merge_short_introns(tx(spark, d)).select("transcript_id", F.size("exons").cast("bigint").alias("n_exons"), models.total(F.col("exons")).alias("length"))
+
+
+@query
+def overlapping_exon_filter(spark, d):
+    return models.drop_overlapping_exons(tx(spark, d)).select("transcript_id", F.size("exons").cast("bigint").alias("n_exons"))
+
+
+@query
+def model_integrity(spark, d):
+    return models.check_model_integrity(fixtures.raw_exon_rows(spark, d))
+
+
+@query
+def attach_cds(spark, d):
+    t = tx(spark, d)
+    return models.attach_cds(t, clusters.coding_exons(t)).select("transcript_id", "cds_start", "cds_end")
+
+
+@query
+def translation_coords(spark, d):
+    coords = models.format_translation_coords(models.translation_coords(F.col("exons"), F.col("strand"), F.col("cds_start"), F.col("cds_end")))
+    t = tx(spark, d).filter("cds_start is not null").withColumn("coords", coords)
+    back = models.parse_translation_coords(F.col("coords"), F.col("exons"))
+    return t.select("transcript_id", "coords", back.isNotNull().alias("parses"))
+
+
+@query
+def gene_biotypes(spark, d):
+    return models.gene_biotypes(tx(spark, d)).select("gene_id", "transcript_id", "biotype", "gene_biotype")
+
+
+@query
+def override_biotypes(spark, d):
+    return models.override_biotypes(tx(spark, d), "coding", "noncoding").select("gene_id", "transcript_id", "biotype", "gene_biotype")
+
+
+@query
+def region_lengths(spark, d):
+    return slices.region_lengths(named_contigs(spark, d), 1000)
+
+
+@query
+def genome_size(spark, d):
+    return slices.genome_size(slices.region_lengths(named_contigs(spark, d)))
+
+
+@query
+def make_slices(spark, d):
+    return slices.make_slices(slices.region_lengths(named_contigs(spark, d)), 5000, 500, 1000)
+
+
+@query
+def split_by_length(spark, d):
+    return slices.split_by_length(slices.region_lengths(named_contigs(spark, d)), 5000, 1000)
+
+
+@query
+def slice_rebase(spark, d):
+    x = fixtures.exon_rows(spark, d)
+    offset = F.floor((F.col("start") - 1) / 50_000) * 50_000 + 1
+    kind = F.when(F.col("transcript_id") % 5 == 0, "intron").otherwise("exon")
+    local = x.withColumn("slice_start", offset).withColumns({"start": F.col("start") - F.col("slice_start") + 1, "end": F.col("end") - F.col("slice_start") + 1, "feature_type": kind})
+    return slices.slice_to_genome(local).select("seq_region", "transcript_id", "start", "end")
+
+
+@query
+def genome_to_slice(spark, d):
+    x = fixtures.exon_rows(spark, d)
+    cut = slices.make_slices(x.groupBy("seq_region").agg(F.max("end").alias("length")), 100_000, 10_000, 1000)
+    return slices.genome_to_slice(x.select("seq_region", "transcript_id", "start", "end"), cut)
+
+
+@query
+def renumber_ids(spark, d):
+    t = tx(spark, d).select("seq_region", "gene_id", "transcript_id", "start", "end")
+    return slices.renumber_gene_ids(t).select("transcript_id", "new_gene_id", "new_transcript_id")
+
+
+@query
+def renumber_features(spark, d):
+    rows = fixtures.exon_rows(spark, d).select("seq_region", "start", "end", "transcript_id")
+    return slices.renumber_feature_ids(rows, "repeat", [F.col(c) for c in ("seq_region", "start", "end", "transcript_id")])
+
+
+@query
+def batch_records(spark, d):
+    t = tx(spark, d).select("gene_id", "transcript_id", "start")
+    return slices.batch_records(t, 20, [F.col("gene_id")], "gene").select("transcript_id", "batch")
+
+
+@query
+def batch_sequences(spark, d):
+    return slices.batch_records(fixtures.contigs(spark, d).select("doc_id"), 20, [F.col("doc_id")], "sequence")
+
+
+@query
+def count_features(spark, d):
+    rows = fixtures.exon_rows(spark, d).withColumn("feature_type", F.when(F.col("start") % 3 == 0, "intron").otherwise("exon"))
+    return slices.count_features(rows, "exon")
+
+
+@query
+def min_rows(spark, d):
+    x = fixtures.exon_rows(spark, d)
+    return slices.check_min_rows({s: x.filter(F.col("source") == s) for s in geneset.PRIORITY})
+
+
+@query
+def get_sequence(spark, d):
+    c = named_contigs(spark, d)
+    wanted = c.filter(F.length("seq") >= 400).select(F.col("name").alias("id"), F.col("name").alias("seq_region"), F.when(F.col("name").cast("bigint") % 2 == 0, "+").otherwise("-").alias("strand"), (F.col("name").cast("bigint") % 150 + 1).alias("start"), (F.col("name").cast("bigint") % 150 + 210).alias("end"))
+    return slices.get_sequence(slices.chunk_genome(c, 64), wanted, chunk=64)
+
+
+@query
+def sequence_to_genomic(spark, d):
+    t = tx(spark, d)
+    asked = t.select("transcript_id", F.explode(F.array(*(F.lit(n).cast("bigint") for n in (1, 50, 150)))).alias("position"))
+    return models.sequence_to_genomic(models.numbered_exons(t), asked)
+
+
+@query
+def overlap_join(spark, d):
+    t = tx(spark, d).select("transcript_id", "seq_region", "strand", "start", "end", "biotype")
+    pairs = intervals.overlap_join(t.filter("biotype = 'lncRNA'"), t.filter("biotype <> 'lncRNA'"))
+    return pairs.select(F.col("l.transcript_id").alias("left_id"), F.col("r.transcript_id").alias("right_id"), intervals.overlap_length(F.col("l.start"), F.col("l.end"), F.col("r.start"), F.col("r.end")).alias("overlap"))
+
+
+@query
+def containment(spark, d):
+    t = tx(spark, d).select("transcript_id", "seq_region", "strand", "start", "end")
+    pairs = intervals.containment_join(t, t).filter("l.transcript_id <> r.transcript_id")
+    return pairs.select(F.col("l.transcript_id").alias("outer_id"), F.col("r.transcript_id").alias("inner_id"))
+
+
+@query
+def lncrna_overlap_filter(spark, d):
+    return intervals.drop_lncrna_overlapping_coding(tx(spark, d)).select("transcript_id", "biotype")
+
+
+@query
+def lncrna_overlap_filter_unstranded(spark, d):
+    return intervals.drop_lncrna_overlapping_coding(tx(spark, d), stranded=False).select("transcript_id", "biotype")
+
+
+@query
+def lncrna_min_length(spark, d):
+    return filters.min_length_lncrna(tx(spark, d).filter("biotype = 'lncRNA'")).select("gene_id", "transcript_id")
+
+
+@query
+def span_clusters(spark, d):
+    return intervals.cluster_by_span(tx(spark, d), piece=100_000).select("transcript_id", "cluster_start")
+
+
+@query
+def coding_exon_clusters(spark, d):
+    return clusters.cluster_by_coding_exon(tx(spark, d)).select("transcript_id", "cluster", "cluster_size")
+
+
+@query
+def coding_overlap(spark, d):
+    t = tx(spark, d)
+    return clusters.coding_overlap(t.filter("source = 'transcriptomic'"), t.filter("source = 'protein'"))
+
+
+@query
+def layer_sets(spark, d):
+    return geneset.layer_sets(tx(spark, d)).select("transcript_id", "source")
+
+
+@query
+def augment_sets(spark, d):
+    t = models.single_transcript_genes(tx(spark, d).filter("cds_start is not null"))
+    return geneset.augment_from(t.filter("source = 'transcriptomic'"), t.filter("source = 'busco'"), 0.9).select("transcript_id")
+
+
+@query
+def skipped_exons(spark, d):
+    return clusters.skipped_exons(tx(spark, d))
+
+
+@query
+def readthrough_filter(spark, d):
+    return clusters.remove_readthroughs(models.gene_biotypes(tx(spark, d)), 1).select("gene_id", "transcript_id")
+
+
+@query
+def cds_extents(spark, d):
+    return clusters.cds_extents(tx(spark, d)).select("gene_id", "cds_low", "cds_high")
+
+
+@query
+def utr_over_neighbour(spark, d):
+    return told_exons(clusters.trim_utr_over_neighbour_cds(wide_utr(tx(spark, d))))
+
+
+@query
+def collapse_transcripts(spark, d):
+    return clusters.collapse_transcripts(tx(spark, d).filter("cds_start is not null"), max_per_cluster=2).select("transcript_id")
+
+
+@query
+def trf_filter(spark, d):
+    return filters.trf_filter(fixtures.tool_rows(spark, d)).select("seq_region", "start", "end", "score")
+
+
+@query
+def cpg_filter(spark, d):
+    return filters.cpg_filter(fixtures.tool_rows(spark, d)).select("seq_region", "start", "end", "gc")
+
+
+@query
+def junction_filter(spark, d):
+    return filters.junction_filter(fixtures.tool_rows(spark, d)).select("seq_region", "start", "end", "strand", "multi")
+
+
+RFAM_NAMES = ("LSU_rRNA_eukarya", "LSU_rRNA_archaea", "SSU_rRNA_eukarya", "5_8S_rRNA", "5S_rRNA", "Y_RNA", "U6", "Vault")
+RFAM_TYPES = ("rRNA;", "rRNA;", "rRNA;", "rRNA;", "rRNA;", "snRNA;", "snRNA; snoRNA; CD-box;", "antisense;")
+
+
+def rfam_models(spark, d) -> DataFrame:
+    """Models by number, from the suppliers' keys."""
+    number = (F.col("s_suppkey") % 8).cast("int")
+    pick = lambda names: F.element_at(F.array(*map(F.lit, names)), number + 1)
+    return spark.read.parquet(f"{d}/supplier.parquet").select(number.alias("model"), pick(RFAM_NAMES).alias("name"), pick(RFAM_TYPES).alias("type"), F.concat(F.lit("RF"), number.cast("string")).alias("accession"), (number * 10 + 30).cast("double").alias("threshold")).distinct()
+
+
+def rfam_hits(spark, d) -> DataFrame:
+    told = fixtures.tool_rows(spark, d).join(rfam_models(spark, d).select("model", F.col("name").alias("query"), "accession"), "model")
+    return told.select("seq_region", "start", "end", F.when(F.col("strand_code") == 2, "-").otherwise("+").alias("strand"), "query", "accession", F.col("score").cast("double").alias("score"))
+
+
+@query
+def rfam_threshold(spark, d):
+    return filters.rfam_threshold(rfam_hits(spark, d), rfam_models(spark, d).select("name", "threshold")).select("seq_region", "start", "end", "query", "score")
+
+
+@query
+def rfam_best_hits(spark, d):
+    return clusters.resolve_overlaps(rfam_hits(spark, d).drop("query")).select("seq_region", "strand", "start", "end", "accession", "score")
+
+
+@query
+def rfam_best_hits_greedy(spark, d):
+    return clusters.resolve_overlaps(rfam_hits(spark, d).drop("query"), mode="greedy").select("seq_region", "strand", "start", "end", "accession", "score")
+
+
+@query
+def rfam_biotype(spark, d):
+    told = filters.rfam_features(filters.rfam_biotype(rfam_hits(spark, d), rfam_models(spark, d)))
+    return told.groupBy("query", "biotype", "feature_type").agg(F.count("*").alias("n"))
+
+
+@query
+def select_models(spark, d):
+    m = rfam_models(spark, d)
+    return filters.select_models(m, m.filter("threshold >= 60").select("accession")).select("name", "accession", "threshold")
+
+
+@query
+def repeat_class_types(spark, d):
+    part = spark.read.parquet(f"{d}/part.parquet")
+    kinds = F.array(*map(F.lit, ("LINE/L1", "SINE", "DNA/hAT", "LTR/Gypsy", "Simple_repeat", "tRNA", "rRNA", "Satellite", "Low_complexity", "odd")))
+    return part.select("p_partkey", filters.repeat_class_type(F.element_at(kinds, (F.col("p_partkey") % 10 + 1).cast("int"))).alias("repeat_type"))
+
+
+def _validated(mode):
+    def run(spark, d):
+        t = models.single_transcript_genes(tx(spark, d)).drop("biotype")
+        e = evidence.combine_evidence(fixtures.evidence(spark, d).select("transcript_id", "rnasamba_prob", "rnasamba_coding"), fixtures.evidence(spark, d).select("transcript_id", "cpc2_prob", "cpc2_coding", "peptide_length"), fixtures.diamond(spark, d))
+        return evidence.validate_coding(t, e, mode)[0].select("transcript_id", "biotype", "cds_start")
+
+    return run
+
+
+for _mode in (None, "relaxed", "moderate"):
+    QUERIES[f"coding_validation_{_mode or 'general'}"] = _validated(_mode)
+
+
+@query
+def combine_evidence(spark, d):
+    e = fixtures.evidence(spark, d)
+    told = evidence.combine_evidence(e.select("transcript_id", "rnasamba_prob"), e.select("transcript_id", "cpc2_prob"), fixtures.diamond(spark, d))
+    return told.select("transcript_id", "rnasamba_prob", "cpc2_prob", "evalue", "n_hits")
+
+
+@query
+def exon_hints(spark, d):
+    return evidence.exon_hints(fixtures.exon_rows(spark, d))
+
+
+@query
+def junction_hints(spark, d):
+    return evidence.junction_hints(fixtures.tool_rows(spark, d))
+
+
+@query
+def cds_chain_counts(spark, d):
+    return evidence.cds_chain_counts(tx(spark, d)).groupBy("seq_region", "n").agg(F.count("*").alias("n_chains"))
+
+
+@query
+def model_stats(spark, d):
+    told = evidence.model_stats(tx(spark, d))
+    return told.select("transcript_id", "n_exons", "n_cds_exons", "cds_length", F.round("mean_cds_exon", 6).alias("mean_cds_exon"), F.round("cds_ratio", 6).alias("cds_ratio"), "span", "longest_intron")
+
+
+@query
+def model_scores(spark, d):
+    return evidence.score_models(tx(spark, d)).select("transcript_id", "score", "is_good")
+
+
+@query
+def sub_chain_filter(spark, d):
+    named = clusters.cluster_by_coding_exon(tx(spark, d).filter("cds_start is not null"))
+    return evidence.drop_sub_chains(named).select("transcript_id", "is_good")
+
+
+@query
+def final_classification(spark, d):
+    scored = evidence.score_models(tx(spark, d)).drop("score")
+    return evidence.final_classification(scored).select("transcript_id", "class")
+
+
+@query
+def reverse_complement(spark, d):
+    return fixtures.contigs(spark, d).select("doc_id", F.md5(sq.reverse_complement("seq").cast("binary")).alias("digest"))
+
+
+@query
+def translate(spark, d):
+    whole = F.substring("seq", F.lit(1), (F.floor(F.length("seq") / 3) * 3).cast("int"))
+    return fixtures.contigs(spark, d).select("doc_id", F.md5(sq.translate_codons(whole).cast("binary")).alias("digest"))
+
+
+@query
+def orfs(spark, d):
+    c = fixtures.contigs(spark, d)
+    both = c.withColumn("strand", F.lit("+")).unionByName(c.select("doc_id", sq.reverse_complement("seq").alias("seq"), F.lit("-").alias("strand")))
+    frames = both.select("doc_id", "strand", F.explode(F.array(*(F.struct(F.lit(f).alias("frame"), sq.orfs_in_frame(F.col("seq"), f).alias("found")) for f in range(3)))).alias("x"))
+    each = frames.select("doc_id", "strand", F.col("x.frame").alias("frame"), F.explode("x.found").alias("o"))
+    told = each.select("doc_id", "strand", F.col("frame").cast("bigint").alias("frame"), F.col("o.start").cast("bigint").alias("start"), F.col("o.end").cast("bigint").alias("end"))
+    return told.filter(F.col("end") - F.col("start") + 1 >= 60)
+
+
+@query
+def best_translations(spark, d):
+    t = fixtures.contigs(spark, d).select("doc_id", sq.best_translation("seq", 20).alias("t"))
+    return t.select("doc_id", F.col("t.start").cast("bigint").alias("start"), F.col("t.end").cast("bigint").alias("end"), F.col("t.met").alias("met"))
+
+
+@query
+def pas_sites(spark, d):
+    return fixtures.contigs(spark, d).select("doc_id", sq.pas_cut_site("seq", (F.col("doc_id") % 100).cast("int")).cast("bigint").alias("cut"))
+
+
+@query
+def splice_sites(spark, d):
+    at = (F.col("doc_id") % 50 + 1).cast("int")
+    return fixtures.contigs(spark, d).filter(F.length("seq") > 200).select("doc_id", sq.is_canonical_splice(F.substring("seq", at, F.lit(100))).alias("canonical"), sq.valid_cds("seq", 300).alias("valid"))
+
+
+@query
+def exon_strings(spark, d):
+    return tx(spark, d).select("transcript_id", sq.exon_string("exons", "strand").alias("exon_string"), sq.intron_string("exons").alias("intron_string"))
+
+
+@query
+def bed12_to_exons(spark, d):
+    t = tx(spark, d)
+    bed = t.select(F.col("transcript_id").alias("name"), "seq_region", "strand", (F.col("start") - 1).alias("offset"), F.transform("exons", lambda x: x["end"] - x["start"] + 1).alias("sizes"), F.transform("exons", lambda x: x["start"] - F.col("start")).alias("starts"))
+    return reads.bed12_to_exons(bed)
+
+
+@query
+def gtf_roundtrip(spark, d):
+    """Models written as GTF and read back."""
+    path = f"{shared_dir(spark)}/gtf_{uuid.uuid4().hex}"
+    export.write_gtf(tx(spark, d), path)
+    rows, _ = tools.read_gtf(spark, path)
+    return rows.filter("feature_type = 'exon'").select(F.col("attributes")["transcript_id"].cast("bigint").alias("transcript_id"), F.col("attributes")["exon_number"].cast("bigint").alias("rank"), "seq_region", "strand", "start", "end")
+
+
+@query
+def fasta_roundtrip(spark, d):
+    """Contigs written as FASTA and read back."""
+    path = f"{shared_dir(spark)}/fasta_{uuid.uuid4().hex}"
+    c = named_contigs(spark, d).filter(F.length("seq") > 0)
+    c.select(F.concat(F.lit(">"), "name", F.lit("\n"), F.regexp_replace("seq", "(.{60})", "$1\n"))).write.text(path)
+    return tools.read_fasta(spark, path).select("name", F.length("seq").cast("bigint").alias("length"), F.md5(F.col("seq").cast("binary")).alias("digest"))
+
+
+def _attributed(spark, d) -> DataFrame:
+    rows = fixtures.tool_rows(spark, d).withColumn("strand", F.lit("+"))
+    keys = F.when(F.col("model") == 0, F.create_map(F.lit("score"), F.col("score").cast("string"))).otherwise(F.create_map(F.lit("score"), F.col("score").cast("string"), F.lit("repeat_name"), F.concat(F.lit("m"), F.col("model").cast("string"))))
+    return rows.withColumn("attributes", keys)
+
+
+@query
+def repeat_table(spark, d):
+    return export.to_repeat_table(_attributed(spark, d), "trf")
+
+
+@query
+def simple_feature_table(spark, d):
+    return export.to_simple_feature_table(_attributed(spark, d), "cpg")
+
+
+@query
+def collate_results(spark, d):
+    rows = fixtures.tool_rows(spark, d)
+    told = export.collate_results({"trf": filters.trf_filter(rows), "cpg": filters.cpg_filter(rows)})
+    return told.groupBy("analysis").agg(F.count("*").alias("n"), F.sum("start").alias("starts"))
+
+
+@query
+def gene_tables(spark, d):
+    tables = export.to_gene_tables(tx(spark, d))
+    out = None
+    for name, df in tables.items():
+        one = df.agg(F.count("*").alias("n")).withColumn("name", F.lit(name))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query
+def gene_table(spark, d):
+    return export.to_gene_tables(tx(spark, d))["gene"]
+
+
+@query
+def utr_split(spark, d):
+    told = models.split_utr(wide_utr(tx(spark, d)))
+    return told.select("transcript_id", F.size("utr5").cast("bigint").alias("n5"), F.size("utr3").cast("bigint").alias("n3"), "utr5_length", "utr3_length")
+
+
+@query
+def three_prime_trim(spark, d):
+    return told_exons(models.trim_three_prime(wide_utr(tx(spark, d)), max_utr=80))
+
+
+@query
+def five_prime_trim(spark, d):
+    return told_exons(models.trim_five_prime(wide_utr(tx(spark, d))))
+
+
+@query
+def dedup_proteins(spark, d):
+    c = named_contigs(spark, d).select(F.concat(F.lit("6573_0:"), F.lpad("name", 8, "0"), F.lit(" made")).alias("name"), sq.amino_acids("seq").alias("seq"))
+    kept = reads.reheader_proteins(reads.dedup_proteins(c))
+    return kept.select("name", F.length("seq").cast("bigint").alias("length"))
+
+
+@query
+def subsample_reads(spark, d):
+    r = fixtures.contigs(spark, d).select(F.col("doc_id").alias("read_no"), F.explode(F.array(F.lit(1), F.lit(2))).alias("mate"))
+    return reads.subsample_reads(r, limit=400, fraction=0.3, key=(F.col("read_no") * 7919) % 10007)
+
+
+@query
+def paired_files(spark, d):
+    c = spark.read.parquet(f"{d}/customer.parquet")
+    name = F.concat(F.lit("in/s"), F.floor(F.col("c_custkey") / 2).cast("string"), F.when(F.col("c_custkey") % 7 == 0, "").otherwise(F.concat(F.lit("_"), (F.col("c_custkey") % 2 + 1).cast("string"))), F.lit(".fastq.gz"))
+    return tools.paired_files(c.select(name.alias("path")))
+
+
+@query
+def pair_mates(spark, d):
+    r = fixtures.contigs(spark, d).select(F.lit("s").alias("sample"), (F.col("doc_id") % 2 + 1).cast("int").alias("mate"), F.floor(F.col("doc_id") / 2).alias("read_no"), F.col("doc_id").cast("string").alias("header"), F.substring("seq", 1, 20).alias("seq"), F.lit("I").alias("qual"))
+    return tools.pair_mates(r).select("read_no", "header1", "header2", "seq1", "seq2")
+
+
+@query
+def clade_members(spark, d):
+    region, nation = (spark.read.parquet(f"{d}/{t}.parquet") for t in ("region", "nation"))
+    levels = region.select(F.col("r_regionkey").alias("level_id"), F.col("r_name").alias("name"))
+    path = nation.select(F.col("n_name").alias("species"), F.concat(F.lit("{"), F.col("n_regionkey").cast("string"), F.lit(","), (F.col("n_nationkey") + 100).cast("string"), F.lit("}")).alias("path"))
+    return reads.clade_members(levels, path, "1")
+
+
+@query
+def small_models(spark, d):
+    t = tx(spark, d)
+    n = F.size(models.cds_exons())
+    seq = F.when(F.col("cds_start").isNotNull(), F.concat(F.lit("ATG"), F.repeat(F.lit("A"), F.greatest(models.total(models.cds_exons()) - 6, F.lit(0)).cast("int")), F.lit("TAA")))
+    return t.select("transcript_id", filters.small_model(n, seq, F.col("end") - F.col("start") + 1).alias("small"))
+
+
+# Composites; each is also built of operators that have their own query above.
+
+
+def genome(spark, d) -> DataFrame:
+    """Regions as chunks, drawn from the contigs: region rN has the bases of contigs, repeated to the length it needs."""
+    c = fixtures.contigs(spark, d).filter(F.length("seq") >= 1000)
+    bases = c.select((F.col("doc_id") % 200).alias("k"), F.expr("substring(seq, 1, 1000)").alias("seq"), "doc_id").groupBy("k").agg(F.min_by("seq", "doc_id").alias("seq"))
+    ends = fixtures.exon_rows(spark, d).groupBy("seq_region").agg(F.max("end").alias("n"))
+    at = ends.select("seq_region", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor(F.col("n") / 1000))).alias("i"))
+    return at.withColumn("k", F.pmod(F.xxhash64("seq_region", "i"), F.lit(200))).join(bases, "k").select("seq_region", (F.col("i") * 1000 + 1).alias("start"), ((F.col("i") + 1) * 1000).alias("end"), "seq")
+
+
+@query
+def transcript_sequences(spark, d):
+    return slices.transcript_sequences(save(genome(spark, d)), tx(spark, d), chunk=1000).select("transcript_id", F.length("seq").cast("bigint").alias("length"), F.md5(F.col("seq").cast("binary")).alias("digest"))
+
+
+@query
+def select_best(spark, d):
+    return geneset.select_best(tx(spark, d)).select("transcript_id", "class")
+
+
+@query
+def finalise_layers(spark, d):
+    t = models.single_transcript_genes(tx(spark, d).filter("cds_start is not null"))
+    return geneset.finalise_layers({s: t.filter(F.col("source") == s) for s in geneset.PRIORITY}).select("transcript_id", "source")
+
+
+@query
+def clean_geneset(spark, d):
+    return geneset.clean_geneset(tx(spark, d)).select("gene_id", "transcript_id", "biotype", "start", "end")
+
+
+@query
+def clean_utrs_and_lncrna(spark, d):
+    return geneset.clean_utrs_and_lncrna(tx(spark, d)).select("transcript_id", "biotype", "start", "end")
+
+
+@query
+def join_transcripts(spark, d):
+    t = tx(spark, d).filter("source = 'transcriptomic'")
+    return joining.join_transcripts(t).select("transcript_id", F.size("exons").cast("bigint").alias("n_exons"), "start", "end")
+
+
+@query
+def utr_orf_search(spark, d):
+    """Models with a short CDS near their start, so that most of them is UTR."""
+    t = tx(spark, d).withColumns({"cds_start": F.col("start"), "cds_end": F.col("start") + 60, "cds_seq": F.lit(None).cast("string")})
+    chunks = save(slices_of(spark, d))
+    found = models.utr_orf_search(save(t), lambda df: geneset.compute_translations(df, chunks, 10), min_utr=200, multi=40, single=60)
+    return found.select("transcript_id", "round", F.size("exons").cast("bigint").alias("n_exons"))
+
+
+@query
+def compute_translations(spark, d):
+    told = geneset.compute_translations(tx(spark, d).drop("cds_start", "cds_end"), save(slices_of(spark, d)), 20)
+    return told.select("transcript_id", "cds_start", "cds_end", F.length("cds_seq").cast("bigint").alias("cds_length"))
+
+
+def slices_of(spark, d) -> DataFrame:
+    """The genome in chunks of the length that get_sequence() takes by default."""
+    g = genome(spark, d).withColumn("k", F.floor((F.col("start") - 1) / 100_000))
+    return g.groupBy("seq_region", "k").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("start", "seq"))), lambda x: x["seq"]), "").alias("seq")).select("seq_region", (F.col("k") * 100_000 + 1).alias("start"), (F.col("k") * 100_000 + F.length("seq")).alias("end"), "seq")
+
+
+@query
+def finalise_geneset(spark, d):
+    t = models.single_transcript_genes(tx(spark, d))
+    e = evidence.combine_evidence(fixtures.evidence(spark, d).select("transcript_id", "rnasamba_prob", "rnasamba_coding"), fixtures.evidence(spark, d).select("transcript_id", "cpc2_prob", "cpc2_coding", "peptide_length"), fixtures.diamond(spark, d))
+    t, e = (x.withColumn("transcript_id", F.col("transcript_id").cast("string")) for x in (t, e))
+    t = t.withColumn("gene_id", F.col("transcript_id"))
+    final = geneset.finalise_geneset({s: t.filter(F.col("source") == s) for s in geneset.PRIORITY}, save(slices_of(spark, d)), e)
+    return final["transcripts"].select("gene_id", "transcript_id", "biotype", "start", "end")
