@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.tables import save_bucketed
-from .common import Hashes, binary_list, mix, partitions, save
+from .common import Hashes, binary_list, mix, partitions
 
 _M1 = np.uint64(0x9E3779B97F4A7C15)
 END, START = (np.uint64(xxhash.xxh3_64_intdigest(x)) for x in (b" ", b"\t"))  # no word has a space
@@ -75,9 +75,19 @@ def encode(docs: DataFrame, id_col: str, text_col: str, chunk_tokens: int) -> Da
     return save_bucketed(made, "chunk")
 
 
+def _thin(keys: np.ndarray) -> bytes:
+    """Sorted keys as their differences, byte by byte place: the high bytes are zeros, which compress."""
+    return np.ascontiguousarray(np.diff(keys, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def _thick(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
 def _add(kind: str):
     def add(table: pa.Table) -> pa.Table:
-        keys = [np.frombuffer(x, np.uint64) for x in table.column("keys").to_pylist()]
+        keys = [_thick(x) for x in table.column("keys").to_pylist()]
         weights = np.concatenate([np.frombuffer(x, kind) for x in table.column("weights").to_pylist()])
         found, place = np.unique(np.concatenate(keys), return_inverse=True)
         total = np.bincount(place, weights=weights, minlength=len(found))
@@ -104,11 +114,12 @@ def totals(chunks: DataFrame, entries: int, keys_of, kind: str) -> DataFrame:
                 cut = np.concatenate([[0], np.searchsorted(keys, edges, "left"), [len(keys)]])
                 some = [b for b in range(blocks) if cut[b] < cut[b + 1]]
                 sums = sums.astype(kind)
-                yield pa.RecordBatch.from_arrays([pa.array([row["chunk"]] * len(some), pa.int64()), pa.array(some, pa.int32()), *(pa.array([x[cut[b] : cut[b + 1]].tobytes() for b in some], pa.binary()) for x in (keys, sums))], ["chunk", "block", "keys", "weights"])
+                yield pa.RecordBatch.from_arrays([pa.array([row["chunk"]] * len(some), pa.int64()), pa.array(some, pa.int32()), pa.array([_thin(keys[cut[b] : cut[b + 1]]) for b in some], pa.binary()), pa.array([sums[cut[b] : cut[b + 1]].tobytes() for b in some], pa.binary())], ["chunk", "block", "keys", "weights"])
 
     dealt = chunks.mapInArrow(deal, "chunk bigint, block int, keys binary, weights binary")
     added = dealt.groupBy("block").applyInArrow(_add(kind), "chunk bigint, block int, wide boolean, totals binary, distinct bigint")
-    return save(added.groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct("block", "wide", "totals"))).alias("t"), F.sum("distinct").alias("distinct")))
+    # Bucketed as the chunks are: joining them moves neither side.
+    return save_bucketed(added.groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct("block", "wide", "totals"))).alias("t"), F.sum("distinct").alias("distinct")), "chunk")
 
 
 def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
@@ -215,7 +226,7 @@ class Chunk:
         return add((c[self.t] > 0).astype(np.int64)), add(np.log10(p0)), add(np.log10(best))
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = 8, divergence: float = 0.02, mu: float = 10.0, chunk_tokens: int = 400_000) -> DataFrame:
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = 8, divergence: float = 0.02, mu: float = 10.0, chunk_tokens: int = 1_000_000) -> DataFrame:
     """A row for each row of docs: id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10)."""
     kind = docs.schema[id_col].dataType.simpleString()
     chunks = encode(docs, id_col, text_col, chunk_tokens)
