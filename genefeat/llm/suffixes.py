@@ -133,14 +133,20 @@ class Chunk:
 
     def firsts(self, keys: np.ndarray, at: np.ndarray):
         """Distinct keys, the first position that has each (in order of id, then as read), and each position's place."""
-        rank = self.rank()
-        order = np.lexsort((at, rank[np.searchsorted(self.starts, at, "right") - 1], keys)) if len(at) else np.empty(0, np.int64)
-        sorted_keys = keys[order]
-        new = np.ones(len(order), bool)
+        by = np.argsort(keys, kind="stable")
+        sorted_keys, there = keys[by], at[by]
+        new = np.ones(len(by), bool)
         new[1:] = sorted_keys[1:] != sorted_keys[:-1]
-        place = np.empty(len(order), np.int64)
-        place[order] = np.cumsum(new) - 1
-        return sorted_keys[new], at[order][new], place
+        starts = np.flatnonzero(new)
+        doc = np.searchsorted(self.starts, there, "right") - 1
+        order = (self.rank()[doc] << 36) | (there - self.starts[doc])
+        first = np.empty(0, np.int64)
+        if len(starts):
+            least = np.minimum.reduceat(order, starts)
+            first = there[np.flatnonzero(order == np.repeat(least, np.diff(np.append(starts, len(by)))))]
+        place = np.empty(len(by), np.int64)
+        place[by] = np.cumsum(new) - 1
+        return sorted_keys[new], first, place
 
     def rank(self) -> np.ndarray:
         """Of each document in the order of ids; the order of reading decides between equal ones. Documents of a
@@ -202,15 +208,19 @@ def _decide(table: pa.Table) -> pa.Table:
         bits[order] = np.bincount(name, weights=counts[order])[name] > 1
     else:
         keys = np.concatenate([np.frombuffer(r["keys"], np.uint64) for r in rows])
-        known = sorted({x for r in rows for x in r["ids"]}, key=lambda x: (x is not None, x if x is not None else 0))
-        ranks = {x: i for i, x in enumerate(known)}
-        doc = np.concatenate([np.array([ranks[x] for x in r["ids"]], np.int64)[np.frombuffer(r["docs"], np.uint16)] for r in rows])
-        read = np.concatenate([np.frombuffer(r["reads"], np.int64)[np.frombuffer(r["docs"], np.uint16)] for r in rows])
-        chunk = np.repeat(np.array([r["chunk"] for r in rows], np.int64), sizes)
+        # Documents in order of id, and as read (chunk, place in it) where ids are equal.
+        told = [[(x is not None, x if x is not None else 0, r["chunk"], int(u)) for x, u in zip(r["ids"], np.frombuffer(r["reads"], np.int64), strict=True)] for r in rows]
+        ranks = {x: i for i, x in enumerate(sorted({x for xs in told for x in xs}))}
+        doc = np.concatenate([np.array([ranks[x] for x in xs], np.int64)[np.frombuffer(r["docs"], np.uint16)] for r, xs in zip(rows, told, strict=True)])
         at = np.concatenate([np.frombuffer(r["at"], np.int64 if r["wide"] else np.uint32) for r in rows]).astype(np.int64)
-        order = np.lexsort((at, read, chunk, doc, keys))
-        bits = np.zeros(len(keys), bool)
-        bits[order[1:]] = keys[order][1:] == keys[order][:-1]
+        by = np.argsort(keys, kind="stable")
+        order = ((doc << 36) | at)[by]
+        new = np.ones(len(keys), bool)
+        new[1:] = keys[by][1:] != keys[by][:-1]
+        starts = np.flatnonzero(new)
+        least = np.minimum.reduceat(order, starts)
+        bits = np.empty(len(keys), bool)
+        bits[by] = order != np.repeat(least, np.diff(np.append(starts, len(by))))
     cuts = np.cumsum([0, *sizes])
     return pa.table({"chunk": table.column("chunk"), "block": table.column("block"), "n": pa.array(sizes, pa.int32()), "bits": pa.array([np.packbits(bits[a:z]).tobytes() for a, z in zip(cuts, cuts[1:], strict=False)], pa.binary())})
 
