@@ -93,9 +93,10 @@ def translation_coords(exons: Column, strand: Column, low: Column, high: Column)
     each with the offset (from 1, in transcript direction) of the first and last coding base."""
     coding = F.filter(exons, lambda x: (x["start"] <= high) & (x["end"] >= low))
     first, last = F.try_element_at(coding, F.lit(1)), F.try_element_at(coding, F.lit(-1))
+    low, high = F.greatest(low, first["start"]), F.least(high, last["end"])
     plus = F.struct(first["start"].alias(COORDS[0]), first["end"].alias(COORDS[1]), (low - first["start"] + 1).alias(COORDS[2]), last["start"].alias(COORDS[3]), last["end"].alias(COORDS[4]), (high - last["start"] + 1).alias(COORDS[5]))
     minus = F.struct(last["start"].alias(COORDS[0]), last["end"].alias(COORDS[1]), (last["end"] - high + 1).alias(COORDS[2]), first["start"].alias(COORDS[3]), first["end"].alias(COORDS[4]), (first["end"] - low + 1).alias(COORDS[5]))
-    return F.when(low.isNotNull() & (F.size(coding) > 0), F.when(strand == "-", minus).otherwise(plus))
+    return F.when(F.size(coding) > 0, F.when(strand == "-", minus).otherwise(plus))
 
 
 def all_exons_cds(transcripts: DataFrame) -> DataFrame:

@@ -62,11 +62,11 @@ def raw_exon_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """tx_exons as models; the CDS is the span less 30 bases at each end, unless lncRNA."""
+    """tx_exons as models; the CDS is the span less 30 bases at each end, unless lncRNA or a span of 100 or less."""
     from ..operators.models import build_transcripts
 
     t = build_transcripts(exon_rows(spark, sf_dir), "gene_id", "source", "biotype")
-    coding = F.col("biotype") == "protein_coding"
+    coding = (F.col("biotype") == "protein_coding") & (F.col("end") - F.col("start") >= 100)
     return t.withColumns({"cds_start": F.when(coding, F.col("start") + 30), "cds_end": F.when(coding, F.col("end") - 30)})
 
 
@@ -96,7 +96,7 @@ def diamond(spark: SparkSession, sf_dir: str) -> DataFrame:
 TRANSCRIPTS = """
 SELECT transcript_id, min(gene_id) AS gene_id, min(seq_region) AS seq_region, min(strand) AS strand, min(source) AS source, min(biotype) AS biotype,
        min(s) AS s, max(e) AS e, count(*) AS n_exons, sum(e - s + 1) AS len,
-       CASE WHEN min(biotype) = 'protein_coding' THEN min(s) + 30 END AS cs, CASE WHEN min(biotype) = 'protein_coding' THEN max(e) - 30 END AS ce
+       CASE WHEN min(biotype) = 'protein_coding' AND max(e) - min(s) >= 100 THEN min(s) + 30 END AS cs, CASE WHEN min(biotype) = 'protein_coding' AND max(e) - min(s) >= 100 THEN max(e) - 30 END AS ce
 FROM tx_exons GROUP BY transcript_id
 """
 
