@@ -11,7 +11,8 @@ The link graph's components are wanted, not its pairs, so no group of copies is
    A map task counts what it has twice itself and sends such an n-gram once, so a passage that a third of all
    documents share is one entry a task.
 3. Partners must share one of their floor(n/5)+1 smallest hashes. Of each such n-gram's classes, those that are not yet
-   known to be connected are compared by whole sets: in two rounds with one of them (the smallest; one drawn by hash),
+   known to be connected are compared by whole sets: in two rounds with one of them (the smallest; the first by hash of
+   the id, so that hashes draw the same few),
    then all that are left in different components, by products of blocks of classes that accumulate the overlap
    counts and let only links out. The rounds leave the last step little where groups are large; it makes the result
    exact in every case.
@@ -300,7 +301,7 @@ def link_components(sets: DataFrame, num: int, den: int) -> DataFrame:
         told = found.withColumn("label", F.col("id"))
         if labels is not None:
             told = found.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("label", "id"))
-        drawn = F.col("id") if step == "smallest" else F.xxhash64("id", "h")
+        drawn = F.col("id") if step == "smallest" else F.xxhash64("id")
         several = told.groupBy("h").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min_by(F.struct("id", "n", "label"), drawn).alias("c")).filter("low <> high")
         if step == "all":
             new = product_links(save(told.join(several.select("h"), "h", "left_semi")), sets, num, den)
