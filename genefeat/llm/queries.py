@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chat, decontam, jaccard, licenses, mixing, pst, resample, rules, secrets, suffixes
+from .oracles import ORACLES  # noqa: F401
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,5 +72,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_lm_scoring,
     )
 }
-
-ORACLES: dict[str, str] = {}

@@ -9,7 +9,7 @@ The target model is fitted on at most `most_targets` labelled documents (those o
 the scores and the selection cover all documents. The kth largest key is found by counting: each round splits the range
 that holds it into 4,096 parts, so the driver sees 4,096 counts at a time whatever k is.
 
-Defined results: null and empty texts have log weight 0 before noise; ids that repeat share their noise; equal keys are
+Defined results: null and empty texts come last (log weight EMPTY); ids that repeat share their noise; equal keys are
 kept by smaller id as far as k goes, and identical ids with them all together.
 """
 
@@ -27,6 +27,10 @@ from .common import Hashes, binary_list, save, windows
 from .mixing import uniform
 
 
+#: Log weight of a text without words: below all others.
+EMPTY = -1e9
+
+
 def places(text: bytes | None, hashes: Hashes, buckets: int) -> np.ndarray:
     """Buckets of the text's unigrams and bigrams."""
     words = text.lower().split() if text else []
@@ -71,7 +75,7 @@ def log_weights(docs: DataFrame, ratios: np.ndarray, id_col: str, text_col: str,
         hashes = Hashes()
         for batch in batches:
             found = [places(text, hashes, buckets) for text in binary_list(batch.column("text"))]
-            weights = [float(sent.value[x].mean()) * min(len(x), length_cap) if len(x) else 0.0 for x in found]
+            weights = [float(sent.value[x].mean()) * min(len(x), length_cap) if len(x) else EMPTY for x in found]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([len(x) for x in found], pa.int64()), pa.array(weights, pa.float64())], ["id", "n_ngrams", "log_weight"])
 
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(score, f"id {kind}, n_ngrams bigint, log_weight double").withColumnRenamed("id", id_col)
@@ -83,7 +87,7 @@ def kth_largest(keys: DataFrame, column: str, k: int, parts: int = 4096) -> tupl
     if k <= 0 or not n:
         return math.inf, 0
     if k >= n:
-        return lo, n
+        return lo, keys.filter(F.col(column) == lo).count()
     while lo < hi:
         width = (hi - lo) / parts
         inside = keys.filter(F.col(column).between(lo, hi))
