@@ -19,6 +19,11 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _let(value: Column, body) -> Column:
+    """body(value), with the value worked out once however often the body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def reverse_complement(seq: str | Column) -> Column:
     """Case is kept; characters other than ACGT stay as they are."""
     return F.reverse(F.translate(_col(seq), "acgtACGT", "tgcaTGCA"))
@@ -52,7 +57,7 @@ def stretches(protein: Column) -> Column:
 def orfs_in_frame(seq: Column, frame: int) -> Column:
     """array<struct<start, end, aa>>: from each stop's first ATG since the last stop to the stop, 1-based in seq."""
     found = stretches(amino_acids(F.substring(seq, F.lit(frame + 1), F.length(seq))))
-    closed = F.slice(found, 1, F.greatest(F.size(found) - 1, F.lit(0)))
+    closed = _let(found, lambda xs: F.slice(xs, 1, F.greatest(F.size(xs) - 1, F.lit(0))))
     met = F.filter(F.transform(closed, lambda x: F.struct((x["at"] + F.instr(x["aa"], "M") - 1).alias("at"), F.when(F.instr(x["aa"], "M") > 0, F.substring(x["aa"], F.instr(x["aa"], "M"), F.length(x["aa"]))).alias("aa"))), lambda x: x["aa"].isNotNull())
     return F.transform(met, lambda x: F.struct((x["at"] * 3 + frame + 1).alias("start"), ((x["at"] + F.length(x["aa"]) + 1) * 3 + frame).alias("end"), x["aa"].alias("aa")))
 
@@ -71,9 +76,13 @@ def best_translation(seq: str | Column, min_aa: int = 50, met_aa: int = 100, fac
     tell = lambda xs, met: F.transform(xs, lambda x: F.struct(F.length(x["aa"]).alias("n"), (-x["start"]).alias("left"), x["start"].alias("start"), x["end"].alias("end"), x["aa"].alias("aa"), F.lit(met).alias("met")))
     with_met = F.array_max(F.concat(*(tell(orfs_in_frame(seq, f), True) for f in range(3))))
     without = F.array_max(F.concat(*(tell(open_stretches(seq, f), False) for f in range(3))))
-    n_met, n_without = F.coalesce(with_met["n"], F.lit(0)), F.coalesce(without["n"], F.lit(0))
-    best = F.when((n_met < met_aa) & (n_without > factor * n_met), without).otherwise(with_met)
-    return F.when(best["n"] >= min_aa, F.struct(best["start"].alias("start"), best["end"].alias("end"), best["aa"].alias("aa"), best["met"].alias("met")))
+
+    def choose(both: Column) -> Column:
+        n_met, n_without = F.coalesce(both["met"]["n"], F.lit(0)), F.coalesce(both["open"]["n"], F.lit(0))
+        best = F.when((n_met < met_aa) & (n_without > factor * n_met), both["open"]).otherwise(both["met"])
+        return F.when(best["n"] >= min_aa, F.struct(best["start"].alias("start"), best["end"].alias("end"), best["aa"].alias("aa"), best["met"].alias("met")))
+
+    return _let(F.struct(with_met.alias("met"), without.alias("open")), choose)
 
 
 def is_canonical_splice(intron: str | Column) -> Column:

@@ -39,7 +39,7 @@ ORACLES["model_integrity"] = """WITH x AS (SELECT l_orderkey AS transcript_id, c
   SELECT transcript_id, 'mixed_strand' AS violation FROM g WHERE ms UNION ALL SELECT transcript_id, 'mixed_region' FROM g WHERE mr UNION ALL SELECT transcript_id, 'exon_start_after_end' FROM g WHERE bad UNION ALL SELECT transcript_id, 'empty_span' FROM g WHERE em"""
 put("attach_cds", "SELECT t.transcript_id, min(c.s) AS cds_start, max(c.e) AS cds_end FROM tx t LEFT JOIN cds c ON t.transcript_id = c.transcript_id GROUP BY 1", *A)
 ORACLES["translation_coords"] = more(A, "f AS (SELECT x.*, cs, ce, row_number() OVER (PARTITION BY x.transcript_id ORDER BY x.s) AS lo, row_number() OVER (PARTITION BY x.transcript_id ORDER BY x.s DESC) AS hi FROM tx_exons x JOIN tx t ON x.transcript_id = t.transcript_id WHERE x.s <= ce AND x.e >= cs)", "p AS (SELECT a.transcript_id, a.strand, a.s AS s1, a.e AS e1, b.s AS s2, b.e AS e2, a.cs, a.ce FROM f a JOIN f b ON a.transcript_id = b.transcript_id AND a.lo = 1 AND b.hi = 1)") + "SELECT transcript_id, CASE WHEN strand = '-' THEN concat_ws(':', s2, e2, e2 - least(ce, e2) + 1, s1, e1, e1 - greatest(cs, s1) + 1) ELSE concat_ws(':', s1, e1, greatest(cs, s1) - s1 + 1, s2, e2, least(ce, e2) - s2 + 1) END AS coords, true AS parses FROM p"
-put("gene_biotypes", "SELECT gene_id, transcript_id, biotype, CASE WHEN bool_or(cs IS NOT NULL) OVER (PARTITION BY gene_id) THEN 'protein_coding' ELSE 'lncRNA' END AS gene_biotype FROM tx", "tx_exons", "tx")
+put("gene_biotypes", "SELECT gene_id, transcript_id, CASE WHEN cs IS NULL THEN 'lncRNA' ELSE 'protein_coding' END AS biotype, CASE WHEN bool_or(cs IS NOT NULL) OVER (PARTITION BY gene_id) THEN 'protein_coding' ELSE 'lncRNA' END AS gene_biotype FROM tx", "tx_exons", "tx")
 ORACLES["override_biotypes"] = more(A, CDSLEN, BEST) + "SELECT a.gene_id, a.transcript_id, CASE WHEN a.cs IS NULL THEN 'noncoding' ELSE 'coding' END AS biotype, CASE WHEN b.cs IS NULL THEN 'noncoding' ELSE 'coding' END AS gene_biotype FROM bst a JOIN bst b ON a.gene_id = b.gene_id AND b.k = 1"
 
 NAMED = "r AS (SELECT CAST(doc_id AS VARCHAR) AS seq_region, length(seq) AS length FROM contigs)"
