@@ -22,11 +22,12 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     without words are no group. Only ids are grouped: what goes is listed, and texts are joined with that list."""
     found = save(jaccard.jaccard_components(docs))
     gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
-    twice = found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
     left = docs.select(COLUMNS).join(gone, "doc_id", "left_anti").select(COLUMNS)
-    single = left.join(twice, "doc_id", "left_anti")
+    twice = save(found.filter("doc_id is not null and doc_id = component_id").groupBy("doc_id").count().filter("count > 1").select("doc_id"))
+    if twice.isEmpty():
+        return left
     several = left.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return single.select(COLUMNS).unionByName(several.select(COLUMNS))
+    return left.join(twice, "doc_id", "left_anti").select(COLUMNS).unionByName(several.select(COLUMNS))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,7 +5,8 @@ from genefeat.llm import rules
 
 
 def test_stages(spark, tmp_path):
-    clean = [" ".join(f"{w}{(i * 31 + k * 7) % 97}" if k % 3 else "the" for k, w in enumerate(["word", "thing", "of"] * 40)) for i in range(30)]
+    common = ["the", "of", "and", "in", "to", "is", "was", "for", "on", "with"]
+    clean = [" ".join(common[(i * 7 + k * k) % 10] if k % 3 == 0 else f"word{(i * 131 + k * 17) % 977}" for k in range(160)) + "." for i in range(30)]
     bench = " ".join(f"q{i}" for i in range(25))
     secret = "0123456789abcdef01234567"
     texts = [*clean, clean[0] + " tail", clean[1] + " " + bench, clean[2][::-1] + f" token: {secret}", "short", None]
