@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.tables import partitions, save, shared_dir  # noqa: F401
+from ..functions.tables import partitions, save, save_bucketed, shared_dir  # noqa: F401
 
 #: Words are runs of anything but these characters (Java and RE2 syntax alike).
 SPACE = r"\x20\x09-\x0D"
@@ -69,3 +71,21 @@ def shingles(words: list[bytes], hashes: Hashes, k: int = 5) -> np.ndarray:
 def blocks_for(spark: SparkSession, rows: int, rows_each: int) -> int:
     """How many blocks a set of rows is dealt into so that each block stays under a fixed size on average."""
     return max(partitions(spark), -(-rows // rows_each))
+
+
+def hold(docs: DataFrame) -> DataFrame:
+    """docs as a table with a column __part, the partition that wrote the row, bucketed by it: no row moves to write
+    it (a task writes one file), and none moves in a join on __part and other keys under in_place()."""
+    return save_bucketed(docs.withColumn("__part", F.spark_partition_id()), "__part")
+
+
+@contextmanager
+def in_place(spark: SparkSession):
+    """Within it, a table bucketed by one of several join keys stays where it is and the other side comes to it."""
+    name = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

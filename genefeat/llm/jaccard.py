@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.graph import connected_components
-from .common import Hashes, binary_list, mix, partitions, save, shingles
+from .common import Hashes, binary_list, hold, in_place, mix, partitions, save, shingles
 
 _FLUSH = 1_000_000  # entries that a map task gathers before it sends them
 _BLOCK = 3_000_000  # entries of a block on average
@@ -44,23 +44,23 @@ def identity(s: np.ndarray) -> tuple[int, int]:
 
 
 def set_table(docs: DataFrame, id_col: str, text_col: str, k: int, keep) -> DataFrame:
-    """(id, n, c1, c2, hashes): a row for each row of docs. hashes: keep(n) smallest of the set's hashes, sorted, as
-    bytes."""
+    """(id, __part, n, c1, c2, hashes): a row for each row of docs, a table of hold(). hashes: keep(n) smallest of the
+    set's hashes, sorted, as bytes."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Hashes()
         for batch in batches:
-            texts, ids = binary_list(batch.column("text")), batch.column("id")
+            texts, ids, part = binary_list(batch.column("text")), batch.column("id"), batch.column("__part")
             for lo in range(0, len(texts), 500):
                 sets = [shingles(t.lower().split() if t else [], hashes, k) for t in texts[lo : lo + 500]]
                 both = [identity(s) for s in sets]
-                columns = [ids.slice(lo, 500), pa.array([len(s) for s in sets], pa.int64()), pa.array([x for x, _ in both], pa.int64()), pa.array([x for _, x in both], pa.int64())]
+                columns = [ids.slice(lo, 500), part.slice(lo, 500), pa.array([len(s) for s in sets], pa.int64()), pa.array([x for x, _ in both], pa.int64()), pa.array([x for _, x in both], pa.int64())]
                 columns.append(pa.array([s[: keep(len(s))].tobytes() for s in sets], pa.binary()))
-                yield pa.RecordBatch.from_arrays(columns, ["id", "n", "c1", "c2", "hashes"])
+                yield pa.RecordBatch.from_arrays(columns, ["id", "__part", "n", "c1", "c2", "hashes"])
 
-    picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return picked.mapInArrow(make, f"id {kind}, n bigint, c1 bigint, c2 bigint, hashes binary")
+    picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), "__part")
+    return picked.mapInArrow(make, f"id {kind}, __part int, n bigint, c1 bigint, c2 bigint, hashes binary")
 
 
 def _pack(sets: list[np.ndarray], classes: list[int], blocks: int) -> pa.RecordBatch:
@@ -317,10 +317,16 @@ def link_components(sets: DataFrame, num: int, den: int) -> DataFrame:
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
     """A row for each row of docs: id, n_shingles, component_id (the smallest id that links reach), class_id (the
     smallest id of equal sets)."""
+    return held_components(hold(docs.select(id_col, text_col)), id_col, text_col, k, num, den).drop("__part")
+
+
+def held_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
+    """As jaccard_components() of a table of hold(), with the column __part. Texts stay where they are: what is asked of
+    them later goes to their partition."""
     spark = docs.sparkSession
     spare = lambda n: n - -(-n * num // den)
     rows = save(set_table(docs, id_col, text_col, k, lambda n: 2 * spare(n) + 1))
-    classes = save(rows.filter("n > 0 and id is not null").groupBy("c1", "c2", "n").agg(F.min("id").alias("rep")))
+    classes = save(rows.filter("n > 0 and id is not null").groupBy("c1", "c2", "n").agg(F.min(F.struct("id", "__part")).alias("m")).select("c1", "c2", "n", F.col("m.id").alias("rep"), F.col("m.__part").alias("__part")))
     total = rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     blocks = lambda n: max(partitions(spark), -(-n // _BLOCK))
 
@@ -330,15 +336,18 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     least = F.ceil(F.col("n") * num / den)
     counts = shared_counts(packed(rows.filter("n > 0 and id is not null").select("hashes", "c1"), blocks(total // 2), sets_of))
-    likely = save(classes.join(counts, "c1").filter(F.col("shared") >= F.floor((least - F.ceil(least * num / den))) + 1).select("rep", "c1", "c2"))
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(likely.select(F.col("rep").alias("id")), "id", "left_semi")
+    likely = save(classes.join(counts, "c1").filter(F.col("shared") >= F.floor((least - F.ceil(least * num / den))) + 1).select("rep", "__part", "c1", "c2"))
+    asked = likely.select(F.col("rep").alias("id"), "__part").distinct()
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), "__part").join(asked.hint("shuffle_hash"), ["__part", "id"], "left_semi")
+    # Rows that share an id may have other texts, and rows may repeat.
     sets = set_table(texts, "id", "text", k, lambda n: n).dropDuplicates(["id", "c1", "c2"])
-    sets = save(sets.join(likely.withColumnRenamed("rep", "id"), ["id", "c1", "c2"], "left_semi"))
+    with in_place(spark):
+        sets = save(sets.join(likely.select(F.col("rep").alias("id"), "c1", "c2"), ["id", "c1", "c2"], "left_semi"))
     kept = sets.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     counts = shared_counts(packed(sets.select("hashes", "c1"), blocks(kept), sets_of))
     sets = save(sets.join(counts, "c1").filter(F.col("shared") >= least).select("id", "n", "hashes"))
     labels = link_components(sets, num, den)
-    named = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("c1", "c2", "n", "rep", F.coalesce("label", "rep").alias("label"))
+    named = classes.drop("__part").join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("c1", "c2", "n", "rep", F.coalesce("label", "rep").alias("label"))
     joined = rows.drop("hashes").join(named, ["c1", "c2", "n"], "left")
     linked = F.col("id").isNotNull() & (F.col("n") > 0)
-    return joined.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(linked, F.col("label")).otherwise(F.col("id")).alias("component_id"), F.when(linked, F.col("rep")).otherwise(F.col("id")).alias("class_id"))
+    return joined.select(F.col("id").alias(id_col), "__part", F.col("n").alias("n_shingles"), F.when(linked, F.col("label")).otherwise(F.col("id")).alias("component_id"), F.when(linked, F.col("rep")).otherwise(F.col("id")).alias("class_id"))
