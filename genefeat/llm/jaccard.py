@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.graph import connected_components
-from .common import Hashes, binary_list, hold, in_place, mix, partitions, save, shingles
+from .common import Hashes, binary_list, hold, in_place, mix, partitions, save, save_bucketed, shingles
 
 _FLUSH = 1_000_000  # entries that a map task gathers before it sends them
 _BLOCK = 3_000_000  # entries of a block on average
@@ -242,34 +242,54 @@ def product(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def _open_products(table: pa.Table, linked_of) -> tuple[np.ndarray, np.ndarray]:
+    """Places in table of the pairs of different labels for which linked_of(overlap counts, sizes, sizes) holds."""
+    side = np.array(table.column("side").to_pylist())
+    labels = np.unique(table.column("label").to_numpy(zero_copy_only=False), return_inverse=True)[1]
+    sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("hashes").combine_chunks()]
+    rows, columns = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    if table.column("b1")[0] == table.column("b2")[0]:
+        columns = rows
+    if not len(rows) or not len(columns):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    n = np.array(table.column("n").to_pylist())
+    linked = linked_of(product([sets[i] for i in rows], [sets[i] for i in columns]), n[rows][:, None], n[columns][None])
+    linked &= labels[rows][:, None] != labels[columns][None]
+    x, y = np.nonzero(linked)
+    return rows[x], columns[y]
+
+
 def _block_links(num: int, den: int, kind: pa.DataType):
     def links(table: pa.Table) -> pa.Table:
-        side = np.array(table.column("side").to_pylist())
-        ids, labels = table.column("id").to_pylist(), np.unique(table.column("label").to_numpy(zero_copy_only=False), return_inverse=True)[1]
-        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("hashes").combine_chunks()]
-        rows = np.flatnonzero(side == 0)
-        columns = np.flatnonzero(side == 1)
-        if table.column("b1")[0] == table.column("b2")[0]:
-            columns = rows
-        if not len(rows) or not len(columns):
-            return pa.table({"a": pa.array([], kind), "b": pa.array([], kind)})
-        n = np.array([len(s) for s in sets])
-        shared = product([sets[i] for i in rows], [sets[i] for i in columns])
-        linked = den * shared >= num * (n[rows][:, None] + n[columns][None] - shared)
-        linked &= labels[rows][:, None] != labels[columns][None]
-        x, y = np.nonzero(linked)
-        return pa.table({"a": pa.array([ids[rows[i]] for i in x], kind), "b": pa.array([ids[columns[i]] for i in y], kind)})
+        x, y = _open_products(table, lambda shared, n, m: den * shared >= num * (n + m - shared))
+        ids = table.column("id").combine_chunks()
+        return pa.table({"a": ids.take(pa.array(x)).cast(kind), "b": ids.take(pa.array(y)).cast(kind)})
 
     return links
 
 
+def _block_screen(num: int, den: int):
+    """The rows whose first hashes have enough in common with those of some row of another label."""
+
+    def ahead(n):
+        return 1 + (n - -(-n * num // den)) // 2
+
+    def screen(table: pa.Table) -> pa.Table:
+        x, y = _open_products(table, lambda shared, n, m: shared >= np.minimum(ahead(n), ahead(m)))
+        return table.select(["id", "n", "label", "b1", "b2", "side"]).take(pa.array(np.unique(np.concatenate([x, y]))))
+
+    return screen
+
+
 def product_links(open_: DataFrame, sets: DataFrame, num: int, den: int, block: int = 800) -> DataFrame:
     """Links (a, b) between classes of different labels that share a prefix hash. open_: (h, id, n, label).
 
     A class's home is the most common of its open hashes, so classes with much in common are at home together. The
     classes of a home are dealt into blocks of about `block`, those of a large label apart. A class goes to the product of
-    its block with another one if they share a hash there, with some class of another label and a size in reach. Only
-    links leave a product."""
+    its block with another one if they share a hash there, with some class of another label and a size in reach. Of
+    s = floor(n/5) hashes that a partner may lack, the first s + 1 + floor(s/2) of both have 1 + floor(s/2) of the smaller
+    set in common, so these are multiplied first; classes with no such partner there need not send their whole sets.
+    Only links leave the second product."""
     from pyspark.sql.types import LongType
 
     common = open_.groupBy("h").agg(F.count("*").alias("df"))
@@ -285,6 +305,9 @@ def product_links(open_: DataFrame, sets: DataFrame, num: int, den: int, block:
     reach = (F.col("n2") * den >= F.col("n") * num) & (F.col("n1") * num <= F.col("n") * den)
     sent = placed.join(there, "h").filter(((F.col("l1") != F.col("label")) | (F.col("l2") != F.col("label"))) & reach)
     sent = sent.select("id", "label", F.least("block", "other").alias("b1"), F.greatest("block", "other").alias("b2"), F.when(F.col("block") > F.col("other"), 1).otherwise(0).alias("side")).distinct()
+    heads = sets.withColumn("s", F.expr(f"n - int(ceil(n * {num} / {den}))")).select("id", "n", F.expr("substring(hashes, 1, int(8 * (s + 1 + s div 2)))").alias("hashes"))
+    shape = ", ".join(f"{c} {sent.schema[c].dataType.simpleString() if c != 'n' else 'bigint'}" for c in ("id", "n", "label", "b1", "b2", "side"))
+    sent = save(sent.join(heads, "id").groupBy("b1", "b2").applyInArrow(_block_screen(num, den), shape))
     rows = sent.join(sets.select("id", "hashes"), "id")
     kind = sets.schema["id"].dataType
     arrow = pa.int64() if isinstance(kind, LongType) else pa.int32() if kind.simpleString() == "int" else pa.string()
@@ -345,7 +368,8 @@ def held_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         sets = save(sets.join(likely.select(F.col("rep").alias("id"), "c1", "c2"), ["id", "c1", "c2"], "left_semi"))
     kept = sets.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     counts = shared_counts(packed(sets.select("hashes", "c1"), blocks(kept), sets_of))
-    sets = save(sets.join(counts, "c1").filter(F.col("shared") >= least).select("id", "n", "hashes"))
+    sets = sets.join(counts, "c1").filter(F.col("shared") >= least).select("id", "n", "hashes")
+    sets = save_bucketed(sets.repartition(2 * partitions(spark), "id"), "id")  # several joins on id, no later move
     labels = link_components(sets, num, den)
     named = classes.drop("__part").join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("c1", "c2", "n", "rep", F.coalesce("label", "rep").alias("label"))
     joined = rows.drop("hashes").join(named, ["c1", "c2", "n"], "left")
