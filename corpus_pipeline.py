@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from genefeat.functions.tables import save
 from genefeat.llm import decontam, jaccard, mixing, rules, secrets
+from genefeat.llm.common import hold
 from genefeat.llm.queries import table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -19,10 +20,14 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the smallest id stays (of rows that share it, one); documents
-    without words are no group. Only ids are grouped: what goes is listed, and texts are joined with that list."""
-    found = save(jaccard.jaccard_components(docs))
-    gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
-    left = docs.select(COLUMNS).join(gone, "doc_id", "left_anti").select(COLUMNS)
+    without words are no group. What goes is listed and sent to the partition that holds it; texts stay where they are.
+    The setting that allows this is left set, as the join runs when the caller writes the result."""
+    held = hold(docs.select(COLUMNS))
+    found = save(jaccard.held_components(held))
+    ids = found.filter("doc_id <> component_id").select("doc_id").distinct()
+    gone = found.join(ids, "doc_id", "left_semi").select("__part", "doc_id").distinct()
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    left = held.join(gone.hint("shuffle_hash"), ["__part", "doc_id"], "left_anti").select(COLUMNS)
     twice = save(found.filter("doc_id is not null and doc_id = component_id").groupBy("doc_id").count().filter("count > 1").select("doc_id"))
     if twice.isEmpty():
         return left
