@@ -6,7 +6,10 @@ most COMMON of them). A document is rejected when the Jensen-Shannon distance (b
 its reference is above a bound. Short texts have noisy histograms, so each test waits for a minimum of words.
 
 Defined results: null and empty texts have no words and fail the base rules; a null language is the language "".
-A language with under MIN_SHARE of all words is judged by the reference of all documents together.
+Every language has its own reference, whatever its share of the corpus. One with under MIN_WORDS words in all has too
+few to tell common words from others, so its documents have no word test. References of languages with at least
+MIN_SHARE of all words go to the workers as one dictionary, the others' as a table joined on the language; a verdict
+does not depend on which.
 Other columns of the input are not looked at.
 """
 
@@ -25,6 +28,7 @@ from .common import Hashes, binary_list, save, windows
 SYMBOLS = b"#*$%&|<>"
 COMMON = 500
 MIN_SHARE = 1e-4
+MIN_WORDS = COMMON
 CLASSES = ("lower", "upper", "digit", "space", "symbol", "punctuation", "other")
 _CLASS = np.full(256, 6, dtype=np.int64)
 for _i, _set in enumerate((b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b" \t\n\v\f\r", SYMBOLS, b"!\"'(),-./:;?@[\\]^_`{}~+=")):
@@ -77,28 +81,32 @@ def language_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "la
     return partial.groupBy("lang", "kind", "key").agg(F.sum("n").alias("n"))
 
 
-def language_references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", common: int = COMMON) -> dict[str, tuple[np.ndarray, dict[bytes, int], np.ndarray]]:
-    """lang -> (class counts, common word -> place, their counts and then that of all other words). The key "*" has
-    all documents together. It has at most 1/MIN_SHARE languages of at most `common` words, whatever the input."""
-    counts = save(language_counts(docs, text_col, lang_col))
-    both = counts.unionByName(counts.withColumn("lang", F.lit("*")).groupBy("lang", "kind", "key").agg(F.sum("n").alias("n")))
-    totals = both.filter("kind = 'w'").groupBy("lang").agg(F.sum("n").alias("total"))
-    everything = totals.filter("lang = '*'").select(F.col("total").alias("everything"))
-    totals = totals.join(F.broadcast(everything), F.col("total") >= F.col("everything") * MIN_SHARE).drop("everything")
-    kept = both.join(totals, "lang").filter((F.col("kind") == "c") | (F.col("n") * common >= F.col("total")))
-    out: dict = {}
-    for lang, kind, key, n, total in kept.select("lang", "kind", "key", "n", "total").collect():
-        classes, words = out.setdefault(lang, (np.zeros(len(CLASSES)), {}))[:2]
-        out[lang] = (classes, words, total)
-        if kind == "c":
-            classes[CLASSES.index(bytes(key).decode())] = n
+Reference = tuple[np.ndarray, dict[bytes, int], np.ndarray]
+
+
+def reference_of(entries: list[dict], total: int) -> Reference:
+    """Class counts, common word -> place, their counts and then that of all other words."""
+    classes, words = np.zeros(len(CLASSES)), {}
+    for x in entries:
+        if x["kind"] == "c":
+            classes[CLASSES.index(bytes(x["key"]).decode())] = x["n"]
         else:
-            words[bytes(key)] = n
-    done = {}
-    for lang, (classes, words, total) in out.items():
-        order = sorted(words)
-        done[lang] = (classes, {w: i for i, w in enumerate(order)}, np.array([words[w] for w in order] + [total - sum(words.values())], dtype=float))
-    return done
+            words[bytes(x["key"])] = x["n"]
+    order = sorted(words)
+    return classes, {w: i for i, w in enumerate(order)}, np.array([words[w] for w in order] + [total - sum(words.values())], dtype=float)
+
+
+def language_references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", common: int = COMMON) -> tuple[dict[str, Reference], DataFrame]:
+    """The references of the languages with at least MIN_SHARE of all words (so at most 1/MIN_SHARE of them, of at most
+    `common` words), and a row for each other language: lang, total, entries (kind, key, n)."""
+    counts = save(language_counts(docs, text_col, lang_col))
+    totals = counts.filter("kind = 'w'").groupBy("lang").agg(F.sum("n").alias("total"))
+    totals = totals.join(F.broadcast(totals.agg(F.sum("total").alias("everything"))), F.lit(True))
+    totals = save(totals.select("lang", "total", (F.col("total") >= F.col("everything") * MIN_SHARE).alias("large")))
+    kept = counts.join(totals, "lang").filter((F.col("kind") == "c") | (F.col("n") * common >= F.col("total")))
+    rows = save(kept.groupBy("lang", "total", "large").agg(F.collect_list(F.struct("kind", "key", "n")).alias("entries")))
+    large = {r["lang"]: reference_of(r["entries"], r["total"]) for r in rows.filter("large").collect()}
+    return large, rows.filter("not large").select("lang", "total", "entries")
 
 
 def base_counts(text: bytes, words: list[bytes], hashes: Hashes) -> tuple[int, int, int, int]:
@@ -135,22 +143,27 @@ def quality_rules(
     """One row for each row of docs: id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept,
     class_distance and word_distance (null under the minimum lengths). keep_columns: the input's own columns beside
     `kept` alone, for use as a filter."""
-    references = docs.sparkSession.sparkContext.broadcast(language_references(docs, text_col, lang_col))
+    large, small = language_references(docs, text_col, lang_col)
+    references = docs.sparkSession.sparkContext.broadcast(large)
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = Hashes()
+        hashes, own_of = Hashes(), {}
         for batch in batches:
             rows = []
-            for text, lang in zip(binary_list(batch.column("__text")), batch.column("__lang").to_pylist(), strict=True):
+            for i, (text, lang) in enumerate(zip(binary_list(batch.column("__text")), batch.column("__lang").to_pylist(), strict=True)):
                 words = (text := text or b"").split()
                 n, counts = len(words), base_counts(text, words, hashes)
                 failed = n < 50 or 100 * counts[3] > 50 * n
                 by_class = by_word = None
-                reference = references.value.get(lang) or references.value.get("*")
+                reference = references.value.get(lang) or own_of.get(lang)
+                if not reference and n and "__entries" in batch.schema.names:
+                    if len(own_of) >= 1000:
+                        own_of.clear()
+                    reference = own_of[lang] = reference_of(batch.column("__entries")[i].as_py(), batch.column("__total")[i].as_py())
                 if reference and n >= min_words_classes:
                     by_class = js_distance(char_classes(text).astype(float), reference[0])
-                if reference and n >= min_words_common:
+                if reference and n >= min_words_common and reference[2].sum() >= MIN_WORDS:
                     other = len(reference[2]) - 1
                     get = reference[1].get
                     by_word = js_distance(np.bincount(np.fromiter((get(w, other) for w in words), dtype=np.int64, count=n), minlength=other + 1).astype(float), reference[2])
@@ -160,15 +173,24 @@ def quality_rules(
             types = [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.float64()] * 2
             made = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
             if keep_columns:
-                own = [x for x in batch.schema.names if x not in ("__text", "__lang")]
+                own = [x for x in batch.schema.names if x not in ("__text", "__lang", "__total", "__entries")]
                 yield pa.RecordBatch.from_arrays([batch.column(x) for x in own] + [made[6]], own + ["__kept"])
             else:
                 yield pa.RecordBatch.from_arrays([batch.column("__id"), *made], [id_col, *names, "base_failed", "kept", "class_distance", "word_distance"])
 
+    def judged(picked: DataFrame, schema: str) -> DataFrame:
+        if small.isEmpty():
+            return picked.mapInArrow(judge, schema)
+        # Rows of large languages (and those without words) stay where they are; the others meet their reference.
+        named = small.select(F.col("lang").alias("__lang"), F.col("total").alias("__total"), F.col("entries").alias("__entries"))
+        is_large = F.col("__lang").isin(list(large))
+        rest = picked.filter(~is_large).join(named, "__lang", "left").select(*picked.columns, "__total", "__entries")
+        return picked.filter(is_large).mapInArrow(judge, schema).unionByName(rest.mapInArrow(judge, schema))
+
     used = [F.col(text_col).alias("__text"), F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("__lang")]
     if keep_columns:
         own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-        return docs.select("*", *used).mapInArrow(judge, f"{own}, __kept boolean").filter("__kept").drop("__kept")
+        return judged(docs.select("*", *used), f"{own}, __kept boolean").filter("__kept").drop("__kept")
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"`{id_col}` {kind}, " + ", ".join(f"{x} bigint" for x in names) + ", base_failed boolean, kept boolean, class_distance double, word_distance double"
-    return docs.select(F.col(id_col).alias("__id"), *used).mapInArrow(judge, schema)
+    return judged(docs.select(F.col(id_col).alias("__id"), *used), schema)

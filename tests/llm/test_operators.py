@@ -194,6 +194,23 @@ def test_rules(spark):
     assert rules.quality_rules(documents(spark, [])).count() == 0
 
 
+def test_small_languages_have_their_own_reference(spark, monkeypatch):
+    """A document's verdict is the same whatever share of the corpus its language has."""
+    small = [" ".join(random.Random(i).choices("и в не на я быть он с что а по это она этот к но они мы весь который".split(), k=200)) for i in range(20)]
+    other = "QQQ$$$ ### " * 5 + " ".join(f"X{k}$$$" for k in range(100))
+    rare = documents(spark, [*small, other], lang="ru")
+    few = documents(spark, [" ".join(f"mot{k}" for k in range(120))], ids=[50], lang="wa")
+    monkeypatch.setattr(rules, "MIN_SHARE", 0.1)  # so that a small corpus has both cases
+    for copies in (1, 20):  # of 20,000 words: the 4,100 Russian ones are over MIN_SHARE, then under it
+        big = spark.range(100, 100 + copies).select(F.col("id").alias("doc_id"), F.repeat(F.lit("the of and in "), 5000).alias("text"), F.lit("en").alias("lang"))
+        both = rare.unionByName(few).unionByName(big, allowMissingColumns=True)
+        rows = {r.doc_id: r for r in rules.quality_rules(both).collect()}
+        assert [rows[i].kept for i in range(21)] == [True] * 20 + [False]
+        assert rows[50].kept and rows[50].word_distance is None  # too few words for a reference of common ones
+        assert all(rows[i].word_distance < 0.3 for i in range(20)) and rows[20].word_distance > 0.34
+        assert {r.doc_id for r in rules.quality_rules(both, keep_columns=True).filter("doc_id < 100").collect()} == {*range(20), 50}
+
+
 def test_repeated_words_count_positions(spark):
     r = rules.quality_rules(documents(spark, ["a b c x a b c y b c x"])).first()
     assert r.n_repeat_words == 10  # windows abc and bcx twice each: all but y
