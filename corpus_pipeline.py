@@ -48,7 +48,7 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents sampled towards the target mix of sources, languages and topics, with their probability."""
-    mixed = mixing.mix(docs.select(COLUMNS))
+    mixed = mixing.mix(docs.select(COLUMNS), bounded=True)
     return mixed.filter("kept").select(*COLUMNS, F.col("__topic").alias("topic"), F.round("probability", 6).alias("probability"))
 
 

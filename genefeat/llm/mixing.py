@@ -5,6 +5,11 @@ after the other, so that their sums meet the target share of each source, langua
 ratio of a cell's fitted to its own weight, times `rate`, is the probability of each of its documents (at most 1).
 A document's uniform number comes from a hash of its id, so a rerun keeps the same documents.
 
+A cell that needs more than its tokens is cut at probability 1, and the sample then misses the targets. With
+`bounded`, as in the pipeline, the raking knows these bounds: a value whose target is over all of its tokens gets all of
+them, its siblings share the rest in proportion to their targets, and the cells are fitted to these by least(bound,
+product of factors), the closest table under the bounds. expected_shares() tells what was asked, can be had and is met.
+
 The cells are a table like any other and each round is two narrow aggregations and joins over them; the documents are
 read once to be summed and once to be sampled, and nothing of their size is shuffled.
 
@@ -62,10 +67,58 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = 8) -> Da
     return fitted.drop("total")
 
 
-def cell_probabilities(docs: DataFrame, powers: dict[str, float], rate: float, sweeps: int, text_col: str = "text") -> DataFrame:
+def feasible_targets(cells: DataFrame, targets: DataFrame, dimension: str, rate: float, rounds: int = 30) -> DataFrame:
+    """(dimension, target, asked): targets cut at what a sample of `rate` can hold of each value, the excess dealt to
+    the values under their bounds in proportion to what was asked."""
+    own = cells.groupBy(dimension).agg(F.sum("tokens").cast("double").alias("own"))
+    rows = own.join(targets, dimension).join(F.broadcast(own.agg(F.sum("own").alias("total"))), F.lit(True))
+    now = save(rows.select(dimension, F.col("target").alias("asked"), (F.col("own") / F.col("total") / F.lit(rate)).alias("most"), F.least("target", F.col("own") / F.col("total") / F.lit(rate)).alias("target")))
+    for _ in range(rounds):
+        # The values at their bound keep it; the others are scaled to what is left.
+        full, free, left = now.agg(F.sum(F.when(F.col("target") >= F.col("most"), F.col("most"))), F.sum(F.when(F.col("target") < F.col("most"), F.col("target"))), F.sum("target")).first()
+        if not free or left is None or left >= 1 - 1e-12:
+            break
+        scale = (1 - (full or 0.0)) / free
+        now = save(now.withColumn("target", F.least("most", F.when(F.col("target") < F.col("most"), F.col("target") * F.lit(scale)).otherwise(F.col("most")))))
+    return now.select(dimension, "target", "asked")
+
+
+def rake_within(fitted: DataFrame, targets: dict[str, DataFrame], rate: float, sweeps: int) -> DataFrame:
+    """fitted as rake() gives it, raked on so that least(fitted, tokens / rate) meets the targets; `fitted` is that."""
+    total = fitted.agg(F.sum("tokens").cast("double").alias("total"))
+    free = save(fitted.withColumn("most", F.col("tokens") / F.lit(rate)).join(F.broadcast(total), F.lit(True)))
+    for _ in range(sweeps):
+        for d, wanted in targets.items():
+            now = free.groupBy(d).agg(F.sum(F.least("fitted", "most")).alias("now")).join(wanted.select(d, "target"), d, "left")
+            free = free.join(now, d).withColumn("fitted", F.col("fitted") * F.coalesce(F.col("target") * F.col("total") / F.col("now"), F.lit(1.0))).drop("now", "target")
+        free = save(free)
+    return free.withColumn("fitted", F.least("fitted", "most")).drop("most", "total")
+
+
+def fit_within(cells: DataFrame, targets: dict[str, DataFrame], rate: float, sweeps: int = 8, bounded_sweeps: int = 30) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """(cells with `fitted`, targets that can be had by dimension)."""
+    can = {d: feasible_targets(cells, t, d, rate) for d, t in targets.items()}
+    return rake_within(rake(cells, can, sweeps), can, rate, bounded_sweeps), can
+
+
+def expected_shares(fitted: DataFrame, targets: dict[str, DataFrame], rate: float) -> DataFrame:
+    """(dimension, value, asked, target, expected): token shares asked for, to be had at this rate (under what was asked
+    where that is infeasible), and expected of the sample."""
+    kept = fitted.withColumn("x", F.least(F.col("tokens").cast("double"), F.lit(rate) * F.col("fitted")))
+    whole = kept.agg(F.sum("x").alias("whole"))
+    out = None
+    for d, t in targets.items():
+        own = kept.groupBy(d).agg(F.sum("x").alias("x")).join(F.broadcast(whole), F.lit(True))
+        one = t.join(own, d, "left").select(F.lit(d).alias("dimension"), F.col(d).alias("value"), "asked", "target", F.coalesce(F.col("x") / F.col("whole"), F.lit(0.0)).alias("expected"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def cell_probabilities(docs: DataFrame, powers: dict[str, float], rate: float, sweeps: int, text_col: str = "text", bounded: bool = False) -> DataFrame:
     """(__source, __lang, __topic, probability) from docs as described() gives them."""
     cells = save(docs.groupBy(*(F.col(f"__{d}").alias(d) for d in DIMENSIONS)).agg(F.sum(n_tokens(text_col)).alias("tokens")))
-    fitted = rake(cells, {d: tempered_targets(cells, d, p) for d, p in powers.items()}, sweeps)
+    targets = {d: tempered_targets(cells, d, p) for d, p in powers.items()}
+    fitted = fit_within(cells, targets, rate, sweeps)[0] if bounded else rake(cells, targets, sweeps)
     return fitted.select(*(F.col(d).alias(f"__{d}") for d in DIMENSIONS), F.least(F.lit(1.0), F.lit(rate) * F.col("fitted") / F.col("tokens")).alias("probability"))
 
 
@@ -74,12 +127,12 @@ def uniform(key: Column, seed: int = 0) -> Column:
     return F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), key.cast("string")).cast("binary")), 1, 13), 16, 10).cast("bigint") / F.lit(float(1 << 52))
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang", topic: Column | None = None, powers: dict[str, float] | None = None, rate: float = 0.5, sweeps: int = 8, seed: int = 0) -> DataFrame:
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang", topic: Column | None = None, powers: dict[str, float] | None = None, rate: float = 0.5, sweeps: int = 8, seed: int = 0, bounded: bool = False) -> DataFrame:
     """docs with __source, __lang, __topic, probability and kept. powers: by dimension, the power to which its own
-    shares are taken for its targets. Documents without tokens have probability 0."""
+    shares are taken for its targets. bounded: rake under the bound of probability 1 instead of cutting there. Documents without tokens have probability 0."""
     powers = powers or {"source": 0.5, "lang": 0.7, "topic": 0.5}
     told = described(docs, text_col, source_col, lang_col, topic)
-    cells = save(cell_probabilities(told, powers, rate, sweeps, text_col))
+    cells = save(cell_probabilities(told, powers, rate, sweeps, text_col, bounded))
     joined = told.join(cells, ["__source", "__lang", "__topic"], "left")
     p = F.when(F.coalesce(F.regexp_instr(F.col(text_col), F.lit(WORD)), F.lit(0)) > 0, F.coalesce("probability", F.lit(0.0))).otherwise(0.0)
     return joined.withColumn("probability", p).withColumn("kept", uniform(F.col(id_col), seed) < F.col("probability"))

@@ -258,6 +258,49 @@ def test_raking_meets_marginals(spark):
         assert share == pytest.approx({r[0]: r.target for r in t.collect()}, abs=1e-3)
 
 
+def test_sampled_marginals_are_those_asked_for_or_the_bound(spark):
+    """Of the probabilities themselves, not of the weights before they are cut."""
+    texts, sources, tokens = [], [], {}
+    for s, lang_size, topic in [("a", 900, "x"), ("a", 60, "y"), ("b", 40, "x"), ("b", 90, "y"), ("c", 300, "x"), ("c", 20, "y")]:
+        for _ in range(10):
+            texts.append(" ".join([topic] * lang_size))
+            sources.append(s)
+    docs = documents(spark, texts, source=sources)
+    rate, powers = 0.5, {"source": 0.5, "lang": 0.7, "topic": 0.5}
+    rows = mixing.mix(docs, topic=F.substring("text", 1, 1), powers=powers, rate=rate, bounded=True).collect()
+    assert all(0 < r.probability <= 1 for r in rows)
+    kept, own = Counter(), Counter()
+    for r in rows:
+        n = len(r.text.split())
+        for d in ("__source", "__topic"):
+            kept[d, r[d]] += n * r.probability
+            own[d, r[d]] += n
+    total = sum(n for (d, _), n in own.items() if d == "__topic")
+    assert sum(n for (d, _), n in kept.items() if d == "__topic") == pytest.approx(rate * total, rel=0.01)
+    for d in ("__source", "__topic"):
+        asked = {v: n**0.5 for (e, v), n in own.items() if e == d}
+        asked = {v: n / sum(asked.values()) for v, n in asked.items()}
+        most = {v: own[d, v] / total / rate for v in asked}
+        target, over = dict(asked), set()
+        while new := {v for v in target if v not in over and target[v] > most[v]}:
+            over |= new
+            left = (1 - sum(most[v] for v in over)) / sum(asked[v] for v in asked if v not in over)
+            target = {v: most[v] if v in over else asked[v] * left for v in asked}
+        assert {v: kept[d, v] / (rate * total) for v in asked} == pytest.approx(target, abs=0.005)
+    cut = mixing.mix(docs, topic=F.substring("text", 1, 1), powers=powers, rate=rate).agg(F.sum(F.col("probability") * F.size(F.split("text", " ")))).first()[0]
+    assert cut < 0.97 * rate * total  # what cutting alone loses
+
+
+def test_mixing_reports_what_is_infeasible(spark):
+    cells = spark.createDataFrame([("a", "en", "x", 980), ("b", "en", "x", 20)], "source string, lang string, topic string, tokens bigint")
+    targets = {d: mixing.tempered_targets(cells, d, 0.5) for d in mixing.DIMENSIONS}
+    fitted, can = mixing.fit_within(cells, targets, 0.5)
+    rows = {(r.dimension, r.value): r for r in mixing.expected_shares(fitted, can, 0.5).collect()}
+    b = rows["source", "b"]
+    assert b.asked > 0.12 and b.target == pytest.approx(0.04) and b.expected == pytest.approx(0.04, abs=1e-3)
+    assert rows["source", "a"].expected == pytest.approx(0.96, abs=1e-3)
+
+
 def test_mixing_edges(spark):
     docs = documents(spark, [None, "", "a b c", "a b c", "d e"], ids=[0, 1, 2, 2, 3], source=["a", None, "a", "a", "b"])
     rows = mixing.mix(docs).orderBy("doc_id").collect()
