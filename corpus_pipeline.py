@@ -41,8 +41,8 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents stay; secrets that one owner has are masked in the text, and n_chars follows."""
-    masked = secrets.mask_live_secrets(docs.select(COLUMNS))
+    """All documents stay; secrets are masked in the text unless they are spread widely, and n_chars follows."""
+    masked = secrets.mask_live_secrets(docs.select(COLUMNS), max_owners=secrets.few_owners(docs))
     return masked.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text")).otherwise(F.col("n_chars")).cast("bigint")).select(COLUMNS)
 
 

@@ -69,6 +69,13 @@ def ownership(found: DataFrame) -> DataFrame:
     return by_owner.groupBy("value").agg(F.count("*").alias("owners"), F.sum("repos").alias("repos"))
 
 
+def few_owners(docs: DataFrame, owner_col: str = "source", least: int = 10, share: float = 0.001) -> int:
+    """The most owners that a value can have and still be live: a key that is mirrored or used again has a few, an
+    example from documentation is spread widely. `least`, and in a corpus of many owners this share of them."""
+    owners = docs.select(F.col(owner_col).cast("string")).distinct().count()
+    return max(least, int(owners * share))
+
+
 def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_col: str = "source", owner_col: str = "source", max_owners: int = 1) -> DataFrame:
     """A row for each row of docs: id, base (spans of the base kinds), spans (with the added ones; array of
     start, stop, kind, kind name, owners, repos), live and copied (how many of them have at most, or over,

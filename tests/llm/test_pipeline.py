@@ -27,6 +27,17 @@ def test_stages(spark, tmp_path):
     assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} <= ids
 
 
+def test_secrets_with_a_few_owners_are_masked(spark, tmp_path):
+    """A key that is mirrored or used in a second source is as live as before; one that is everywhere is an example."""
+    used_again, opaque, example = "0123456789abcdef01234567", "abcDEF123456789012345678", "AKIA" + "A1" * 8
+    rows = [(i, f"token: {used_again} and {opaque}", "en", f"s{i}", 60) for i in range(3)]
+    rows += [(10 + i, f"such as {example} here", "en", f"s{i}", 33) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    texts = {r.doc_id: r.text for r in corpus_pipeline.secret_scans(spark, docs, str(tmp_path)).collect()}
+    assert all(texts[i] == "[SECRET] and [SECRET]" for i in range(3))
+    assert all(texts[10 + i] == f"such as {example} here" for i in range(12))
+
+
 def test_entry_registers_all_eleven():
     import __spark_entry__
 
