@@ -5,11 +5,11 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import sequence as sq
-from ..functions.tables import save, shared_dir
+from ..functions.tables import partitions, save, shared_dir
 from ..operators import clusters, evidence, filters, intervals, joining, models, reads, slices
 from ..sinks import export
 from ..sources import tools
@@ -533,8 +533,8 @@ def paired_files(spark, d):
 
 @query
 def pair_mates(spark, d):
-    r = fixtures.contigs(spark, d).select(F.lit("s").alias("sample"), (F.col("doc_id") % 2 + 1).cast("int").alias("mate"), F.floor(F.col("doc_id") / 2).alias("read_no"), F.col("doc_id").cast("string").alias("header"), F.substring("seq", 1, 20).alias("seq"), F.lit("I").alias("qual"))
-    return tools.pair_mates(r).select("read_no", "header1", "header2", "seq1", "seq2")
+    r = fixtures.contigs(spark, d).select(F.lit("s").alias("sample"), (F.col("doc_id") % 2 + 1).cast("int").alias("mate"), F.floor(F.col("doc_id") / 2).alias("read_no"), F.col("doc_id").cast("string").alias("header"), "seq", F.lit("I").alias("qual"))
+    return tools.pair_mates(r).select("read_no", "header1", "header2", *(F.substring(c, 1, 20).alias(c) for c in ("seq1", "seq2")))
 
 
 @query
@@ -556,13 +556,36 @@ def small_models(spark, d):
 # Composites; each is also built of operators that have their own query above.
 
 
+def contig_stream(spark, d, size: int = 1000) -> DataFrame:
+    """(k, seq): all contigs end to end in order of id, every base of them, in pieces of `size` from 0; what the last
+    one lacks is N. Places come from lengths: dealt by range, summed in each range, offset by the ranges before."""
+    c = fixtures.contigs(spark, d).filter(F.length("seq") > 0)
+    dealt = save(c.repartitionByRange(partitions(spark), "doc_id").withColumn("p", F.spark_partition_id()))
+    sizes = dealt.groupBy("p").agg(F.sum(F.length("seq")).alias("n"))
+    before = sizes.alias("a").join(sizes.alias("b"), F.col("b.p") < F.col("a.p"), "left").groupBy("a.p").agg(F.coalesce(F.sum("b.n"), F.lit(0)).alias("before"))
+    inside = F.sum(F.length("seq")).over(Window.partitionBy("p").orderBy("doc_id", "seq").rowsBetween(Window.unboundedPreceding, -1))
+    placed = dealt.withColumn("at", F.coalesce(inside, F.lit(0))).join(F.broadcast(before), "p").withColumn("at", F.col("at") + F.col("before"))  # a row for each range
+    first, last = F.floor(F.col("at") / size), F.floor((F.col("at") + F.length("seq") - 1) / size)
+    cut = placed.select("at", "seq", F.explode(F.sequence(first, last)).alias("k"))
+    start = F.greatest(F.col("k") * size, "at")
+    piece = F.substring("seq", (start - F.col("at") + 1).cast("int"), (F.col("k") * size + size - start).cast("int"))
+    whole = cut.select("k", F.struct(start.alias("start"), piece.alias("seq")).alias("x")).groupBy("k").agg(F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["seq"]), "").alias("seq"))
+    return whole.select("k", F.rpad("seq", size, "N").alias("seq"))
+
+
 def genome(spark, d) -> DataFrame:
-    """Regions as chunks, drawn from the contigs: region rN has the bases of contigs, repeated to the length it needs."""
-    c = fixtures.contigs(spark, d).filter(F.length("seq") >= 1000)
-    bases = c.select((F.col("doc_id") % 200).alias("k"), F.expr("substring(seq, 1, 1000)").alias("seq"), "doc_id").groupBy("k").agg(F.min_by("seq", "doc_id").alias("seq"))
-    ends = fixtures.exon_rows(spark, d).groupBy("seq_region").agg(F.max("end").alias("n"))
-    at = ends.select("seq_region", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor(F.col("n") / 1000))).alias("i"))
-    return at.withColumn("k", F.pmod(F.xxhash64("seq_region", "i"), F.lit(200))).join(bases, "k").select("seq_region", (F.col("i") * 1000 + 1).alias("start"), ((F.col("i") + 1) * 1000).alias("end"), "seq")
+    """Regions as chunks of 1,000 bases: all contigs laid along the regions, one region after the other, from the start
+    again where they end before the regions do. Where there are more bases than the exons need, regions are longer."""
+    bases = save(contig_stream(spark, d))
+    pieces = bases.count()
+    ends = save(fixtures.exon_rows(spark, d).groupBy("seq_region").agg(F.max("end").alias("n")))
+    regions, longest = ends.agg(F.count("*"), F.max("n")).first()
+    if not pieces or not regions:
+        return bases.limit(0).select(F.lit("").alias("seq_region"), F.col("k").alias("start"), F.col("k").alias("end"), "seq")
+    each = max(longest // 1000 + 1, -(-pieces // regions))
+    at = slices.numbered(ends, [F.col("seq_region")], "r").select("seq_region", "r", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(each - 1).cast("bigint"))).alias("i"))
+    laid = at.withColumn("k", ((F.col("r") - 1) * each + F.col("i")) % pieces)
+    return laid.join(bases, "k").select("seq_region", (F.col("i") * 1000 + 1).alias("start"), ((F.col("i") + 1) * 1000).alias("end"), "seq")
 
 
 @query
