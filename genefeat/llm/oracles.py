@@ -47,21 +47,27 @@ h AS (SELECT e.doc_id, s.item_id, count(*) AS c FROM e JOIN s ON e.k = s.k AND e
 SELECT doc_id, h.item_id, n AS n_item_shingles, c AS n_shared FROM h JOIN n ON h.item_id = n.item_id WHERE c * 5 >= n * 4"""
 
 
-def _op3(sweeps: int = 8, rate: float = 0.5) -> str:
+def _op3(steps: int = 120, rate: float = 0.5) -> str:
+    """Raking under the bound of probability 1: shares that can be had by dimension, then steps of the language's and the
+    topic's factors in turn, the source's factor worked out anew in each from its cells in order of saturation."""
     powers = (("source", 0.5), ("lang", 0.7), ("topic", 0.5))
     topic = "CASE WHEN text IS NULL OR length(text) = 0 THEN 'empty' WHEN (length(text) - length(replace(text, '|', ''))) * 100 >= length(text) THEN 'table' WHEN len(regexp_extract_all(text, '[A-Z]')) * 3 > length(text) THEN 'shouting' WHEN length(text) > 5000 THEN 'long' WHEN length(text) < 600 THEN 'short' ELSE 'prose' END"
-    out = f"WITH d AS (SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang, {topic} AS topic, coalesce(len({words('text', False)}), 0) AS n FROM documents), c0 AS (SELECT source, lang, topic, sum(n)::DOUBLE AS tokens, sum(n)::DOUBLE AS f FROM d GROUP BY ALL), tt AS (SELECT sum(tokens) AS total FROM c0)"
+    out = f"WITH RECURSIVE d AS (SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang, {topic} AS topic, coalesce(len({words('text', False)}), 0) AS n FROM documents), c0 AS (SELECT source, lang, topic, sum(n)::DOUBLE AS tokens FROM d GROUP BY ALL HAVING sum(n) > 0), tt AS (SELECT sum(tokens) AS total FROM c0)"
     for dim, power in powers:
-        out += f", g_{dim} AS (SELECT {dim}, pow(sum(tokens), {power}) AS w FROM c0 GROUP BY 1), t_{dim} AS (SELECT {dim}, w / (SELECT sum(w) FROM g_{dim}) AS target FROM g_{dim})"
-    at, before = 0, "(SELECT * FROM c0 WHERE tokens > 0)"
-    for _ in range(sweeps):
-        for dim, _power in powers:
-            at += 1
-            out += f", c{at} AS (SELECT p.source, p.lang, p.topic, p.tokens, f * (target * (SELECT total FROM tt) / sum(f) OVER (PARTITION BY p.{dim})) AS f FROM {before} p JOIN t_{dim} t ON p.{dim} = t.{dim})"
-            before = f"c{at}"
+        out += f", a_{dim} AS (SELECT {dim}, sum(tokens) / (SELECT total FROM tt) / {rate} AS bound, pow(sum(tokens), {power}) AS w FROM c0 GROUP BY 1), b_{dim} AS (SELECT {dim}, bound, w / (SELECT sum(w) FROM a_{dim}) AS asked FROM a_{dim})"
+        out += f", l_{dim} AS (SELECT max((1 - coalesce(pre, 0)) / post) AS x FROM (SELECT sum(bound) OVER (ORDER BY bound / asked, {dim} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pre, sum(asked) OVER (ORDER BY bound / asked, {dim} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS post FROM b_{dim})), t_{dim} AS (SELECT {dim}, least(bound, (SELECT x FROM l_{dim}) * asked) * (SELECT total FROM tt) AS goal, (SELECT x FROM l_{dim}) * asked * (1 + 1e-12) >= bound AS whole FROM b_{dim})"
+    source = "PARTITION BY source ORDER BY fl * ft DESC, lang, topic"
+
+    def solved(table: str) -> str:
+        return f"SELECT *, least(1.0::DOUBLE, {rate} * fl * ft * max((gs - coalesce(pre, 0) / {rate}) / post) OVER (PARTITION BY source)) AS p FROM (SELECT *, sum(tokens) OVER ({source} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pre, sum(tokens * fl * ft) OVER ({source} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS post FROM {table})"
+
+    clip = lambda x: f"least(1e30::DOUBLE, greatest(1e-30::DOUBLE, {x}))"
+    out += ", r AS (SELECT 0 AS i, source, lang, topic, tokens, s.goal AS gs, l.goal AS gl, t.goal AS gt, l.whole AS wl, t.whole AS wt, CASE WHEN l.whole THEN 1e30::DOUBLE ELSE 1.0 END AS fl, CASE WHEN t.whole THEN 1e30::DOUBLE ELSE 1.0 END AS ft FROM c0 JOIN t_source s USING (source) JOIN t_lang l USING (lang) JOIN t_topic t USING (topic)"
+    out += f" UNION ALL SELECT i + 1, source, lang, topic, tokens, gs, gl, gt, wl, wt, CASE WHEN i % 2 = 0 AND NOT wl THEN {clip(f'fl * gl / (sum(tokens * p) OVER (PARTITION BY lang) / {rate})')} ELSE fl END, CASE WHEN i % 2 = 1 AND NOT wt THEN {clip(f'ft * gt / (sum(tokens * p) OVER (PARTITION BY topic) / {rate})')} ELSE ft END FROM ({solved('r')}) WHERE i < {steps})"
+    out += f", f AS ({solved(f'(SELECT * FROM r WHERE i = {steps})')})"
     u = "CAST(concat('0x', substr(md5(concat('0:', d.doc_id)), 1, 13)) AS BIGINT) / 4503599627370496.0::DOUBLE"
-    p = f"CASE WHEN d.n > 0 THEN coalesce(least(1.0::DOUBLE, {rate} * f / tokens), 0) ELSE 0 END"
-    return out + f" SELECT doc_id, d.source, d.lang, d.topic, round({p}, 6) AS probability, {u} < {p} AS kept FROM d LEFT JOIN c{at} c ON d.source = c.source AND d.lang = c.lang AND d.topic = c.topic"
+    p = "CASE WHEN d.n > 0 THEN coalesce(f.p, 0) ELSE 0 END"
+    return out + f" SELECT doc_id, d.source, d.lang, d.topic, round({p}, 6) AS probability, {u} < {p} AS kept FROM d LEFT JOIN f ON d.source = f.source AND d.lang = f.lang AND d.topic = f.topic"
 
 
 # Conversations as one text with lengths told, so that a prefix of turns is a prefix of the text.
