@@ -24,7 +24,22 @@ def save(df: DataFrame, *partition_by: str) -> DataFrame:
     path = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
     writer = df.write.option("compression", "zstd")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return _marked(spark.read.schema(df.schema).parquet(path), path)
+
+
+def _marked(df: DataFrame, path: str, table: str | None = None) -> DataFrame:
+    df._saved = (path, table)  # for drop_saved()
+    return df
+
+
+def drop_saved(*saved: DataFrame) -> None:
+    """Delete tables that save() or save_bucketed() returned, once nothing that is still to run reads them."""
+    for df in saved:
+        path, table = df._saved
+        if table:
+            df.sparkSession.sql(f"DROP TABLE IF EXISTS {table}")
+        where = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
 
 
 def partitions(spark: SparkSession) -> int:
@@ -36,5 +51,6 @@ def save_bucketed(df: DataFrame, column: str) -> DataFrame:
     spark = df.sparkSession
     name = f"t_{uuid.uuid4().hex}"
     buckets = min(100_000, 2 * partitions(spark))
-    df.write.bucketBy(buckets, column).option("path", f"{shared_dir(spark)}/{name}").option("compression", "zstd").saveAsTable(name)
-    return spark.table(name)
+    path = f"{shared_dir(spark)}/{name}"
+    df.write.bucketBy(buckets, column).option("path", path).option("compression", "zstd").saveAsTable(name)
+    return _marked(spark.table(name), path, name)
