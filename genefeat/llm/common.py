@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+from collections.abc import Iterator
 from contextlib import contextmanager
 
 import numpy as np
@@ -10,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.tables import partitions, save, save_bucketed, shared_dir  # noqa: F401
+from ..functions.tables import drop_saved, partitions, save, save_bucketed, shared_dir  # noqa: F401
 
 #: Words are runs of anything but these characters (Java and RE2 syntax alike).
 SPACE = r"\x20\x09-\x0D"
@@ -29,6 +31,27 @@ def binary_list(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.large_binary()).to_pylist()
 
 
+def word_slices(text: bytes | None, size: int = 4 << 20) -> Iterator[list[bytes]]:
+    """The text's words with A-Z in lower case, some at a time, so that a very long text is never a list as a whole."""
+    at, n = 0, len(text or b"")
+    while at < n:
+        end = at + size
+        if end < n:  # back to a space, or on to one where a word is longer than a slice
+            space = max(text.rfind(c, at, end) for c in (b" ", b"\n", b"\t", b"\r", b"\v", b"\f"))
+            if space < 0:
+                end = min((x for c in (b" ", b"\n", b"\t", b"\r", b"\v", b"\f") if (x := text.find(c, end)) >= 0), default=n)
+            else:
+                end = space + 1
+        yield text[at:end].lower().split()
+        at = end
+
+
+def release(spark: SparkSession) -> None:
+    """Spark deletes the shuffle files of finished jobs when the driver collects garbage; a long loop asks for it."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 class Hashes(dict):
     """word -> 64-bit hash; forgets all when it holds `most` words, so its memory is bounded."""
 

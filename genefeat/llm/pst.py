@@ -1,16 +1,22 @@
 """LM scoring (10): a probabilistic suffix tree over words, learned from part of the corpus, scores all of it.
 
-States are contexts of 0, 1 or 2 preceding words. The root predicts by add-one counts. A longer context is a candidate
-if its own suffix is in the tree and training text has it at least `least` times; it is retained if it diverges from
-its suffix: the mean, over its training occurrences, of log(own / suffix prediction), each occurrence left out of its
-own count, is over `divergence`. A state's next-symbol distribution is smoothed by its suffix's, (count + mu * suffix's) /
-(total + mu). A token is scored by the longest retained suffix of what precedes it in its document.
-
-Documents are encoded once into chunks of about `chunk_tokens` tokens, a table bucketed by chunk. All counting goes
-through one exchange, `totals`: each chunk sends its distinct keys with its own sums, blocks by range of key add them,
-and each chunk gets the totals of its keys back in order. A word, pair or context that is everywhere is one entry a
-chunk, the encoded corpus itself is never shuffled, and no count of the corpus passes through the driver but the
-number of training tokens, documents and distinct tokens.
+States are contexts, runs of preceding words of any length. The root predicts by add-one counts. A context of one word
+is a candidate if training text has it at least `least` times; a longer one if it does, its suffix (all but its first
+word) is in the tree, and all but its last word was a candidate too. A candidate is retained if it diverges from its
+suffix: the mean, over its training occurrences, of log(own / suffix prediction), each occurrence left out of its own
+count, is over `divergence`. A state's next-symbol distribution is smoothed by its suffix's, (count + mu * suffix's) /
+(total + mu). A token is scored by the longest retained suffix of what precedes it in its document. Levels are built one
+after the other until none of a level's candidates is retained, or to `most_depth` words.
+
+Documents are encoded once into chunks of about `chunk_tokens` tokens, a table bucketed by chunk. A level takes two
+exchanges: chunks send their distinct n-grams with their own counts, blocks by range of key add them, and each chunk
+gets the totals of its n-grams back in order; then chunks send, for each of their contexts, by how much the gain there
+exceeds the bound, and get one bit back. An n-gram that is everywhere is one entry a chunk, the encoded corpus is never
+shuffled, and no count of the corpus passes through the driver but the numbers of training tokens, documents and
+distinct tokens. From the third level on, a chunk's remaining candidates are a table, and what came before is dropped.
+
+A document longer than a chunk is scored in pieces that begin with the last `most_depth` tokens before them, which are
+looked at and not counted again, so memory does not follow the longest text.
 
 Defined results: a null or empty text is one end symbol; rows that repeat are learned and scored each; a null id is
 hashed as the empty text. With no training documents every count is 0. Other columns are not looked at.
@@ -28,11 +34,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.tables import save_bucketed
-from .common import Hashes, binary_list, mix, partitions
+from .common import Hashes, binary_list, drop_saved, mix, partitions, release, save_bucketed, word_slices
 
 _M1 = np.uint64(0x9E3779B97F4A7C15)
-END, START = (np.uint64(xxhash.xxh3_64_intdigest(x)) for x in (b" ", b"\t"))  # no word has a space
+END, START, NONE = (np.uint64(xxhash.xxh3_64_intdigest(x)) for x in (b" ", b"\t", b"\n"))  # no word has a space
 _BLOCK = 2_000_000  # entries of a block on average
 
 
@@ -40,70 +45,103 @@ def held_out(doc_id, fold: int = 2, folds: int = 7) -> bool:
     return zlib.crc32(("" if doc_id is None else str(doc_id)).encode()) % folds == fold
 
 
-def encode(docs: DataFrame, id_col: str, text_col: str, chunk_tokens: int) -> DataFrame:
-    """A row for each chunk: ids, lens (tokens of each document), train (a byte each), tokens (places in words), words
-    (sorted hashes), n_tokens, n_train, d_train. Saved as a table bucketed by chunk."""
+def pieces(text: bytes | None, hashes: Hashes, most: int, lead: int) -> Iterator[tuple[np.ndarray, int]]:
+    """(hashes of tokens, how many of the first were in the piece before): the whole text, `most` new tokens at a time."""
+    before, pending, size = np.empty(0, np.uint64), [], 0
+    for words in word_slices(text):
+        pending.append(hashes.of(words))
+        size += len(words)
+        while size >= most:
+            h = np.concatenate(pending)
+            made = np.concatenate([before, h[:most]])
+            yield made, len(before)
+            before, pending, size = made[-lead:], [h[most:]], len(h) - most
+    yield np.concatenate([before, *pending, [END]]), len(before)
+
+
+def encode(docs: DataFrame, id_col: str, text_col: str, chunk_tokens: int, lead: int) -> DataFrame:
+    """A row for each chunk: by piece rows (a number for each row of docs), ids, lens, leads (tokens of each, and those
+    not counted), train and starts (a byte each); tokens (places in words), words (sorted hashes), n_tokens, n_train,
+    d_train. Saved as a table bucketed by chunk."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, number = Hashes(), TaskContext.get().partitionId() << 32
-        held: list[tuple[pa.Array, np.ndarray, bool]] = []
-        size = 0
+        held: list[tuple] = []
+        size, doc = 0, number
 
         def row():
-            h = np.concatenate([x for _, x, _ in held])
-            words, tokens = np.unique(h, return_inverse=True)
-            lens, train = np.array([len(x) for _, x, _ in held], np.int32), np.array([x for _, _, x in held], np.uint8)
-            ids = pa.concat_arrays([x for x, _, _ in held])
-            values = [pa.array([number]), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids), *(pa.array([x.tobytes()], pa.binary()) for x in (lens, train, tokens.astype(np.uint32), words)), *(pa.array([int(x)], pa.int64()) for x in (len(h), (lens * train.astype(np.int64)).sum(), train.sum()))]
-            return pa.RecordBatch.from_arrays(values, ["chunk", "ids", "lens", "train", "tokens", "words", "n_tokens", "n_train", "d_train"])
+            ids, rows, made, leads, train, starts = zip(*held, strict=True)
+            words, tokens = np.unique(np.concatenate(made), return_inverse=True)
+            lens, leads = np.array([len(x) for x in made], np.int32), np.array(leads, np.int32)
+            new, trained = (lens - leads).astype(np.int64), np.array(train, np.int64)
+            ids = pa.concat_arrays(ids)
+            packed = (np.array(rows, np.int64), lens, leads, np.array(train, np.uint8), np.array(starts, np.uint8), tokens.astype(np.uint32), words)
+            values = [pa.array([number]), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids), *(pa.array([x.tobytes()], pa.binary()) for x in packed), *(pa.array([int(x)], pa.int64()) for x in (new.sum(), (new * trained).sum(), (trained * np.array(starts)).sum()))]
+            return pa.RecordBatch.from_arrays(values, ["chunk", "ids", "rows", "lens", "leads", "train", "starts", "tokens", "words", "n_tokens", "n_train", "d_train"])
 
         for batch in batches:
             ids = batch.column("id")
             for i, (text, doc_id) in enumerate(zip(binary_list(batch.column("text")), ids.to_pylist(), strict=True)):
-                h = np.append(hashes.of(text.lower().split()) if text else np.empty(0, np.uint64), END)
-                held.append((ids.slice(i, 1), h, not held_out(doc_id)))
-                size += len(h)
-                if size >= chunk_tokens:
-                    yield row()
-                    held, size, number = [], 0, number + 1
+                learned = not held_out(doc_id)
+                for k, (h, n_lead) in enumerate(pieces(text, hashes, chunk_tokens, lead)):
+                    held.append((ids.slice(i, 1), doc, h, n_lead, learned, k == 0))
+                    size += len(h)
+                    if size >= chunk_tokens:
+                        yield row()
+                        held, size, number = [], 0, number + 1
+                doc += 1
         if held:
             yield row()
 
-    schema = f"chunk bigint, ids array<{kind}>, lens binary, train binary, tokens binary, words binary, n_tokens bigint, n_train bigint, d_train bigint"
-    made = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(make, schema)
-    return save_bucketed(made, "chunk")
+    schema = f"chunk bigint, ids array<{kind}>, rows binary, lens binary, leads binary, train binary, starts binary, tokens binary, words binary, n_tokens bigint, n_train bigint, d_train bigint"
+    return save_bucketed(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(make, schema), "chunk")
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """Numbers byte by byte place: high bytes are mostly zeros, which compress."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.dtype.itemsize).T).tobytes()
+
+
+def _unplaned(data: bytes, kind) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
 
 
 def _thin(keys: np.ndarray) -> bytes:
-    """Sorted keys as their differences, byte by byte place: the high bytes are zeros, which compress."""
-    return np.ascontiguousarray(np.diff(keys, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T).tobytes()
+    """Sorted keys as their differences."""
+    return _planes(np.diff(keys, prepend=np.uint64(0)))
 
 
 def _thick(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(data, np.uint8).reshape(8, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
+    return np.cumsum(_unplaned(data, np.uint64), dtype=np.uint64)
 
 
-def _add(kind: str):
+def _add(counts: bool):
+    """The answers to a block's rows, in the order of their keys: sums of counts, or a bit for each sum over 0."""
+
     def add(table: pa.Table) -> pa.Table:
         keys = [_thick(x) for x in table.column("keys").to_pylist()]
-        weights = np.concatenate([np.frombuffer(x, kind) for x in table.column("weights").to_pylist()])
+        weights = np.concatenate([_unplaned(x, np.uint32 if counts else np.float32) for x in table.column("weights").to_pylist()])
         found, place = np.unique(np.concatenate(keys), return_inverse=True)
         total = np.bincount(place, weights=weights, minlength=len(found))
-        back, cuts = total[place], np.cumsum([0] + [len(k) for k in keys])
-        back = back.astype(np.float64 if kind == "f8" else np.uint32 if total.max(initial=0) < 2**32 else np.float64)
-        size = back.dtype.itemsize
-        distinct = np.zeros(len(keys), np.int64)
-        distinct[:1] = (total > 0).sum()
-        return pa.table({"chunk": table.column("chunk"), "block": table.column("block"), "wide": pa.array([size == 8] * len(keys)), "totals": pa.array([back[a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary()), "distinct": pa.array(distinct)})
+        cuts, n = np.cumsum([0] + [len(k) for k in keys]), np.zeros(len(keys), np.int64)
+        n[:1] = (total > 0).sum()
+        if counts:
+            back = total[place].astype(np.uint32 if total.max(initial=0) < 2**32 else np.uint64)
+            answers = [_planes(back[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
+        else:
+            back = (total > 0)[place]
+            answers = [np.packbits(back[a:b]).tobytes() for a, b in zip(cuts, cuts[1:], strict=False)]
+        return pa.table({"chunk": table.column("chunk"), "block": table.column("block"), "n": pa.array(np.diff(cuts).astype(np.int32)), "answer": pa.array(answers, pa.binary()), "positive": pa.array(n)})
 
     return add
 
 
-def totals(chunks: DataFrame, entries: int, keys_of, kind: str) -> DataFrame:
-    """(chunk, totals: array of (block, wide, totals), distinct): for what keys_of(row) gives, sorted distinct keys and
-    sums, the sums over all chunks, in the keys' order."""
+def answered(chunks: DataFrame, entries: int, keys_of, counts: bool) -> DataFrame:
+    """(chunk, a: array of (block, n, answer), positive): for what keys_of(row) gives, sorted distinct keys and numbers,
+    the answers of _add() over all chunks, in the keys' order. A table bucketed as the chunks are: joining them moves
+    neither side."""
     blocks = max(partitions(chunks.sparkSession), -(-entries // _BLOCK))
     edges = np.array([(b << 64) // blocks for b in range(1, blocks)], dtype=np.uint64)
 
@@ -113,13 +151,12 @@ def totals(chunks: DataFrame, entries: int, keys_of, kind: str) -> DataFrame:
                 keys, sums = keys_of(row)
                 cut = np.concatenate([[0], np.searchsorted(keys, edges, "left"), [len(keys)]])
                 some = [b for b in range(blocks) if cut[b] < cut[b + 1]]
-                sums = sums.astype(kind)
-                yield pa.RecordBatch.from_arrays([pa.array([row["chunk"]] * len(some), pa.int64()), pa.array(some, pa.int32()), pa.array([_thin(keys[cut[b] : cut[b + 1]]) for b in some], pa.binary()), pa.array([sums[cut[b] : cut[b + 1]].tobytes() for b in some], pa.binary())], ["chunk", "block", "keys", "weights"])
+                sums = sums.astype(np.uint32 if counts else np.float32)
+                yield pa.RecordBatch.from_arrays([pa.array([row["chunk"]] * len(some), pa.int64()), pa.array(some, pa.int32()), pa.array([_thin(keys[cut[b] : cut[b + 1]]) for b in some], pa.binary()), pa.array([_planes(sums[cut[b] : cut[b + 1]]) for b in some], pa.binary())], ["chunk", "block", "keys", "weights"])
 
     dealt = chunks.mapInArrow(deal, "chunk bigint, block int, keys binary, weights binary")
-    added = dealt.groupBy("block").applyInArrow(_add(kind), "chunk bigint, block int, wide boolean, totals binary, distinct bigint")
-    # Bucketed as the chunks are: joining them moves neither side.
-    return save_bucketed(added.groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct("block", "wide", "totals"))).alias("t"), F.sum("distinct").alias("distinct")), "chunk")
+    added = dealt.groupBy("block").applyInArrow(_add(counts), "chunk bigint, block int, n int, answer binary, positive bigint")
+    return save_bucketed(added.groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct("block", "n", "answer"))).alias("a"), F.sum("positive").alias("positive")), "chunk")
 
 
 def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
@@ -127,127 +164,160 @@ def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
         yield batch.slice(i, 1).to_pylist()[0]
 
 
-def _vector(parts: list[dict] | None) -> np.ndarray:
-    parts = [np.frombuffer(x["totals"], np.float64 if x["wide"] else np.uint32).astype(np.float64) for x in parts or []]
-    return np.concatenate(parts) if parts else np.empty(0)
+def _totals(parts: list[dict] | None) -> np.ndarray:
+    found = [_unplaned(x["answer"], np.uint32 if len(x["answer"]) == 4 * x["n"] else np.uint64).astype(np.float64) for x in parts or []]
+    return np.concatenate(found) if found else np.empty(0)
+
+
+def _bits(parts: list[dict] | None) -> np.ndarray:
+    found = [np.unpackbits(np.frombuffer(x["answer"], np.uint8), count=x["n"]) for x in parts or []]
+    return np.concatenate(found).astype(bool) if found else np.empty(0, bool)
+
+
+class Level:
+    """Tokens (places in the chunk, ascending) whose context of some length is a candidate: the context's hash and
+    count, and the prediction of its suffix."""
+
+    def __init__(self, at, key, total, parent):
+        self.at, self.key, self.total, self.parent = at, key, total, parent
 
 
 class Chunk:
-    """A chunk's tokens with what is known so far: fields t1..t5 of the row hold totals as they come in."""
+    """A chunk's tokens. Its row has the answers for words in a0, and for the contexts and n-grams of the levels in
+    `pending` those in n{d} and b{d}; where a table of remaining candidates was made, they are in at, key and so on."""
 
     def __init__(self, row: dict, model: dict):
-        self.m = model
-        self.words = np.append(np.frombuffer(row["words"], np.uint64), START)
+        self.m, self.row = model, row
+        self.words = np.append(np.frombuffer(row["words"], np.uint64), [START, NONE])
         self.t = np.frombuffer(row["tokens"], np.uint32).astype(np.int64)
-        self.lens, train = np.frombuffer(row["lens"], np.int32), np.frombuffer(row["train"], np.uint8).astype(bool)
+        self.lens, self.leads = np.frombuffer(row["lens"], np.int32), np.frombuffer(row["leads"], np.int32)
         self.starts = np.cumsum(self.lens) - self.lens
-        self.train = np.repeat(train, self.lens)
+        self.new = np.arange(len(self.t)) - np.repeat(self.starts, self.lens) >= np.repeat(self.leads, self.lens)
+        self.train = np.repeat(np.frombuffer(row["train"], np.uint8).astype(bool), self.lens) & self.new
         self.first = np.zeros(len(self.t), bool)
         self.first[self.starts] = True
-        self.prev = np.roll(self.t, 1)
-        self.prev[self.first] = len(self.words) - 1
-        self.row = row
 
     def unigrams(self):
-        return self.words[:-1], np.bincount(self.t[self.train], minlength=len(self.words) - 1)
-
-    def root(self):
-        """Counts of each word and of START, and the root's predictions for each word."""
-        c = _vector(self.row["t1"])
-        return np.append(c, self.m["docs"]), (c + 1) / (self.m["tokens"] + self.m["distinct"] + 1)
-
-    def pairs(self):
-        """Of the tokens after a frequent word: who they are, the distinct pairs' hashes, and each one's place there."""
-        c, _ = self.root()
-        at = np.flatnonzero(c[self.prev] >= self.m["least"])
-        keys, place = np.unique(mix(self.words[self.prev[at]] * _M1 + self.words[self.t[at]]), return_inverse=True)
-        return at, keys, place
-
-    def pair_counts(self):
-        at, keys, place = self.pairs()
-        return keys, np.bincount(place[self.train[at]], minlength=len(keys))
-
-    def depth1(self):
-        """at, keys, place as pairs(), the root's and depth 1's predictions for each, and the gain with itself left out."""
-        at, keys, place = self.pairs()
-        c, p = self.root()
-        n, total, p0, mu = _vector(self.row["t2"])[place], c[self.prev[at]], p[self.t[at]], self.m["mu"]
-        gain = np.log((np.maximum(n - 1, 0) + mu * p0) / (np.maximum(total - 1, 0) + mu) / p0)
-        return at, keys, place, (n + mu * p0) / (total + mu), gain
-
-    def gains1(self):
-        at, *_, gain = self.depth1()
-        train = self.train[at]
-        used, place = np.unique(self.words[self.prev[at]], return_inverse=True)
-        return used, np.bincount(place[train], weights=gain[train], minlength=len(used))
-
-    def triples(self):
-        """Of the tokens whose last word is a retained context and whose last two are frequent: their places in the
-        chunk, the contexts' hashes and counts, the triples' distinct hashes and places, and depth 1's predictions."""
-        at, keys, place, p1, _ = self.depth1()
-        c, _ = self.root()
-        used, where = np.unique(self.words[self.prev[at]], return_inverse=True)
-        retained = _vector(self.row["t3"])[where] > self.m["divergence"] * c[self.prev[at]]
-        whole_p1, whole_key, whole_n = np.full(len(self.t), np.nan), np.zeros(len(self.t), np.uint64), np.zeros(len(self.t))
-        whole_p1[at[retained]] = p1[retained]
-        whole_key[at], whole_n[at] = keys[place], _vector(self.row["t2"])[place]
-        n = np.roll(whole_n, 1)
-        n[self.first] = 0
-        deep = np.flatnonzero((n >= self.m["least"]) & ~np.isnan(whole_p1))
-        context = np.roll(whole_key, 1)[deep]
-        found, found_at = np.unique(mix(context * _M1 + self.words[self.t[deep]]), return_inverse=True)
-        return deep, context, n[deep], found, found_at, whole_p1
-
-    def triple_counts(self):
-        deep, _, _, keys, place, _ = self.triples()
-        return keys, np.bincount(place[self.train[deep]], minlength=len(keys))
-
-    def depth2(self):
-        deep, context, total, _, place, p1 = self.triples()
-        n, parent, mu = _vector(self.row["t4"])[place], p1[deep], self.m["mu"]
-        gain = np.log((np.maximum(n - 1, 0) + mu * parent) / (np.maximum(total - 1, 0) + mu) / parent)
-        return deep, context, total, (n + mu * parent) / (total + mu), gain, p1
-
-    def gains2(self):
-        deep, context, _, _, gain, _ = self.depth2()
-        train = self.train[deep]
-        used, place = np.unique(context, return_inverse=True)
-        return used, np.bincount(place[train], weights=gain[train], minlength=len(used))
-
-    def scores(self):
-        c, p = self.root()
-        p0 = p[self.t]
-        deep, context, total, p2, _, p1 = self.depth2()
-        best = np.where(np.isnan(p1), p0, p1)
-        used, place = np.unique(context, return_inverse=True)
-        kept = _vector(self.row["t5"])[place] > self.m["divergence"] * total
-        best[deep[kept]] = p2[kept]
-        add = lambda x: np.add.reduceat(x, self.starts)
-        return add((c[self.t] > 0).astype(np.int64)), add(np.log10(p0)), add(np.log10(best))
-
-
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = 8, divergence: float = 0.02, mu: float = 10.0, chunk_tokens: int = 1_000_000) -> DataFrame:
+        return self.words[:-2], np.bincount(self.t[self.train], minlength=len(self.words) - 2)
+
+    def _add(self, x: np.ndarray) -> np.ndarray:
+        return np.add.reduceat(np.where(self.new, x, 0), self.starts)
+
+    def level(self) -> Level:
+        """Of the level that comes next; sums by piece (n_known, base, score) follow in self.sums."""
+        row, m = self.row, self.m
+        if row.get("at") is not None:
+            level = Level(np.frombuffer(row["at"], np.uint32).astype(np.int64), np.frombuffer(row["key"], np.uint64), np.frombuffer(row["total"], np.float64), np.frombuffer(row["parent"], np.float64))
+            self.sums = [np.frombuffer(row["n_known"], np.int64), *(np.frombuffer(row[c], np.float64) for c in ("base", "score"))]
+        else:
+            c = np.append(_totals(row["a0"]), [m["docs"], 0])
+            p = (c + 1) / (m["tokens"] + m["distinct"] + 1)
+            prev = np.roll(self.t, 1)
+            prev[self.starts] = len(self.words) - 2 + (np.frombuffer(row["starts"], np.uint8) == 0)
+            at = np.flatnonzero(c[prev] >= m["least"])
+            level = Level(at, self.words[prev[at]], c[prev[at]], p[self.t[at]])
+            base = self._add(np.log10(p[self.t]))
+            self.sums = [self._add((c[self.t] > 0).astype(np.int64)), base, base.copy()]
+        for d in m["pending"]:
+            level = self.advance(level, _totals(row[f"n{d}"]), _bits(row[f"b{d}"]))
+        return level
+
+    def grams(self, level: Level):
+        """Distinct hashes of contexts with the token that follows, and each token's place there."""
+        return np.unique(mix(level.key * _M1 + self.words[self.t[level.at]]), return_inverse=True)
+
+    def gram_counts(self):
+        level = self.level()
+        keys, place = self.grams(level)
+        return keys, np.bincount(place[self.train[level.at]], minlength=len(keys))
+
+    def excess(self, d: int):
+        """Of each context, the sum over its training occurrences here of its gain less the bound on its mean."""
+        level = self.level()
+        n = _totals(self.row[f"n{d}"])[self.grams(level)[1]]
+        mu, p = self.m["mu"], level.parent
+        gain = np.log((np.maximum(n - 1, 0) + mu * p) / (np.maximum(level.total - 1, 0) + mu) / p) - self.m["divergence"]
+        used, where = np.unique(level.key, return_inverse=True)
+        train = self.train[level.at]
+        return used, np.bincount(where[train], weights=gain[train], minlength=len(used))
+
+    def advance(self, level: Level, totals: np.ndarray, retained: np.ndarray) -> Level:
+        """The next level's candidates; what this one's retained states say of their tokens goes to the scores."""
+        keys, place = self.grams(level)
+        n = totals[place]
+        kept = retained[np.unique(level.key, return_inverse=True)[1]]
+        p = (n + self.m["mu"] * level.parent) / (level.total + self.m["mu"])
+        change, tree, count, key = np.zeros(len(self.t)), np.full(len(self.t), np.nan), np.zeros(len(self.t)), np.zeros(len(self.t), np.uint64)
+        change[level.at[kept]] = (np.log10(p) - np.log10(level.parent))[kept]
+        self.sums[2] = self.sums[2] + self._add(change)
+        tree[level.at[kept]] = p[kept]
+        count[level.at], key[level.at] = n, keys[place]
+        before = np.roll(count, 1)
+        before[self.first] = 0
+        at = np.flatnonzero((before >= self.m["least"]) & ~np.isnan(tree))
+        return Level(at, np.roll(key, 1)[at], before[at], tree[at])
+
+
+_STATE = "chunk bigint, n_left bigint, at binary, key binary, total binary, parent binary, n_known binary, base binary, score binary"
+
+
+def _remaining(known: DataFrame, model: dict) -> DataFrame:
+    """(chunk, candidates of the next level, sums by piece), saved."""
+
+    def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in _rows(batch):
+                chunk = Chunk(row, model)
+                level = chunk.level()
+                packed = (level.at.astype(np.uint32), level.key, level.total, level.parent, *chunk.sums)
+                yield pa.RecordBatch.from_arrays([pa.array([row["chunk"]]), pa.array([len(level.at)], pa.int64()), *(pa.array([x.tobytes()], pa.binary()) for x in packed)], [x.split()[0] for x in _STATE.split(", ")])
+
+    return save_bucketed(known.mapInArrow(tell, _STATE), "chunk")
+
+
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = 8, divergence: float = 0.02, mu: float = 10.0, chunk_tokens: int = 1_000_000, most_depth: int = 64) -> DataFrame:
     """A row for each row of docs: id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10)."""
-    kind = docs.schema[id_col].dataType.simpleString()
-    chunks = encode(docs, id_col, text_col, chunk_tokens)
+    spark, kind = docs.sparkSession, docs.schema[id_col].dataType.simpleString()
+    chunks = encode(docs, id_col, text_col, chunk_tokens, most_depth)
     tokens, train, trained = (int(x or 0) for x in chunks.agg(F.sum("n_tokens"), F.sum("n_train"), F.sum("d_train")).first())
-    model = {"tokens": train, "docs": trained, "distinct": 0, "least": least, "divergence": divergence, "mu": mu}
-    known = chunks
-    for i, (step, sums) in enumerate([(Chunk.unigrams, "u4"), (Chunk.pair_counts, "u4"), (Chunk.gains1, "f8"), (Chunk.triple_counts, "u4"), (Chunk.gains2, "f8")], 1):
-        found = totals(known, tokens, lambda row, step=step, model=dict(model): step(Chunk(row, model)), sums)
-        if i == 1:
-            model["distinct"] = int(found.agg(F.sum("distinct")).first()[0] or 0)
-        known = known.join(found.select("chunk", F.col("t").alias(f"t{i}")).hint("shuffle_hash"), "chunk", "left")
+    model = {"tokens": train, "docs": trained, "distinct": 0, "least": least, "divergence": divergence, "mu": mu, "pending": []}
+
+    def joined(known: DataFrame, found: DataFrame, name: str) -> DataFrame:
+        return known.join(found.select("chunk", F.col("a").alias(name)).hint("shuffle_hash"), "chunk", "left")
+
+    def asked(known: DataFrame, entries: int, step, counts: bool) -> tuple[DataFrame, int]:
+        found = answered(known, entries, lambda row, model=dict(model): step(Chunk(row, model)), counts)
+        release(spark)
+        return found, int(found.agg(F.sum("positive")).first()[0] or 0)
+
+    words, model["distinct"] = asked(chunks, tokens, Chunk.unigrams, True)
+    known, left, temporary, state = joined(chunks, words, "a0"), tokens, [words], None
+    for d in range(1, most_depth + 1):
+        counts, _ = asked(known, left, Chunk.gram_counts, True)
+        told = joined(known, counts, f"n{d}")
+        bits, retained = asked(told, left, lambda chunk, d=d: chunk.excess(d), False)
+        temporary += [counts, bits]
+        if not retained:
+            break
+        known, model = joined(told, bits, f"b{d}"), model | {"pending": [*model["pending"], d]}
+        if d > 1:
+            made = _remaining(known, model)
+            drop_saved(*temporary, *([state] if state is not None else []))
+            temporary, state, model = [], made, model | {"pending": []}
+            known = chunks.join(state.hint("shuffle_hash"), "chunk", "left")
+            left = int(state.agg(F.sum("n_left")).first()[0] or 0)
+            if not left:
+                break
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1)
                 chunk = Chunk(row.to_pylist()[0], model)
-                n_known, base, best = chunk.scores()
-                out = np.frombuffer(chunk.row["train"], np.uint8) == 0
-                columns = [row.column("ids").flatten(), pa.array(out), pa.array(chunk.lens.astype(np.int64)), pa.array(n_known), pa.array(np.full(len(base), model["tokens"], np.int64)), pa.array(base), pa.array(best)]
-                yield pa.RecordBatch.from_arrays(columns, ["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+                chunk.level()
+                columns = [pa.array(np.frombuffer(chunk.row["rows"], np.int64)), row.column("ids").flatten(), pa.array(np.frombuffer(chunk.row["train"], np.uint8) == 0), pa.array((chunk.lens - chunk.leads).astype(np.int64)), *map(pa.array, chunk.sums)]
+                yield pa.RecordBatch.from_arrays(columns, ["row", "id", "held_out", "n_tokens", "n_known", "base_score", "score"])
 
-    scored = known.mapInArrow(judge, f"id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
-    return scored.withColumnRenamed("id", id_col)
+    scored = known.mapInArrow(judge, f"row bigint, id {kind}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double")
+    whole = scored.groupBy("row").agg(F.first("id").alias(id_col), F.first("held_out").alias("held_out"), F.sum("n_tokens").alias("n_tokens"), F.sum("n_known").alias("n_known"), F.lit(train).cast("bigint").alias("train_tokens"), F.sum("base_score").alias("base_score"), F.sum("score").alias("score"))
+    return whole.drop("row")

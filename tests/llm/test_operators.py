@@ -105,39 +105,71 @@ def test_suffixes_of_nothing_and_of_equal_ids(spark):
     assert sorted(r.n_removed for r in got) == [0, 120, 120] and [r.n_removed for r in got if r.doc_id is None] == [0]
 
 
-def test_suffix_tree_is_brute_force(spark):
-    texts = corpus(n=80)
-    options = {"least": 3, "divergence": 0.01, "mu": 5.0}
-    got = {r.doc_id: r for r in pst.score(documents(spark, texts), chunk_tokens=700, **options).collect()}
-    docs = [[w for w in (t or "").encode().lower().split()] + [b" "] for t in texts]
-    train = [d for i, d in enumerate(docs) if zlib.crc32(str(i).encode()) % 7 != 2]
-    c = Counter(w for d in train for w in d)
-    total, kinds, mu = sum(c.values()), len(c), options["mu"]
-    c[b"\t"] = len(train)
-    c2 = Counter(x for d in train for x in zip([b"\t"] + d, d, strict=False))
-    c3 = Counter(x for d in train for x in zip([b"\t"] + d, d, d[1:], strict=False))
-    p0 = lambda w: (c[w] + 1) / (total + kinds + 1) if w != b"\t" else 0
-    p1 = lambda a, w: (c2[a, w] + mu * p0(w)) / (c[a] + mu)
-    p2 = lambda a, b, w: (c3[a, b, w] + mu * p1(b, w)) / (c2[a, b] + mu)
-    gain = Counter()
-    for (a, w), n in c2.items():
-        if c[a] >= options["least"]:
-            gain[a] += n * math.log((n - 1 + mu * p0(w)) / (c[a] - 1 + mu) / p0(w))
-    one = {a for a, g in gain.items() if g > options["divergence"] * c[a]}
-    deep = Counter()
-    for (a, b, w), n in c3.items():
-        if b in one and c[a] >= options["least"] and c2[a, b] >= options["least"]:
-            deep[a, b] += n * math.log((n - 1 + mu * p1(b, w)) / (c2[a, b] - 1 + mu) / p1(b, w))
-    two = {s for s, g in deep.items() if g > options["divergence"] * c2[s]}
-    assert one and two
-    for i, d in enumerate(docs):
+def tree_scores(docs, train, least, divergence, mu):
+    """(tokens, known, base, score) of each document, by counting every run of words; and the states by depth."""
+    at_most = max(map(len, docs)) + 1
+    grams = [Counter() for _ in range(at_most + 1)]
+    for i in train:
+        h = [b"\t"] + docs[i]
+        for n in range(1, at_most + 1):
+            grams[n].update(tuple(h[k : k + n]) for k in range(len(h) - n + 1))
+    c = {w[0]: n for w, n in grams[1].items()}
+    total, kinds = sum(n for w, n in c.items() if w != b"\t"), len([w for w in c if w != b"\t"])
+    p0 = lambda w: (c.get(w, 0) + 1) / (total + kinds + 1)
+    states, candidates, depths = set(), set(), []
+
+    def p(context, w):  # of a state, or a candidate whose suffix is one
+        if not context:
+            return p0(w)
+        return (grams[len(context) + 1][(*context, w)] + mu * p(context[1:], w)) / (grams[len(context)][context] + mu)
+
+    for d in range(1, at_most):
+        own = {x for x, n in grams[d].items() if n >= least and x[-1] != b" " and (d == 1 or (x[1:] in states and x[:-1] in candidates))}
+        gain = Counter()
+        for x, n in grams[d + 1].items():
+            if x[:-1] in own:
+                q = p(x[1:-1], x[-1])
+                gain[x[:-1]] += n * math.log((n - 1 + mu * q) / (grams[d][x[:-1]] - 1 + mu) / q)
+        new = {x for x in own if gain[x] > divergence * grams[d][x]}
+        candidates |= own
+        states |= new
+        depths.append(len(new))
+        if not new:
+            break
+    out = []
+    for d in docs:
         h, score = [b"\t"] + d, 0.0
         for k in range(1, len(h)):
-            longest = k >= 2 and (h[k - 2], h[k - 1]) in two
-            score += math.log10(p2(h[k - 2], h[k - 1], h[k]) if longest else p1(h[k - 1], h[k]) if h[k - 1] in one else p0(h[k]))
+            context = ()
+            while len(context) < k and (longer := (h[k - 1 - len(context)], *context)) in states:
+                context = longer
+            score += math.log10(p(context, h[k]))
+        out.append((len(d), sum(c.get(w, 0) > 0 for w in d), sum(math.log10(p0(w)) for w in d), score))
+    return total, out, depths
+
+
+def phrases(seed=5, n=90):
+    """Texts in which what follows depends on up to five words before."""
+    rng = random.Random(seed)
+    stock = ["go to the old house by the sea and wait", "go to the old mill by the sea and leave", "we saw the old house by the road and left", "it was the old mill by the road and then"]
+    texts = [" ".join(rng.choice([*stock, *(f"w{rng.randrange(25)}" for _ in range(6))]) for _ in range(rng.randint(1, 12))) for _ in range(n)]
+    return [*texts, None, "", " ".join(rng.choice(stock) for _ in range(260))]
+
+
+@pytest.mark.parametrize("chunk_tokens", [700, 60_000])
+def test_suffix_tree_is_brute_force(spark, chunk_tokens):
+    """The last text is longer than a small chunk, so it is scored in pieces."""
+    texts = [*corpus(n=50), *phrases()]
+    options = {"least": 3, "divergence": 0.01, "mu": 5.0}
+    got = {r.doc_id: r for r in pst.score(documents(spark, texts), chunk_tokens=chunk_tokens, **options).collect()}
+    docs = [[w for w in (t or "").encode().lower().split()] + [b" "] for t in texts]
+    total, expected, depths = tree_scores(docs, [i for i in range(len(docs)) if zlib.crc32(str(i).encode()) % 7 != 2], **options)
+    assert len(depths) > 4 and depths[3] > 0  # states of four words and more
+    assert len(got) == len(texts)
+    for i, (n, known, base, score) in enumerate(expected):
         r = got[i]
-        assert (r.n_tokens, r.n_known, r.train_tokens, r.held_out) == (len(d), sum(c[w] > 0 for w in d), total, zlib.crc32(str(i).encode()) % 7 == 2)
-        assert r.score == pytest.approx(score) and r.base_score == pytest.approx(sum(math.log10(p0(w)) for w in d))
+        assert (r.n_tokens, r.n_known, r.train_tokens, r.held_out) == (n, known, total, zlib.crc32(str(i).encode()) % 7 == 2)
+        assert r.score == pytest.approx(score) and r.base_score == pytest.approx(base)
 
 
 def test_suffix_tree_of_nothing_and_held_out_gain(spark):
