@@ -7,6 +7,8 @@ from itertools import product
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .arrays import sums_before
+
 # The standard genetic code, codons in the order of the bases TCAG.
 BASES = "TCAG"
 AMINO_ACIDS = "FFLLSSSSYY**CC*WLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG"
@@ -30,14 +32,10 @@ def reverse_complement(seq: str | Column) -> Column:
 
 
 def amino_acids(seq: str | Column) -> Column:
-    """One letter for each whole codon from the first base on: * for stops, X for codons with other characters.
-    A codon's place in the table is a sum over its bases, so there is no lookup per codon."""
-    def one(codon: Column) -> Column:
-        at = [F.instr(F.lit(BASES), F.substring(codon, k, 1)) for k in (1, 2, 3)]
-        known = (at[0] > 0) & (at[1] > 0) & (at[2] > 0)
-        return F.when(known, F.substring(F.lit(AMINO_ACIDS), at[0] * 16 + at[1] * 4 + at[2] - 20, F.lit(1))).otherwise("X")
-
-    return F.array_join(F.transform(F.regexp_extract_all(F.upper(_col(seq)), F.lit("(?s)(...)")), one), "")
+    """One letter for each whole codon from the first base on: * for stops, X for codons with other characters."""
+    table = F.create_map(*(F.lit(x) for pair in CODONS.items() for x in pair))
+    codons = F.regexp_extract_all(F.upper(_col(seq)), F.lit("(?s)(...)"))
+    return F.array_join(F.transform(codons, lambda c: F.coalesce(F.try_element_at(table, c), F.lit("X"))), "")
 
 
 def translate_codons(seq: str | Column) -> Column:
@@ -46,26 +44,33 @@ def translate_codons(seq: str | Column) -> Column:
     return F.when(F.length(seq) % 3 == 0, amino_acids(seq)).when(seq.isNull(), F.lit(None).cast("string")).otherwise(F.raise_error(F.concat(F.lit("not a multiple of 3: "), F.length(seq).cast("string"))))
 
 
-def stretches(protein: Column) -> Column:
-    """array<struct<at, aa>> of what lies between stops: at, letters before it; the last one has no stop after it."""
-    none = F.array().cast("array<struct<at:int,aa:string>>")
-    start = F.struct(F.lit(0).alias("at"), none.alias("found"))
-    add = lambda acc, x: F.struct((acc["at"] + F.length(x) + 1).alias("at"), F.concat(acc["found"], F.array(F.struct(acc["at"].alias("at"), x.alias("aa")))).alias("found"))
-    return F.aggregate(F.split(protein, r"\*", -1), start, add, lambda acc: acc["found"])
+# One pattern for all frames: each match begins where the last one ended, so it stays in frame, and the possessive loops
+# run over codons without a step of the stack for each. Group 1 is what lies before, group 2 what is looked for.
+_STOP = "(?:" + "|".join(STOPS) + ")"
+_ORF = rf"(?s)\G((?:(?!ATG)...)*+)(ATG(?:(?!{_STOP})...)*+{_STOP})"
+_OPEN = rf"(?s)\G({_STOP}?)((?:(?!{_STOP})...)*+)"
+
+
+def _in_frame(seq: Column, frame: int, pattern: str) -> Column:
+    """array<struct<start, end>> of a pattern's second group, 1-based in seq, ends included."""
+    tail = F.upper(F.substring(seq, F.lit(frame + 1), F.length(seq)))
+    part = lambda i: F.transform(F.regexp_extract_all(tail, F.lit(pattern), F.lit(i)), lambda x: F.length(x))
+
+    def placed(x: Column) -> Column:
+        return F.struct((x["at"] + x["gap"] + frame + 1).alias("start"), (x["at"] + x["gap"] + x["size"] + frame).alias("end"))
+
+    both = F.arrays_zip(part(1).alias("gap"), part(2).alias("size"))
+    return _let(both, lambda xs: F.transform(F.arrays_zip(sums_before(F.transform(xs, lambda x: x["gap"] + x["size"])).alias("at"), F.transform(xs, lambda x: x["gap"]).alias("gap"), F.transform(xs, lambda x: x["size"]).alias("size")), placed))
 
 
 def orfs_in_frame(seq: Column, frame: int) -> Column:
-    """array<struct<start, end, aa>>: from each stop's first ATG since the last stop to the stop, 1-based in seq."""
-    found = stretches(amino_acids(F.substring(seq, F.lit(frame + 1), F.length(seq))))
-    closed = _let(found, lambda xs: F.slice(xs, 1, F.greatest(F.size(xs) - 1, F.lit(0))))
-    met = F.filter(F.transform(closed, lambda x: F.struct((x["at"] + F.instr(x["aa"], "M") - 1).alias("at"), F.when(F.instr(x["aa"], "M") > 0, F.substring(x["aa"], F.instr(x["aa"], "M"), F.length(x["aa"]))).alias("aa"))), lambda x: x["aa"].isNotNull())
-    return F.transform(met, lambda x: F.struct((x["at"] * 3 + frame + 1).alias("start"), ((x["at"] + F.length(x["aa"]) + 1) * 3 + frame).alias("end"), x["aa"].alias("aa")))
+    """array<struct<start, end>>: from each stop's first ATG since the last stop to the stop, 1-based in seq."""
+    return _in_frame(seq, frame, _ORF)
 
 
 def open_stretches(seq: Column, frame: int) -> Column:
-    """As orfs_in_frame(), but without need of an ATG, and the last one may run off the end."""
-    found = F.filter(stretches(amino_acids(F.substring(seq, F.lit(frame + 1), F.length(seq)))), lambda x: F.length(x["aa"]) > 0)
-    return F.transform(found, lambda x: F.struct((x["at"] * 3 + frame + 1).alias("start"), ((x["at"] + F.length(x["aa"])) * 3 + frame).alias("end"), x["aa"].alias("aa")))
+    """As orfs_in_frame(), of what lies between stops: no need of an ATG, and the last one may run off the end."""
+    return F.filter(_in_frame(seq, frame, _OPEN), lambda x: x["end"] >= x["start"])
 
 
 def best_translation(seq: str | Column, min_aa: int = 50, met_aa: int = 100, factor: int = 2) -> Column:
@@ -73,14 +78,15 @@ def best_translation(seq: str | Column, min_aa: int = 50, met_aa: int = 100, fac
     from ATG to stop, or the longest open stretch where that ORF is under met_aa and the stretch is over `factor`
     times as long. Longest, then leftmost."""
     seq = F.upper(_col(seq))
-    tell = lambda xs, met: F.transform(xs, lambda x: F.struct(F.length(x["aa"]).alias("n"), (-x["start"]).alias("left"), x["start"].alias("start"), x["end"].alias("end"), x["aa"].alias("aa"), F.lit(met).alias("met")))
+    tell = lambda xs, met: F.transform(xs, lambda x: F.struct((F.floor((x["end"] - x["start"] + 1) / 3) - (1 if met else 0)).alias("n"), (-x["start"]).alias("left"), x["start"].alias("start"), x["end"].alias("end"), F.lit(met).alias("met")))
     with_met = F.array_max(F.concat(*(tell(orfs_in_frame(seq, f), True) for f in range(3))))
     without = F.array_max(F.concat(*(tell(open_stretches(seq, f), False) for f in range(3))))
 
     def choose(both: Column) -> Column:
         n_met, n_without = F.coalesce(both["met"]["n"], F.lit(0)), F.coalesce(both["open"]["n"], F.lit(0))
         best = F.when((n_met < met_aa) & (n_without > factor * n_met), both["open"]).otherwise(both["met"])
-        return F.when(best["n"] >= min_aa, F.struct(best["start"].alias("start"), best["end"].alias("end"), best["aa"].alias("aa"), best["met"].alias("met")))
+        aa = amino_acids(F.substring(seq, best["start"].cast("int"), (best["n"] * 3).cast("int")))
+        return F.when(best["n"] >= min_aa, F.struct(best["start"].alias("start"), best["end"].alias("end"), aa.alias("aa"), best["met"].alias("met")))
 
     return _let(F.struct(with_met.alias("met"), without.alias("open")), choose)
 
@@ -124,8 +130,3 @@ def introns(exons: str | Column) -> Column:
 
 def intron_string(exons: str | Column) -> Column:
     return F.array_join(F.transform(introns(exons), lambda x: F.concat(x["start"].cast("string"), F.lit(".."), x["end"].cast("string"), F.lit(":"))), "")
-
-
-def strand_key(strand: str | Column, start: str | Column, end: str | Column) -> Column:
-    """Ascending in transcript order: by start on +, by end from the right on -."""
-    return F.when(_col(strand) == "-", -_col(end)).otherwise(_col(start))

@@ -151,6 +151,12 @@ def select_canonical_gene(genes: DataFrame, cluster: str = "cluster") -> DataFra
     return canonical_transcripts(single, cluster)
 
 
+def gene_order(genes: DataFrame) -> DataFrame:
+    """genes (gene_id, seq_region, strand, start) with place, from 1, by strand (+ first) and start in their region: a
+    sort within regions, not over all."""
+    return genes.withColumn("place", F.row_number().over(Window.partitionBy("seq_region").orderBy(F.when(F.col("strand") == "-", 1).otherwise(0), "start", "gene_id")).cast("bigint"))
+
+
 def gene_biotypes(transcripts: DataFrame) -> DataFrame:
     """transcripts with biotype by own, and gene_biotype by any translation: protein_coding or lncRNA."""
     own = transcripts.withColumn("biotype", F.when(F.col("cds_start").isNotNull(), "protein_coding").otherwise("lncRNA"))
@@ -255,6 +261,11 @@ def trim_five_prime(transcripts: DataFrame, max_utr: int = 300, min_exon: int =
     return _trim(transcripts, rule)
 
 
+def _one_each(transcripts: DataFrame, by: str) -> DataFrame:
+    """The row with the smallest transcript_id for each value of `by`."""
+    return transcripts.groupBy(by).agg(F.min_by(F.struct(*transcripts.columns), F.col("transcript_id")).alias("r")).select("r.*")
+
+
 def utr_orf_search(transcripts: DataFrame, translate, most_rounds: int = 20, min_exons: int = 2, min_utr: int = 500, multi: int = 300, single: int = 450) -> DataFrame:
     """transcripts and those found in their UTRs: a UTR of min_exons exons, min_utr long less the buffer and in all, is
     a candidate; translate(df) gives it cds_start, cds_end and cds_seq; it stays with a valid CDS and is searched in turn,
@@ -262,13 +273,13 @@ def utr_orf_search(transcripts: DataFrame, translate, most_rounds: int = 20, min
     from ..functions.tables import save
 
     key = F.concat_ws("|", "seq_region", exon_string("exons", "strand"))
-    out = save(transcripts.withColumn("exon_string", key).dropDuplicates(["exon_string"]).withColumn("round", F.lit(0)))
+    out = save(_one_each(transcripts.withColumn("exon_string", key), "exon_string").withColumn("round", F.lit(0)))
     seen, now = out.select("exon_string"), out
     for n in range(1, most_rounds + 1):
         told = split_utr(now)
         sides = [told.filter((F.size(u) >= min_exons) & (F.col(f"{u}_length") >= min_utr) & (total(F.col(u)) >= single + 50)).withColumn("exons", F.col(u)).withColumn("side", F.lit(u)) for u in ("utr5", "utr3")]
         fresh = sides[0].unionByName(sides[1]).withColumns({"start": F.col("exons")[0]["start"], "end": F.element_at("exons", -1)["end"], "exon_string": key})
-        fresh = fresh.withColumn("transcript_id", F.concat_ws("_", F.col("transcript_id").cast("string"), "side")).dropDuplicates(["exon_string"]).join(seen, "exon_string", "left_anti")
+        fresh = _one_each(fresh.withColumn("transcript_id", F.concat_ws("_", F.col("transcript_id").cast("string"), "side")), "exon_string").join(seen, "exon_string", "left_anti")
         fresh = translate(fresh.drop("cds_start", "cds_end", "utr5", "utr3", "utr5_length", "utr3_length", "side"))
         good = fresh.filter(valid_cds("cds_seq", F.when(F.size("exons") > 1, multi).otherwise(single))).withColumn("round", F.lit(n))
         now = save(good.select([F.col(c).cast(out.schema[c].dataType).alias(c) if c != "transcript_id" else F.col(c) for c in out.columns]))

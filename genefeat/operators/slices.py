@@ -67,10 +67,9 @@ def numbered(df: DataFrame, order: list, name: str = "number") -> DataFrame:
     order, numbered in each range, and offset by the sizes of the ranges before."""
     keyed = df.select(F.struct(*df.columns).alias("row"), F.struct(*order).alias("o"))
     dealt = save(keyed.repartitionByRange(partitions(df.sparkSession), "o").withColumn("p", F.spark_partition_id()))
-    sizes = dealt.groupBy("p").count()
-    before = sizes.alias("a").join(sizes.alias("b"), F.col("b.p") < F.col("a.p"), "left").groupBy("a.p").agg(F.coalesce(F.sum("b.count"), F.lit(0)).alias("before"))
+    before = dealt.groupBy("p").count().select("p", F.coalesce(F.sum("count").over(Window.orderBy("p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))  # a row for each range
     inside = F.row_number().over(Window.partitionBy("p").orderBy("o"))
-    told = dealt.withColumn("i", inside).join(F.broadcast(before), "p")  # a row for each range
+    told = dealt.withColumn("i", inside).join(F.broadcast(before), "p")
     return told.select("row.*", (F.col("i") + F.col("before")).cast("bigint").alias(name))
 
 

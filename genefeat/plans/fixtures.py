@@ -106,7 +106,14 @@ FROM tx_exons x JOIN tx t ON x.transcript_id = t.transcript_id WHERE x.s <= ce A
 """
 
 
+DIAMOND = """
+SELECT o_orderkey AS transcript_id, min(v) AS evalue, count(*) AS n_hits
+FROM (SELECT o_orderkey, (o_orderkey % 7 + 1) / 1000.0::DOUBLE AS v FROM orders WHERE o_orderkey % 5 = 0
+      UNION ALL SELECT o_orderkey, (o_orderkey % 7 + 1) / 1000.0::DOUBLE / 2 FROM orders WHERE o_orderkey % 25 = 0) GROUP BY 1
+"""
+
+
 def duck(body: str, *ctes: str) -> str:
     """body after the CTEs named: tx_exons, tx, cds, contigs, tool_rows, evidence, diamond."""
-    known = {"tx_exons": TX_EXONS, "tx": TRANSCRIPTS, "cds": CDS_EXONS, "contigs": CONTIGS.format(g=", 'g'"), "tool_rows": TOOL_ROWS, "evidence": EVIDENCE, "diamond": "SELECT o_orderkey AS transcript_id, min(v) AS evalue, count(*) AS n_hits FROM (SELECT o_orderkey, (o_orderkey % 7 + 1) / 1000.0::DOUBLE AS v FROM orders WHERE o_orderkey % 5 = 0 UNION ALL SELECT o_orderkey, (o_orderkey % 7 + 1) / 1000.0::DOUBLE / 2 FROM orders WHERE o_orderkey % 25 = 0) GROUP BY 1"}
+    known = {"tx_exons": TX_EXONS, "tx": TRANSCRIPTS, "cds": CDS_EXONS, "contigs": CONTIGS.format(g=", 'g'"), "tool_rows": TOOL_ROWS, "evidence": EVIDENCE, "diamond": DIAMOND}
     return "WITH RECURSIVE " + ", ".join(f"{n} AS ({known[n]})" for n in ctes) + " " + body if ctes else body

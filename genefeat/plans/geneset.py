@@ -13,8 +13,8 @@ from ..operators.clusters import cluster_by_coding_exon, coding_exons, coding_ov
 from ..operators.evidence import drop_sub_chains, final_classification, proteins, score_models, validate_coding
 from ..operators.intervals import drop_lncrna_overlapping_coding, overlap_pairs
 from ..operators.joining import join_transcripts
-from ..operators.models import canonical_transcripts, cds_exons, clean_transcripts, drop_overlapping_exons, gene_biotypes, numbered_exons, sequence_to_genomic, single_transcript_genes, total, trim_five_prime, trim_three_prime, utr_orf_search
-from ..operators.slices import renumber_gene_ids, transcript_sequences
+from ..operators.models import all_exons_cds, canonical_transcripts, cds_exons, clean_transcripts, drop_overlapping_exons, gene_biotypes, numbered_exons, sequence_to_genomic, single_transcript_genes, total, trim_five_prime, trim_three_prime, utr_orf_search
+from ..operators.slices import get_sequence, merge_region_sets, renumber_gene_ids, transcript_sequences
 
 PRIORITY = ("transcriptomic", "busco", "protein")
 
@@ -36,24 +36,54 @@ def cds_sequences(chunks: DataFrame) -> Callable[[DataFrame], DataFrame]:
     return attach
 
 
-def select_best(transcripts: DataFrame, chunks: DataFrame | None = None, join: bool = False, keep_cds: bool = True, clean: bool = False, search_utr: bool = False, collapse: bool = True) -> DataFrame:
-    """Transcripts of a source that make models: no overlapping exons, optionally joined; translated (or with their CDS
-    kept); optionally cleaned and searched in their UTRs and trimmed; scored, freed of sub-chains, classified; the good
-    ones collapsed. Others carry class ignore or check."""
+def with_last_exon(transcripts: DataFrame, chunks: DataFrame, name: str) -> DataFrame:
+    """transcripts with a column of the sequence of their last exon, in transcript direction; null where the genome has
+    none of it."""
+    minus = F.col("strand") == "-"
+    last = F.when(minus, F.col("exons")[0]).otherwise(F.element_at("exons", -1))
+    wanted = transcripts.select(F.col("transcript_id").alias("__id"), "seq_region", "strand", last["start"].alias("start"), last["end"].alias("end"))
+    seqs = get_sequence(chunks, wanted, key="__id").select("__id", F.col("seq").alias(name))
+    return transcripts.join(seqs, F.col("transcript_id") == F.col("__id"), "left").drop("__id")
+
+
+def trim_utrs(transcripts: DataFrame, chunks: DataFrame | None = None) -> DataFrame:
+    """3' UTR trimmed, with the genome's chunks also to its polyadenylation site (trimming again changes nothing else),
+    then 5' UTR."""
+    t = trim_three_prime(transcripts)
+    if chunks is not None:
+        t = trim_three_prime(with_last_exon(save(t), chunks, "__last"), sequence="__last").drop("__last")
+    return trim_five_prime(t)
+
+
+#: How models of each source are selected: transcriptomic ones are translated and searched for ORFs in their UTRs, BUSCO
+#: and protein ones code from end to end, and protein ones are cleaned before.
+MODES = {"transcriptomic": {"cds": "best", "search_utr": True}, "busco": {"cds": "all_exons"}, "protein": {"cds": "all_exons", "clean": True}}
+
+
+def select_best(transcripts: DataFrame, chunks: DataFrame | None = None, join: bool = False, cds: str = "keep", clean: bool = False, search_utr: bool = False, collapse: bool = True) -> DataFrame:
+    """Transcripts of a source that make models: no overlapping exons, optionally joined; with their CDS kept, the whole
+    transcript as CDS (all_exons) or their best translation (best); optionally cleaned, and searched in their UTRs and
+    trimmed; scored, freed of sub-chains, classified; the good ones collapsed. Others carry class ignore or check.
+    What needs sequences takes the genome's chunks."""
+    if cds not in ("keep", "all_exons", "best"):
+        raise ValueError(f"unknown cds mode {cds}")
+    if chunks is None and (cds == "best" or clean or search_utr):
+        raise ValueError("translating, cleaning and searching need the genome's chunks")
     t = drop_overlapping_exons(transcripts)
     if join:
         t = t.withColumn("transcript_id", F.col("transcript_id").cast("string"))
         made = join_transcripts(t)
         t = t.unionByName(made.select(t.columns))
-    if not keep_cds:
-        if chunks is None:
-            raise ValueError("a translation needs the genome's chunks")
+    if cds == "all_exons":
+        t = all_exons_cds(t)
+    elif cds == "best":
         t = save(compute_translations(t, chunks).drop("cds_seq"))
     if clean:
-        t = save(clean_transcripts(t, cds_sequences(chunks)).drop("cds_seq", "merged").dropDuplicates(["transcript_id"]))
+        t = t.withColumn("transcript_id", F.col("transcript_id").cast("string"))
+        t = save(clean_transcripts(t, cds_sequences(chunks)).withColumn("transcript_id", F.when(F.col("merged"), F.concat("transcript_id", F.lit("_m"))).otherwise(F.col("transcript_id"))).drop("cds_seq", "merged"))
     if search_utr:
         t = utr_orf_search(t.withColumn("cds_seq", F.lit(None).cast("string")), lambda df: compute_translations(df, chunks)).drop("cds_seq", "round")
-        t = save(trim_five_prime(trim_three_prime(t)))
+        t = save(trim_utrs(t, chunks))
     columns = t.columns
     scored = save(score_models(single_transcript_genes(t)).select(*columns, "is_good"))
     good = cluster_by_coding_exon(scored.filter("is_good").drop("is_good"))
@@ -125,18 +155,29 @@ def clean_utrs_and_lncrna(transcripts: DataFrame) -> DataFrame:
     """Coding models without UTR exons on a neighbour's CDS and with trimmed UTRs, in place of the original ones; then
     lncRNA on coding models of any strand go."""
     coding = F.coalesce(F.col("biotype") == "protein_coding", F.lit(False))
-    cleaned = trim_five_prime(trim_three_prime(trim_utr_over_neighbour_cds(transcripts.filter(coding))))
+    cleaned = trim_utrs(trim_utr_over_neighbour_cds(transcripts.filter(coding)))
     return drop_lncrna_overlapping_coding(save(cleaned.unionByName(transcripts.filter(~coding))), stranded=False)
 
 
-def finalise_geneset(sources: dict[str, DataFrame], chunks: DataFrame, evidence: DataFrame, mode: str | None = None) -> dict[str, DataFrame]:
-    """From models by source to the final set: transcripts, cdna, protein, rejects."""
-    best = {s: select_best(df, chunks).filter("class = 'good'").drop("class") for s, df in sources.items()}
+def finalise_geneset(sources: dict[str, DataFrame], chunks: DataFrame, evidence: DataFrame, mode: str | None = None, modes: dict[str, dict] | None = None, label: str = "final") -> dict[str, DataFrame]:
+    """From models by source to the final set: transcripts under ids label_N, cdna, protein, rejects. Between stages ids
+    are made unique to the source."""
+    modes = MODES if modes is None else modes
+    best = {}
+    for s, df in sources.items():
+        good = select_best(df, chunks, **modes.get(s, {})).filter("class = 'good'").drop("class")
+        best[s] = save(good.withColumn("transcript_id", F.concat_ws(":", F.lit(s), F.col("transcript_id").cast("string"))))
     layered = save(finalise_layers(best))
-    validated, rejects = validate_coding(layered, evidence, mode)
+    own = layered.withColumn("__own", F.regexp_replace(F.regexp_replace("transcript_id", r"^[^:]*:", ""), r"(_[bpq]|_m|_utr[53])+$", ""))
+    known = own.select("transcript_id", "__own").join(evidence.withColumnRenamed("transcript_id", "__own"), "__own").drop("__own")
+    validated, rejects = validate_coding(layered, known, mode)
     final = save(clean_utrs_and_lncrna(clean_geneset(save(validated))))
-    cdna = transcript_sequences(chunks, final)
-    return {"transcripts": final, "cdna": cdna, "protein": proteins(final, transcript_sequences(chunks, final.filter("cds_start is not null"), coding=True)), "rejects": rejects}
+    by_region = lambda seqs: seqs.join(final.select("transcript_id", "seq_region"), "transcript_id")
+    cdna = by_region(transcript_sequences(chunks, final))
+    protein = by_region(proteins(final, transcript_sequences(chunks, final.filter("cds_start is not null"), coding=True)))
+    named, cdna, protein = merge_region_sets(final, save(cdna), save(protein), label)
+    named = named.drop("gene_id", "transcript_id").withColumnsRenamed({"new_gene_id": "gene_id", "new_transcript_id": "transcript_id"})
+    return {"transcripts": named, "cdna": cdna, "protein": protein, "rejects": rejects}
 
 
 __all__ = ["augment_from", "clean_geneset", "clean_utrs_and_lncrna", "coding_exons", "compute_translations", "finalise_geneset", "finalise_layers", "layer_sets", "select_best"]

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from ..operators.filters import REPEAT_TYPES
-from .fixtures import duck
+from .fixtures import DIAMOND, EVIDENCE, duck
 from .queries import RFAM_NAMES, RFAM_TYPES
+from .stages_sql import Stages, stage
 
 ORACLES: dict[str, str] = {}
 
@@ -164,6 +165,168 @@ ORACLES["five_prime_trim"] = more(
 ORACLES["dedup_proteins"] = more(("contigs",), f"p AS (SELECT concat('6573_0:', lpad(CAST(doc_id AS VARCHAR), 8, '0')) AS name, array_to_string(list_transform(regexp_extract_all(seq, '...'), lambda c: {AA}), '') AS aa FROM contigs)") + "SELECT max(name) AS name, length(aa) AS length FROM p WHERE length(aa) >= 100 GROUP BY aa"
 ORACLES["subsample_reads"] = "WITH n AS (SELECT doc_id, row_number() OVER (ORDER BY (doc_id * 7919) % 10007, doc_id) AS r FROM (SELECT DISTINCT doc_id FROM documents)) SELECT doc_id AS read_no, m AS mate FROM n, (SELECT unnest([1, 2]) AS m) WHERE r <= least(400, CAST(round((SELECT count(*) FROM n) * 0.3) AS BIGINT))"
 ORACLES["paired_files"] = "SELECT concat('in/s', c_custkey // 2, CASE WHEN c_custkey % 7 = 0 THEN '' ELSE concat('_', c_custkey % 2 + 1) END, '.fastq.gz') AS path, concat('s', c_custkey // 2) AS sample, CAST(CASE WHEN c_custkey % 7 = 0 THEN 1 ELSE c_custkey % 2 + 1 END AS INT) AS mate FROM customer"
-put("pair_mates", "SELECT a.doc_id // 2 AS read_no, CAST(a.doc_id AS VARCHAR) AS header1, CAST(b.doc_id AS VARCHAR) AS header2, substr(a.seq, 1, 20) AS seq1, substr(b.seq, 1, 20) AS seq2 FROM contigs a LEFT JOIN contigs b ON b.doc_id = a.doc_id + 1 WHERE a.doc_id % 2 = 0", "contigs")
+put("pair_mates", "SELECT a.doc_id // 2 AS read_no, CAST(a.doc_id AS VARCHAR) AS header1, CAST(b.doc_id AS VARCHAR) AS header2, a.seq AS seq1, b.seq AS seq2 FROM contigs a LEFT JOIN contigs b ON b.doc_id = a.doc_id + 1 WHERE a.doc_id % 2 = 0", "contigs")
 ORACLES["clade_members"] = "SELECT DISTINCT n_name AS species FROM nation WHERE n_regionkey = 1"
 ORACLES["small_models"] = more(A, CDSLEN, STATS) + "SELECT transcript_id, CASE WHEN cds_length = 0 THEN true ELSE n_cds_exons <= 1 OR (n_cds_exons = 2 AND greatest(cds_length, 6) < 600) OR span < 1000 OR greatest(cds_length, 6) < 300 END AS small FROM st"
+
+
+# Readers.
+END = 'e AS "end"'
+RM = "CASE WHEN strand_code <> 2"
+put("read_fastq", "SELECT 1 AS mate, concat('@', doc_id) AS header, md5(seq) AS digest, length(seq) AS n_qual FROM contigs WHERE length(seq) > 0", "contigs")
+ORACLES["read_bed12"] = ORACLES["bed12_to_exons"]
+put("read_repeatmasker", f"SELECT seq_region, s AS start, {END}, {RM} THEN '+' ELSE '-' END AS strand, CAST(score AS DOUBLE) AS score, concat('rep', model) AS repeat_name, list_extract(['LINE/L1', 'DNA/hAT', 'Simple_repeat'], motif % 3 + 1) AS repeat_class, list_extract(['Type I Transposons/LINE', 'Type II Transposons', 'Simple repeats'], motif % 3 + 1) AS repeat_type, multi AS repeat_start, period AS repeat_end FROM tool_rows WHERE motif <> 6", "tool_rows")
+put("read_dust", f"SELECT 'r1' AS seq_region, s AS start, {END} FROM tool_rows", "tool_rows")
+put("read_trf", f"SELECT 'r1' AS seq_region, s AS start, {END}, CAST(period AS DOUBLE) AS period, copies, CAST(matches AS DOUBLE) AS matches, CAST(score AS DOUBLE) AS score, 'ACGT' AS repeat_consensus FROM tool_rows WHERE {TRF}", "tool_rows")
+put("read_red", f"SELECT seq_region, s AS start, {END} FROM tool_rows", "tool_rows")
+put("read_eponine", f"SELECT seq_region, s AS start, {END}, CAST(score AS DOUBLE) AS score, {STRAND} AS strand FROM tool_rows", "tool_rows")
+put("read_cpg", f"SELECT seq_region, s AS start, {END}, CAST(score AS DOUBLE) AS score, CAST(gc AS DOUBLE) AS gc, oe FROM tool_rows WHERE motif > 1 AND {CPG}", "tool_rows")
+put("read_trnascan", f"SELECT seq_region, s AS start, {END}, {STRAND} AS strand, concat('Ala', model) AS trna_type, CAST(score AS DOUBLE) AS score, CASE WHEN motif < 3 THEN 'tRNA' ELSE 'tRNA_pseudogene' END AS biotype, f AS feature_type FROM tool_rows, (SELECT unnest(['transcript', 'exon']) AS f)", "tool_rows")
+put("read_cmsearch", f"SELECT seq_region, concat('m', model) AS query, concat('RF', model) AS accession, s AS start, {END}, {STRAND} AS strand, CAST(score AS DOUBLE) AS score, 0.00001::DOUBLE AS evalue FROM tool_rows", "tool_rows")
+ORACLES["read_genblast"] = more(("tx_exons", "tx"), RANKED) + f"SELECT seq_region, 'genBlast' AS source, 'transcript' AS feature_type, s AS start, {END}, 50.5::DOUBLE AS score, strand, concat('P', transcript_id) AS transcript_id, CAST(NULL AS INT) AS exon_number, concat('P', transcript_id) AS gene_id FROM tx UNION ALL SELECT seq_region, 'genBlast', 'exon', s, e, 1.5, strand, concat('P', transcript_id), rank, concat('P', transcript_id) FROM rk"
+put("read_augustus", f"SELECT seq_region, 'transcript' AS feature_type, s AS start, {END}, strand, CAST(NULL AS BIGINT) AS exon_number FROM tx UNION ALL SELECT seq_region, 'exon', s, e, strand, row_number() OVER (PARTITION BY transcript_id ORDER BY s, e) FROM tx_exons", "tx_exons", "tx")
+put("read_star_junctions", f"SELECT seq_region, s AS start, {END}, strand_code, motif, uniq, multi FROM tool_rows", "tool_rows")
+put("read_rnasamba", "SELECT CAST(transcript_id AS VARCHAR) AS transcript_id, rnasamba_prob, rnasamba_coding FROM evidence WHERE transcript_id % 10 <> 0", "evidence")
+put("read_cpc2", "SELECT CAST(transcript_id AS VARCHAR) AS transcript_id, 900 AS length, peptide_length, cpc2_prob, cpc2_coding FROM evidence", "evidence")
+put("read_diamond", "SELECT CAST(transcript_id AS VARCHAR) AS transcript_id, evalue, n_hits FROM diamond", "diamond")
+ORACLES["read_rfam_seed"] = f"WITH {MODELS} SELECT accession, name, concat('about ', name) AS description, type FROM md"
+ORACLES["read_rfam_cm"] = f"WITH {MODELS} SELECT name, 'thing' AS description, model * 10 + 50 AS length, model * 10 + 80 AS max_length, accession, threshold FROM md"
+ORACLES["sequence_sets"] = more(A, CDSLEN, BEST, "sq AS (SELECT transcript_id, k, cs, repeat('ACGT', CAST(e % 7 + 1 AS INT)) AS c, repeat('MK', CAST(s % 5 + 1 AS INT)) AS p FROM bst)") + "SELECT 'cdna' AS \"set\", transcript_id, c AS seq FROM sq UNION ALL SELECT 'canonical_cdna', transcript_id, c FROM sq WHERE k = 1 UNION ALL SELECT 'protein', transcript_id, p FROM sq WHERE cs IS NOT NULL UNION ALL SELECT 'canonical_protein', transcript_id, p FROM sq WHERE cs IS NOT NULL AND k = 1"
+
+# Small operators.
+ORACLES["region_names"] = "SELECT CAST(doc_id AS VARCHAR) AS seq_region FROM documents WHERE doc_id % 10 <> 0"
+ORACLES["merge_region_sets"] = more(("tx_exons", "tx"), "g AS (SELECT seq_region, gene_id, row_number() OVER (ORDER BY seq_region, min(s), max(e), gene_id) AS g FROM tx GROUP BY 1, 2)", "t AS (SELECT *, row_number() OVER (PARTITION BY seq_region, gene_id ORDER BY s, e, transcript_id) AS k FROM tx)") + f"SELECT concat('sel_', g, '.t', k) AS transcript_id, concat('sel_', g) AS gene_id, s AS start, {END}, concat('c', transcript_id) AS cdna, CASE WHEN cs IS NOT NULL THEN concat('p', transcript_id) END AS protein FROM t JOIN g ON t.seq_region = g.seq_region AND t.gene_id = g.gene_id"
+put("all_exons_cds", "SELECT transcript_id, s AS cds_start, e AS cds_end FROM tx", "tx_exons", "tx")
+put("single_transcript_genes", f"SELECT transcript_id AS gene_id, seq_region, strand, s AS start, {END}, 1 AS n_transcripts FROM tx", "tx_exons", "tx")
+put("default_biotypes", "SELECT transcript_id, CASE WHEN transcript_id % 3 = 0 THEN biotype WHEN cs IS NOT NULL THEN 'protein_coding' ELSE 'not_set' END AS biotype FROM tx", "tx_exons", "tx")
+put("gene_order", "SELECT gene_id, row_number() OVER (PARTITION BY min(seq_region) ORDER BY CASE WHEN min(strand) = '-' THEN 1 ELSE 0 END, min(s), gene_id) AS place FROM tx GROUP BY gene_id", "tx_exons", "tx")
+
+# The greedy choice, hit after hit within islands of overlapping hits.
+ORACLES["rfam_best_hits_greedy"] = more(
+    ("tool_rows",), MODELS, HITS,
+    "d AS (SELECT DISTINCT seq_region, strand, s, e, accession, score FROM ht)",
+    "o AS (SELECT *, max(e) OVER (PARTITION BY seq_region, strand ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS p FROM d)",
+    "i AS (SELECT *, max(CASE WHEN p IS NULL OR s > p THEN s END) OVER (PARTITION BY seq_region, strand ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS isl FROM o)",
+    "r AS (SELECT *, row_number() OVER (PARTITION BY seq_region, strand, isl ORDER BY score DESC, accession, s, e) AS k FROM i)",
+    "w AS (SELECT seq_region, strand, isl, k, [{'s': s, 'e': e, 'a': accession, 'c': score}] AS kept FROM r WHERE k = 1 UNION ALL SELECT w.seq_region, w.strand, w.isl, r.k, CASE WHEN len(list_filter(w.kept, lambda q: q.s <= r.e AND q.e >= r.s)) = 0 THEN list_append(w.kept, {'s': r.s, 'e': r.e, 'a': r.accession, 'c': r.score}) ELSE w.kept END FROM w JOIN r ON r.seq_region = w.seq_region AND r.strand = w.strand AND r.isl = w.isl AND r.k = w.k + 1)",
+    "l AS (SELECT seq_region, strand, unnest(kept) AS q FROM (SELECT *, row_number() OVER (PARTITION BY seq_region, strand, isl ORDER BY k DESC) AS z FROM w) WHERE z = 1)",
+) + 'SELECT seq_region, strand, q.s AS start, q.e AS "end", q.a AS accession, q.c AS score FROM l'
+
+
+# Stages.
+def _canonical_genes(z: Stages) -> str:
+    t, x = z.models()
+    return z.canonical(z.put(f"SELECT t.*, cluster FROM {t} t JOIN {z.clusters(t, x)} c ON c.tid = t.tid"), x, "cluster")
+
+
+def _collapse_lncrna(z: Stages) -> str:
+    t, x = z.models()
+    made = z.collapse(z.put(f"SELECT * FROM {t} WHERE biotype = 'lncRNA'"), x, coding=False, top=1)
+    return z.put(f"SELECT * FROM {made} UNION ALL SELECT * FROM {t} WHERE biotype <> 'lncRNA'")
+
+
+def _best_of(z: Stages, where: str = "true", all_exons: bool = False, clean: bool = False) -> str:
+    every, every_x = z.models()
+    t = z.put(f"SELECT * FROM {every} WHERE {where}")
+    x = z.of(t, every_x)
+    t = z.without_overlapping_exons(t, x)
+    t = z.put(f"SELECT * REPLACE (s AS cs, e AS ce) FROM {t}") if all_exons else t
+    if clean:
+        t, x, _ = z.clean(z.genome(every, every_x), t, z.of(t, x))
+    return z.select_best(t, x)
+
+
+def _transcriptomic(z: Stages) -> tuple[str, str]:
+    every, every_x = z.models()
+    genome = z.genome(every, every_x)
+    t = z.without_overlapping_exons(z.put(f"SELECT * FROM {every} WHERE source = 'transcriptomic'"), every_x)
+    t, _ = z.translated(genome, t, z.of(t, every_x), 50)
+    found = z.utr_search(genome, t, z.of(t, every_x), 4)
+    t = z.put(" UNION ALL ".join(f"SELECT * REPLACE (CAST(tid AS VARCHAR) AS tid) FROM {a}" for a, _ in found))
+    x = z.put(" UNION ALL ".join(f"SELECT CAST(tid AS VARCHAR) AS tid, s, e FROM {b}" for _, b in found))
+    t, x = z.trim_five(*z.cut_at_signal(genome, *z.trim_three(t, x)))
+    return t, z.select_best(t, x)
+
+
+def _sequences(z: Stages, coding: bool) -> str:
+    t, x = z.models()
+    genome = z.genome(t, x)
+    return z.coding_sequences(genome, t, x) if coding else z.sequences(genome, t, x)
+
+
+def _translations(z: Stages) -> tuple[str, str]:
+    t, x = z.models()
+    return z.translated(z.genome(t, x), t, x, 20)
+
+
+def _cleaned(z: Stages) -> str:
+    t, x = z.models()
+    genome = z.genome(t, x)
+    told, _ = z.translated(genome, t, x, 10)
+    told = z.put(f"SELECT * FROM {told} WHERE cs IS NOT NULL")
+    return z.clean(genome, told, z.of(told, x), 30, 30)[2]
+
+
+def _at_signal(z: Stages) -> tuple[str, str]:
+    t, x = z.models()
+    t = z.put(f"SELECT * REPLACE (s + (e - s) // 4 AS cs, e - (e - s) // 4 AS ce) FROM {t}")
+    genome = z.genome(t, x)
+    return z.cut_at_signal(genome, *z.trim_three(t, x))
+
+
+def _utr_search(z: Stages) -> str:
+    t, x = z.models()
+    genome = z.genome(t, x)
+    short = z.put(f"SELECT * REPLACE (s AS cs, s + 60 AS ce) FROM {t}")
+    found = z.utr_search(genome, short, x, 4, least=10, min_utr=200, multi=40, single=60)
+    return z.put(" UNION ALL ".join(f"SELECT CAST(t.tid AS VARCHAR) AS transcript_id, {n} AS round, count(*) AS n_exons FROM {a} t JOIN {b} x ON x.tid = t.tid GROUP BY t.tid" for n, (a, b) in enumerate(found)))
+
+
+def _joins(z: Stages) -> str:
+    return z.put(" UNION ALL ".join(f"SELECT tid, ex FROM {q}" for q in z.join_transcripts(*z.models(), 12)))
+
+
+def _layers(z: Stages) -> str:
+    return z.finalise_layers(*z.models("cs IS NOT NULL", text_ids=True))[0]
+
+
+def _finalised(z: Stages) -> tuple[str, ...]:
+    every, every_x = z.models(text_ids=True)
+    genome = z.genome(every, every_x)
+    evidence, diamond = z.put(EVIDENCE), z.put(DIAMOND)
+    parts, exons = [], []
+    for s in ("transcriptomic", "busco", "protein"):
+        t = z.without_overlapping_exons(z.put(f"SELECT * REPLACE (tid AS gene_id) FROM {every} WHERE source = '{s}'"), every_x)
+        best = z.select_best(t, every_x)
+        parts.append(f"SELECT t.* REPLACE (concat('{s}:', tid) AS tid) FROM {t} t WHERE tid IN (SELECT tid FROM {best} WHERE class = 'good')")
+        exons.append(f"SELECT concat('{s}:', tid) AS tid, s, e FROM {every_x} WHERE tid IN (SELECT tid FROM {t})")
+    t, x = z.finalise_layers(z.put(" UNION ALL ".join(parts)), z.put(" UNION ALL ".join(exons)))
+    told = z.put(f"SELECT t.*, len, rnasamba_coding AS a, cpc2_coding AS b, peptide_length AS p, greatest(rnasamba_prob, cpc2_prob) AS m, d.evalue IS NOT NULL AS hit, v.transcript_id IS NOT NULL AS known FROM {t} t JOIN {z.lengths(t, x)} l ON l.tid = t.tid LEFT JOIN {evidence} v ON CAST(v.transcript_id AS VARCHAR) = regexp_replace(regexp_replace(t.tid, '^[^:]*:', ''), '(_[bpq])+$', '') LEFT JOIN {diamond} d ON d.transcript_id = v.transcript_id")
+    called = z.put(f"SELECT *, CASE WHEN source IN ('busco', 'protein') THEN 'protein_coding' WHEN hit OR (a AND b AND p >= 75) OR ((a OR b) AND p >= 75 AND m >= 0.8) THEN 'protein_coding' WHEN len >= 200 THEN 'lncRNA' END AS call FROM {told} WHERE known OR source IN ('busco', 'protein')")
+    valid = z.put(f"SELECT tid, gene_id, seq_region, strand, source, call AS biotype, s, e, CASE WHEN call <> 'lncRNA' THEN cs END AS cs, CASE WHEN call <> 'lncRNA' THEN ce END AS ce FROM {called} WHERE call IS NOT NULL")
+    t, x = z.clean_utrs(*z.clean_geneset(valid, x))
+    cdna, cds = z.sequences(genome, t, x), z.coding_sequences(genome, t, x)
+    protein = z.put(f"SELECT tid, regexp_replace(array_to_string(list_transform(regexp_extract_all(seq, '...'), lambda c: CASE WHEN regexp_full_match(c, '[ACGT]{{3}}') THEN {AA} ELSE 'X' END), ''), '\\*$', '') AS seq FROM {cds} WHERE length(seq) >= 3")
+    genes = z.put(f"SELECT seq_region, gene_id, row_number() OVER (ORDER BY seq_region, min(s), max(e), gene_id) AS g FROM {t} GROUP BY 1, 2")
+    ids = z.put(f"SELECT t.tid, concat('final_', g) AS gene, concat('final_', g, '.t', row_number() OVER (PARTITION BY t.seq_region, t.gene_id ORDER BY t.s, t.e, t.tid)) AS new FROM {t} t JOIN {genes} g ON g.seq_region = t.seq_region AND g.gene_id = t.gene_id")
+    return t, ids, cdna, protein
+
+
+SPAN = 's AS start, e AS "end"'
+ORACLES["canonical_genes"] = stage(_canonical_genes, "SELECT cluster, head AS canonical_transcript FROM {}")
+ORACLES["collapse_lncrna"] = stage(_collapse_lncrna, "SELECT tid AS transcript_id, gene_id, biotype FROM {}")
+ORACLES["select_best"] = stage(_best_of, "SELECT tid AS transcript_id, class FROM {}")
+ORACLES["select_best_busco"] = stage(lambda z: _best_of(z, "source = 'busco'", True), "SELECT tid AS transcript_id, class FROM {}")
+ORACLES["select_best_protein"] = stage(lambda z: _best_of(z, "source = 'protein'", True, True), "SELECT tid AS transcript_id, class FROM {}")
+ORACLES["select_best_transcriptomic"] = stage(_transcriptomic, f"SELECT b.tid AS transcript_id, class, cs AS cds_start, ce AS cds_end, {SPAN} FROM {{1}} b JOIN {{0}} t ON t.tid = b.tid")
+ORACLES["finalise_layers"] = stage(_layers, "SELECT tid AS transcript_id, source FROM {}")
+ORACLES["clean_geneset"] = stage(lambda z: z.clean_geneset(*z.models())[0], f"SELECT gene_id, tid AS transcript_id, biotype, {SPAN} FROM {{}}")
+ORACLES["clean_utrs_and_lncrna"] = stage(lambda z: z.clean_utrs(*z.models())[0], f"SELECT tid AS transcript_id, biotype, {SPAN} FROM {{}}")
+ORACLES["transcript_sequences"] = stage(lambda z: _sequences(z, False), "SELECT tid AS transcript_id, length(seq) AS length, md5(seq) AS digest FROM {}")
+ORACLES["cds_sequences"] = stage(lambda z: _sequences(z, True), "SELECT tid AS transcript_id, length(seq) AS length, md5(seq) AS digest FROM {}")
+ORACLES["compute_translations"] = stage(_translations, "SELECT t.tid AS transcript_id, cs AS cds_start, ce AS cds_end, length(seq) AS cds_length FROM {0} t LEFT JOIN {1} c ON c.tid = t.tid")
+ORACLES["clean_transcripts"] = stage(_cleaned, "SELECT tid AS transcript_id, merged, n AS n_exons, cds_length FROM {}")
+ORACLES["three_prime_trim_at_signal"] = stage(_at_signal, 'SELECT x.tid AS transcript_id, row_number() OVER (PARTITION BY x.tid ORDER BY CASE WHEN strand = \'-\' THEN -x.s ELSE x.s END) AS rank, x.s AS start, x.e AS "end" FROM {1} x JOIN {0} t ON t.tid = x.tid')
+ORACLES["utr_orf_search"] = stage(_utr_search, "SELECT * FROM {}")
+ORACLES["join_transcripts"] = stage(_joins, 'SELECT tid AS transcript_id, len(ex) AS n_exons, ex[1].s AS start, ex[-1].e AS "end" FROM {}')
+ORACLES["finalise_geneset"] = stage(_finalised, f"SELECT gene AS gene_id, new AS transcript_id, biotype, {SPAN}, md5(c.seq) AS cdna, md5(p.seq) AS protein FROM {{0}} t JOIN {{1}} i ON i.tid = t.tid LEFT JOIN {{2}} c ON c.tid = t.tid LEFT JOIN {{3}} p ON p.tid = t.tid")

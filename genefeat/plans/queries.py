@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import sequence as sq
@@ -534,7 +534,7 @@ def paired_files(spark, d):
 @query
 def pair_mates(spark, d):
     r = fixtures.contigs(spark, d).select(F.lit("s").alias("sample"), (F.col("doc_id") % 2 + 1).cast("int").alias("mate"), F.floor(F.col("doc_id") / 2).alias("read_no"), F.col("doc_id").cast("string").alias("header"), "seq", F.lit("I").alias("qual"))
-    return tools.pair_mates(r).select("read_no", "header1", "header2", *(F.substring(c, 1, 20).alias(c) for c in ("seq1", "seq2")))
+    return tools.pair_mates(r).select("read_no", "header1", "header2", "seq1", "seq2")
 
 
 @query
@@ -553,6 +553,228 @@ def small_models(spark, d):
     return t.select("transcript_id", filters.small_model(n, seq, F.col("end") - F.col("start") + 1).alias("small"))
 
 
+# Readers: tool output is written as text from the given tables, and read back.
+
+
+def written(spark, lines: DataFrame) -> str:
+    """The folder of a table of lines, written as text."""
+    path = f"{shared_dir(spark)}/text_{uuid.uuid4().hex}"
+    lines.write.text(path)
+    return path
+
+
+def spaced(*parts, sep: str = " ") -> Column:
+    return F.concat_ws(sep, *(p.cast("string") if isinstance(p, Column) else F.lit(str(p)) for p in parts)).alias("line")
+
+
+def tabbed(*parts) -> Column:
+    return spaced(*parts, sep="\t")
+
+
+C = F.col
+
+
+@query
+def read_fastq(spark, d):
+    c = fixtures.contigs(spark, d).filter(F.length("seq") > 0)
+    path = written(spark, c.select(F.concat_ws("\n", F.concat(F.lit("@"), "doc_id"), "seq", F.lit("+"), F.repeat(F.lit("I"), F.length("seq"))).alias("line")))
+    return tools.read_fastq(spark, path, 1).select("mate", "header", F.md5(C("seq").cast("binary")).alias("digest"), F.length("qual").cast("bigint").alias("n_qual"))
+
+
+@query
+def read_bed12(spark, d):
+    joined = lambda f: F.array_join(F.transform("exons", f), ",")
+    lines = tx(spark, d).select(tabbed(C("seq_region"), C("start") - 1, C("end"), C("transcript_id"), 0, C("strand"), 0, 0, 0, F.size("exons"), F.concat(joined(lambda x: (x["end"] - x["start"] + 1).cast("string")), F.lit(",")), joined(lambda x: (x["start"] - C("start")).cast("string"))))
+    rows, _ = tools.read_bed12(spark, written(spark, lines))
+    return reads.bed12_to_exons(rows).select(C("name").cast("bigint").alias("name"), "seq_region", "strand", "rank", "start", "end")
+
+
+@query
+def read_repeatmasker(spark, d):
+    """Every seventh line lacks a field and is a reject; there are head lines."""
+    t = fixtures.tool_rows(spark, d)
+    plus, kinds = C("strand_code") != 2, F.array(*map(F.lit, ("LINE/L1", "DNA/hAT", "Simple_repeat")))
+    line = spaced(C("score"), 1.0, 0.0, 0.0, C("seq_region"), C("start"), C("end"), F.lit("(99)"), F.when(plus, "+").otherwise("C"), F.concat(F.lit("rep"), C("model").cast("string")), F.element_at(kinds, (C("motif") % 3 + 1).cast("int")), F.when(plus, C("multi").cast("string")).otherwise("(7)"), C("period"), F.when(plus, "(7)").otherwise(C("multi").cast("string")), C("uniq"))
+    lines = t.select(F.when(C("motif") == 6, F.regexp_replace(line, r" \S+$", "")).when(C("motif") == 5, F.concat(line, F.lit(" *"))).otherwise(line).alias("line"))
+    rows, _ = tools.read_repeatmasker(spark, written(spark, lines.union(t.limit(1).select(F.lit("   SW  perc perc")))))
+    return rows.drop("path")
+
+
+@query
+def read_dust(spark, d):
+    rows, _ = tools.read_dust(spark, written(spark, fixtures.tool_rows(spark, d).select(spaced(C("start") - 1, "-", C("end") - 1))), "r1")
+    return rows.drop("path")
+
+
+@query
+def read_trf(spark, d):
+    line = spaced(C("start"), C("end"), C("period"), C("copies"), 9, C("matches"), 0, C("score"), 1, 2, 3, 4, 1.5, "ACGT", "ACGTACGT")
+    rows, _ = tools.read_trf(spark, written(spark, fixtures.tool_rows(spark, d).select(line)), "r1")
+    return rows.drop("path")
+
+
+@query
+def read_red(spark, d):
+    line = F.concat(F.lit(">"), "seq_region", F.lit(":"), (C("start") - 1).cast("string"), F.lit("-"), (C("end") - 1).cast("string"))
+    return tools.read_red(spark, written(spark, fixtures.tool_rows(spark, d).select(line)))[0].drop("path")
+
+
+@query
+def read_eponine(spark, d):
+    minus = C("strand_code") == 2
+    line = spaced(C("seq_region"), "eponine", "TSS", C("start") + minus.cast("int"), C("end") + minus.cast("int"), C("score"), F.when(minus, "-").otherwise("+"), ".")
+    t = fixtures.tool_rows(spark, d)
+    return tools.read_eponine(spark, written(spark, t.select(line).union(t.limit(1).select(F.lit("# head")))))[0].drop("path")
+
+
+@query
+def read_cpg(spark, d):
+    line = spaced(C("seq_region"), C("start"), C("end"), C("score"), 0, 0, C("gc"), F.when(C("motif") == 0, "-").when(C("motif") == 1, "inf").otherwise(C("oe").cast("string")))
+    return tools.read_cpg(spark, written(spark, fixtures.tool_rows(spark, d).select(line)))[0].drop("path")
+
+
+@query
+def read_trnascan(spark, d):
+    minus = C("strand_code") == 2
+    line = spaced(C("seq_region"), 1, F.when(minus, C("end")).otherwise(C("start")), F.when(minus, C("start")).otherwise(C("end")), F.concat(F.lit("Ala"), C("model").cast("string")), "TGC", 0, 0, C("score"), F.when(C("motif") < 3, "high confidence set").otherwise("pseudo"))
+    t = fixtures.tool_rows(spark, d)
+    return tools.read_trnascan(spark, written(spark, t.select(line).union(t.limit(1).select(F.lit("Sequence  tRNA Bounds")))))[0].drop("path")
+
+
+@query
+def read_cmsearch(spark, d):
+    line = spaced(C("seq_region"), "-", F.concat(F.lit("m"), C("model").cast("string")), F.concat(F.lit("RF"), C("model").cast("string")), "cm", 1, 99, F.when(C("strand_code") == 2, C("end")).otherwise(C("start")), F.when(C("strand_code") == 2, C("start")).otherwise(C("end")), F.when(C("strand_code") == 2, "-").otherwise("+"), "no", 1, 0.5, 0.0, C("score"), "1e-5", "!", "-")
+    return tools.read_cmsearch_tblout(spark, written(spark, fixtures.tool_rows(spark, d).select(line)))[0].drop("path")
+
+
+@query
+def read_genblast(spark, d):
+    t = tx(spark, d)
+    name = lambda rank: F.concat(F.lit("ID=x;Name=P"), C("transcript_id").cast("string"))
+    whole = t.select(spaced(C("seq_region"), "genBlast", "transcript", C("start"), C("end"), 50.5, C("strand"), ".", name(0)))
+    parts = models.numbered_exons(t).select(spaced(C("seq_region"), "genBlast", "coding_exon", C("start"), C("end"), 1.5, C("strand"), ".", F.concat(F.lit("ID=P"), C("transcript_id").cast("string"), F.lit("-R1-1-A1-E"), C("rank").cast("string"), F.lit(";Parent=P"), C("transcript_id").cast("string"), F.lit("-R1-1-A1"))))
+    return tools.read_genblast_gff(spark, written(spark, whole.union(parts)))[0].drop("path")
+
+
+@query
+def read_augustus(spark, d):
+    """A record for each model; ids follow files, so they are left out here."""
+    t = tx(spark, d)
+    line = lambda kind, a, b: F.concat_ws("\t", "seq_region", F.lit("AUGUSTUS"), F.lit(kind), a.cast("string"), b.cast("string"), F.lit("0.9"), "strand", F.lit("."), F.lit("g1.t1"))
+    record = F.concat_ws("\n", F.lit("# start gene g1"), line("gene", C("start"), C("end")), line("transcript", C("start"), C("end")), F.array_join(F.transform("exons", lambda x: line("exon", x["start"], x["end"])), "\n"), F.lit("# end gene g1"))
+    return tools.read_augustus_gff(spark, written(spark, t.select(record.alias("line")))).select("seq_region", "feature_type", "start", "end", "strand", C("exon_number").cast("bigint").alias("exon_number"))
+
+
+@query
+def read_star_junctions(spark, d):
+    line = tabbed(C("seq_region"), C("start"), C("end"), C("strand_code"), C("motif"), 1, C("uniq"), C("multi"), 30)
+    return tools.read_star_junctions(spark, written(spark, fixtures.tool_rows(spark, d).select(line)))[0].drop("path")
+
+
+@query
+def read_rnasamba(spark, d):
+    """Every tenth line has a field too many."""
+    e = fixtures.evidence(spark, d)
+    line = tabbed(C("transcript_id"), C("rnasamba_prob"), F.when(C("rnasamba_coding"), "coding").otherwise("noncoding"))
+    lines = e.select(F.when(C("transcript_id") % 10 == 0, F.concat(line, F.lit("\tx"))).otherwise(line)).union(e.limit(1).select(F.lit("sequence_name\tp\tlabel")))
+    return tools.read_rnasamba(spark, written(spark, lines))[0].drop("path")
+
+
+@query
+def read_cpc2(spark, d):
+    line = tabbed(C("transcript_id"), 900, C("peptide_length"), 0.1, 5.0, 1, 0.2, C("cpc2_prob"), F.when(C("cpc2_coding"), "coding").otherwise("noncoding"))
+    return tools.read_cpc2(spark, written(spark, fixtures.evidence(spark, d).select(line)))[0].drop("path")
+
+
+@query
+def read_diamond(spark, d):
+    line = tabbed(C("transcript_id"), "P1", 90.0, 100, 1, 0, 1, 100, 1, 100, C("evalue"), 200)
+    rows, _ = tools.read_diamond(spark, written(spark, fixtures.diamond(spark, d).select(line)))
+    return rows.groupBy("transcript_id").agg(F.min("evalue").alias("evalue"), F.count("*").alias("n_hits"))
+
+
+@query
+def read_rfam_seed(spark, d):
+    m = rfam_models(spark, d)
+    block = F.concat(F.lit("# STOCKHOLM 1.0\n#=GF AC   "), "accession", F.lit("\n#=GF ID   "), "name", F.lit("\n#=GF DE   about "), "name", F.lit("\n#=GF TP   Gene; "), "type", F.lit("\nseq ACGU\n//"))
+    return tools.read_rfam_seed(spark, written(spark, m.select(block.alias("line"))))
+
+
+@query
+def read_rfam_cm(spark, d):
+    """An INFERNAL and a HMMER block for each model."""
+    m = rfam_models(spark, d)
+    block = lambda kind: F.concat(F.lit(f"{kind}/1\nNAME     "), "name", F.lit("\nACC      "), "accession", F.lit("\nDESC     thing\nCLEN     "), (C("model") * 10 + 50).cast("string"), F.lit("\nW        "), (C("model") * 10 + 80).cast("string"), F.lit("\nGA       "), C("threshold").cast("string"), F.lit("\n//"))
+    return tools.read_rfam_cm(spark, written(spark, m.select(block("INFERNAL1").alias("line")).union(m.select(block("HMMER3")))))
+
+
+@query
+def sequence_sets(spark, d):
+    """The four FASTA sets of models with made-up sequences, written and read back."""
+    t = tx(spark, d).withColumns({"cdna": F.repeat(F.lit("ACGT"), (C("end") % 7 + 1).cast("int")), "protein": F.when(C("cds_start").isNotNull(), F.repeat(F.lit("MK"), (C("start") % 5 + 1).cast("int")))})
+    path = f"{shared_dir(spark)}/sets_{uuid.uuid4().hex}"
+    export.write_sequences(t, path)
+    out = None
+    for name in ("cdna", "canonical_cdna", "protein", "canonical_protein"):
+        one = tools.read_fasta(spark, f"{path}/{name}").select(F.lit(name).alias("set"), C("name").cast("bigint").alias("transcript_id"), "seq")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+# Small operators on their own.
+
+
+@query
+def region_names(spark, d):
+    c = named_contigs(spark, d).select(F.concat(F.lit(">"), F.when(C("name").cast("bigint") % 10 == 0, "MT").otherwise(C("name")), F.lit(" a note")).alias("name"))
+    return slices.region_names(c)
+
+
+@query
+def merge_region_sets(spark, d):
+    """Models, their cDNA and, for those that code, proteins under new ids; sequences are told by their old ids."""
+    t = tx(spark, d)
+    seqs = lambda df, kind: df.select("seq_region", "transcript_id", F.concat(F.lit(kind), C("transcript_id").cast("string")).alias("seq"))
+    named, cdna, protein = slices.merge_region_sets(t, seqs(t, "c"), seqs(t.filter("cds_start is not null"), "p"), "sel")
+    told = named.select(C("new_transcript_id").alias("transcript_id"), C("new_gene_id").alias("gene_id"), "start", "end")
+    return slices.attach_sequences(told, cdna, protein)
+
+
+@query
+def all_exons_cds(spark, d):
+    return models.all_exons_cds(tx(spark, d)).select("transcript_id", "cds_start", "cds_end")
+
+
+@query
+def single_transcript_genes(spark, d):
+    return models.build_genes(models.single_transcript_genes(tx(spark, d)))
+
+
+@query
+def default_biotypes(spark, d):
+    t = tx(spark, d)
+    coords = models.format_translation_coords(models.translation_coords(C("exons"), C("strand"), C("cds_start"), C("cds_end")))
+    rows = t.withColumns({"translation_coords": F.when(C("cds_start").isNotNull(), coords), "biotype": F.when(C("transcript_id") % 3 == 0, C("biotype"))})
+    return models.default_biotype(rows).select("transcript_id", "biotype")
+
+
+@query
+def canonical_genes(spark, d):
+    """The canonical model of each cluster of genes of one transcript."""
+    named = clusters.cluster_by_coding_exon(models.single_transcript_genes(tx(spark, d)))
+    return models.select_canonical_gene(named)
+
+
+@query
+def gene_order(spark, d):
+    return models.gene_order(models.build_genes(tx(spark, d))).select("gene_id", "place")
+
+
+@query
+def collapse_lncrna(spark, d):
+    return clusters.collapse_lncrna(tx(spark, d), max_per_cluster=1).select("transcript_id", "gene_id", "biotype")
+
+
 # Composites; each is also built of operators that have their own query above.
 
 
@@ -588,9 +810,32 @@ def genome(spark, d) -> DataFrame:
     return laid.join(bases, "k").select("seq_region", (F.col("i") * 1000 + 1).alias("start"), ((F.col("i") + 1) * 1000).alias("end"), "seq")
 
 
+def _digests(seqs: DataFrame) -> DataFrame:
+    return seqs.select("transcript_id", F.length("seq").cast("bigint").alias("length"), F.md5(F.col("seq").cast("binary")).alias("digest"))
+
+
 @query
 def transcript_sequences(spark, d):
-    return slices.transcript_sequences(save(genome(spark, d)), tx(spark, d), chunk=1000).select("transcript_id", F.length("seq").cast("bigint").alias("length"), F.md5(F.col("seq").cast("binary")).alias("digest"))
+    return _digests(slices.transcript_sequences(save(genome(spark, d)), tx(spark, d), chunk=1000))
+
+
+@query
+def cds_sequences(spark, d):
+    return _digests(slices.transcript_sequences(save(genome(spark, d)), tx(spark, d), coding=True, chunk=1000))
+
+
+@query
+def clean_transcripts(spark, d):
+    """Models whose CDS, from their best translation, is valid at low bounds, and those with short introns merged."""
+    chunks = save(slices_of(spark, d))
+    t = save(geneset.compute_translations(tx(spark, d).drop("cds_start", "cds_end"), chunks, 10).drop("cds_seq").filter("cds_start is not null"))
+    return models.clean_transcripts(t, geneset.cds_sequences(chunks), 30, 30).select("transcript_id", "merged", F.size("exons").cast("bigint").alias("n_exons"), F.length("cds_seq").cast("bigint").alias("cds_length"))
+
+
+@query
+def three_prime_trim_at_signal(spark, d):
+    t = save(wide_utr(tx(spark, d)))
+    return told_exons(models.trim_three_prime(geneset.with_last_exon(models.trim_three_prime(t), save(slices_of(spark, d)), "last"), sequence="last").drop("last"))
 
 
 @query
@@ -598,6 +843,21 @@ def select_best(spark, d):
     return geneset.select_best(tx(spark, d)).select("transcript_id", "class")
 
 
+@query
+def select_best_busco(spark, d):
+    return geneset.select_best(tx(spark, d, "busco"), **geneset.MODES["busco"]).select("transcript_id", "class")
+
+
+@query
+def select_best_protein(spark, d):
+    return geneset.select_best(tx(spark, d, "protein"), save(slices_of(spark, d)), **geneset.MODES["protein"]).select("transcript_id", "class")
+
+
+@query
+def select_best_transcriptomic(spark, d):
+    return geneset.select_best(tx(spark, d, "transcriptomic"), save(slices_of(spark, d)), **geneset.MODES["transcriptomic"]).select("transcript_id", "class", "cds_start", "cds_end", "start", "end")
+
+
 @query
 def finalise_layers(spark, d):
     t = models.single_transcript_genes(tx(spark, d).filter("cds_start is not null"))
@@ -616,8 +876,7 @@ def clean_utrs_and_lncrna(spark, d):
 
 @query
 def join_transcripts(spark, d):
-    t = tx(spark, d).filter("source = 'transcriptomic'")
-    return joining.join_transcripts(t).select("transcript_id", F.size("exons").cast("bigint").alias("n_exons"), "start", "end")
+    return joining.join_transcripts(tx(spark, d)).select("transcript_id", F.size("exons").cast("bigint").alias("n_exons"), "start", "end")
 
 
 @query
@@ -641,11 +900,18 @@ def slices_of(spark, d) -> DataFrame:
     return g.groupBy("seq_region", "k").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("start", "seq"))), lambda x: x["seq"]), "").alias("seq")).select("seq_region", (F.col("k") * 100_000 + 1).alias("start"), (F.col("k") * 100_000 + F.length("seq")).alias("end"), "seq")
 
 
-@query
-def finalise_geneset(spark, d):
-    t = models.single_transcript_genes(tx(spark, d))
-    e = evidence.combine_evidence(fixtures.evidence(spark, d).select("transcript_id", "rnasamba_prob", "rnasamba_coding"), fixtures.evidence(spark, d).select("transcript_id", "cpc2_prob", "cpc2_coding", "peptide_length"), fixtures.diamond(spark, d))
-    t, e = (x.withColumn("transcript_id", F.col("transcript_id").cast("string")) for x in (t, e))
-    t = t.withColumn("gene_id", F.col("transcript_id"))
-    final = geneset.finalise_geneset({s: t.filter(F.col("source") == s) for s in geneset.PRIORITY}, save(slices_of(spark, d)), e)
-    return final["transcripts"].select("gene_id", "transcript_id", "biotype", "start", "end")
+def _finalised(modes):
+    def run(spark, d):
+        t = models.single_transcript_genes(tx(spark, d))
+        e = evidence.combine_evidence(fixtures.evidence(spark, d).select("transcript_id", "rnasamba_prob", "rnasamba_coding"), fixtures.evidence(spark, d).select("transcript_id", "cpc2_prob", "cpc2_coding", "peptide_length"), fixtures.diamond(spark, d))
+        t, e = (x.withColumn("transcript_id", F.col("transcript_id").cast("string")) for x in (t, e))
+        t = t.withColumn("gene_id", F.col("transcript_id"))
+        final = geneset.finalise_geneset({s: t.filter(F.col("source") == s) for s in geneset.PRIORITY}, save(slices_of(spark, d)), e, modes=modes)
+        seqs = final["cdna"].select("transcript_id", F.md5(F.col("seq").cast("binary")).alias("cdna")).join(final["protein"].select("transcript_id", F.md5(F.col("seq").cast("binary")).alias("protein")), "transcript_id", "left")
+        return final["transcripts"].select("gene_id", "transcript_id", "biotype", "start", "end").join(seqs, "transcript_id", "left")
+
+    return run
+
+
+QUERIES["finalise_geneset"] = _finalised({})
+QUERIES["finalise_geneset_by_source"] = _finalised(None)

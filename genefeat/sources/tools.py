@@ -73,12 +73,23 @@ def read_fasta(spark: SparkSession, path: Paths) -> DataFrame:
     return raw.select(F.regexp_extract("v", r"^([^\n]*)", 1).alias("name"), F.regexp_replace(F.regexp_replace("v", r"^[^\n]*\n?", ""), r"\s", "").alias("seq"))
 
 
-def read_fastq(spark: SparkSession, path: Paths, mate: int = 1) -> DataFrame:
-    """(read_no from 0, mate, header, seq, qual): four lines a read; gzip by extension. Lines are numbered by an RDD's
-    zipWithIndex, the one way to number text lines in file order."""
-    numbered = spark.read.text(path).rdd.map(lambda r: r[0]).zipWithIndex().toDF("line string, n bigint")
-    told = numbered.groupBy(F.floor(F.col("n") / 4).alias("read_no")).agg(*(F.max(F.when(F.col("n") % 4 == k, F.col("line"))).alias(c) for k, c in ((0, "header"), (1, "seq"), (3, "qual"))))
-    return told.select("read_no", F.lit(mate).alias("mate"), "header", "seq", "qual")
+def ordered_lines(spark: SparkSession, path: Paths) -> DataFrame:
+    """(path, line, n): lines numbered from 0 in their file. A file's pieces are counted, the counts added in order of
+    the pieces (a row for each), and each piece numbered on its own."""
+    raw = spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), F.regexp_replace("value", r"\r$", "").alias("line"))
+    before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = raw.groupBy("path", "block").count().select("path", "block", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("before"))
+    inside = raw.withColumn("i", F.row_number().over(Window.partitionBy("path", "block").orderBy("at")))
+    return inside.join(starts, ["path", "block"]).select("path", "line", (F.col("i") + F.col("before") - 1).alias("n"))
+
+
+def read_fastq(spark: SparkSession, path: Paths, mate: int | None = None) -> DataFrame:
+    """(sample, mate, read_no from 0 in its file, header, seq, qual): four lines a read; gzip by extension. Sample and
+    mate are told by the file's name as in paired_files(), unless a mate is given."""
+    lines = ordered_lines(spark, path)
+    told = lines.groupBy("path", F.floor(F.col("n") / 4).alias("read_no")).agg(*(F.max(F.when(F.col("n") % 4 == k, F.col("line"))).alias(c) for k, c in ((0, "header"), (1, "seq"), (3, "qual"))))
+    sample, number = _sample_and_mate(F.col("path"))
+    return told.select(sample.alias("sample"), (number if mate is None else F.lit(mate)).alias("mate"), "read_no", "header", "seq", "qual")
 
 
 def read_pairs(spark: SparkSession, path: str, mate_path: str | None = None) -> DataFrame:
@@ -166,9 +177,10 @@ def read_genblast_gff(spark: SparkSession, path: Paths) -> tuple[DataFrame, Data
 
 def read_augustus_gff(spark: SparkSession, path: Paths) -> DataFrame:
     """Transcript and exon rows of records that an `# end gene` line closes, with ids augN by file and record, exons
-    numbered in their record, and coordinates moved by the slice that the file's name tells (.rsN.reM.)."""
-    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("line"))
-    told = lines.rdd.zipWithIndex().map(lambda x: (x[0][0], x[0][1], x[1])).toDF("path string, line string, n bigint")
+    numbered in their record, and coordinates moved by the slice that the file's name tells (.rsN.reM.). Lines that
+    parse to no number are left out, as all lines but these are."""
+    told = ordered_lines(spark, path)
+    files = told.select("path").distinct()
     by_file = Window.partitionBy("path").orderBy("n")
     ended = F.sum(F.when(F.col("line").contains("# end gene"), 1).otherwise(0))
     told = told.withColumn("record", ended.over(by_file.rowsBetween(Window.unboundedPreceding, -1))).withColumn("record", F.coalesce("record", F.lit(0)))
@@ -177,10 +189,10 @@ def read_augustus_gff(spark: SparkSession, path: Paths) -> DataFrame:
     kept = told.filter((F.size("f") == 9) & (_field(1) == "AUGUSTUS") & _field(2).isin("transcript", "exon"))
     offset = F.coalesce(F.regexp_extract("path", r"\.rs(\d+)\.re\d+\.", 1).try_cast("bigint") - 1, F.lit(0))
     number = F.row_number().over(Window.partitionBy("path", "record", F.element_at("f", 3)).orderBy("n"))
-    files = lines.select("path").distinct().withColumn("file_no", F.dense_rank().over(Window.orderBy("path")))  # a row a file
+    files = files.withColumn("file_no", F.dense_rank().over(Window.orderBy("path")))  # a row a file
     kept = kept.withColumns({"exon_number": number}).join(files, "path")
     name = F.concat(F.lit("aug"), F.col("file_no").cast("string"), F.lit("."), (F.col("record") + 1).cast("string"))
-    return kept.select(_field(0).alias("seq_region"), _field(2).alias("feature_type"), (_field(3, "bigint") + offset).alias("start"), (_field(4, "bigint") + offset).alias("end"), _field(6).alias("strand"), name.alias("gene_id"), name.alias("transcript_id"), F.when(_field(2) == "exon", F.col("exon_number")).alias("exon_number"))
+    return kept.select(_field(0).alias("seq_region"), _field(2).alias("feature_type"), (_field(3, "bigint") + offset).alias("start"), (_field(4, "bigint") + offset).alias("end"), _field(6).alias("strand"), name.alias("gene_id"), name.alias("transcript_id"), F.when(_field(2) == "exon", F.col("exon_number")).alias("exon_number")).filter("start is not null and end is not null")
 
 
 def read_star_junctions(spark: SparkSession, path: Paths) -> tuple[DataFrame, DataFrame]:
@@ -189,9 +201,12 @@ def read_star_junctions(spark: SparkSession, path: Paths) -> tuple[DataFrame, Da
 
 
 def read_rnasamba(spark: SparkSession, path: Paths) -> tuple[DataFrame, DataFrame]:
-    fields = {"transcript_id": _field(0), "rnasamba_prob": _field(1, "double"), "rnasamba_coding": _field(2) == "coding"}
-    rows, rejects = _parsed(_tabs(spark, path), fields, ["rnasamba_prob"], ~F.col("line").startswith("sequence_name") & (F.trim("line") != ""), F.size("f") == 3)
-    return rows.dropDuplicates(["transcript_id"]), rejects
+    """Of rows that share an id the first one of the first file by name counts."""
+    lines = ordered_lines(spark, path).withColumn("f", F.split("line", "\t"))
+    fields = {"transcript_id": _field(0), "rnasamba_prob": _field(1, "double"), "rnasamba_coding": _field(2) == "coding", "n": F.col("n")}
+    rows, rejects = _parsed(lines, fields, ["rnasamba_prob"], ~F.col("line").startswith("sequence_name") & (F.trim("line") != ""), F.size("f") == 3)
+    first = rows.groupBy("transcript_id").agg(F.min_by(F.struct("path", "rnasamba_prob", "rnasamba_coding"), F.struct("path", "n")).alias("x"))
+    return first.select("x.path", "transcript_id", "x.rnasamba_prob", "x.rnasamba_coding"), rejects
 
 
 def read_cpc2(spark: SparkSession, path: Paths) -> tuple[DataFrame, DataFrame]:
@@ -223,12 +238,17 @@ def read_rfam_cm(spark: SparkSession, path: Paths) -> DataFrame:
     return told.select(_key(r"NAME\s+(\S+)").alias("name"), _key(r"DESC\s+(\S+)").alias("description"), number(r"CLEN\s+(\d+)", "bigint").alias("length"), number(r"W\s+(\d+)", "bigint").alias("max_length"), _key(r"ACC\s+(\S+)").alias("accession"), number(r"GA\s+(\d+(?:\.\d+)?)", "double").alias("threshold")).filter("name is not null")
 
 
+def _sample_and_mate(path: Column) -> tuple[Column, Column]:
+    pattern = r"([^/]+?)_([12])\.(?:fastq|fq)(?:\.gz)?$"
+    hit = path.rlike(pattern)
+    alone = F.regexp_extract(path, r"([^/]+?)\.(?:fastq|fq)(?:\.gz)?$", 1)
+    return F.when(hit, F.regexp_extract(path, pattern, 1)).otherwise(alone), F.when(hit, F.regexp_extract(path, pattern, 2).cast("int")).otherwise(1)
+
+
 def paired_files(paths: DataFrame, column: str = "path") -> DataFrame:
     """(path, sample, mate): files name_1.fastq and name_2.fq.gz are mates; another name is a sample of its own."""
-    pattern = r"([^/]+?)_([12])\.(?:fastq|fq)(?:\.gz)?$"
-    hit = F.col(column).rlike(pattern)
-    alone = F.regexp_extract(column, r"([^/]+?)\.(?:fastq|fq)(?:\.gz)?$", 1)
-    return paths.select(F.col(column).alias("path"), F.when(hit, F.regexp_extract(column, pattern, 1)).otherwise(alone).alias("sample"), F.when(hit, F.regexp_extract(column, pattern, 2).cast("int")).otherwise(1).alias("mate"))
+    sample, mate = _sample_and_mate(F.col(column))
+    return paths.select(F.col(column).alias("path"), sample.alias("sample"), mate.alias("mate"))
 
 
 def pair_mates(reads: DataFrame) -> DataFrame:
