@@ -4,63 +4,85 @@ Turns of a conversation are ordered by (turn, role, text) and numbered from 1; t
 of hashes of (number, role, text), two sums of 64 bits each. Sums can be taken in any order and over parts, so a
 conversation with very many turns is numbered and summed range by range: rows are dealt by range of (conversation,
 turn, role, text), each range is numbered on its own, and a range's offset is the count and sum of those before it.
-A conversation whose whole hash is the prefix hash of a longer conversation is a snapshot of it and leaves by an
-anti-join; of equal conversations the smallest id stays.
+A conversation whose whole hash is the prefix hash of a longer conversation is a snapshot of it and leaves: more
+conversations then have that prefix than end with it. Of equal conversations the smallest id stays.
 
-Rendering gives `<|role|>` blocks, in parts of `part_turns` turns, so no row grows with the conversation's length.
+All of this moves hashes of texts; texts themselves go along only where turns share number and role, whose order they
+decide, and at the end where the turns that stay are rendered. Rendering gives `<|role|>` blocks, in parts of `part_turns`
+turns, so no row grows with the conversation's length.
 
-Defined results: rows that repeat in full are one turn; a null conv_id is a conversation of its own kind and stays;
-null roles and texts render as empty and differ from empty ones in the hash; other columns are not looked at.
+Defined results: rows that repeat in full are one turn; turns with a null conv_id are rendered as one conversation,
+which stays, has one copy and drops no other; null turns come first; null roles and texts render as empty and differ
+from empty ones in the hash; other columns are not looked at.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import partitions, save
 
+KEYS = ["ck", "tk", "rk", "a", "b"]  # conversation, turn and role as texts that are never null, and the text's hashes
+NO_ID = "-"
 
-def prefix_hashes(conversations: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
-    """(conv, turn, role, text, number, h1, h2): a row for each turn with the hash of the prefix that it ends."""
-    picked = conversations.select(F.col(id_col).alias("conv"), F.col(turn_col).alias("turn"), F.col(role_col).alias("role"), F.col(text_col).alias("text")).distinct()
-    order = ["conv", "turn", "role", "text"]
-    dealt = save(picked.repartitionByRange(partitions(picked.sparkSession), *order).withColumn("range", F.spark_partition_id()))
-    inside = Window.partitionBy("conv", "range").orderBy("turn", "role", "text")
-    so_far = Window.partitionBy("conv").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    before = dealt.groupBy("conv", "range").count().select("conv", "range", F.coalesce(F.sum("count").over(so_far), F.lit(0)).alias("n_before"))
-    same = lambda a, b: F.col(f"a.{a}").eqNullSafe(F.col(f"b.{b}"))
-    numbered = dealt.withColumn("own", F.row_number().over(inside)).alias("a").join(before.alias("b"), same("conv", "conv") & same("range", "range")).select("a.*", (F.col("own") + F.col("n_before")).alias("number"))
-    told = F.concat(F.lit("#"), F.coalesce(F.concat(F.lit("r"), F.col("role")), F.lit("-"))), F.coalesce(F.concat(F.lit("t"), F.col("text")), F.lit("-"))
-    hashed = numbered.withColumns({"x1": F.xxhash64("number", *told).cast("decimal(20,0)"), "x2": F.xxhash64(F.lit(1), *told, "number").cast("decimal(20,0)")})
-    running = inside.rowsBetween(Window.unboundedPreceding, 0)
-    local = hashed.withColumns({"s1": F.sum("x1").over(running), "s2": F.sum("x2").over(running)})
-    offsets = hashed.groupBy("conv", "range").agg(F.sum("x1").alias("t1"), F.sum("x2").alias("t2")).select("conv", "range", *(F.coalesce(F.sum(f"t{i}").over(so_far), F.lit(0)).alias(f"o{i}") for i in (1, 2)))
-    joined = local.alias("a").join(offsets.alias("b"), same("conv", "conv") & same("range", "range"))
-    wide = "decimal(38,0)"
-    return joined.select("a.conv", "a.turn", "a.role", "a.text", "a.number", (F.col("s1") + F.col("o1")).cast(wide).alias("h1"), (F.col("s2") + F.col("o2")).cast(wide).alias("h2"))
-
-
-def maximal(conversations: DataFrame, **columns) -> tuple[DataFrame, DataFrame]:
-    """(turns of the conversations that stay, a row (conv, n_turns, n_copies) for each of these)."""
-    turns = save(prefix_hashes(conversations, **columns))
-    whole = turns.groupBy("conv").agg(F.max(F.struct("number", "h1", "h2")).alias("w")).select("conv", F.col("w.number").alias("number"), F.col("w.h1").alias("h1"), F.col("w.h2").alias("h2"))
-    distinct = whole.groupBy("number", "h1", "h2").agg(F.min("conv").alias("conv"), F.count("*").alias("n_copies"))
-    inner = turns.join(whole.select("conv", F.col("number").alias("last")), "conv").filter("number < last").select("number", "h1", "h2").distinct()
-    kept = save(distinct.join(inner, ["number", "h1", "h2"], "left_anti").select("conv", F.col("number").alias("n_turns"), "n_copies"))
-    same = F.col("a.conv").eqNullSafe(F.col("b.conv"))
-    return turns.alias("a").join(kept.select("conv").alias("b"), same, "left_semi"), kept
-
-
-def render(turns: DataFrame, part_turns: int = 256) -> DataFrame:
-    """(conv, part, rendered)."""
+
+def _told(column: str) -> Column:
+    """A text that tells null and empty apart."""
+    return F.coalesce(F.concat(F.lit("="), F.col(column).cast("string")), F.lit(NO_ID))
+
+
+def keyed(conversations: DataFrame, id_col: str, turn_col: str, role_col: str, text_col: str) -> DataFrame:
+    picked = conversations.select(F.col(id_col).alias("conv"), F.col(turn_col).alias("turn"), F.col(role_col).alias("role"), F.col(text_col).alias("text"))
+    return picked.select("*", _told("conv").alias("ck"), _told("turn").alias("tk"), _told("role").alias("rk"), F.xxhash64(_told("text")).alias("a"), F.xxhash64(F.lit(1), _told("text"), F.lit(2)).alias("b"))
+
+
+def prefix_hashes(rows: DataFrame) -> DataFrame:
+    """(conv, KEYS, number, h1, h2) of keyed() rows: a row for each turn with the hash of the prefix that it ends."""
+    turns = save(rows.groupBy(*KEYS).agg(*(F.first(c).alias(c) for c in ("conv", "turn", "role"))))
+    several = turns.groupBy("ck", "tk", "rk").count().filter("count > 1").select("ck", "tk", "rk")
+    if several.isEmpty():
+        turns = turns.withColumn("tie", F.lit(None).cast("string"))
+    else:
+        texts = rows.join(several, ["ck", "tk", "rk"], "left_semi").groupBy(*KEYS).agg(F.first("text").alias("tie"))
+        turns = turns.join(texts, KEYS, "left")
+    order = ["turn", "role", "tie", "a", "b"]
+    dealt = save(turns.repartitionByRange(partitions(rows.sparkSession), "ck", *order).withColumn("range", F.spark_partition_id()))
+    inside = Window.partitionBy("ck", "range").orderBy(*order)
+    so_far = Window.partitionBy("ck").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    before = dealt.groupBy("ck", "range").count().select("ck", "range", F.coalesce(F.sum("count").over(so_far), F.lit(0)).alias("n_before"))
+    numbered = dealt.withColumn("own", F.row_number().over(inside)).join(before, ["ck", "range"]).withColumn("number", F.col("own") + F.col("n_before"))
+    hashed = save(numbered.select("conv", *KEYS, "range", "number", F.xxhash64("number", "rk", "a", "b").cast("decimal(20,0)").alias("x1"), F.xxhash64(F.lit(1), "b", "rk", "a", "number").cast("decimal(20,0)").alias("x2")))
+    running = Window.partitionBy("ck", "range").orderBy("number").rowsBetween(Window.unboundedPreceding, 0)
+    offsets = hashed.groupBy("ck", "range").agg(F.sum("x1").alias("t1"), F.sum("x2").alias("t2")).select("ck", "range", *(F.coalesce(F.sum(f"t{i}").over(so_far), F.lit(0)).alias(f"o{i}") for i in (1, 2)))
+    joined = hashed.withColumns({"s1": F.sum("x1").over(running), "s2": F.sum("x2").over(running)}).join(offsets, ["ck", "range"])
+    return joined.select("conv", *KEYS, "number", *((F.col(f"s{i}") + F.col(f"o{i}")).cast("decimal(38,0)").alias(f"h{i}") for i in (1, 2)))
+
+
+def maximal(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(turns of the conversations that stay, a row (conv, ck, n_turns, n_copies) for each of these)."""
+    turns = save(prefix_hashes(rows))
+    hashes = ["number", "h1", "h2"]
+    whole = turns.groupBy("ck").agg(F.min("conv").alias("conv"), F.max(F.struct(*hashes)).alias("w")).select("ck", "conv", "w.*")
+    known = F.col("ck") != NO_ID
+    ends = whole.filter(known).groupBy(*hashes).agg(F.min_by("ck", "conv").alias("ck"), F.min("conv").alias("conv"), F.count("*").alias("n_copies"))
+    held = turns.filter(known).groupBy(*hashes).agg(F.count("*").alias("n"))
+    columns = "conv", "ck", F.col("number").alias("n_turns"), "n_copies"
+    kept = ends.join(held, hashes).filter("n = n_copies").select(*columns)
+    kept = save(kept.unionByName(whole.filter(~known).withColumn("n_copies", F.lit(1).cast("bigint")).select(*columns)))
+    return turns.join(kept.select("ck"), "ck", "left_semi"), kept
+
+
+def render(turns: DataFrame, rows: DataFrame, part_turns: int = 256) -> DataFrame:
+    """(ck, part, rendered) of turns, with the texts of rows."""
+    texts = rows.groupBy(*KEYS).agg(F.first("role").alias("role"), F.first("text").alias("text"))
     block = F.concat(F.lit("<|"), F.coalesce("role", F.lit("")), F.lit("|>\n"), F.coalesce("text", F.lit("")), F.lit("\n<|end|>\n"))
-    part = F.floor((F.col("number") - 1) / part_turns).alias("part")
-    return turns.withColumn("block", F.struct("number", block.alias("block"))).groupBy("conv", part).agg(F.array_join(F.transform(F.array_sort(F.collect_list("block")), lambda x: x["block"]), "").alias("rendered"))
+    told = texts.join(turns.select(*KEYS, "number"), KEYS).select("ck", F.floor((F.col("number") - 1) / part_turns).alias("part"), F.struct("number", block.alias("block")).alias("x"))
+    return told.groupBy("ck", "part").agg(F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["block"]), "").alias("rendered"))
 
 
-def format_chats(conversations: DataFrame, part_turns: int = 256, id_col: str = "conv_id", **columns) -> DataFrame:
+def format_chats(conversations: DataFrame, part_turns: int = 256, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
     """(conversation id, part, n_turns, n_copies, rendered): the maximal conversations, rendered."""
-    turns, kept = maximal(conversations, id_col=id_col, **columns)
-    rendered = render(turns, part_turns).alias("a").join(kept.alias("b"), F.col("a.conv").eqNullSafe(F.col("b.conv")))
-    return rendered.select(F.col("a.conv").alias(id_col), "part", F.col("n_turns").cast("bigint").alias("n_turns"), "n_copies", "rendered")
+    rows = keyed(conversations, id_col, turn_col, role_col, text_col)
+    turns, kept = maximal(rows)
+    return render(turns, rows, part_turns).join(kept, "ck").select(F.col("conv").alias(id_col), "part", F.col("n_turns").cast("bigint").alias("n_turns"), "n_copies", "rendered")

@@ -31,6 +31,13 @@ def binary_list(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.large_binary()).to_pylist()
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """A column name like `name` that is none of columns."""
+    while name in columns:
+        name = f"_{name}"
+    return name
+
+
 def word_slices(text: bytes | None, size: int = 4 << 20) -> Iterator[list[bytes]]:
     """The text's words with A-Z in lower case, some at a time, so that a very long text is never a list as a whole."""
     at, n = 0, len(text or b"")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from . import licenses, rules
-from .secrets import ACCESS, ASSIGN, HEX, OPAQUE
+from .secrets import ACCESS, ASSIGN, FEW, HEX, OPAQUE, SHARE
 
 UP, LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SPACE = r"[\x20\x09-\x0D]"
@@ -24,21 +24,22 @@ def shingles(w: str, k: str) -> str:
 
 
 def spans(kind: int, pattern: str, group: int = 0, least: int = 0) -> str:
-    """Rows (doc_id, source, kind, s, e, v) of a pattern's matches; the gaps between matches give their places."""
-    return f"""SELECT doc_id, source, {kind} AS kind, p AS s, p + length(m) AS e, v FROM (
-      SELECT doc_id, source, m, v, sum(length(g)) OVER w + coalesce(sum(length(m)) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS p FROM (
-        SELECT doc_id, source, unnest(ms) AS m, unnest(vs) AS v, unnest(gs[:len(ms)]) AS g, generate_subscripts(ms, 1) AS i FROM (
-          SELECT doc_id, source, regexp_extract_all(coalesce(text, ''), {q(pattern)}) AS ms, regexp_extract_all(coalesce(text, ''), {q(pattern)}, {group}) AS vs, regexp_split_to_array(coalesce(text, ''), {q(pattern)}) AS gs FROM documents))
+    """Rows (doc_id, source, lang, lang, kind, s, e, v) of a pattern's matches; the gaps between matches give their places."""
+    return f"""SELECT doc_id, source, lang, {kind} AS kind, p AS s, p + length(m) AS e, v FROM (
+      SELECT doc_id, source, lang, m, v, sum(length(g)) OVER w + coalesce(sum(length(m)) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS p FROM (
+        SELECT doc_id, source, lang, unnest(ms) AS m, unnest(vs) AS v, unnest(gs[:len(ms)]) AS g, generate_subscripts(ms, 1) AS i FROM (
+          SELECT doc_id, source, lang, regexp_extract_all(coalesce(text, ''), {q(pattern)}) AS ms, regexp_extract_all(coalesce(text, ''), {q(pattern)}, {group}) AS vs, regexp_split_to_array(coalesce(text, ''), {q(pattern)}) AS gs FROM documents))
       WINDOW w AS (PARTITION BY doc_id ORDER BY i)) WHERE length(v) >= {least}"""
 
 
 OP1 = f"""WITH b AS ({spans(0, ASSIGN, 2, 6)} UNION ALL {spans(1, ACCESS)} UNION ALL {spans(2, HEX)}),
 lo AS ({spans(3, OPAQUE)}), l AS (SELECT * FROM lo WHERE regexp_matches(v, '[0-9]') AND regexp_matches(v, '[a-z]') AND regexp_matches(v, '[A-Z]') AND NOT EXISTS (SELECT 1 FROM b WHERE b.doc_id = lo.doc_id AND b.s < lo.e AND lo.s < b.e)),
-c AS (SELECT * FROM b UNION ALL SELECT * FROM l), ow AS (SELECT v, count(DISTINCT source) AS owners FROM c GROUP BY 1),
-j AS (SELECT c.*, owners FROM c JOIN ow ON c.v = ow.v WHERE kind < 3 OR owners <= 1),
+c AS (SELECT * FROM b UNION ALL SELECT * FROM l), lim AS (SELECT greatest({FEW}, CAST(floor(count(*) * {SHARE}) AS BIGINT)) AS most FROM (SELECT DISTINCT source FROM documents)),
+ow AS (SELECT v, count(DISTINCT coalesce(concat('=', source), '-')) AS owners, count(DISTINCT concat_ws('/', source, lang)) AS repos FROM c GROUP BY 1),
+j AS (SELECT c.*, owners, repos, most FROM c JOIN ow ON c.v = ow.v, lim WHERE kind < 3 OR owners <= most),
 n AS (SELECT *, concat(list_extract(['assign', 'access', 'hex', 'owned'], kind + 1), ':', CAST(s AS BIGINT), ':', CAST(e AS BIGINT)) AS t FROM j),
-g AS (SELECT doc_id, count_if(kind = 0) AS n_assign, count_if(kind = 1) AS n_access, count_if(kind = 2) AS n_hex, coalesce(string_agg(t, ',' ORDER BY s, kind) FILTER (kind < 3), '') AS base, string_agg(t, ',' ORDER BY s, kind) AS spans, count_if(owners <= 1) AS n_live, count_if(owners > 1) AS n_copied FROM n GROUP BY 1)
-SELECT d.doc_id, CAST(coalesce(n_assign, 0) AS BIGINT) AS n_assign, CAST(coalesce(n_access, 0) AS BIGINT) AS n_access, CAST(coalesce(n_hex, 0) AS BIGINT) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, CAST(coalesce(n_live, 0) AS BIGINT) AS n_live, CAST(coalesce(n_copied, 0) AS BIGINT) AS n_copied FROM documents d LEFT JOIN g ON d.doc_id = g.doc_id"""
+g AS (SELECT doc_id, count_if(kind = 0) AS n_assign, count_if(kind = 1) AS n_access, count_if(kind = 2) AS n_hex, coalesce(string_agg(t, ',' ORDER BY s, kind) FILTER (kind < 3), '') AS base, string_agg(t, ',' ORDER BY s, kind) AS spans, count_if(owners <= most) AS n_live, count_if(owners > most) AS n_copied, max(repos) AS r FROM n GROUP BY 1)
+SELECT d.doc_id, CAST(coalesce(n_assign, 0) AS BIGINT) AS n_assign, CAST(coalesce(n_access, 0) AS BIGINT) AS n_access, CAST(coalesce(n_hex, 0) AS BIGINT) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, CAST(coalesce(n_live, 0) AS BIGINT) AS n_live, CAST(coalesce(n_copied, 0) AS BIGINT) AS n_copied, CAST(coalesce(r, 0) AS BIGINT) AS most_repos FROM documents d LEFT JOIN g ON d.doc_id = g.doc_id"""
 
 OP2 = f"""WITH i AS (SELECT item_id, {words('text')} AS w FROM benchmark), iw AS (SELECT item_id, w, least(5, len(w)) AS k FROM i WHERE len(w) > 0),
 s AS (SELECT item_id, k, unnest({shingles('w', 'k')}) AS x FROM iw), n AS (SELECT item_id, count(*) AS n FROM s GROUP BY 1),
@@ -73,10 +74,10 @@ def _op3(steps: int = 120, rate: float = 0.5) -> str:
 # Conversations as one text with lengths told, so that a prefix of turns is a prefix of the text.
 OP5 = """WITH t AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS k FROM (SELECT DISTINCT conv_id, turn, role, text FROM conversations)),
 c AS (SELECT conv_id, count(*) AS n, string_agg(concat(coalesce(length(role)::VARCHAR, '-'), ':', role, coalesce(length(text)::VARCHAR, '-'), ':', text), '' ORDER BY k) AS x FROM t GROUP BY 1),
-g AS (SELECT min(conv_id) AS conv_id, n, x, count(*) AS n_copies FROM c GROUP BY n, x),
-m AS (SELECT * FROM g WHERE NOT EXISTS (SELECT 1 FROM g h WHERE h.n > g.n AND starts_with(h.x, g.x)))
+g AS (SELECT min(conv_id) AS conv_id, n, x, count(*) AS n_copies FROM c WHERE conv_id IS NOT NULL GROUP BY n, x),
+m AS (SELECT * FROM g WHERE NOT EXISTS (SELECT 1 FROM g h WHERE h.n > g.n AND starts_with(h.x, g.x)) UNION ALL SELECT conv_id, n, x, 1 FROM c WHERE conv_id IS NULL)
 SELECT m.conv_id, (k - 1) // 256 AS part, n AS n_turns, n_copies, string_agg(concat('<|', coalesce(role, ''), '|>', chr(10), coalesce(text, ''), chr(10), '<|end|>', chr(10)), '' ORDER BY k) AS rendered
-FROM m JOIN t ON m.conv_id = t.conv_id GROUP BY m.conv_id, (k - 1) // 256, n, n_copies"""
+FROM m JOIN t ON m.conv_id IS NOT DISTINCT FROM t.conv_id GROUP BY m.conv_id, (k - 1) // 256, n, n_copies"""
 
 
 def _op6(num: int = 4, den: int = 5) -> str:
@@ -111,7 +112,7 @@ def _op9() -> str:
     tri AS (SELECT doc_id, unnest(range(1, n - 1)) AS i, w FROM h WHERE n >= 3), tr AS (SELECT doc_id, i, array_to_string(w[i:i + 2], ' ') AS x FROM tri), tw AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, x) AS c FROM tr),
     rep AS (SELECT doc_id, count(DISTINCT j) AS r FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS j FROM tw WHERE c > 1) GROUP BY 1),
     ln AS (SELECT doc_id, count(*) - count(DISTINCT x) AS r FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS x FROM d) WHERE regexp_matches(x, '[^\x20\x09-\x0D]') GROUP BY 1),
-    wc AS (SELECT lang, x, count(*) AS c FROM (SELECT lang, unnest(w) AS x FROM d) GROUP BY 1, 2), wt AS (SELECT lang, sum(c) AS total FROM wc GROUP BY 1), big AS (SELECT lang, total FROM wt WHERE total >= (SELECT sum(total) FROM wt) * {rules.MIN_SHARE}),
+    wc AS (SELECT lang, x, count(*) AS c FROM (SELECT lang, unnest(w) AS x FROM d) GROUP BY 1, 2), wt AS (SELECT lang, sum(c) AS total FROM wc GROUP BY 1), big AS (SELECT lang, total FROM wt WHERE total >= {rules.MIN_WORDS}),
     cm AS (SELECT wc.lang, x, c / total AS r FROM wc JOIN big USING (lang) WHERE c * {rules.COMMON} >= total), co AS (SELECT lang, 1 - sum(r) AS r FROM cm GROUP BY 1),
     dc AS (SELECT doc_id, lang, x, count(*) AS c FROM (SELECT doc_id, lang, unnest(w) AS x FROM d) GROUP BY ALL),
     pj AS (SELECT hh.doc_id, hh.lang, cm.x, cm.r, coalesce(dc.c, 0) / hh.n AS p FROM hh JOIN cm ON hh.lang = cm.lang LEFT JOIN dc ON dc.doc_id = hh.doc_id AND dc.x = cm.x WHERE hh.n >= 100),

@@ -16,7 +16,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.secret_report(table(spark, sf_dir, "documents"))
+    """A document's source is the owner; its parts by language stand for the owner's repositories."""
+    docs = table(spark, sf_dir, "documents").withColumn("repository", F.concat_ws("/", "source", "lang"))
+    return secrets.secret_report(docs, repo_col="repository")
 
 
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,9 +8,9 @@ its reference is above a bound. Short texts have noisy histograms, so each test
 Defined results: null and empty texts have no words and fail the base rules; a null language is the language "".
 Every language has its own reference, whatever its share of the corpus. One with under MIN_WORDS words in all has too
 few to tell common words from others, so its documents have no word test. References of languages with at least
-MIN_SHARE of all words go to the workers as one dictionary, the others' as a table joined on the language; a verdict
-does not depend on which.
-Other columns of the input are not looked at.
+MIN_SHARE of all words (so 1/MIN_SHARE of them at most, of COMMON words each) go to the workers as one dictionary, the
+others' as a table joined on the language; a verdict does not depend on which.
+Other columns of the input are not looked at, and pass through whatever their names are where columns are kept.
 """
 
 from __future__ import annotations
@@ -23,11 +23,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Hashes, binary_list, save, windows
+from .common import Hashes, binary_list, save, unused, windows
 
 SYMBOLS = b"#*$%&|<>"
 COMMON = 500
-MIN_SHARE = 1e-4
+MIN_SHARE = 1e-3
 MIN_WORDS = COMMON
 CLASSES = ("lower", "upper", "digit", "space", "symbol", "punctuation", "other")
 _CLASS = np.full(256, 6, dtype=np.int64)
@@ -103,7 +103,9 @@ def language_references(docs: DataFrame, text_col: str = "text", lang_col: str =
     totals = counts.filter("kind = 'w'").groupBy("lang").agg(F.sum("n").alias("total"))
     totals = totals.join(F.broadcast(totals.agg(F.sum("total").alias("everything"))), F.lit(True))
     totals = save(totals.select("lang", "total", (F.col("total") >= F.col("everything") * MIN_SHARE).alias("large")))
-    kept = counts.join(totals, "lang").filter((F.col("kind") == "c") | (F.col("n") * common >= F.col("total")))
+    # A row a language: sent to all tasks, as a join by language would bring a large one's words to one of them.
+    few = F.broadcast(totals) if totals.count() <= 100_000 else totals
+    kept = counts.join(few, "lang").filter((F.col("kind") == "c") | (F.col("n") * common >= F.col("total")))
     rows = save(kept.groupBy("lang", "total", "large").agg(F.collect_list(F.struct("kind", "key", "n")).alias("entries")))
     large = {r["lang"]: reference_of(r["entries"], r["total"]) for r in rows.filter("large").collect()}
     return large, rows.filter("not large").select("lang", "total", "entries")
@@ -144,6 +146,7 @@ def quality_rules(
     class_distance and word_distance (null under the minimum lengths). keep_columns: the input's own columns beside
     `kept` alone, for use as a filter."""
     large, small = language_references(docs, text_col, lang_col)
+    ID, TEXT, LANG, TOTAL, ENTRIES, KEPT = (unused(x, docs.columns) for x in ("__id", "__text", "__lang", "__total", "__entries", "__kept"))
     references = docs.sparkSession.sparkContext.broadcast(large)
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
@@ -151,16 +154,16 @@ def quality_rules(
         hashes, own_of = Hashes(), {}
         for batch in batches:
             rows = []
-            for i, (text, lang) in enumerate(zip(binary_list(batch.column("__text")), batch.column("__lang").to_pylist(), strict=True)):
+            for i, (text, lang) in enumerate(zip(binary_list(batch.column(TEXT)), batch.column(LANG).to_pylist(), strict=True)):
                 words = (text := text or b"").split()
                 n, counts = len(words), base_counts(text, words, hashes)
                 failed = n < 50 or 100 * counts[3] > 50 * n
                 by_class = by_word = None
                 reference = references.value.get(lang) or own_of.get(lang)
-                if not reference and n and "__entries" in batch.schema.names:
+                if not reference and n and ENTRIES in batch.schema.names:
                     if len(own_of) >= 1000:
                         own_of.clear()
-                    reference = own_of[lang] = reference_of(batch.column("__entries")[i].as_py(), batch.column("__total")[i].as_py())
+                    reference = own_of[lang] = reference_of(batch.column(ENTRIES)[i].as_py(), batch.column(TOTAL)[i].as_py())
                 if reference and n >= min_words_classes:
                     by_class = js_distance(char_classes(text).astype(float), reference[0])
                 if reference and n >= min_words_common and reference[2].sum() >= MIN_WORDS:
@@ -173,24 +176,24 @@ def quality_rules(
             types = [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.float64()] * 2
             made = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
             if keep_columns:
-                own = [x for x in batch.schema.names if x not in ("__text", "__lang", "__total", "__entries")]
-                yield pa.RecordBatch.from_arrays([batch.column(x) for x in own] + [made[6]], own + ["__kept"])
+                own = [x for x in batch.schema.names if x not in (TEXT, LANG, TOTAL, ENTRIES)]
+                yield pa.RecordBatch.from_arrays([batch.column(x) for x in own] + [made[6]], own + [KEPT])
             else:
-                yield pa.RecordBatch.from_arrays([batch.column("__id"), *made], [id_col, *names, "base_failed", "kept", "class_distance", "word_distance"])
+                yield pa.RecordBatch.from_arrays([batch.column(ID), *made], [id_col, *names, "base_failed", "kept", "class_distance", "word_distance"])
 
     def judged(picked: DataFrame, schema: str) -> DataFrame:
         if small.isEmpty():
             return picked.mapInArrow(judge, schema)
         # Rows of large languages (and those without words) stay where they are; the others meet their reference.
-        named = small.select(F.col("lang").alias("__lang"), F.col("total").alias("__total"), F.col("entries").alias("__entries"))
-        is_large = F.col("__lang").isin(list(large))
-        rest = picked.filter(~is_large).join(named, "__lang", "left").select(*picked.columns, "__total", "__entries")
+        named = small.select(F.col("lang").alias(LANG), F.col("total").alias(TOTAL), F.col("entries").alias(ENTRIES))
+        is_large = F.col(LANG).isin(list(large))
+        rest = picked.filter(~is_large).join(named, LANG, "left").select(*picked.columns, TOTAL, ENTRIES)
         return picked.filter(is_large).mapInArrow(judge, schema).unionByName(rest.mapInArrow(judge, schema))
 
-    used = [F.col(text_col).alias("__text"), F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("__lang")]
+    used = [F.col(text_col).alias(TEXT), F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias(LANG)]
     if keep_columns:
         own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-        return judged(docs.select("*", *used), f"{own}, __kept boolean").filter("__kept").drop("__kept")
+        return judged(docs.select("*", *used), f"{own}, `{KEPT}` boolean").filter(F.col(KEPT)).drop(KEPT)
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"`{id_col}` {kind}, " + ", ".join(f"{x} bigint" for x in names) + ", base_failed boolean, kept boolean, class_distance double, word_distance double"
-    return judged(docs.select(F.col(id_col).alias("__id"), *used), schema)
+    return judged(docs.select(F.col(id_col).alias(ID), *used), schema)

@@ -16,7 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import save
+from ..functions.arrays import largest_before, sums_before
+from .common import save, unused
 
 KINDS = ("assign", "access", "hex", "owned")
 _ANY_CASE = "|".join(
@@ -28,23 +29,24 @@ HEX = r"[0-9a-f]{24,}"
 OPAQUE = r"[A-Za-z0-9+/_-]{20,}"
 
 
-def _matches(text: Column, pattern: str, kind: int, value_group: int = 0, when: Column | None = None) -> Column:
+#: Owners that a live value may have at most: so many, or this share of all.
+FEW, SHARE = 3, 0.001
+
+
+def _matches(text: Column, pattern: str, kind: int, value_group: int = 0) -> Column:
     """array<struct<start, stop, kind, value>> of a pattern's leftmost non-overlapping matches. What split() leaves
     between the matches gives their positions."""
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     value = whole if value_group == 0 else F.regexp_extract_all(text, F.lit(pattern), F.lit(value_group))
     gaps = F.split(text, pattern, -1)
     parts = F.transform(F.arrays_zip(whole.alias("whole"), value.alias("value"), F.slice(gaps, 1, F.size(whole)).alias("gap")), lambda x: F.struct(F.length(x["gap"]).alias("gap"), F.length(x["whole"]).alias("size"), x["value"].alias("value")))
-    none = F.array().cast("array<struct<start:bigint,stop:bigint,kind:int,value:string>>")
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("found"))
 
-    def add(acc, x):
-        at = acc["at"] + x["gap"]
-        one = F.struct(at.alias("start"), (at + x["size"]).alias("stop"), F.lit(kind).alias("kind"), x["value"].alias("value"))
-        return F.struct((at + x["size"]).alias("at"), F.concat(acc["found"], F.array(one)).alias("found"))
+    def placed(parts: Column) -> Column:
+        at = sums_before(F.transform(parts, lambda x: x["gap"] + x["size"]))
+        return F.transform(F.arrays_zip(at.alias("at"), parts.alias("part")), lambda x: F.struct((x["at"] + x["part"]["gap"]).alias("start"), (x["at"] + x["part"]["gap"] + x["part"]["size"]).alias("stop"), F.lit(kind).alias("kind"), x["part"]["value"].alias("value")))
 
-    found = F.aggregate(parts, start, add, lambda acc: acc["found"])
-    return F.when(text.rlike(pattern) if when is None else when, found).otherwise(none)
+    none = F.array().cast("array<struct<start:bigint,stop:bigint,kind:int,value:string>>")
+    return F.when(text.rlike(pattern), F.transform(F.array(parts), placed)[0]).otherwise(none)
 
 
 def candidates(docs: DataFrame, id_col: str, text_col: str, repo_col: str, owner_col: str) -> DataFrame:
@@ -69,17 +71,16 @@ def ownership(found: DataFrame) -> DataFrame:
     return by_owner.groupBy("value").agg(F.count("*").alias("owners"), F.sum("repos").alias("repos"))
 
 
-def few_owners(docs: DataFrame, owner_col: str = "source", least: int = 10, share: float = 0.001) -> int:
-    """The most owners that a value can have and still be live: a key that is mirrored or used again has a few, an
-    example from documentation is spread widely. `least`, and in a corpus of many owners this share of them."""
-    owners = docs.select(F.col(owner_col).cast("string")).distinct().count()
-    return max(least, int(owners * share))
+def few_owners(docs: DataFrame, owner_col: str = "source", few: int = FEW, share: float = SHARE) -> int:
+    """The most owners that a value can have and still be live."""
+    return max(few, int(docs.select(F.col(owner_col).cast("string")).distinct().count() * share))
 
 
-def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_col: str = "source", owner_col: str = "source", max_owners: int = 1) -> DataFrame:
+def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_col: str = "source", owner_col: str = "source", max_owners: int | None = None) -> DataFrame:
     """A row for each row of docs: id, base (spans of the base kinds), spans (with the added ones; array of
-    start, stop, kind, kind name, owners, repos), live and copied (how many of them have at most, or over,
-    max_owners owners)."""
+    start, kind, stop, owners, repos), live and copied (how many of them have at most, or over, max_owners owners; by
+    default few_owners() of docs)."""
+    max_owners = few_owners(docs, owner_col) if max_owners is None else max_owners
     found = save(candidates(docs, id_col, text_col, repo_col, owner_col))
     each = found.select("row", F.explode(F.concat("base", "loose")).alias("c")).select("row", "c.*")
     judged = each.join(ownership(found), "value").filter((F.col("kind") < 3) | (F.col("owners") <= max_owners))
@@ -101,25 +102,26 @@ def secret_report(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFra
     """Counts and digests of secret_spans()."""
     found = secret_spans(docs, id_col, **options)
     count = lambda k: F.size(F.filter("base", lambda x: x["kind"] == k)).cast("bigint")
-    return found.select(id_col, count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"), F.sha2(spans_text(F.col("base")), 256).alias("base_sha256"), spans_text(F.col("spans")).alias("spans"), F.col("live").alias("n_live"), F.col("copied").alias("n_copied"))
+    return found.select(id_col, count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"), F.sha2(spans_text(F.col("base")), 256).alias("base_sha256"), spans_text(F.col("spans")).alias("spans"), F.col("live").alias("n_live"), F.col("copied").alias("n_copied"), F.coalesce(F.array_max(F.transform("spans", lambda x: x["repos"])), F.lit(0)).cast("bigint").alias("most_repos"))
 
 
-def mask_live_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mask: str = "[SECRET]", max_owners: int = 1, **options) -> DataFrame:
+def mask_live_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mask: str = "[SECRET]", max_owners: int | None = None, owner_col: str = "source", **options) -> DataFrame:
     """docs with each live-looking secret's characters replaced by `mask`; copied examples stay, and so do all rows.
     Only texts that match a pattern are joined with their spans."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    keyed = docs.withColumn("__key", F.xxhash64(id_col, text_col)).withColumn("__hit", text.rlike("|".join((ASSIGN, ACCESS, HEX, OPAQUE))))
-    hit, rest = keyed.filter("__hit"), keyed.filter("not __hit")
-    spans = secret_spans(hit, "__key", text_col, max_owners=max_owners, **options)
-    live = spans.select("__key", F.filter("spans", lambda x: x["owners"] <= max_owners).alias("__spans")).filter(F.size("__spans") > 0)
-    joined = hit.join(live.groupBy("__key").agg(F.first("__spans").alias("__spans")), "__key", "left")
-
-    def add(acc, x):
-        before = F.substring(F.col(text_col), acc["at"] + 1, F.greatest(F.lit(0), x["start"] - acc["at"]).cast("int"))
-        out = F.concat(acc["out"], before, F.when(x["start"] >= acc["at"], F.lit(mask)).otherwise(""))
-        done = F.struct(F.greatest(acc["at"], x["stop"].cast("int")).alias("at"), out.alias("out"))
-        return F.when(x["stop"] <= acc["at"], acc).otherwise(done)
-
-    masked = F.aggregate("__spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), add, lambda acc: F.concat(acc["out"], F.substring(F.col(text_col), acc["at"] + 1, F.length(text_col))))
-    changed = joined.withColumn(text_col, F.when(F.col("__spans").isNull(), F.col(text_col)).otherwise(masked))
+    max_owners = few_owners(docs, owner_col) if max_owners is None else max_owners
+    text, KEY, HIT, SPANS = F.coalesce(F.col(text_col), F.lit("")), *(unused(x, docs.columns) for x in ("__key", "__hit", "__spans"))
+    keyed = docs.withColumn(KEY, F.xxhash64(id_col, text_col)).withColumn(HIT, text.rlike("|".join((ASSIGN, ACCESS, HEX, OPAQUE))))
+    hit, rest = keyed.filter(F.col(HIT)), keyed.filter(~F.col(HIT))
+    spans = secret_spans(hit, KEY, text_col, owner_col=owner_col, max_owners=max_owners, **options)
+    live = spans.select(F.col(KEY), F.filter("spans", lambda x: x["owners"] <= max_owners).alias(SPANS)).filter(F.size(SPANS) > 0)
+    joined = hit.join(live.groupBy(KEY).agg(F.first(SPANS).alias(SPANS)), KEY, "left")
+
+    def masked(spans: Column) -> Column:
+        """For each span, what is left of the text before it and a mask, unless it begins within one before it."""
+        both = F.arrays_zip(spans.alias("span"), largest_before(F.transform(spans, lambda x: x["stop"])).alias("at"))
+        left = lambda x: F.substring(F.col(text_col), x["at"].cast("int") + 1, F.greatest(F.lit(0), x["span"]["start"] - x["at"]).cast("int"))
+        parts = F.transform(both, lambda x: F.when(x["span"]["stop"] > x["at"], F.concat(left(x), F.when(x["span"]["start"] >= x["at"], F.lit(mask)).otherwise(""))).otherwise(""))
+        return F.concat(F.array_join(parts, ""), F.substring(F.col(text_col), F.array_max(F.transform(spans, lambda x: x["stop"])).cast("int") + 1, F.length(text_col)))
+
+    changed = joined.withColumn(text_col, F.when(F.col(SPANS).isNull(), F.col(text_col)).otherwise(F.transform(F.array(F.col(SPANS)), masked)[0]))
     return changed.select(docs.columns).unionByName(rest.select(docs.columns))

@@ -191,13 +191,16 @@ def test_contamination(spark):
         kept = decontam.without_contaminated(documents(spark, texts), items, block_bytes=size)
         assert sorted(r.doc_id for r in kept.collect()) == [0, 1, 4, 6] and kept.columns == documents(spark, []).columns
     assert decontam.contaminated(documents(spark, texts), items.limit(0)).count() == 0
+    named = items.withColumn("item_id", F.concat(F.lit("i"), "item_id"))
+    got = decontam.contaminated(documents(spark, texts).withColumn("doc_id", F.concat(F.lit("d"), "doc_id")), named)
+    assert sorted((r.doc_id, r.item_id) for r in got.collect()) == [("d2", "i1"), ("d3", "i1"), ("d5", "i2")]
 
 
 def test_secrets(spark):
     hex_, key = "0123456789abcdef01234567", "AKIA" + "A1" * 8
     opaque = "abcDEF123456789012345678"
     texts = [None, "", f"é TOKEN = \"{hex_}\"", f"x {key} y", "secret=token: abcdef12", f"see {opaque}", f"{hex_}", "password: short", "api_key='abcdef'"]
-    rows = secrets.secret_report(documents(spark, texts, source=list("aabbbaacc"))).orderBy("doc_id").collect()
+    rows = secrets.secret_report(documents(spark, texts, source=list("aabbbaacc")), max_owners=1).orderBy("doc_id").collect()
     assert [r.spans for r in rows] == ["", "", "assign:2:35,hex:11:35", "access:2:22", "", "owned:4:28", "hex:0:24", "", "assign:0:15"]
     assert rows[2].base_sha256 == hashlib.sha256(b"assign:2:35,hex:11:35").hexdigest() and rows[0].base_sha256 == hashlib.sha256(b"").hexdigest()
     assert (rows[2].n_copied, rows[3].n_live) == (2, 1)  # two owners have the same hex value
@@ -209,7 +212,31 @@ def test_masking(spark):
     docs = documents(spark, [None, f"é token: {hex_}! b", "plain", "plain"])
     assert sorted(r.text or "" for r in secrets.mask_live_secrets(docs).collect()) == ["", "plain", "plain", "é [SECRET]! b"]
     shared = documents(spark, [f"token: {hex_}"] * 2, source=["a", "b"])
-    assert {r.text for r in secrets.mask_live_secrets(shared).collect()} == {f"token: {hex_}"}
+    assert {r.text for r in secrets.mask_live_secrets(shared, max_owners=1).collect()} == {f"token: {hex_}"}
+    assert {r.text for r in secrets.mask_live_secrets(shared).collect()} == {"[SECRET]"}  # a few owners: used again
+
+
+def test_secrets_of_a_few_owners_are_live_and_of_many_copied(spark):
+    hex_, opaque = "0123456789abcdef01234567", "abcDEF123456789012345678"
+    few = documents(spark, [f"{hex_} {opaque}"] * 3, source=list("abc"))
+    assert {(r.spans, r.n_live, r.n_copied) for r in secrets.secret_report(few).collect()} == {("hex:0:24,owned:25:49", 2, 0)}
+    many = documents(spark, [f"{hex_} {opaque}"] * 4, source=list("abcd"))
+    assert {(r.spans, r.n_live, r.n_copied) for r in secrets.secret_report(many).collect()} == {("hex:0:24", 0, 1)}
+    one_owner = few.withColumns({"source": F.lit("a"), "repository": F.col("doc_id").cast("string")})
+    assert {(r.n_live, r.most_repos) for r in secrets.secret_report(one_owner, repo_col="repository").collect()} == {(2, 3)}
+
+
+def test_a_text_of_very_many_secrets(spark):
+    """Positions and masks of 20,000 matches in one text, which grow with the text and not with its square."""
+    parts = [f"é{i} {'%024x' % i}" for i in range(20_000)]
+    r = secrets.secret_spans(documents(spark, [" ".join(parts)])).first()
+    assert len(r.base) == 20_000
+    at = 0
+    for i, part in enumerate(parts):
+        assert r.base[i].start == at + len(part) - 24
+        at += len(part) + 1
+    out = secrets.mask_live_secrets(documents(spark, [" ".join(parts)])).first().text
+    assert out == " ".join(f"é{i} [SECRET]" for i in range(20_000))
 
 
 def test_rules(spark):
@@ -223,6 +250,9 @@ def test_rules(spark):
     assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == (6, 6, 1, 1, 0)
     kept = rules.quality_rules(documents(spark, texts), keep_columns=True)
     assert kept.count() == 40 and kept.columns == documents(spark, []).columns
+    clash = documents(spark, texts).withColumns({c: F.lit("own") for c in ("__text", "__lang", "__kept", "__id")})
+    kept = rules.quality_rules(clash, keep_columns=True)
+    assert kept.count() == 40 and kept.columns == clash.columns and {r["__kept"] for r in kept.collect()} == {"own"}
     assert rules.quality_rules(documents(spark, [])).count() == 0
 
 
@@ -269,11 +299,20 @@ def test_chats(spark):
     df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").withColumn("number", F.lit("x"))
     got = {r.conv_id: (r.n_turns, r.n_copies, r.rendered) for r in chat.format_chats(df).collect()}
     assert got[2] == (3, 2, "<|user|>\na\n<|end|>\n<|bot|>\nb\n<|end|>\n<|user|>\nc\n<|end|>\n")
-    assert set(got) == {2, 3, 5, 6} or set(got) == {2, 3, 5, 6, None}
-    assert got[5][0] == 1
+    assert set(got) == {2, 3, 5, 6, None}
+    assert got[5][0] == 1 and got[None] == (1, 1, "<|user|>\na\n<|end|>\n")
     assert chat.format_chats(df.limit(0)).count() == 0
 
 
+def test_chats_without_an_id_drop_no_others_and_ties_go_by_text(spark):
+    rows = [(None, 0, "u", "a"), (None, 1, "u", "b"), (1, 0, "u", "a"), (2, 0, "u", "b"), (2, 0, "u", "a"), (3, 0, "u", "a"), (3, 0, "u", "b"), (3, 0, None, "z"), (4, None, "u", "n"), (4, 0, "u", "m")]
+    got = {r.conv_id: (r.n_turns, r.n_copies, r.rendered) for r in chat.format_chats(spark.createDataFrame(rows, "conv_id int, turn int, role string, text string")).collect()}
+    block = lambda role, text: f"<|{role}|>\n{text}\n<|end|>\n"
+    assert got[None] == (2, 1, block("u", "a") + block("u", "b"))
+    assert got[2] == (2, 1, block("u", "a") + block("u", "b")) and 1 not in got
+    assert got[3][2] == block("", "z") + block("u", "a") + block("u", "b") and got[4][2] == block("u", "n") + block("u", "m")
+
+
 def test_long_chats_are_parts_of_one_order(spark):
     df = spark.range(1000).select(F.lit(7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"), F.lit("u").alias("role"), F.col("id").cast("string").alias("text"))
     got = chat.format_chats(df, part_turns=300).orderBy("part").collect()
@@ -367,6 +406,34 @@ def test_resampling(spark):
     assert resample.resample(documents(spark, []), labels).count() == 0
 
 
+def test_resampling_is_brute_force(spark):
+    """Log weights from counts by bucket, Gumbel keys, and the kept set by a whole sort; ids are texts, and some tie."""
+    texts = [*corpus(n=40), " ".join(f"w{i % 40}" for i in range(60_000))]
+    ids = [f"d{i}" for i in range(len(texts))]
+    ids[10], texts[10], texts[11] = ids[11], texts[11], texts[11]  # the same id twice, with the same text
+    docs = spark.createDataFrame(list(zip(ids, texts, strict=True)), "doc_id string, text string").withColumn("n_ngrams", F.lit("mine"))
+    good = [f"d{i}" for i in range(8, 30)]
+    rows = resample.resample(docs, spark.createDataFrame([(x,) for x in [*good, None]], "doc_id string"), fraction=0.5, buckets=500, temperature=2.0).collect()
+    hashes = resample.Hashes()
+    grams = [resample.places((t or "").encode(), hashes, 500) for t in texts]
+    raw, target = np.ones(500), np.ones(500)
+    for i, x in zip(ids, grams, strict=True):
+        np.add.at(raw, x, 1)
+        if i in good:
+            np.add.at(target, x, 1)
+    ratio = np.log(target / target.sum()) - np.log(raw / raw.sum())
+    key = {}
+    for i, x in zip(ids, grams, strict=True):
+        weight = sum(ratio[x]) / 2 if len(x) else resample.EMPTY
+        u = (int(hashlib.md5(f"0:{i}".encode()).hexdigest()[:13], 16) + 0.5) / (1 << 52)
+        key[i] = (weight, weight - math.log(-math.log(u)))
+    for r in rows:
+        assert (r.log_weight, r.gumbel_key) == pytest.approx(key[r.doc_id], rel=1e-9)
+    order = sorted(((key[i][1], i) for i in ids), key=lambda x: (-x[0], x[1]))
+    edge = order[math.floor(len(ids) * 0.5) - 1]
+    assert {r.doc_id for r in rows if r.kept} == {i for k, i in order if k > edge[0] or (k == edge[0] and i <= edge[1])}
+
+
 @pytest.mark.parametrize("k", [0, 1, 7, 50, 99, 100, 101])
 def test_kth_largest(spark, k):
     values = [random.Random(i).choice([1.5, 2.5, i / 7, -3.0]) for i in range(100)]
