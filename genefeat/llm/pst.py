@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from .common import Hashes, binary_list, drop_saved, mix, partitions, release, save_bucketed, word_slices
 
 _M1 = np.uint64(0x9E3779B97F4A7C15)
-END, START, NONE = (np.uint64(xxhash.xxh3_64_intdigest(x)) for x in (b" ", b"\t", b"\n"))  # no word has a space
+END, START = (np.uint64(xxhash.xxh3_64_intdigest(x)) for x in (b" ", b"\t"))  # no word has a space
 _BLOCK = 2_000_000  # entries of a block on average
 
 
@@ -76,8 +76,9 @@ def encode(docs: DataFrame, id_col: str, text_col: str, chunk_tokens: int, lead:
             lens, leads = np.array([len(x) for x in made], np.int32), np.array(leads, np.int32)
             new, trained = (lens - leads).astype(np.int64), np.array(train, np.int64)
             ids = pa.concat_arrays(ids)
-            packed = (np.array(rows, np.int64), lens, leads, np.array(train, np.uint8), np.array(starts, np.uint8), tokens.astype(np.uint32), words)
-            values = [pa.array([number]), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids), *(pa.array([x.tobytes()], pa.binary()) for x in packed), *(pa.array([int(x)], pa.int64()) for x in (new.sum(), (new * trained).sum(), (trained * np.array(starts)).sum()))]
+            packed = (x.tobytes() for x in (np.array(rows, np.int64), lens, leads, np.array(train, np.uint8), np.array(starts, np.uint8)))
+            packed = (*packed, _planes(tokens.astype(np.uint32)), words.tobytes())
+            values = [pa.array([number]), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids), *(pa.array([x], pa.binary()) for x in packed), *(pa.array([int(x)], pa.int64()) for x in (new.sum(), (new * trained).sum(), (trained * np.array(starts)).sum()))]
             return pa.RecordBatch.from_arrays(values, ["chunk", "ids", "rows", "lens", "leads", "train", "starts", "tokens", "words", "n_tokens", "n_train", "d_train"])
 
         for batch in batches:
@@ -175,104 +176,129 @@ def _bits(parts: list[dict] | None) -> np.ndarray:
 
 
 class Level:
-    """Tokens (places in the chunk, ascending) whose context of some length is a candidate: the context's hash and
-    count, and the prediction of its suffix."""
+    """Tokens (places in the chunk, ascending) whose context of some length is a candidate. keys: sorted hashes, of which
+    context[i] is the place of token i's context; its count and the prediction of its suffix; the tokens' own hashes,
+    and whether they are training tokens."""
 
-    def __init__(self, at, key, total, parent):
-        self.at, self.key, self.total, self.parent = at, key, total, parent
+    def __init__(self, at, keys, context, total, parent, word, train):
+        self.at, self.keys, self.context, self.total, self.parent, self.word, self.train = at, keys, context, total, parent, word, train
+
+    def grams(self):
+        """Distinct hashes of contexts with the token that follows, and each token's place there."""
+        return np.unique(mix(self.keys[self.context] * _M1 + self.word), return_inverse=True)
+
+    def used(self):
+        """The contexts' hashes, sorted, and each token's place there."""
+        there = np.bincount(self.context, minlength=len(self.keys)) > 0
+        return self.keys[there], (np.cumsum(there) - 1)[self.context]
+
+    FIELDS = {"at": np.uint32, "keys": np.uint64, "context": np.uint32, "total": np.uint64, "parent": np.float64, "word": np.uint64, "learned": np.uint8}
+
+    def packed(self) -> list[bytes]:
+        there, context = self.used()
+        made = {"at": self.at, "keys": there, "context": context, "total": self.total, "parent": self.parent, "word": self.word, "learned": self.train}
+        return [_planes(np.ascontiguousarray(made[k].astype(kind))) for k, kind in self.FIELDS.items()]
+
+    @classmethod
+    def unpacked(cls, row: dict) -> Level:
+        x = {k: _unplaned(row[k], kind) for k, kind in cls.FIELDS.items()}
+        return cls(x["at"].astype(np.int64), x["keys"], x["context"].astype(np.int64), x["total"].astype(np.float64), x["parent"], x["word"], x["learned"].astype(bool))
 
 
 class Chunk:
     """A chunk's tokens. Its row has the answers for words in a0, and for the contexts and n-grams of the levels in
-    `pending` those in n{d} and b{d}; where a table of remaining candidates was made, they are in at, key and so on."""
+    `pending` those in n{d} and b{d}; once a table of remaining candidates was made, its fields are all that is needed."""
 
     def __init__(self, row: dict, model: dict):
         self.m, self.row = model, row
-        self.words = np.append(np.frombuffer(row["words"], np.uint64), [START, NONE])
-        self.t = np.frombuffer(row["tokens"], np.uint32).astype(np.int64)
         self.lens, self.leads = np.frombuffer(row["lens"], np.int32), np.frombuffer(row["leads"], np.int32)
         self.starts = np.cumsum(self.lens) - self.lens
-        self.new = np.arange(len(self.t)) - np.repeat(self.starts, self.lens) >= np.repeat(self.leads, self.lens)
-        self.train = np.repeat(np.frombuffer(row["train"], np.uint8).astype(bool), self.lens) & self.new
-        self.first = np.zeros(len(self.t), bool)
-        self.first[self.starts] = True
 
-    def unigrams(self):
-        return self.words[:-2], np.bincount(self.t[self.train], minlength=len(self.words) - 2)
+    def encoded(self):
+        """Words (sorted hashes), tokens as places among them, whether they count and are training tokens."""
+        row = self.row
+        words, t = np.frombuffer(row["words"], np.uint64), _unplaned(row["tokens"], np.uint32).astype(np.int64)
+        new = np.arange(len(t)) - np.repeat(self.starts, self.lens) >= np.repeat(self.leads, self.lens)
+        return words, t, new, np.repeat(np.frombuffer(row["train"], np.uint8).astype(bool), self.lens) & new
 
-    def _add(self, x: np.ndarray) -> np.ndarray:
-        return np.add.reduceat(np.where(self.new, x, 0), self.starts)
+    def unigrams(self):
+        words, t, _, train = self.encoded()
+        return words, np.bincount(t[train], minlength=len(words))
 
     def level(self) -> Level:
         """Of the level that comes next; sums by piece (n_known, base, score) follow in self.sums."""
         row, m = self.row, self.m
         if row.get("at") is not None:
-            level = Level(np.frombuffer(row["at"], np.uint32).astype(np.int64), np.frombuffer(row["key"], np.uint64), np.frombuffer(row["total"], np.float64), np.frombuffer(row["parent"], np.float64))
             self.sums = [np.frombuffer(row["n_known"], np.int64), *(np.frombuffer(row[c], np.float64) for c in ("base", "score"))]
+            level = Level.unpacked(row)
         else:
-            c = np.append(_totals(row["a0"]), [m["docs"], 0])
+            words, t, new, train = self.encoded()
+            add = lambda x: np.add.reduceat(np.where(new, x, 0), self.starts)
+            c = _totals(row["a0"])
             p = (c + 1) / (m["tokens"] + m["distinct"] + 1)
-            prev = np.roll(self.t, 1)
-            prev[self.starts] = len(self.words) - 2 + (np.frombuffer(row["starts"], np.uint8) == 0)
-            at = np.flatnonzero(c[prev] >= m["least"])
-            level = Level(at, self.words[prev[at]], c[prev[at]], p[self.t[at]])
-            base = self._add(np.log10(p[self.t]))
-            self.sums = [self._add((c[self.t] > 0).astype(np.int64)), base, base.copy()]
+            base = add(np.log10(p)[t])
+            self.sums = [add((c > 0).astype(np.int64)[t]), base, base.copy()]
+            # Before a document's first token is START; before the first of a piece further on, nothing known.
+            place = np.searchsorted(words, START)
+            keys, c = np.insert(words, place, START), np.insert(c, place, m["docs"])
+            prev = np.roll(t + (t >= place), 1)
+            prev[self.starts] = place
+            n = c[prev]
+            n[self.starts[np.frombuffer(row["starts"], np.uint8) == 0]] = 0
+            at = np.flatnonzero(n >= m["least"])
+            level = Level(at, keys, prev[at], n[at], p[t[at]], words[t[at]], train[at])
         for d in m["pending"]:
             level = self.advance(level, _totals(row[f"n{d}"]), _bits(row[f"b{d}"]))
         return level
 
-    def grams(self, level: Level):
-        """Distinct hashes of contexts with the token that follows, and each token's place there."""
-        return np.unique(mix(level.key * _M1 + self.words[self.t[level.at]]), return_inverse=True)
-
     def gram_counts(self):
         level = self.level()
-        keys, place = self.grams(level)
-        return keys, np.bincount(place[self.train[level.at]], minlength=len(keys))
+        keys, place = level.grams()
+        return keys, np.bincount(place[level.train], minlength=len(keys))
 
     def excess(self, d: int):
         """Of each context, the sum over its training occurrences here of its gain less the bound on its mean."""
         level = self.level()
-        n = _totals(self.row[f"n{d}"])[self.grams(level)[1]]
+        n = _totals(self.row[f"n{d}"])[level.grams()[1]]
         mu, p = self.m["mu"], level.parent
         gain = np.log((np.maximum(n - 1, 0) + mu * p) / (np.maximum(level.total - 1, 0) + mu) / p) - self.m["divergence"]
-        used, where = np.unique(level.key, return_inverse=True)
-        train = self.train[level.at]
-        return used, np.bincount(where[train], weights=gain[train], minlength=len(used))
+        used, where = level.used()
+        return used, np.bincount(where[level.train], weights=gain[level.train], minlength=len(used))
 
     def advance(self, level: Level, totals: np.ndarray, retained: np.ndarray) -> Level:
         """The next level's candidates; what this one's retained states say of their tokens goes to the scores."""
-        keys, place = self.grams(level)
+        keys, place = level.grams()
         n = totals[place]
-        kept = retained[np.unique(level.key, return_inverse=True)[1]]
+        kept = retained[level.used()[1]]
         p = (n + self.m["mu"] * level.parent) / (level.total + self.m["mu"])
-        change, tree, count, key = np.zeros(len(self.t)), np.full(len(self.t), np.nan), np.zeros(len(self.t)), np.zeros(len(self.t), np.uint64)
-        change[level.at[kept]] = (np.log10(p) - np.log10(level.parent))[kept]
-        self.sums[2] = self.sums[2] + self._add(change)
-        tree[level.at[kept]] = p[kept]
-        count[level.at], key[level.at] = n, keys[place]
-        before = np.roll(count, 1)
-        before[self.first] = 0
-        at = np.flatnonzero((before >= self.m["least"]) & ~np.isnan(tree))
-        return Level(at, np.roll(key, 1)[at], before[at], tree[at])
+        doc = np.searchsorted(self.starts, level.at, "right") - 1
+        lead = level.at - self.starts[doc] < self.leads[doc]
+        gain = np.where(kept & ~lead, np.log10(p) - np.log10(level.parent), 0)
+        self.sums[2] = self.sums[2] + np.bincount(doc, weights=gain, minlength=len(self.starts))
+        # A retained token goes on if the one before it, in its piece, was a candidate whose n-gram is frequent.
+        follows = np.zeros(len(level.at), bool)
+        follows[1:] = (level.at[1:] == level.at[:-1] + 1) & (doc[1:] == doc[:-1]) & (n[:-1] >= self.m["least"])
+        on = np.flatnonzero(kept & follows)
+        return Level(level.at[on], keys, place[on - 1], n[on - 1], p[on], level.word[on], level.train[on])
 
 
-_STATE = "chunk bigint, n_left bigint, at binary, key binary, total binary, parent binary, n_known binary, base binary, score binary"
+_KEPT = ("rows", "lens", "leads", "train", "starts")
+_LEFT = (*Level.FIELDS, "n_known", "base", "score")
 
 
-def _remaining(known: DataFrame, model: dict) -> DataFrame:
-    """(chunk, candidates of the next level, sums by piece), saved."""
+def _remaining(known: DataFrame, model: dict, id_kind: str) -> DataFrame:
+    """A row for each chunk: its pieces, candidates of the next level, sums by piece. Saved; tokens are needed no more."""
 
     def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in _rows(batch):
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
                 chunk = Chunk(row, model)
                 level = chunk.level()
-                packed = (level.at.astype(np.uint32), level.key, level.total, level.parent, *chunk.sums)
-                yield pa.RecordBatch.from_arrays([pa.array([row["chunk"]]), pa.array([len(level.at)], pa.int64()), *(pa.array([x.tobytes()], pa.binary()) for x in packed)], [x.split()[0] for x in _STATE.split(", ")])
+                packed = (*(row[x] for x in _KEPT), *level.packed(), *(x.tobytes() for x in chunk.sums))
+                yield pa.RecordBatch.from_arrays([pa.array([row["chunk"]]), batch.column("ids").slice(i, 1), pa.array([len(level.at)], pa.int64()), *(pa.array([x], pa.binary()) for x in packed)], ["chunk", "ids", "n_left", *_KEPT, *_LEFT])
 
-    return save_bucketed(known.mapInArrow(tell, _STATE), "chunk")
+    return save_bucketed(known.mapInArrow(tell, f"chunk bigint, ids array<{id_kind}>, n_left bigint, " + ", ".join(f"{x} binary" for x in (*_KEPT, *_LEFT))), "chunk")
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = 8, divergence: float = 0.02, mu: float = 10.0, chunk_tokens: int = 1_000_000, most_depth: int = 64) -> DataFrame:
@@ -301,10 +327,9 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least
             break
         known, model = joined(told, bits, f"b{d}"), model | {"pending": [*model["pending"], d]}
         if d > 1:
-            made = _remaining(known, model)
-            drop_saved(*temporary, *([state] if state is not None else []))
-            temporary, state, model = [], made, model | {"pending": []}
-            known = chunks.join(state.hint("shuffle_hash"), "chunk", "left")
+            made = _remaining(known, model, kind)
+            drop_saved(*temporary, chunks if state is None else state)
+            temporary, known, state, model = [], made, made, model | {"pending": []}
             left = int(state.agg(F.sum("n_left")).first()[0] or 0)
             if not left:
                 break
