@@ -51,8 +51,8 @@ def trim_utrs(transcripts: DataFrame, chunks: DataFrame | None = None) -> DataFr
     then 5' UTR."""
     t = trim_three_prime(transcripts)
     if chunks is not None:
-        t = trim_three_prime(with_last_exon(save(t), chunks, "__last"), sequence="__last").drop("__last")
-    return trim_five_prime(t)
+        t = trim_three_prime(save(with_last_exon(save(t), chunks, "__last")), sequence="__last").drop("__last")
+    return trim_five_prime(save(t))
 
 
 #: How models of each source are selected: transcriptomic ones are translated and searched for ORFs in their UTRs, BUSCO

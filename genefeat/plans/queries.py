@@ -834,8 +834,9 @@ def clean_transcripts(spark, d):
 
 @query
 def three_prime_trim_at_signal(spark, d):
-    t = save(wide_utr(tx(spark, d)))
-    return told_exons(models.trim_three_prime(geneset.with_last_exon(models.trim_three_prime(t), save(slices_of(spark, d)), "last"), sequence="last").drop("last"))
+    t = save(models.trim_three_prime(wide_utr(tx(spark, d))))
+    t = save(geneset.with_last_exon(t, save(slices_of(spark, d)), "last"))
+    return told_exons(models.trim_three_prime(t, sequence="last").drop("last"))
 
 
 @query
