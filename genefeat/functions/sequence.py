@@ -21,7 +21,7 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _let(value: Column, body) -> Column:
+def let(value: Column, body) -> Column:
     """body(value), with the value worked out once however often the body names it."""
     return F.transform(F.array(value), body)[0]
 
@@ -60,7 +60,7 @@ def _in_frame(seq: Column, frame: int, pattern: str) -> Column:
         return F.struct((x["at"] + x["gap"] + frame + 1).alias("start"), (x["at"] + x["gap"] + x["size"] + frame).alias("end"))
 
     both = F.arrays_zip(part(1).alias("gap"), part(2).alias("size"))
-    return _let(both, lambda xs: F.transform(F.arrays_zip(sums_before(F.transform(xs, lambda x: x["gap"] + x["size"])).alias("at"), F.transform(xs, lambda x: x["gap"]).alias("gap"), F.transform(xs, lambda x: x["size"]).alias("size")), placed))
+    return let(both, lambda xs: F.transform(F.arrays_zip(sums_before(F.transform(xs, lambda x: x["gap"] + x["size"])).alias("at"), F.transform(xs, lambda x: x["gap"]).alias("gap"), F.transform(xs, lambda x: x["size"]).alias("size")), placed))
 
 
 def orfs_in_frame(seq: Column, frame: int) -> Column:
@@ -88,7 +88,7 @@ def best_translation(seq: str | Column, min_aa: int = 50, met_aa: int = 100, fac
         aa = amino_acids(F.substring(seq, best["start"].cast("int"), (best["n"] * 3).cast("int")))
         return F.when(best["n"] >= min_aa, F.struct(best["start"].alias("start"), best["end"].alias("end"), aa.alias("aa"), best["met"].alias("met")))
 
-    return _let(F.struct(with_met.alias("met"), without.alias("open")), choose)
+    return let(F.struct(with_met.alias("met"), without.alias("open")), choose)
 
 
 def is_canonical_splice(intron: str | Column) -> Column:
@@ -104,13 +104,17 @@ def valid_cds(seq: str | Column, min_length: int | Column) -> Column:
 def pas_cut_site(seq: str | Column, coding_offset: int | Column, max_utr: int = 1000) -> Column:
     """Length to which an exon's sequence is cut, or null for no cut. The first AATAAA past the coding offset ends at p:
     cut after the A of the first CA in p+15 to p+29, else at p+30. Without a signal, at coding offset + max_utr."""
-    seq = F.upper(_col(seq))
     offset = F.lit(coding_offset) if isinstance(coding_offset, int) else coding_offset
-    signal = F.instr(F.substring(seq, offset + 1, F.length(seq)), "AATAAA")
-    pas_end = offset + signal + 5
-    near = F.instr(F.substring(seq, pas_end + 15, F.lit(15)), "CA")
-    cut = F.when(signal > 0, F.when(near > 0, pas_end + 15 + near).otherwise(pas_end + 30)).when(F.length(seq) - offset > max_utr, offset + max_utr)
-    return F.when(cut < F.length(seq), cut)
+
+    def from_end(x: Column) -> Column:
+        near = F.instr(F.substring(x["seq"], x["end"] + 15, F.lit(15)), "CA")
+        return let(F.struct(x["seq"].alias("seq"), F.when(x["signal"] > 0, F.when(near > 0, x["end"] + 15 + near).otherwise(x["end"] + 30)).when(F.length(x["seq"]) - x["offset"] > max_utr, x["offset"] + max_utr).alias("cut")), lambda y: F.when(y["cut"] < F.length(y["seq"]), y["cut"]))
+
+    def found(x: Column) -> Column:
+        signal = F.instr(F.substring(x["seq"], x["offset"] + 1, F.length(x["seq"])), "AATAAA")
+        return let(signal, lambda g: let(F.struct(x["seq"].alias("seq"), x["offset"].alias("offset"), g.alias("signal"), (x["offset"] + g + 5).alias("end")), from_end))
+
+    return let(F.struct(F.upper(_col(seq)).alias("seq"), offset.alias("offset")), found)
 
 
 def exon_string(exons: str | Column, strand: str | Column) -> Column:

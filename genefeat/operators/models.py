@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.sequence import exon_string, introns, pas_cut_site, valid_cds
+from ..functions.sequence import exon_string, introns, let, pas_cut_site, valid_cds
 
 EXONS = "array<struct<start:bigint,end:bigint>>"
 
@@ -210,22 +210,32 @@ def trim_three_prime(transcripts: DataFrame, max_utr: int = 1000, min_exon: int
     past a gap of min_gap; then the last exon's UTR is cut to max_utr. sequence: a column with the last exon's sequence in
     transcript direction, for a cut at its polyadenylation site."""
 
-    def rule(exons: Column, a: Column, z: Column) -> Column:
-        kept = F.filter(exons, lambda x: x["start"] <= z)
+    def nearest_kept(exons: Column, z: Column) -> Column:
+        def choose(x: Column) -> Column:
+            kept, nearest = x["kept"], x["nearest"]
+            last = F.element_at(kept, -1)
+            first_piece = F.when(last["end"] > z, last["end"] - z).otherwise(nearest["end"] - nearest["start"] + 1)
+            keep = (first_piece < max_utr) & (nearest["end"] - nearest["start"] + 1 >= min_exon) & (nearest["start"] - last["end"] + 1 >= min_gap)
+            return F.when(F.coalesce(keep, F.lit(False)), F.concat(kept, F.array(nearest))).otherwise(kept)
+
         nearest = F.try_element_at(F.filter(exons, lambda x: x["start"] > z), F.lit(1))
-        last = F.element_at(kept, -1)
-        first_piece = F.when(last["end"] > z, last["end"] - z).otherwise(nearest["end"] - nearest["start"] + 1)
-        keep = (first_piece < max_utr) & (nearest["end"] - nearest["start"] + 1 >= min_exon) & (nearest["start"] - last["end"] + 1 >= min_gap)
-        kept = F.when(F.coalesce(keep, F.lit(False)), F.concat(kept, F.array(nearest))).otherwise(kept)
-        end = F.element_at(kept, -1)
-        offset = F.when(end["start"] <= z, z - end["start"]).otherwise(0)
-        over = F.greatest(end["end"] - end["start"] + 1 - offset - max_utr, F.lit(0))
-        cut = F.concat(F.slice(kept, 1, F.size(kept) - 1), F.array(_pair(end["start"], end["end"] - over)))
+        return let(F.struct(F.filter(exons, lambda x: x["start"] <= z).alias("kept"), nearest.alias("nearest")), choose)
+
+    def shortened(exons: Column, z: Column) -> Column:
+        end = F.element_at(exons, -1)
+        over = F.greatest(end["end"] - end["start"] + 1 - F.when(end["start"] <= z, z - end["start"]).otherwise(0) - max_utr, F.lit(0))
+        return F.concat(F.slice(exons, 1, F.size(exons) - 1), F.array(_pair(end["start"], end["end"] - over)))
+
+    def at_signal(exons: Column, z: Column) -> Column:
+        done = F.element_at(exons, -1)
+        coding = F.when(done["start"] <= z, z - done["start"] + 1).otherwise(0).cast("int")
+        site = pas_cut_site(F.substring(F.col(sequence), F.lit(1), (done["end"] - done["start"] + 1).cast("int")), coding)
+        return let(site, lambda cut: F.when(cut > coding, F.concat(F.slice(exons, 1, F.size(exons) - 1), F.array(_pair(done["start"], done["start"] + cut - 1)))).otherwise(exons))
+
+    def rule(exons: Column, a: Column, z: Column) -> Column:
+        cut = let(nearest_kept(exons, z), lambda x: shortened(x, z))
         if sequence is not None:
-            done = F.element_at(cut, -1)
-            coding = F.when(done["start"] <= z, z - done["start"] + 1).otherwise(0).cast("int")
-            site = pas_cut_site(F.substring(F.col(sequence), F.lit(1), (done["end"] - done["start"] + 1).cast("int")), coding)
-            cut = F.when(site > coding, F.concat(F.slice(cut, 1, F.size(cut) - 1), F.array(_pair(done["start"], done["start"] + site - 1)))).otherwise(cut)
+            cut = let(cut, lambda x: at_signal(x, z))
         return F.when(F.exists(exons, lambda x: x["end"] > z), cut).otherwise(exons)
 
     return _trim(transcripts, rule)
