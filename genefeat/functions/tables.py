@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session; a folder of our own only where that is unset (tests, local mode)."""
+    """spark.checkpoint.dir of the session; a folder of our own only where that is unset in local mode. On a cluster each
+    machine would write to its own disk, so there it must be set."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = f"file://{tempfile.mkdtemp(prefix='spark-')}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
