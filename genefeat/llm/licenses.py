@@ -7,7 +7,7 @@ shared >= b * num / (2 * den - num), and a lies between that and b * (2 * den -
 of no fitting size are not compared, and as a match must share that many bigrams, it must hold one of the template's
 anchors, words whose bigrams are too many to be all missing. Texts and units without any anchor are left at once.
 
-Defined results: null and empty texts match nothing; a unit of one word has no bigram and matches nothing; repeated
+Defined results: of licences with the same Dice the first by name counts; null and empty texts match nothing; a unit of one word has no bigram and matches nothing; repeated
 units count each; other columns are not looked at.
 """
 

@@ -88,7 +88,7 @@ def _op6(num: int = 4, den: int = 5) -> str:
     u AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS t FROM documents UNION ALL SELECT doc_id, t FROM (SELECT doc_id, unnest(ps) AS t FROM p) WHERE contains(t, chr(10)) UNION ALL SELECT doc_id, text FROM p WHERE len(ps) > 1),
     w AS (SELECT doc_id, row_number() OVER () AS r, translate(t, '{UP}', '{LOW}') AS t FROM u), v AS (SELECT doc_id, r, regexp_extract_all(t, '[a-z0-9]+') AS l FROM w),
     x AS (SELECT doc_id, r, list_distinct(list_transform(range(1, len(l)), lambda i: concat(l[i], ' ', l[i + 1]))) AS bs FROM v), y AS (SELECT doc_id, r, len(bs) AS a, unnest(bs) AS b FROM x),
-    z AS (SELECT doc_id, r, i, min(license) AS license, 2.0::DOUBLE * count(*) / (min(a) + min(nb)) AS dice FROM y JOIN k USING (b) JOIN kn USING (i) GROUP BY 1, 2, 3), o AS (SELECT doc_id, r, max(dice) AS dice, arg_max(license, dice) AS license FROM z WHERE dice >= {num / den} GROUP BY 1, 2),
+    z AS (SELECT doc_id, r, i, min(license) AS license, 2.0::DOUBLE * count(*) / (min(a) + min(nb)) AS dice FROM y JOIN k USING (b) JOIN kn USING (i) GROUP BY 1, 2, 3), o AS (SELECT doc_id, r, max(dice) AS dice, arg_min(license, row(-dice, license)) AS license FROM z WHERE dice >= {num / den} GROUP BY 1, 2),
     g AS (SELECT doc_id, count(*) AS n, string_agg(DISTINCT license, ',' ORDER BY license) AS ls, max(dice) AS best FROM o GROUP BY 1)
     SELECT d.doc_id, coalesce(n, 0) AS n_matches, coalesce(ls, '') AS licenses, round(coalesce(best, 0), 6) AS best_dice FROM documents d LEFT JOIN g ON d.doc_id = g.doc_id"""
 

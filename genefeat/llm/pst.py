@@ -301,7 +301,7 @@ def _remaining(known: DataFrame, model: dict, id_kind: str) -> DataFrame:
     return save_bucketed(known.mapInArrow(tell, f"chunk bigint, ids array<{id_kind}>, n_left bigint, " + ", ".join(f"{x} binary" for x in (*_KEPT, *_LEFT))), "chunk")
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = 8, divergence: float = 0.02, mu: float = 10.0, chunk_tokens: int = 1_000_000, most_depth: int = 64) -> DataFrame:
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = 8, divergence: float = 0.02, mu: float = 10.0, chunk_tokens: int = 600_000, most_depth: int = 64) -> DataFrame:
     """A row for each row of docs: id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10)."""
     spark, kind = docs.sparkSession, docs.schema[id_col].dataType.simpleString()
     chunks = encode(docs, id_col, text_col, chunk_tokens, most_depth)

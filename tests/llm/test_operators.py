@@ -286,6 +286,12 @@ def test_licenses(spark):
     assert rows[2].best_dice == 1.0
 
 
+def test_equal_dice_goes_by_name(spark):
+    both = {"b": ["free for all uses in one place"], "a": ["free for all uses in two place"]}
+    row = licenses.license_scan(documents(spark, ["free for all uses in"]), templates=both, num=3, den=5).first()
+    assert (row.n_matches, row.licenses) == (1, "a")
+
+
 def test_anchors_are_in_every_match():
     for texts in licenses.TEMPLATES.values():
         for t in texts:
