@@ -1,4 +1,8 @@
-"""A corpus pipeline in five stages, each a table of documents in and out. Part of the subpackage genefeat.llm."""
+"""A corpus pipeline in five stages, each a table of documents in and out. Part of the subpackage genefeat.llm.
+
+Defined results: all stages take documents with the columns COLUMNS and return these alone, the last one topic and
+probability besides; other columns of the input are left behind, whatever their names. A null text has no words, so the
+rules reject it; a null language or source is "". Rows that repeat are near duplicates: one stays. Empty tables pass."""
 
 from __future__ import annotations
 
