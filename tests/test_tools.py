@@ -26,7 +26,10 @@ def test_fasta_and_fastq(spark, tmp_path):
     with gzip.open(tmp_path / "s_1.fastq.gz", "wt") as f:
         f.write("@a\nAC\n+\nII\n@b\nGT\n+\nJJ\n")
     got = tools.read_fastq(spark, str(tmp_path / "s_1.fastq.gz")).orderBy("read_no").collect()
-    assert [tuple(r) for r in got] == [(0, 1, "@a", "AC", "II"), (1, 1, "@b", "GT", "JJ")]
+    assert [tuple(r) for r in got] == [("s", 1, 0, "@a", "AC", "II"), ("s", 1, 1, "@b", "GT", "JJ")]
+    put(tmp_path, "s_2.fastq", "@c\nTT\n+\nKK\n")
+    mates = tools.pair_mates(tools.read_fastq(spark, [str(tmp_path / "s_1.fastq.gz"), str(tmp_path / "s_2.fastq")])).orderBy("read_no")
+    assert [(r.sample, r.header1, r.header2) for r in mates.collect()] == [("s", "@a", "@c"), ("s", "@b", None)]
 
 
 def test_repeat_tools(spark, tmp_path):
@@ -70,7 +73,7 @@ def test_gene_tools(spark, tmp_path):
 
 
 def test_evidence_and_rfam(spark, tmp_path):
-    assert tools.read_rnasamba(spark, put(tmp_path, "r.tsv", "sequence_name\tp\tl\nt\t0.9\tcoding\nt\t0.1\tnoncoding\nx\ty\n"))[0].count() == 1
+    assert tools.read_rnasamba(spark, put(tmp_path, "r.tsv", "sequence_name\tp\tl\nt\t0.9\tcoding\nt\t0.1\tnoncoding\nx\ty\n"))[0].first().rnasamba_prob == 0.9  # the first of an id counts
     assert tools.read_cpc2(spark, put(tmp_path, "c.tsv", "#ID\nt\t9\t3\t0\t0\t0\t0\t0.7\tcoding\n"))[0].first().cpc2_coding
     assert tools.read_diamond(spark, put(tmp_path, "d.tsv", "t\tp" + "\t0" * 8 + "\t1e-5\t60\nshort\n"))[0].first().evalue == 1e-5
     seed = put(tmp_path, "s.seed", "#=GF AC   RF1\n#=GF ID   U6\n#=GF DE   told\n#=GF TP   Gene; snRNA;\nx\n//\n#=GF AC   RF2\n//\n")
