@@ -125,6 +125,14 @@ def _op9() -> str:
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND a <= {dw} AND b <= {dc} AS kept FROM f"""
 
 
+# Rows are numbered, as ids may repeat; a key counts once for each row.
+OP13 = rf"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT r, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM d), k AS (SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), '{UP}', '{LOW}') AS key FROM l),
+c AS (SELECT key FROM k WHERE length(key) >= 1 GROUP BY 1 HAVING count(DISTINCT r) >= 10),
+g AS (SELECT r, count(c.key) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (c.key IS NULL), '')) AS kept_sha256 FROM k LEFT JOIN c USING (key) GROUP BY 1)
+SELECT doc_id, CAST(len(ls) AS BIGINT) AS n_lines, CAST(n_dropped AS BIGINT) AS n_dropped, kept_sha256 FROM d JOIN g USING (r)"""
+
+
 ORACLES = {
     "op1_secret_scans": OP1,
     "op2_benchmark_decontamination": OP2,
@@ -133,4 +141,5 @@ ORACLES = {
     "op6_license_scans": _op6(),
     "op7_ngram_jaccard_join": OP7,
     "op9_quality_rules": _op9(),
+    "op13_line_dedup": OP13,
 }

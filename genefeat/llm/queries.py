@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, jaccard, licenses, mixing, pst, resample, rules, secrets, suffixes
+from . import chat, decontam, jaccard, licenses, lines, mixing, pst, resample, rules, secrets, suffixes
 from .oracles import ORACLES  # noqa: F401
 
 
@@ -59,6 +59,10 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pst.score(table(spark, sf_dir, "documents"))
 
 
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.dedup_lines(table(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -72,5 +76,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_suffix_array_dedup,
         op9_quality_rules,
         op10_lm_scoring,
+        op13_line_dedup,
     )
 }
