@@ -38,8 +38,8 @@ def unused(name: str, columns: list[str]) -> str:
     return name
 
 
-def word_slices(text: bytes | None, size: int = 4 << 20) -> Iterator[list[bytes]]:
-    """The text's words with A-Z in lower case, some at a time, so that a very long text is never a list as a whole."""
+def word_slices(text: bytes | None, size: int = 4 << 20, lower: bool = True) -> Iterator[list[bytes]]:
+    """The text's words, with A-Z in lower case, some at a time, so that a very long text is never a list as a whole."""
     at, n = 0, len(text or b"")
     while at < n:
         end = at + size
@@ -49,7 +49,7 @@ def word_slices(text: bytes | None, size: int = 4 << 20) -> Iterator[list[bytes]
                 end = min((x for c in (b" ", b"\n", b"\t", b"\r", b"\v", b"\f") if (x := text.find(c, end)) >= 0), default=n)
             else:
                 end = space + 1
-        yield text[at:end].lower().split()
+        yield (text[at:end].lower() if lower else text[at:end]).split()
         at = end
 
 

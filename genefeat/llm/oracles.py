@@ -125,6 +125,28 @@ def _op9() -> str:
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND a <= {dw} AND b <= {dc} AS kept FROM f"""
 
 
+def crc32(text: str) -> str:
+    """Unsigned CRC-32 of an ASCII string, bit by bit."""
+    steps = ", ".join(["-1"] * 8)
+    bits = f"flatten(list_transform(string_split({text}, ''), lambda ch: [CAST(ascii(ch) AS BIGINT), {steps}]))"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {bits}), lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, 3988292384 * (c & 1)) END), 4294967295::BIGINT)"
+
+
+# Pairs of equal three-word windows at most a quarter of the text apart, and their gaps and islands for each distance.
+OP11 = rf"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, {words("coalesce(text, '')", False)} AS o, {crc32("doc_id::VARCHAR")} AS h FROM documents),
+s AS (SELECT *, len(o) AS n, CASE WHEN h % 10 = 0 AND len(o) > 0 THEN (h // 10) % len(o) END AS a FROM d), p AS (SELECT *, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM s),
+t AS (SELECT r, doc_id, n, CASE WHEN a IS NULL THEN o ELSE list_transform(range(0, n), lambda i: o[CASE WHEN i < a THEN i ELSE a + (i - a) % p END + 1]) END AS w FROM p),
+x AS (SELECT r, n, unnest(range(0, n)) AS i, unnest(w) AS x FROM t), y AS (SELECT r, n, i, x, lead(x, 1) OVER v AS x1, lead(x, 2) OVER v AS x2 FROM x WINDOW v AS (PARTITION BY r ORDER BY i)),
+e AS (SELECT a.r, b.i - a.i AS q, a.i FROM y a JOIN y b ON a.r = b.r AND a.x = b.x AND a.x1 = b.x1 AND a.x2 = b.x2 AND b.i > a.i WHERE 4 * (b.i - a.i) <= a.n),
+g AS (SELECT r, q, i, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS g FROM e), l AS (SELECT r, q, min(i) AS s, count(*) + 2 + q AS m FROM g GROUP BY r, q, g HAVING count(*) + 2 + q >= greatest(6, 4 * q)),
+u AS (SELECT r, s, m, min(q) AS q FROM l GROUP BY 1, 2, 3), b AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY m::DOUBLE / q DESC, s, q) AS k FROM u),
+ru AS (SELECT r, count(*) AS n_runs, string_agg(concat(s::BIGINT, ',', m::BIGINT, ',', q::BIGINT, chr(10)), '' ORDER BY s, q) AS told FROM u GROUP BY 1),
+dr AS (SELECT DISTINCT r, unnest(range(s + q, s + m)) AS i FROM u),
+co AS (SELECT x.r, string_agg(x, ' ' ORDER BY x.i) FILTER (dr.i IS NULL) AS left_over FROM x LEFT JOIN dr ON x.r = dr.r AND x.i = dr.i GROUP BY 1)
+SELECT t.doc_id, coalesce(n_runs, 0) AS n_runs, CAST(b.s AS BIGINT) AS start, CAST(b.m AS BIGINT) AS length, CAST(b.q AS BIGINT) AS period, CAST(1000 * b.m // b.q AS BIGINT) AS exponent_milli, sha256(coalesce(told, '')) AS runs_sha256, sha256(coalesce(left_over, '')) AS collapsed_sha256
+FROM t LEFT JOIN ru USING (r) LEFT JOIN co USING (r) LEFT JOIN b ON b.r = t.r AND b.k = 1"""
+
+
 # Rows are numbered, as ids may repeat; a key counts once for each row.
 OP13 = rf"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
 l AS (SELECT r, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM d), k AS (SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), '{UP}', '{LOW}') AS key FROM l),
@@ -141,5 +163,6 @@ ORACLES = {
     "op6_license_scans": _op6(),
     "op7_ngram_jaccard_join": OP7,
     "op9_quality_rules": _op9(),
+    "op11_periodic_run_detection": OP11,
     "op13_line_dedup": OP13,
 }

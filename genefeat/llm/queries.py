@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, jaccard, licenses, lines, mixing, pst, resample, rules, secrets, suffixes
+from . import chat, decontam, jaccard, licenses, lines, mixing, pst, resample, rules, runs, secrets, suffixes
 from .oracles import ORACLES  # noqa: F401
 
 
@@ -59,6 +59,11 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pst.score(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_run_detection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("seed", F.crc32(F.col("doc_id").cast("string")))
+    return runs.periodic_runs(docs, seed_col="seed")
+
+
 def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup_lines(table(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
 
@@ -76,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_suffix_array_dedup,
         op9_quality_rules,
         op10_lm_scoring,
+        op11_periodic_run_detection,
         op13_line_dedup,
     )
 }
