@@ -147,6 +147,19 @@ SELECT t.doc_id, coalesce(n_runs, 0) AS n_runs, CAST(b.s AS BIGINT) AS start, CA
 FROM t LEFT JOIN ru USING (r) LEFT JOIN co USING (r) LEFT JOIN b ON b.r = t.r AND b.k = 1"""
 
 
+# A prefix of turns is a text with all lengths told, so nodes are texts and a subtree is what starts with one.
+OP12 = f"""WITH t AS (SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS k, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+s AS (SELECT c, count(*) AS n, {crc32("c::VARCHAR")} % 9 AS h FROM t GROUP BY 1),
+b AS (SELECT s.c, t.k, role, text FROM s JOIN t ON t.c = s.c - s.c % 5 AND t.k <= s.h UNION ALL SELECT s.c, t.k - s.h + least(s.h, coalesce(o.n, 0)), role, text FROM s JOIN t ON t.c = s.c AND t.k > s.h LEFT JOIN s o ON o.c = s.c - s.c % 5),
+p AS (SELECT c, k AS d, strlen(text) AS bytes, string_agg(concat(length(role), ':', role, length(text), ':', text), '' ORDER BY k) OVER (PARTITION BY c ORDER BY k) AS x FROM b UNION ALL SELECT c, 0, 0, '' FROM s),
+q AS (SELECT c, d, bytes, x, lag(x) OVER v AS px, d = max(d) OVER (PARTITION BY c) AS is_end FROM p WINDOW v AS (PARTITION BY c ORDER BY d)),
+n AS (SELECT d, x, min(px) AS px, min(c) AS c, count(*) AS n_convs, min(bytes) AS bytes, sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (is_end), '')) AS e FROM q GROUP BY d, x),
+k AS (SELECT d - 1 AS d, px AS x, count(*) AS n_children FROM n WHERE d > 0 GROUP BY 1, 2), m AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k ON n.d = k.d AND n.x = k.x),
+u AS (SELECT a.d, a.x, count(*) FILTER (z.n_children = 0) AS n_leaves, sum((z.n_convs - 1) * z.bytes) AS saved FROM m a JOIN q ON q.d = a.d AND q.x = a.x JOIN m z ON z.c = q.c AND z.d >= a.d GROUP BY 1, 2)
+SELECT m.c AS conv_id, m.d AS depth, o.c AS parent_conv_id, m.n_convs, m.n_children, CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, m.e AS ends_sha256
+FROM m JOIN u ON m.d = u.d AND m.x = u.x LEFT JOIN m o ON o.d = m.d - 1 AND o.x = m.px"""
+
+
 # Rows are numbered, as ids may repeat; a key counts once for each row.
 OP13 = rf"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
 l AS (SELECT r, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM d), k AS (SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), '{UP}', '{LOW}') AS key FROM l),
@@ -164,5 +177,6 @@ ORACLES = {
     "op7_ngram_jaccard_join": OP7,
     "op9_quality_rules": _op9(),
     "op11_periodic_run_detection": OP11,
+    "op12_conversation_prefix_trie": OP12,
     "op13_line_dedup": OP13,
 }

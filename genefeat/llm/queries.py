@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, jaccard, licenses, lines, mixing, pst, resample, rules, runs, secrets, suffixes
+from . import chat, decontam, jaccard, licenses, lines, mixing, pst, resample, rules, runs, secrets, suffixes, trie
 from .oracles import ORACLES  # noqa: F401
 
 
@@ -64,6 +64,10 @@ def op11_periodic_run_detection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.periodic_runs(docs, seed_col="seed")
 
 
+def op12_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.conversation_trie(table(spark, sf_dir, "conversations"), share=True)
+
+
 def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup_lines(table(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
 
@@ -82,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_quality_rules,
         op10_lm_scoring,
         op11_periodic_run_detection,
+        op12_conversation_prefix_trie,
         op13_line_dedup,
     )
 }
