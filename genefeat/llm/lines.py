@@ -130,18 +130,28 @@ def suspected(held: DataFrame) -> DataFrame:
     return save(dealt.groupBy("slice").applyInArrow(_suspect, "__part int, hashes binary"))
 
 
+def _within(column: pa.ChunkedArray, known: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    """(row, hashes) of the rows of packed hashes that have some of known: all rows are looked up at once."""
+    rows = [np.frombuffer(x.as_buffer(), known.dtype) for x in column]
+    if not len(known) or not rows:
+        return []
+    whole = np.concatenate(rows)
+    met = np.isin(whole, known)
+    ends = np.cumsum([len(x) for x in rows])
+    found = np.split(whole[met], np.concatenate([[0], np.cumsum(met)])[ends[:-1]])
+    return [(i, x) for i, x in enumerate(found) if len(x)]
+
+
+def _rows_of(table: pa.Table, found: list[tuple[int, np.ndarray]]) -> dict[str, pa.Array]:
+    at = pa.array([i for i, _ in found], pa.int64())
+    return {name: table.column(name).take(at) for name in ("__part", "row")}
+
+
 def _shared(left: pa.Table, right: pa.Table) -> pa.Table:
     """Of a partition's rows those with suspected hashes, and these."""
-    asked = np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in right.column("hashes")]) if right.num_rows else np.empty(0, np.uint64)
-    rows, parts, out = [], [], []
-    if len(asked):
-        for p, r, x in zip(left.column("__part").to_pylist(), left.column("row").to_pylist(), left.column("hashes"), strict=True):
-            own = np.frombuffer(x.as_buffer(), np.uint64)
-            if len(own) and len(own := own[np.isin(own, asked)]):
-                rows.append(r)
-                parts.append(p)
-                out.append(own)
-    return pa.table({"__part": pa.array(parts, pa.int32()), "row": pa.array(rows, pa.int64()), "asked": _packed(out)})
+    asked = [np.frombuffer(x.as_buffer(), np.uint64) for x in right.column("hashes")]
+    found = _within(left.column("hashes"), np.concatenate(asked) if asked else np.empty(0, np.uint64))
+    return pa.table(_rows_of(left, found) | {"asked": _packed([x for _, x in found])})
 
 
 def _count(batches):
@@ -180,16 +190,9 @@ def _told(left: pa.Table, right: pa.Table) -> pa.Table:
     by_hash: dict[int, list[tuple[bytes, int]]] = {}
     for h, d, r in zip(right.column("hash").to_pylist(), right.column("digest").to_pylist(), right.column("first").to_pylist(), strict=True):
         by_hash.setdefault(h, []).append((d, r))
-    known = np.fromiter(by_hash, np.int64, len(by_hash))
-    parts, rows, out = [], [], []
-    if len(known):
-        for p, r, x in zip(left.column("__part").to_pylist(), left.column("row").to_pylist(), left.column("hashes"), strict=True):
-            own = np.frombuffer(x.as_buffer(), np.int64)
-            if len(own) and len(own := own[np.isin(own, known)]):
-                parts.append(p)
-                rows.append(r)
-                out.append(b"".join(d + bytes([first == r]) for h in own.tolist() for d, first in by_hash[h]))
-    return pa.table({"__part": pa.array(parts, pa.int32()), "row": pa.array(rows, pa.int64()), "confirmed": pa.array(out, pa.binary())})
+    firsts, found = left.column("row").to_pylist(), _within(left.column("hashes"), np.fromiter(by_hash, np.int64, len(by_hash)))
+    told = [b"".join(d + bytes([first == firsts[i]]) for h in own.tolist() for d, first in by_hash[h]) for i, own in found]
+    return pa.table(_rows_of(left, found) | {"confirmed": pa.array(told, pa.binary())})
 
 
 def _drop(keep_first: bool, with_text: bool):
