@@ -126,10 +126,12 @@ def check_min_rows(sources: dict[str, DataFrame], minimum: int = 100_000) -> Dat
 
 
 def chunk_genome(sequences: DataFrame, chunk: int = 100_000) -> DataFrame:
-    """(seq_region, start, end, seq): each region in chunks."""
-    n = F.floor((F.length("seq") - 1) / chunk)
-    told = sequences.filter(F.length("seq") > 0).select(F.regexp_extract("name", r"^>?\s*(\S+)", 1).alias("seq_region"), "seq", F.explode(F.sequence(F.lit(0).cast("bigint"), n)).alias("k"))
-    return told.select("seq_region", (F.col("k") * chunk + 1).alias("start"), F.least((F.col("k") + 1) * chunk, F.length("seq").cast("bigint")).alias("end"), F.substring("seq", (F.col("k") * chunk + 1).cast("int"), F.lit(chunk)).alias("seq"))
+    """(seq_region, start, end, seq): each region in chunks, cut in one pass. Sequences of a chromosome's size are better
+    read by read_fasta_chunks(), which never holds one whole."""
+    cut = F.regexp_extract_all("seq", F.lit(f"(?s).{{1,{chunk}}}"), F.lit(0))
+    told = sequences.select(F.regexp_extract("name", r"^>?\s*(\S+)", 1).alias("seq_region"), F.posexplode(cut).alias("k", "seq"))
+    start = F.col("k").cast("bigint") * chunk
+    return told.select("seq_region", (start + 1).alias("start"), (start + F.length("seq")).alias("end"), "seq")
 
 
 def get_sequence(chunks: DataFrame, intervals: DataFrame, key: str = "id", chunk: int = 100_000) -> DataFrame:

@@ -131,6 +131,9 @@ put("translate", f"SELECT doc_id, md5(array_to_string(list_transform(regexp_extr
 FRAMES = f"bo AS (SELECT doc_id, '+' AS strand, seq FROM contigs UNION ALL SELECT doc_id, '-', reverse(translate(seq, 'ACGT', 'TGCA')) FROM contigs), fr AS (SELECT doc_id, strand, f AS frame, array_to_string(list_transform(regexp_extract_all(substr(seq, f + 1), '...'), lambda c: {AA}), '') AS aa FROM bo, range(3) r(f)), ps AS (SELECT doc_id, strand, frame, string_split(aa, '*') AS p FROM fr), ex AS (SELECT doc_id, strand, frame, unnest(p) AS x, generate_subscripts(p, 1) AS i, len(p) AS n FROM ps), st AS (SELECT *, coalesce(sum(length(x) + 1) OVER (PARTITION BY doc_id, strand, frame ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS p0 FROM ex)"
 ORF = "ob AS (SELECT *, p0 + instr(x, 'M') - 1 AS m, length(x) - instr(x, 'M') + 1 AS k FROM st WHERE i < n AND instr(x, 'M') > 0), oo AS (SELECT doc_id, strand, frame, m * 3 + frame + 1 AS start, (m + k + 1) * 3 + frame AS \"end\", k FROM ob)"
 ORACLES["orfs"] = more(("contigs",), FRAMES, ORF) + 'SELECT doc_id, strand, frame, CAST(start AS BIGINT) AS start, CAST("end" AS BIGINT) AS "end" FROM oo WHERE "end" - start + 1 >= 60'
+ORACLES["orfs_in_sequences"] = ORACLES["orfs_over_chunks"] = ORACLES["orfs"]
+put("fasta_chunks", "SELECT CAST(doc_id AS VARCHAR) AS seq_region, CAST(k * 1000 + 1 AS BIGINT) AS start, CAST(k * 1000 + length(x) AS BIGINT) AS \"end\", md5(x) AS digest FROM (SELECT doc_id, k, substr(seq, k * 1000 + 1, 1000) AS x FROM (SELECT doc_id, seq, unnest(range((length(seq) + 999) // 1000)) AS k FROM contigs))", "contigs")
+put("fasta_lengths", "SELECT CAST(doc_id AS VARCHAR) AS seq_region, CAST(length(seq) AS BIGINT) AS length FROM contigs WHERE length(seq) > 500", "contigs")
 ORACLES["best_translations"] = more(("contigs",), FRAMES, ORF, "wm AS (SELECT doc_id, start, \"end\", k, row_number() OVER (PARTITION BY doc_id ORDER BY k DESC, start) AS r FROM oo WHERE strand = '+')", "nm AS (SELECT doc_id, p0 * 3 + frame + 1 AS start, (p0 + length(x)) * 3 + frame AS \"end\", length(x) AS k, row_number() OVER (PARTITION BY doc_id ORDER BY length(x) DESC, p0 * 3 + frame + 1) AS r FROM st WHERE strand = '+' AND length(x) > 0)", "b AS (SELECT c.doc_id, coalesce(wm.k, 0) < 100 AND coalesce(nm.k, 0) > 2 * coalesce(wm.k, 0) AS no, wm.start AS s1, wm.\"end\" AS e1, wm.k AS k1, nm.start AS s2, nm.\"end\" AS e2, nm.k AS k2 FROM contigs c LEFT JOIN wm ON c.doc_id = wm.doc_id AND wm.r = 1 LEFT JOIN nm ON c.doc_id = nm.doc_id AND nm.r = 1)") + 'SELECT doc_id, CAST(CASE WHEN no AND k2 >= 20 THEN s2 WHEN NOT no AND k1 >= 20 THEN s1 END AS BIGINT) AS start, CAST(CASE WHEN no AND k2 >= 20 THEN e2 WHEN NOT no AND k1 >= 20 THEN e1 END AS BIGINT) AS "end", CASE WHEN no AND k2 >= 20 THEN false WHEN NOT no AND k1 >= 20 THEN true END AS met FROM b'
 ORACLES["pas_sites"] = more(("contigs",), "p AS (SELECT doc_id, seq, doc_id % 100 AS o, instr(substr(seq, doc_id % 100 + 1), 'AATAAA') AS g FROM contigs)", "q AS (SELECT *, instr(substr(seq, o + g + 5 + 15, 15), 'CA') AS c FROM p)", "z AS (SELECT *, CASE WHEN g > 0 AND c > 0 THEN o + g + 5 + 15 + c WHEN g > 0 THEN o + g + 35 WHEN length(seq) - o > 1000 THEN o + 1000 END AS cut FROM q)") + "SELECT doc_id, CASE WHEN cut < length(seq) THEN cut END AS cut FROM z"
 put("splice_sites", "SELECT doc_id, concat(substr(seq, doc_id % 50 + 1, 2), substr(seq, doc_id % 50 + 99, 2)) IN ('GTAG', 'ATAC', 'GCAG') AS canonical, seq LIKE 'ATG%' AND right(seq, 3) IN ('TAA', 'TAG', 'TGA') AND length(seq) >= 300 AS valid FROM contigs WHERE length(seq) > 200", "contigs")

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from ..functions import sequence as sq
 from ..functions.tables import partitions, save, shared_dir
 from ..operators import clusters, evidence, filters, intervals, joining, models, reads, slices
+from ..operators.orfs import chunk_orfs
 from ..sinks import export
-from ..sources import tools
+from ..sources import fasta, tools
 from . import fixtures, geneset
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -402,6 +403,15 @@ def translate(spark, d):
 
 @query
 def orfs(spark, d):
+    c = fixtures.contigs(spark, d).select("doc_id", F.posexplode(F.regexp_extract_all("seq", F.lit("(?s).{1,100000}"), F.lit(0))).alias("k", "seq"))
+    start = F.col("k").cast("bigint") * 100_000
+    chunks = c.select("doc_id", (start + 1).alias("start"), (start + F.length("seq")).alias("end"), "seq")
+    return chunk_orfs(chunks, 60, "doc_id").select("doc_id", "strand", "frame", "start", "end")
+
+
+@query
+def orfs_in_sequences(spark, d):
+    """As orfs, by expressions over whole sequences."""
     c = fixtures.contigs(spark, d)
     both = c.withColumn("strand", F.lit("+")).unionByName(c.select("doc_id", sq.reverse_complement("seq").alias("seq"), F.lit("-").alias("strand")))
     frames = both.select("doc_id", "strand", F.explode(F.array(*(F.struct(F.lit(f).alias("frame"), sq.orfs_in_frame(F.col("seq"), f).alias("found")) for f in range(3)))).alias("x"))
@@ -457,6 +467,32 @@ def fasta_roundtrip(spark, d):
     return tools.read_fasta(spark, path).select("name", F.length("seq").cast("bigint").alias("length"), F.md5(F.col("seq").cast("binary")).alias("digest"))
 
 
+def wrapped_fasta(spark, c: DataFrame, width: int = 60) -> str:
+    """The folder of contigs (name, seq) as FASTA with a note in each header."""
+    return written(spark, c.select(F.concat(F.lit(">"), "name", F.lit(" a contig\n"), F.regexp_replace("seq", f"(.{{{width}}})", "$1\n")).alias("line")))
+
+
+@query
+def fasta_chunks(spark, d):
+    """Contigs written as FASTA and read straight to chunks."""
+    chunks, _ = fasta.read_fasta_chunks(spark, wrapped_fasta(spark, named_contigs(spark, d)), 1000)
+    return chunks.select("seq_region", "start", "end", F.md5(F.col("seq").cast("binary")).alias("digest"))
+
+
+@query
+def fasta_lengths(spark, d):
+    chunks, _ = fasta.read_fasta_chunks(spark, wrapped_fasta(spark, named_contigs(spark, d)), 1000)
+    return fasta.chunk_lengths(chunks, 500)
+
+
+@query
+def orfs_over_chunks(spark, d):
+    """From FASTA to ORFs over chunks that are shorter than many of them."""
+    chunks, _ = fasta.read_fasta_chunks(spark, wrapped_fasta(spark, named_contigs(spark, d)), 200)
+    found = chunk_orfs(save(chunks), 60)
+    return found.select(F.col("seq_region").cast("bigint").alias("doc_id"), "strand", "frame", "start", "end")
+
+
 def _attributed(spark, d) -> DataFrame:
     rows = fixtures.tool_rows(spark, d).withColumn("strand", F.lit("+"))
     keys = F.when(F.col("model") == 0, F.create_map(F.lit("score"), F.col("score").cast("string"))).otherwise(F.create_map(F.lit("score"), F.col("score").cast("string"), F.lit("repeat_name"), F.concat(F.lit("m"), F.col("model").cast("string"))))
