@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .slices import numbered
+from ..functions.tables import save
 
 
 def dedup_proteins(proteins: DataFrame, min_length: int = 100) -> DataFrame:
@@ -18,22 +18,69 @@ def reheader_proteins(proteins: DataFrame) -> DataFrame:
     return proteins.withColumn("name", F.coalesce(F.nullif(F.regexp_extract("name", r"^(>?[0-9]+_[0-9]:\w+)", 1), F.lit("")), F.col("name")))
 
 
-def sample_size(n: Column, limit: int | None, fraction: float | None, method: int | None) -> Column:
-    """0 (and no method): the smaller of both; 1: the limit; 2: the fraction."""
-    share = F.round(n * (fraction if fraction is not None else 1.0)).cast("bigint")
-    most = F.lit(limit).cast("bigint") if limit is not None else n
-    return {0: F.least(most, share), None: F.least(most, share), 1: most, 2: share}[method]
+def sample_size(n: int, limit: int | None, fraction: float | None, method: int | None) -> int:
+    """How many of n reads are wanted. Without a fraction the limit; with one, method 1 takes the share alone, 0 (and no
+    method) the smaller of both. Shares are rounded half to even."""
+    if method not in (None, 0, 1):
+        raise ValueError(f"unknown method {method}")
+    if fraction is None:
+        return n if limit is None else min(n, limit)
+    share = round(n * fraction)
+    return min(n, share if method == 1 or limit is None else min(limit, share))
+
+
+_DIGIT = 12
+
+
+def smallest(values: DataFrame, column: str, n: int) -> tuple[Column, int, int | None]:
+    """(condition on the bigint column that the rows with a smaller prefix meet, how many rows of the last value it leaves
+    out, that value). The n-th smallest value is found digit by digit: each pass counts rows by the next 12 bits among
+    those with the prefix so far, so only counts leave a task. Stops as soon as a prefix ends at exactly n rows."""
+    ordered = F.col(column).bitwiseXOR(F.lit(-(1 << 63)))  # in order as an unsigned number
+    bits, prefix, left = 64, 0, n
+    while bits:
+        shift = max(0, bits - _DIGIT)
+        within = values if bits == 64 else values.filter(F.shiftrightunsigned(ordered, bits) == prefix)
+        digit = F.shiftrightunsigned(ordered, shift).bitwiseAND(F.lit((1 << (bits - shift)) - 1))
+        counts = dict(within.groupBy(digit.alias("digit")).count().collect())  # 4,096 rows at most
+        for d in sorted(counts):
+            if left <= counts[d]:
+                break
+            left -= counts[d]
+        prefix, bits = (prefix << (bits - shift)) | d, shift
+        if bits and left == counts[d]:
+            return F.shiftrightunsigned(ordered, bits) <= prefix, 0, None
+    value = prefix - (1 << 63)
+    return (F.col(column) < value, left, value) if left < counts[d] else (F.col(column) <= value, 0, None)
 
 
 def subsample_reads(reads: DataFrame, limit: int | None = None, fraction: float | None = None, method: int | None = None, key: Column | None = None, seed: int = 0) -> DataFrame:
-    """reads (read_no, ...) of an exact number of read numbers, the same ones for both mates, by smallest key (a hash of
-    the read number). Nothing is left out where the target is all reads."""
+    """reads (read_no, ...) of an exact number of read numbers, the same ones for both mates, by smallest key (a bigint, by
+    default a hash of the read number), then smallest number. Nothing is left out where all reads are wanted.
+
+    Read numbers are those of the first mate, as a pair of files numbers both alike; without a column `mate` they are
+    the distinct ones. The last key to be taken is found by counts, and reads are filtered where they lie."""
     own = F.xxhash64(F.lit(seed), "read_no") if key is None else key
-    numbers = reads.select("read_no", own.alias("k")).distinct()
-    target = numbers.agg(F.count("*").alias("n")).select(sample_size(F.col("n"), limit, fraction, method).alias("target"))
-    ranked = numbered(numbers, [F.col("k"), F.col("read_no")], "rank")
-    chosen = ranked.join(F.broadcast(target), F.col("rank") <= F.col("target"))  # a single row
-    return reads.join(chosen.select("read_no"), "read_no", "left_semi")
+    keyed = reads.withColumns({"__k": own.cast("bigint"), "__no": F.col("read_no").cast("bigint")})
+    if "mate" in reads.columns:
+        numbers = keyed.filter(F.col("mate").eqNullSafe(F.lit(reads.agg(F.min("mate")).first()[0]))).select("__k", "__no")
+    else:
+        numbers = keyed.select("__k", "__no").distinct()
+    numbers = save(numbers.filter("__no is not null"))
+    n = numbers.count()
+    target = sample_size(n, limit, fraction, method)
+    if target >= n:
+        return reads
+    if target <= 0:
+        return reads.limit(0)
+    taken, left, value = smallest(numbers, "__k", target)
+    if left:
+        tied = numbers.filter(F.col("__k") == value)
+        also, more, last = smallest(tied, "__no", left)
+        if more:  # numbers that repeat within a mate
+            also = also | (F.col("__no") == last)
+        taken = taken | ((F.col("__k") == value) & also)
+    return keyed.filter(taken).select(*reads.columns)
 
 
 def bed12_to_exons(bed: DataFrame) -> DataFrame:

@@ -166,7 +166,16 @@ ORACLES["five_prime_trim"] = more(
     "fx AS (SELECT transcript_id, strand, CASE WHEN side AND os = stop AND u - o >= 50 THEN os + o ELSE os END AS os, oe FROM ov WHERE NOT side OR stop IS NULL OR os > stop OR (os = stop AND (u - o >= 50 OR oe >= a)))",
 ) + BACK + "fx"
 ORACLES["dedup_proteins"] = more(("contigs",), f"p AS (SELECT concat('6573_0:', lpad(CAST(doc_id AS VARCHAR), 8, '0')) AS name, array_to_string(list_transform(regexp_extract_all(seq, '...'), lambda c: {AA}), '') AS aa FROM contigs)") + "SELECT max(name) AS name, length(aa) AS length FROM p WHERE length(aa) >= 100 GROUP BY aa"
-ORACLES["subsample_reads"] = "WITH n AS (SELECT doc_id, row_number() OVER (ORDER BY (doc_id * 7919) % 10007, doc_id) AS r FROM (SELECT DISTINCT doc_id FROM documents)) SELECT doc_id AS read_no, m AS mate FROM n, (SELECT unnest([1, 2]) AS m) WHERE r <= least(400, CAST(round((SELECT count(*) FROM n) * 0.3) AS BIGINT))"
+
+def sampled(size: str) -> str:
+    return f"WITH n AS (SELECT doc_id, row_number() OVER (ORDER BY (doc_id * 7919) % 10007, doc_id) AS r FROM (SELECT DISTINCT doc_id FROM documents)) SELECT doc_id AS read_no, m AS mate FROM n, (SELECT unnest([1, 2]) AS m) WHERE r <= {size}"
+
+
+SHARE = "CAST(round_even((SELECT count(*) FROM n) * 0.3, 0) AS BIGINT)"
+ORACLES["subsample_reads"] = sampled(f"least(400, {SHARE})")
+ORACLES["subsample_reads_smaller"] = sampled(f"least(200, {SHARE})")
+ORACLES["subsample_reads_share"] = sampled(SHARE)
+ORACLES["subsample_reads_limit"] = sampled("150")
 ORACLES["paired_files"] = "SELECT concat('in/s', c_custkey // 2, CASE WHEN c_custkey % 7 = 0 THEN '' ELSE concat('_', c_custkey % 2 + 1) END, '.fastq.gz') AS path, concat('s', c_custkey // 2) AS sample, CAST(CASE WHEN c_custkey % 7 = 0 THEN 1 ELSE c_custkey % 2 + 1 END AS INT) AS mate FROM customer"
 put("pair_mates", "SELECT a.doc_id // 2 AS read_no, CAST(a.doc_id AS VARCHAR) AS header1, CAST(b.doc_id AS VARCHAR) AS header2, a.seq AS seq1, b.seq AS seq2 FROM contigs a LEFT JOIN contigs b ON b.doc_id = a.doc_id + 1 WHERE a.doc_id % 2 = 0", "contigs")
 ORACLES["clade_members"] = "SELECT DISTINCT n_name AS species FROM nation WHERE n_regionkey = 1"

@@ -554,10 +554,18 @@ def dedup_proteins(spark, d):
     return kept.select("name", F.length("seq").cast("bigint").alias("length"))
 
 
-@query
-def subsample_reads(spark, d):
-    r = fixtures.contigs(spark, d).select(F.col("doc_id").alias("read_no"), F.explode(F.array(F.lit(1), F.lit(2))).alias("mate"))
-    return reads.subsample_reads(r, limit=400, fraction=0.3, key=(F.col("read_no") * 7919) % 10007)
+def _sampled(**options) -> Query:
+    def run(spark, d):
+        r = fixtures.contigs(spark, d).select(F.col("doc_id").alias("read_no"), F.explode(F.array(F.lit(1), F.lit(2))).alias("mate"))
+        return reads.subsample_reads(r, key=(F.col("read_no") * 7919) % 10007, **options)
+
+    return run
+
+
+QUERIES["subsample_reads"] = _sampled(limit=400, fraction=0.3)
+QUERIES["subsample_reads_smaller"] = _sampled(limit=200, fraction=0.3, method=0)
+QUERIES["subsample_reads_share"] = _sampled(limit=100, fraction=0.3, method=1)
+QUERIES["subsample_reads_limit"] = _sampled(limit=150)
 
 
 @query

@@ -38,9 +38,24 @@ def test_repeat_types(spark):
     assert [r.t for r in df.select(filters.repeat_class_type("c", rna_at_end=False).alias("t")).collect()] == ["Unknown", "Type I Transposons/LINE", "Unknown"]
 
 
-@pytest.mark.parametrize("limit,fraction,method,n", [(10, 0.5, 0, 10), (80, 0.5, 0, 50), (80, 0.5, 1, 80), (10, 0.5, 2, 50), (None, 0.3, None, 30), (500, None, 1, 100)])
+@pytest.mark.parametrize("limit,fraction,method,n", [(10, 0.5, 0, 10), (80, 0.5, 0, 50), (80, 0.5, 1, 50), (10, 0.5, 1, 50), (None, 0.3, None, 30), (10, 0.5, None, 10), (500, None, 1, 100), (7, None, None, 7), (7, None, 0, 7), (None, 0.025, 1, 2), (None, 0.0, 1, 0)])
 def test_sample_sizes(spark, limit, fraction, method, n):
     r = spark.range(100).select(F.col("id").alias("read_no"), F.explode(F.array(F.lit(1), F.lit(2))).alias("mate"))
     got = reads.subsample_reads(r, limit, fraction, method).collect()
     assert len(got) == 2 * n
     assert {x.read_no for x in got if x.mate == 1} == {x.read_no for x in got if x.mate == 2}
+
+
+def test_sample_of_equal_and_negative_keys(spark):
+    """Ties of keys go by read number; the kth key is found whatever its bits."""
+    with pytest.raises(ValueError):
+        reads.sample_size(10, 5, 0.5, 2)
+    r = spark.range(3000).select(F.col("id").alias("read_no"), F.explode(F.array(F.lit(1), F.lit(2))).alias("mate"))
+    for key in (F.col("read_no") % 3 - 1, F.lit(5), -F.col("read_no") * 3_000_000_000_000_000, F.col("read_no") * (1 << 51) - (1 << 62)):
+        keys = {x.read_no: x.k for x in r.select("read_no", key.cast("bigint").alias("k")).collect()}
+        for n in (1, 1000, 1001, 2999):
+            got = reads.subsample_reads(r, n, key=key).collect()
+            assert len(got) == 2 * n and {x.read_no for x in got} == set(sorted(keys, key=lambda i: (keys[i], i))[:n])
+    plan = reads.subsample_reads(r, 1000)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+    assert reads.subsample_reads(r.drop("mate"), 10).count() == 20
