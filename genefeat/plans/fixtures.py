@@ -117,3 +117,39 @@ def duck(body: str, *ctes: str) -> str:
     """body after the CTEs named: tx_exons, tx, cds, contigs, tool_rows, evidence, diamond."""
     known = {"tx_exons": TX_EXONS, "tx": TRANSCRIPTS, "cds": CDS_EXONS, "contigs": CONTIGS.format(g=", 'g'"), "tool_rows": TOOL_ROWS, "evidence": EVIDENCE, "diamond": DIAMOND}
     return "WITH RECURSIVE " + ", ".join(f"{n} AS ({known[n]})" for n in ctes) + " " + body if ctes else body
+
+
+# Lines of each tool over tool_rows, good and malformed, as expressions that Spark and DuckDB both run.
+_T = "chr(9)"
+TOOL_LINES = {
+    "gtf": (f"concat_ws({_T}, seq_region, 't', 'exon', s, e, '.', '+', '.', 'gene_id \"g\";')", f"concat_ws({_T}, seq_region, 't', 'exon', 'x', e, '.', '+', '.', 'gene_id \"g\";')"),
+    "bed12": (f"concat_ws({_T}, seq_region, s, e, 'n', '0', '+', '0', '0', '0', '1', '10,', '0,')", f"concat_ws({_T}, seq_region, s, e, 'n', '0', '+', '0', '0', '0', '2', '10,20,', '0,')"),
+    "repeatmasker": ("concat_ws(' ', score, '1.0', '0.0', '0.0', seq_region, s, e, '(99)', '+', 'rep', 'LINE/L1', multi, period, '(7)', uniq)", "concat_ws(' ', score, '1.0', '0.0', '0.0', seq_region, s, e, '(99)', '+', 'rep', 'LINE/L1', multi, period, '(7)')"),
+    "dust": ("concat_ws(' ', s, '-', e)", "concat_ws(' ', s, e)"),
+    "trf": ("concat_ws(' ', s, e, period, '2.5', '9', matches, '0', score, '1', '2', '3', '4', '1.5', 'ACGT', 'ACGT')", "concat_ws(' ', s, e, period, 'x', '9', matches, '0', score, '1', '2', '3', '4', '1.5', 'ACGT', 'ACGT')"),
+    "red": ("concat('>', seq_region, ':', s, '-', e)", "concat(seq_region, ':', s)"),
+    "eponine": ("concat_ws(' ', seq_region, 'e', 'TSS', s, e, score, '+', '.')", "concat_ws(' ', seq_region, 'e', 'TSS', 'x', e, score, '+', '.')"),
+    "cpg": ("concat_ws(' ', seq_region, s, e, score, '0', '0', gc, '1')", "concat_ws(' ', seq_region, s, e, score, '0', '0', 'x', '1')"),
+    "trnascan": ("concat_ws(' ', seq_region, '1', s, e, 'Ala', 'TGC', '0', '0', score, 'pseudo')", "concat_ws(' ', seq_region, '1', s, e, 'Ala')"),
+    "cmsearch": ("concat_ws(' ', seq_region, '-', 'm', 'RF1', 'cm', '1', '99', s, e, '+', 'no', '1', '0.5', '0.0', score, '1e-5', '!', '-')", "concat_ws(' ', seq_region, '-', 'm', 'RF1', 'cm', '1', '99', s, e, '+', 'no')"),
+    "genblast": ("concat_ws(' ', seq_region, 'genBlastG', 'transcript', s, e, '30.9', '+', '.', 'ID=1;Name=77;PID=1')", "concat_ws(' ', seq_region, 'genBlastG', 'transcript', s, e, '30.9', '+', '.', 'ID=1')"),
+    "augustus": (f"concat(concat_ws({_T}, seq_region, 'AUGUSTUS', 'transcript', s, e, '.', '+', '.', 'x'), chr(10), '# end gene')", f"concat_ws({_T}, seq_region, 'AUGUSTUS', 'transcript', 'x', e, '.', '+', '.', 'x')"),
+    "star": (f"concat_ws({_T}, seq_region, s, e, strand_code, motif, '1', uniq, multi, '9')", f"concat_ws({_T}, seq_region, s, e, strand_code, 'x', '1', uniq, multi, '9')"),
+    "rnasamba": (f"concat_ws({_T}, concat_ws('_', seq_region, s, e, period, matches, score, gc, strand_code, motif, uniq, multi, model, CAST(round(oe * 10) AS BIGINT)), '0.9', 'coding')", f"concat_ws({_T}, seq_region, s)"),
+    "cpc2": (f"concat_ws({_T}, 't', '900', s, '0', '0', '0', '0', '0.7', 'coding')", f"concat_ws({_T}, 't', '900', 'x', '0', '0', '0', '0', '0.7', s)"),
+    "diamond": (f"concat_ws({_T}, 't', 'P', s, e, '1', '0', '1', '9', '1', '9', '1e-5', score)", f"concat_ws({_T}, 't', 'P', s, e)"),
+}
+TOOL_GROUPS = {
+    "repeats": ("repeatmasker", "dust", "trf", "red"),
+    "small_features": ("eponine", "cpg", "trnascan", "cmsearch"),
+    "models": ("gtf", "bed12", "genblast", "augustus"),
+    "evidence": ("star", "rnasamba", "cpc2", "diamond"),
+}
+WITHOUT_REGION = ("rnasamba", "cpc2", "diamond")
+
+
+def tool_lines(spark: SparkSession, sf_dir: str, tool: str) -> DataFrame:
+    """(line): a tool's output; that of rows with motif 6 is malformed."""
+    views(spark, sf_dir, "lineitem")
+    good, bad = TOOL_LINES[tool]
+    return spark.sql(f"SELECT CASE WHEN motif = 6 THEN {bad} ELSE {good} END AS line FROM ({TOOL_ROWS}) AS t")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from ..operators.filters import REPEAT_TYPES
+from . import fixtures
 from .fixtures import DIAMOND, EVIDENCE, duck
 from .queries import RFAM_NAMES, RFAM_TYPES
 from .stages_sql import Stages, stage
@@ -186,6 +187,20 @@ ORACLES["small_models"] = more(A, CDSLEN, STATS) + "SELECT transcript_id, CASE W
 END = 'e AS "end"'
 RM = "CASE WHEN strand_code <> 2"
 put("read_fastq", "SELECT 1 AS mate, concat('@', doc_id) AS header, md5(seq) AS digest, length(seq) AS n_qual FROM contigs WHERE length(seq) > 0", "contigs")
+def _ingested(group: str) -> str:
+    """Rows by region and rejected lines of a group of readers."""
+    parts = []
+    for tool in fixtures.TOOL_GROUPS[group]:
+        region = "CAST(NULL AS VARCHAR)" if tool in fixtures.WITHOUT_REGION else "'r1'" if tool in ("dust", "trf") else "seq_region"
+        each = 2 if tool == "trnascan" else 1
+        parts.append(f"SELECT '{tool}' AS analysis, 'row' AS kind, {region} AS value, count(*) * {each} AS n FROM tool_rows WHERE motif <> 6 GROUP BY ALL")
+        parts.append(f"SELECT '{tool}' AS analysis, 'reject' AS kind, {fixtures.TOOL_LINES[tool][1]} AS value, count(*) AS n FROM tool_rows WHERE motif = 6 GROUP BY ALL")
+    return " UNION ALL ".join(parts)
+
+
+for _group in fixtures.TOOL_GROUPS:
+    put(f"ingest_{_group}", _ingested(_group), "tool_rows")
+put("augustus_records", "SELECT min(t.seq_region) AS seq_region, min(t.s) AS start, max(t.e) AS \"end\", CAST(1 AS BIGINT) AS n_transcripts, count(*) AS n_exons, count(*) AS last_exon FROM tx t JOIN tx_exons x ON t.transcript_id = x.transcript_id GROUP BY t.transcript_id", "tx_exons", "tx")
 ORACLES["read_bed12"] = ORACLES["bed12_to_exons"]
 put("read_repeatmasker", f"SELECT seq_region, s AS start, {END}, {RM} THEN '+' ELSE '-' END AS strand, CAST(score AS DOUBLE) AS score, concat('rep', model) AS repeat_name, list_extract(['LINE/L1', 'DNA/hAT', 'Simple_repeat'], motif % 3 + 1) AS repeat_class, list_extract(['Type I Transposons/LINE', 'Type II Transposons', 'Simple repeats'], motif % 3 + 1) AS repeat_type, multi AS repeat_start, period AS repeat_end FROM tool_rows WHERE motif <> 6", "tool_rows")
 put("read_dust", f"SELECT 'r1' AS seq_region, s AS start, {END} FROM tool_rows", "tool_rows")

@@ -13,7 +13,7 @@ from ..functions.tables import partitions, save, shared_dir
 from ..operators import clusters, evidence, filters, intervals, joining, models, reads, slices
 from ..operators.orfs import chunk_orfs
 from ..sinks import export
-from ..sources import fasta, tools
+from ..sources import fasta, ingest, tools
 from . import fixtures, geneset
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -765,6 +765,62 @@ def sequence_sets(spark, d):
     return out
 
 
+# Ingest jobs of every reader.
+
+READERS: dict[str, ingest.Reader] = {
+    "gtf": tools.read_gtf,
+    "bed12": tools.read_bed12,
+    "repeatmasker": tools.read_repeatmasker,
+    "dust": lambda spark, path: tools.read_dust(spark, path, "r1"),
+    "trf": lambda spark, path: tools.read_trf(spark, path, "r1", filtered=False),
+    "red": tools.read_red,
+    "eponine": tools.read_eponine,
+    "cpg": lambda spark, path: tools.read_cpg(spark, path, filtered=False),
+    "trnascan": tools.read_trnascan,
+    "cmsearch": tools.read_cmsearch_tblout,
+    "genblast": tools.read_genblast_gff,
+    "augustus": tools.read_augustus,
+    "star": tools.read_star_junctions,
+    "rnasamba": tools.read_rnasamba,
+    "cpc2": tools.read_cpc2,
+    "diamond": tools.read_diamond,
+}
+
+
+def _ingest(group: str) -> Query:
+    def run(spark, d):
+        """What a group of readers leaves in feature tables, by region, and in rejects. A second run finds nothing new."""
+        out, told = f"{shared_dir(spark)}/ingest_{uuid.uuid4().hex}", None
+        for tool in fixtures.TOOL_GROUPS[group]:
+            path = written(spark, fixtures.tool_lines(spark, d, tool))
+            if not ingest.ingest(spark, READERS[tool], path, out, tool) or ingest.ingest(spark, READERS[tool], path, out, tool):
+                raise RuntimeError(f"{tool}: files are not read once")
+            rows = ingest.read_features(spark, out, tool)
+            region = C("seq_region") if "seq_region" in rows.columns else F.lit(None).cast("string")
+            both = rows.select(F.lit("row").alias("kind"), region.alias("value")).unionByName(ingest.read_rejects(spark, out, tool).select(F.lit("reject").alias("kind"), F.col("line").alias("value")))
+            one = both.groupBy(F.lit(tool).alias("analysis"), "kind", "value").agg(F.count("*").alias("n"))
+            told = one if told is None else told.unionByName(one)
+        return told
+
+    return run
+
+
+for _group in fixtures.TOOL_GROUPS:
+    QUERIES[f"ingest_{_group}"] = _ingest(_group)
+
+
+@query
+def augustus_records(spark, d):
+    """What belongs to each id that the Augustus reader gives."""
+    t = tx(spark, d)
+    row = lambda kind, s, e: F.concat_ws("\t", "seq_region", F.lit("AUGUSTUS"), F.lit(kind), s.cast("string"), e.cast("string"), F.lit("."), "strand", F.lit("."), F.lit("x"))
+    exons = F.array_join(F.transform("exons", lambda x: row("exon", x["start"], x["end"])), "\n")
+    rows, _ = tools.read_augustus(spark, written(spark, t.select(F.concat_ws("\n", row("transcript", C("start"), C("end")), exons, F.lit("# end gene")).alias("line"))))
+    exon = C("feature_type") == "exon"
+    told = rows.groupBy("gene_id").agg(F.min("seq_region").alias("seq_region"), F.min("start").alias("start"), F.max("end").alias("end"), F.count_if(~exon).alias("n_transcripts"), F.count_if(exon).alias("n_exons"), F.max("exon_number").cast("bigint").alias("last_exon"))
+    return told.drop("gene_id")
+
+
 # Small operators on their own.
 
 

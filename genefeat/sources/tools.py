@@ -175,24 +175,36 @@ def read_genblast_gff(spark: SparkSession, path: Paths) -> tuple[DataFrame, Data
     return rows.withColumn("gene_id", F.col("transcript_id")), rejects
 
 
-def read_augustus_gff(spark: SparkSession, path: Paths) -> DataFrame:
-    """Transcript and exon rows of records that an `# end gene` line closes, with ids augN by file and record, exons
-    numbered in their record, and coordinates moved by the slice that the file's name tells (.rsN.reM.). Lines that
-    parse to no number are left out, as all lines but these are."""
-    told = ordered_lines(spark, path)
-    files = told.select("path").distinct()
-    by_file = Window.partitionBy("path").orderBy("n")
-    ended = F.sum(F.when(F.col("line").contains("# end gene"), 1).otherwise(0))
-    told = told.withColumn("record", ended.over(by_file.rowsBetween(Window.unboundedPreceding, -1))).withColumn("record", F.coalesce("record", F.lit(0)))
-    closed = ended.over(Window.partitionBy("path")).alias("closed")
-    told = told.select("*", closed).filter(F.col("record") < F.col("closed")).withColumn("f", F.split("line", "\t"))
-    kept = told.filter((F.size("f") == 9) & (_field(1) == "AUGUSTUS") & _field(2).isin("transcript", "exon"))
+def read_augustus(spark: SparkSession, path: Paths) -> tuple[DataFrame, DataFrame]:
+    """Transcript and exon rows of records that an `# end gene` line closes, with ids augN.M by file and record, exons
+    numbered in their record, and coordinates moved by the slice that the file's name tells (.rsN.reM.). Rejects are
+    such lines without nine columns or numbers, and those of a record that nothing closes.
+
+    A line's record is the number of closers before it: those of its file block are counted within the block, those of
+    the blocks before are summed over a row for each block. No file is one task."""
+    raw = spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), F.regexp_replace("value", r"\r$", "").alias("line"))
+    told = raw.withColumns({"ends": F.col("line").contains("# end gene"), "f": F.split("line", "\t")})
+    told = told.withColumn("ours", (_field(1) == "AUGUSTUS") & _field(2).isin("transcript", "exon")).filter("ends or ours")
+    blocks = told.groupBy("path", "block").agg(F.count_if("ends").alias("n"))
+    so_far = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    counted = blocks.select("path", "block", F.coalesce(F.sum("n").over(so_far), F.lit(0)).alias("before"), F.sum("n").over(Window.partitionBy("path")).alias("closed"))
+    inside = F.sum(F.col("ends").cast("bigint")).over(Window.partitionBy("path", "block").orderBy("at"))
+    placed = told.withColumn("inside", inside).filter("ours").join(counted, ["path", "block"]).withColumn("record", F.col("inside") + F.col("before"))
     offset = F.coalesce(F.regexp_extract("path", r"\.rs(\d+)\.re\d+\.", 1).try_cast("bigint") - 1, F.lit(0))
-    number = F.row_number().over(Window.partitionBy("path", "record", F.element_at("f", 3)).orderBy("n"))
-    files = files.withColumn("file_no", F.dense_rank().over(Window.orderBy("path")))  # a row a file
-    kept = kept.withColumns({"exon_number": number}).join(files, "path")
+    parsed = placed.withColumns({"start": _field(3, "bigint") + offset, "end": _field(4, "bigint") + offset})
+    good = (F.size("f") == 9) & (F.col("record") < F.col("closed"))
+    flagged = parsed.withColumn("good", F.coalesce(good & F.col("start").isNotNull() & F.col("end").isNotNull(), F.lit(False)))
+    files = raw.select("path").distinct().withColumn("file_no", F.dense_rank().over(Window.orderBy("path")))  # a row a file
+    number = F.row_number().over(Window.partitionBy("path", "record", "feature_type").orderBy("block", "at"))
+    kept = flagged.filter("good").withColumn("feature_type", _field(2)).withColumn("exon_number", number).join(files, "path")
     name = F.concat(F.lit("aug"), F.col("file_no").cast("string"), F.lit("."), (F.col("record") + 1).cast("string"))
-    return kept.select(_field(0).alias("seq_region"), _field(2).alias("feature_type"), (_field(3, "bigint") + offset).alias("start"), (_field(4, "bigint") + offset).alias("end"), _field(6).alias("strand"), name.alias("gene_id"), name.alias("transcript_id"), F.when(_field(2) == "exon", F.col("exon_number")).alias("exon_number")).filter("start is not null and end is not null")
+    rows = kept.select("path", _field(0).alias("seq_region"), "feature_type", "start", "end", _field(6).alias("strand"), name.alias("gene_id"), name.alias("transcript_id"), F.when(F.col("feature_type") == "exon", F.col("exon_number")).alias("exon_number"))
+    return rows, flagged.filter("not good").select("path", "line")
+
+
+def read_augustus_gff(spark: SparkSession, path: Paths) -> DataFrame:
+    """The rows of read_augustus()."""
+    return read_augustus(spark, path)[0].drop("path")
 
 
 def read_star_junctions(spark: SparkSession, path: Paths) -> tuple[DataFrame, DataFrame]:
