@@ -21,25 +21,38 @@ def overlap_length(a_start, a_end, b_start, b_end) -> Column:
     return F.greatest(F.least(a_end, b_end) - F.greatest(a_start, b_start) + 1, F.lit(0))
 
 
-def _binned(df: DataFrame, side: str, keys: list[str], start: str, end: str, width: int) -> DataFrame:
-    """Rows as a struct column named by side, with level, bin and own level."""
-    widths = [width * 8**k for k in range(_LEVELS)]
-    span = F.col(end) - F.col(start)
+def _own_level(start: str, end: str, width: int) -> Column:
+    """The narrowest width at which the interval spans few bins."""
     own = F.when(F.lit(False), 0)
-    for k, w in enumerate(widths[:-1]):
-        own = own.when(span < 8 * w, k)
-    own = own.otherwise(_LEVELS - 1)
-    bins = lambda k, w: F.when(F.lit(k) >= F.col("__own"), F.transform(F.sequence(F.floor(F.col(start) / w), F.floor(F.col(end) / w)), lambda b: F.struct(F.lit(k).alias("level"), b.alias("bin")))).otherwise(F.array().cast("array<struct<level:int,bin:bigint>>"))
-    told = df.select(*(F.col(k).alias(f"__{k}") for k in keys), F.struct(*[df[c] for c in df.columns]).alias(side), F.col(start).alias(f"__{side}_s"), F.col(end).alias(f"__{side}_e"), own.alias("__own"), F.col(start), F.col(end))
-    told = told.filter(F.col(start) <= F.col(end)).withColumn("__b", F.explode(F.concat(*(bins(k, w) for k, w in enumerate(widths)))))
-    return told.select(*(f"__{k}" for k in keys), side, f"__{side}_s", f"__{side}_e", F.col("__own").alias(f"__{side}_own"), F.col("__b.level").alias("__level"), F.col("__b.bin").alias("__bin"))
+    for k in range(_LEVELS - 1):
+        own = own.when(F.col(end) - F.col(start) < 8 * width * 8**k, k)
+    return own.otherwise(_LEVELS - 1)
+
+
+def _binned(df: DataFrame, side: str, keys: list[str], start: str, end: str, width: int, met: Column) -> DataFrame:
+    """Rows as a struct column named by side, with level, bin and own level. met: the own levels that the other side has;
+    a row is listed at its own level if one of these is no wider, and at the wider ones among them."""
+    told = df.select(*(F.col(k).alias(f"__{k}") for k in keys), F.struct(*[df[c] for c in df.columns]).alias(side), F.col(start).alias(f"__{side}_s"), F.col(end).alias(f"__{side}_e"), _own_level(start, end, width).alias("__own"))
+    told = told.filter(F.col(f"__{side}_s") <= F.col(f"__{side}_e"))
+    own, level = F.col("__own"), F.col("__level")
+    at = told.withColumns({"__met": met, "__level": F.explode(F.array(*map(F.lit, range(_LEVELS))))})
+    at = at.filter(((level == own) & (F.array_min("__met") <= own)) | ((level > own) & F.array_contains("__met", level)))
+    w = F.lit(width).cast("bigint") * F.pow(F.lit(8), F.col("__level")).cast("bigint")
+    bins = F.sequence(F.floor(F.col(f"__{side}_s") / w), F.floor(F.col(f"__{side}_e") / w))
+    return at.select(*(f"__{k}" for k in keys), side, f"__{side}_s", f"__{side}_e", own.alias(f"__{side}_own"), "__level", F.explode(bins).alias("__bin"))
+
+
+def _levels(df: DataFrame, start: str, end: str, width: int) -> Column:
+    """The own levels that occur, eight at most, as a subquery."""
+    return df.filter(F.col(start) <= F.col(end)).agg(F.collect_set(_own_level(start, end, width)).alias("levels")).scalar()
 
 
 def overlap_pairs(left: DataFrame, right: DataFrame, stranded: bool = True, width: int = 1000, contained: bool = False, start: str = "start", end: str = "end", region: str = "seq_region", strand: str = "strand") -> DataFrame:
     """(l, r): each pair of overlapping rows once, as structs; contained: those where r lies inside l. Rows with start
     past end, or a null key, pair with nothing."""
     keys = [region, strand] if stranded else [region]
-    a, b = _binned(left, "l", keys, start, end, width), _binned(right, "r", keys, start, end, width)
+    a = _binned(left, "l", keys, start, end, width, _levels(right, start, end, width))
+    b = _binned(right, "r", keys, start, end, width, _levels(left, start, end, width))
     joined = a.join(b, [*(f"__{k}" for k in keys), "__level", "__bin"])
     w = F.lit(width) * F.pow(F.lit(8), F.col("__level")).cast("bigint")
     once = (F.col("__level") == F.greatest("__l_own", "__r_own")) & (F.col("__bin") == F.floor(F.greatest("__l_s", "__r_s") / w))
@@ -81,7 +94,7 @@ def cluster_by_span(features: DataFrame, stranded: bool = True, piece: int = 1_0
     opened = with_carry(cut, ends).withColumn("__end", F.greatest(F.max(end).over(before), F.col("__before")))
     opened = opened.withColumn("__open", F.when(F.col("__end").isNull() | (F.col(start) > F.col("__end")), F.col(start)))
     opens = opened.groupBy(*keys, "__piece").agg(F.max("__open").alias("o")).select(*keys, "__piece", F.max("o").over(by_piece).alias("__last"))
-    so_far = within.rowsBetween(Window.unboundedPreceding, 0)
+    so_far = within.rangeBetween(Window.unboundedPreceding, Window.currentRow)  # equal rows together: the first window may have had them in another order
     return with_carry(opened, opens).withColumn("cluster_start", F.coalesce(F.max("__open").over(so_far), F.col("__last"))).select(*features.columns, "cluster_start")
 
 
