@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.sequence import exon_string, intron_string, introns
+from ..functions.sequence import exon_string, introns
+from ..functions.tables import save
 from .clusters import cluster_by_coding_exon
 from .filters import junction_filter
 from .models import cds_exons, total
@@ -43,16 +44,36 @@ def score_models(transcripts: DataFrame, single: int = 450, other: int = 300, mi
     return told.withColumn("is_good", (F.col("n_cds_exons") > 0) & (F.col("score") >= minimum))
 
 
-def drop_sub_chains(transcripts: DataFrame, fraction: float = 0.75, empty_is_subchain: bool = False) -> DataFrame:
-    """transcripts (with cluster) and is_good: false where the coding introns are part of another chain of the cluster, or
-    where both coding exons and CDS are under a fraction of the cluster's largest among the rest. Only distinct chains
-    of a cluster are compared."""
-    told = transcripts.withColumns({"__chain": intron_string(cds_exons()), "__n": F.size(cds_exons()), "__len": total(cds_exons())})
-    chains = told.select("cluster", F.col("__chain").alias("chain")).distinct()
-    sub = chains.alias("a").join(chains.alias("b"), (F.col("a.cluster") == F.col("b.cluster")) & (F.col("a.chain") != F.col("b.chain")) & F.col("b.chain").contains(F.col("a.chain")))
-    sub = sub.select(F.col("a.cluster").alias("cluster"), F.col("a.chain").alias("__chain")).distinct().withColumn("__sub", F.lit(True))
-    if not empty_is_subchain:
-        sub = sub.filter("__chain <> ''")
+def sub_chains(chains: DataFrame, by_text: bool = True) -> DataFrame:
+    """(cluster, chain): of distinct chains (array of introns), the ones that are part of another chain of their cluster.
+
+    Every stretch of a chain that is as long as some chain of the cluster is a key: its number of introns, and a hash of
+    all but the first intron's start, which is compared itself. So a chain meets the starts that lead into its own introns,
+    however many chains have them, and no two chains are compared. by_text: the first start may also be the end of a
+    longer number (100..5200 is part of 5100..5200), as where chains are compared as texts."""
+    sizes = chains.filter(F.size("chain") > 0).groupBy("cluster").agg(F.collect_set(F.size("chain")).alias("sizes"))
+    key = lambda part, n: [n.alias("n"), F.element_at(part, 1)["end"].alias("end"), F.xxhash64(F.slice(part, 2, F.greatest(n - 1, F.lit(0)))).alias("h"), F.element_at(part, 1)["start"].cast("string").alias("start")]
+    each = chains.join(sizes, "cluster").select("cluster", "chain", F.explode(F.filter("sizes", lambda n: n <= F.size("chain"))).alias("n"))
+    each = each.select("cluster", "chain", "n", F.explode(F.sequence(F.lit(1), F.size("chain") - F.col("n") + 1)).alias("p"))
+    proper = (F.col("n") < F.size("chain")).alias("proper")
+    index = each.select("cluster", *key(F.slice("chain", F.col("p"), F.col("n")), F.col("n")), proper)
+    index = index.groupBy("cluster", "n", "end", "h", "start").agg(F.max("proper").alias("proper")).withColumnRenamed("start", "into")
+    own = chains.filter(F.size("chain") > 0).select("cluster", "chain", *key(F.col("chain"), F.size("chain")))
+    same = F.col("into") == F.col("start")
+    part = (same & F.col("proper")) | (~same & F.col("into").endswith(F.col("start"))) if by_text else same & F.col("proper")
+    return own.join(index, ["cluster", "n", "end", "h"]).filter(part).select("cluster", "chain").distinct()
+
+
+def drop_sub_chains(transcripts: DataFrame, fraction: float = 0.75, empty_is_subchain: bool = False, by_text: bool = True) -> DataFrame:
+    """transcripts (with cluster) and is_good: false where the coding introns are part of another chain of the cluster
+    (see sub_chains()), or where both coding exons and CDS are under a fraction of the cluster's largest among the rest."""
+    told = transcripts.withColumns({"__chain": introns(cds_exons()), "__n": F.size(cds_exons()), "__len": total(cds_exons())})
+    chains = save(told.select("cluster", F.col("__chain").alias("chain")).distinct())
+    sub = sub_chains(chains, by_text)
+    if empty_is_subchain:
+        several = chains.groupBy("cluster").count().filter("count > 1").select("cluster")
+        sub = sub.unionByName(chains.filter(F.size("chain") == 0).join(several, "cluster", "left_semi"))
+    sub = sub.withColumnRenamed("chain", "__chain").withColumn("__sub", F.lit(True))
     flagged = told.join(sub, ["cluster", "__chain"], "left").withColumn("__sub", F.coalesce("__sub", F.lit(False)))
     largest = flagged.filter("not __sub").groupBy("cluster").agg(F.max("__n").alias("__most"), F.max("__len").alias("__longest"))
     joined = flagged.join(largest, "cluster", "left")
