@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,14 +21,61 @@ def coding_exons(transcripts: DataFrame, *carry: str) -> DataFrame:
     return told.select("transcript_id", *carry, "seq_region", "strand", F.col("e.start").alias("start"), F.col("e.end").alias("end"))
 
 
-def cluster_by_coding_exon(transcripts: DataFrame) -> DataFrame:
+def _piece_labels(table: pa.Table) -> pa.Table:
+    """A piece's edges (transcript_id, island) to (transcript_id, label): each transcript with the smallest one that shared
+    islands connect it with."""
+    ids, islands = table.column("transcript_id").combine_chunks().dictionary_encode(), table.column("island").combine_chunks().dictionary_encode()
+    names = ids.dictionary
+    rank = np.empty(len(names), np.int64)
+    order = pc.sort_indices(names).to_numpy()
+    rank[order] = np.arange(len(names))
+    low = rank[ids.indices.to_numpy()]
+    n = len(names)
+    parent = list(range(n + len(islands.dictionary)))  # transcripts by rank, then islands
+
+    def top(x):
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    for x, y in zip(low.tolist(), (n + islands.indices.to_numpy()).tolist(), strict=True):
+        a, b = top(x), top(y)
+        if a != b:
+            parent[max(a, b)] = min(a, b)
+    return pa.table({"transcript_id": names.take(pa.array(order)), "label": names.take(pa.array(order[[top(x) for x in range(n)]]))})
+
+
+def island_labels(edges: DataFrame, most_edges: int = 4_000_000) -> DataFrame:
+    """(transcript_id, label) of edges (transcript_id, seq_region, strand, piece, island): for each transcript the smallest
+    one that it is connected with by islands.
+
+    A piece of a region is solved in one task; one with more than most_edges edges is not, and its islands stand as they
+    are, each with its smallest transcript. What connects pieces, or islands of these, is transcripts with several labels:
+    only those go into rounds."""
+    piece = ["seq_region", "strand", "piece"]
+    edges = save(edges)
+    large = F.broadcast(save(edges.groupBy(*piece).count().filter(F.col("count") > most_edges).select(*piece)))  # under 1/most_edges of the edges
+    kind = edges.schema["transcript_id"].dataType.simpleString()
+    small = edges.join(large, piece, "left_anti").groupBy(*piece).applyInArrow(_piece_labels, f"transcript_id {kind}, label {kind}")
+    rest = edges.join(large, piece, "left_semi")
+    hubs = rest.groupBy(*piece, "island").agg(F.min("transcript_id").alias("label"))
+    found = save(small.unionByName(rest.join(hubs, [*piece, "island"]).select("transcript_id", "label")))
+    own = found.groupBy("transcript_id").agg(F.min("label").alias("m"), F.max("label").alias("x"))
+    crossing = own.filter("m <> x").select("transcript_id", "m")
+    links = save(found.join(crossing, "transcript_id").filter("label <> m").select("label", "m").distinct())
+    if links.isEmpty():
+        return own.select("transcript_id", F.col("m").alias("label"))
+    joined = connected_components(links, "label", "m").withColumnsRenamed({"node": "m", "label": "whole"})
+    return own.join(joined, "m", "left").select("transcript_id", F.coalesce("whole", "m").alias("label"))
+
+
+def cluster_by_coding_exon(transcripts: DataFrame, piece: int = 1_000_000, most_edges: int = 4_000_000) -> DataFrame:
     """transcripts with cluster (its smallest transcript_id) and cluster_size: connected by overlap of coding exons on one
     strand. Exon islands and their transcripts are the graph, so no pair of a deep island is written out. A transcript
     without coding exons is a cluster of its own."""
     islands = cluster_by_span(coding_exons(transcripts))
-    hubs = islands.groupBy("seq_region", "strand", "cluster_start").agg(F.min("transcript_id").alias("hub"))
-    edges = islands.join(hubs, ["seq_region", "strand", "cluster_start"]).select("transcript_id", "hub").distinct()
-    labels = connected_components(edges, "transcript_id", "hub").withColumnRenamed("node", "transcript_id")
+    edges = islands.select("transcript_id", "seq_region", "strand", F.floor(F.col("cluster_start") / piece).alias("piece"), F.col("cluster_start").alias("island")).distinct()
+    labels = island_labels(edges, most_edges)
     named = transcripts.join(labels, "transcript_id", "left").withColumn("cluster", F.coalesce("label", "transcript_id")).drop("label")
     return named.join(named.groupBy("cluster").agg(F.count("*").alias("cluster_size")), "cluster")
 
