@@ -28,45 +28,61 @@ def _codon(bases: str, reverse: bool) -> int:
     return int(a * 16 + b * 4 + c)
 
 
-#: By strand the values of stops and of ATG, read along the + strand.
-_WANTED = {s: (np.array([_codon(x, s == "-") for x in STOPS]), _codon("ATG", s == "-")) for s in "+-"}
-
-
-def _scan(batches):
-    """Rows (region, start, seq, ahead: the two bases after) to ORFs (first, last) and summaries (first_stop, head, tail). Positions
-    are those of codons' first bases from 0, on - of their last ones, negative: both count along the strand's direction."""
-    names = ["region", "strand", "frame", "place", "first", "last", "first_stop", "head", "tail"]
-    for b in batches:
-        for region, start, seq, ahead in zip(*(b.column(c) for c in ("region", "start", "seq", "ahead")), strict=True):
-            codes = _CODE[np.frombuffer(((seq.as_py() or "") + (ahead.as_py() or "")).encode("ascii", "replace"), np.uint8)]
-            values = codes[:-2] * 16 + codes[1:-1] * 4 + codes[2:]
-            out: list[list] = [[] for _ in names]
-
-            def put(*row, out=out):
-                for column, value in zip(out, row, strict=True):
-                    column.append(value)
-
-            low = start.as_py() - 1
-            for strand, (stop_values, start_value) in _WANTED.items():
-                stops, starts = low + np.flatnonzero(np.isin(values, stop_values)), low + np.flatnonzero(values == start_value)
-                if strand == "-":
-                    stops, starts = -(stops[::-1] + 2), -(starts[::-1] + 2)
-                for frame in range(3):
-                    s, a = stops[stops % 3 == frame], starts[starts % 3 == frame]
-                    after = lambda x, a=a: int(a[i]) if (i := int(np.searchsorted(a, x))) < len(a) else None
-                    if not len(s):
-                        if len(a):
-                            put(region.as_py(), strand, frame, low, None, None, None, None, int(a[0]))
-                        continue
-                    head = int(a[0]) if len(a) and a[0] < s[0] else None
-                    put(region.as_py(), strand, frame, low, None, None, int(s[0]), head, after(s[-1]))
-                    i = np.searchsorted(a, s[:-1])
-                    fits = i < len(a)
-                    first, last = a[i[fits]], s[1:][fits]
-                    for x, z in zip(first[first < last].tolist(), last[first < last].tolist(), strict=True):
-                        put(region.as_py(), strand, frame, low, x, z, None, None, None)
-            kinds = [b.schema.field("region").type, pa.string(), pa.int32(), *[pa.int64()] * 6]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=names)
+def _table(values: tuple[int, ...]) -> np.ndarray:
+    out = np.zeros(64 * 21 + 1, bool)  # other letters than ACGT count 64 each
+    out[list(values)] = True
+    return out
+
+
+#: By strand, which values of codons are stops, and the value of ATG, both read along the + strand.
+_WANTED = {s: (_table(tuple(_codon(x, s == "-") for x in STOPS)), _codon("ATG", s == "-")) for s in "+-"}
+
+
+def _in_frame(stops: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[int | None]]:
+    """(firsts, lasts) of the ORFs between two of the stops, and [first stop, first ATG before it, first ATG after the last]."""
+    after = np.append(starts, np.iinfo(np.int64).max)[np.searchsorted(starts, stops)]  # the first ATG past each stop
+    inside = after[:-1] < stops[1:]
+    head = int(starts[0]) if len(starts) and starts[0] < stops[0] else None
+    tail = int(after[-1]) if len(starts) and starts[-1] > stops[-1] else None
+    return after[:-1][inside], stops[1:][inside], [int(stops[0]), head, tail]
+
+
+def _scan(min_length: int):
+    """Rows (region, start, seq, ahead: the two bases after) to ORFs (first, last) of min_length and summaries (first_stop,
+    head, tail). Positions are those of codons' first bases from 0, on - of their last ones, negative: both count along the
+    strand's direction."""
+
+    def scan(batches):
+        names = ["region", "strand", "frame", "place", "first", "last", "first_stop", "head", "tail"]
+        for b in batches:
+            regions = b.column("region")
+            at: list[int] = []  # the row that each result is of
+            rows: list[tuple] = []
+            for i, (start, seq, ahead) in enumerate(zip(*(b.column(c).to_pylist() for c in ("start", "seq", "ahead")), strict=True)):
+                codes = _CODE[np.frombuffer(((seq or "") + (ahead or "")).encode("ascii", "replace"), np.uint8)]
+                values = codes[:-2] * 16 + codes[1:-1] * 4 + codes[2:]
+                low, n = start - 1, len(rows)
+                for strand, (is_stop, start_value) in _WANTED.items():
+                    stops, starts = np.flatnonzero(is_stop[values]) + low, np.flatnonzero(values == start_value) + low
+                    if strand == "-":
+                        stops, starts = -(stops[::-1] + 2), -(starts[::-1] + 2)
+                    stop_frames, start_frames = stops % 3, starts % 3
+                    for frame in range(3):
+                        s, a = stops[stop_frames == frame], starts[start_frames == frame]
+                        if not len(s):
+                            if len(a):
+                                rows.append((strand, frame, low, None, None, None, None, int(a[0])))
+                            continue
+                        first, last, summary = _in_frame(s, a)
+                        rows.append((strand, frame, low, None, None, *summary))
+                        long = last - first + 3 >= min_length
+                        rows.extend((strand, frame, low, x, z, None, None, None) for x, z in zip(first[long].tolist(), last[long].tolist(), strict=True))
+                at.extend([i] * (len(rows) - n))
+            columns = list(zip(*rows, strict=True)) or [()] * 8
+            kinds = [pa.string(), pa.int32(), *[pa.int64()] * 6]
+            yield pa.RecordBatch.from_arrays([regions.take(pa.array(at, pa.int64())), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], names=names)
+
+    return scan
 
 
 def chunk_orfs(chunks: DataFrame, min_length: int = 600, region: str = "seq_region") -> DataFrame:
@@ -81,7 +97,7 @@ def chunk_orfs(chunks: DataFrame, min_length: int = 600, region: str = "seq_regi
     by_place = Window.partitionBy("region").orderBy("start")
     nexts = heads.select("region", "start", F.concat(F.coalesce(F.lead("two").over(by_place), F.lit("")), F.coalesce(F.lead("two", 2).over(by_place), F.lit(""))).alias("ahead"))
     scanned = told.select("region", "start", "seq").join(nexts, ["region", "start"]).select("region", "start", "seq", F.substring("ahead", 1, 2).alias("ahead"))
-    found = save(scanned.mapInArrow(_scan, f"region {kind}, strand string, frame int, place bigint, first bigint, last bigint, first_stop bigint, head bigint, tail bigint"))
+    found = save(scanned.mapInArrow(_scan(min_length), f"region {kind}, strand string, frame int, place bigint, first bigint, last bigint, first_stop bigint, head bigint, tail bigint"))
     keys = ["region", "strand", "frame"]
     order = F.when(F.col("strand") == "+", F.col("place")).otherwise(-F.col("place"))
     ends = F.col("first_stop").isNotNull()

@@ -406,7 +406,7 @@ def orfs(spark, d):
     c = fixtures.contigs(spark, d).select("doc_id", F.posexplode(F.regexp_extract_all("seq", F.lit("(?s).{1,100000}"), F.lit(0))).alias("k", "seq"))
     start = F.col("k").cast("bigint") * 100_000
     chunks = c.select("doc_id", (start + 1).alias("start"), (start + F.length("seq")).alias("end"), "seq")
-    return chunk_orfs(chunks, 60, "doc_id").select("doc_id", "strand", "frame", "start", "end")
+    return chunk_orfs(save(chunks), 60, "doc_id").select("doc_id", "strand", "frame", "start", "end")
 
 
 @query
