@@ -1,18 +1,21 @@
 """Suffix-array dedup (8): every byte that a repeated string of `size` bytes covers goes, but where it occurs first.
 
-The distributed difference-cover algorithm, cut off where prefixes of `size` (100) bytes are decided:
-
-1. Sorted tuples. Suffixes at positions of a difference cover modulo 57 are sampled: for any two suffixes of equal
-   prefixes, some shift under 57 takes both to a sampled position, and 44 of the 100 bytes follow there. The sampled
-   44-byte tuples are sorted in blocks and named; a suffix of a name that occurs once is decided and needs no more.
-   (With triples modulo 3 two thirds of all suffixes would be moved at every level; with 57 an eighth is, once.)
-2. Recursion on names that repeat. Only near them can a suffix share its prefix. There, runs of suffixes between two
-   anchors (positions chosen by the bytes there) are named by the whole string that decides all of them, and sorted:
-   if such a string occurs earlier, so does each suffix's prefix in the run.
-3. The remaining suffixes near repeated names are merged in one sort by their own prefix.
-4. Neighbours in a sorted block that share the prefix: all but the first in (document, start) order are repeats.
-
-Strings are compared by 64-bit hashes (step 1 by 32 bits within a block, where a false repeat only adds suffixes to
+Of the distributed difference-cover algorithm this keeps the sampling and the names; it puts no suffixes in order. As only
+prefixes of `size` (100) bytes matter, equality takes the place of order throughout:
+
+1. Suffixes at positions of a difference cover modulo 57 are sampled: for any two suffixes of equal prefixes, some shift
+   under 57 takes both to a sampled position, and 44 of the 100 bytes follow there. The hashes of these 44-byte tuples
+   are dealt by range and grouped; a suffix whose tuple occurs once is decided and needs no more. (With triples modulo 3
+   two thirds of all suffixes would be moved at every level; with 57 an eighth is, once.)
+2. There is no recursion on names. Near tuples that repeat, runs of suffixes between two anchors (positions chosen by the
+   bytes there) are named by a hash of the whole string that decides all of them: if such a string occurs earlier, so
+   does each suffix's prefix in the run.
+3. There is no merge of remaining suffixes. Those near repeated names are named by a hash of their own 100 bytes.
+4. There is no comparison of adjacent prefixes. Of each group of equal hashes all but the first in (document, start) order
+   are repeats.
+
+Strings are compared by 64-bit hashes, polynomials modulo 2^64, for which strings of a kilobyte and more that have the same
+hash can be made on purpose; text does not have them by chance (step 1 by 32 bits within a block, where a false repeat only adds suffixes to
 step 3). Texts are packed into chunks of about `chunk_bytes`, in a table bucketed by chunk: only keys travel and one
 bit for each comes back. A key that a chunk has many times is sent once, so a passage that a third of all documents
 share is one entry a chunk.
