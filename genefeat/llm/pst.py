@@ -1,7 +1,6 @@
 """LM scoring (10): a probabilistic suffix tree over words, learned from part of the corpus, scores all of it.
 
-States are contexts, runs of up to `most_depth` (64) preceding words: a bound that no context of these tables reaches, and
-that a longer one would be scored by its last 64 words. The root predicts by add-one counts. A context of one word
+States are contexts, runs of up to `most_depth` (64) preceding words; longer contexts are not built. The root predicts by add-one counts. A context of one word
 is a candidate if training text has it at least `least` times; a longer one if it does, its suffix (all but its first
 word) is in the tree, and all but its last word was a candidate too. A candidate is retained if it diverges from its
 suffix: the mean, over its training occurrences, of log(own / suffix prediction), each occurrence left out of its own
