@@ -87,34 +87,6 @@ def coding_overlap(left: DataFrame, right: DataFrame) -> DataFrame:
     return pairs.groupBy(F.col("l.transcript_id").alias("left_id"), F.col("r.transcript_id").alias("right_id")).agg(F.sum(length).alias("overlap"))
 
 
-def resolve_overlaps(hits: DataFrame, mode: str = "beaten", score: str = "score", name: str = "accession", most_rounds: int = 1000) -> DataFrame:
-    """Hits (seq_region, strand, start, end, score, name) that no better overlapping hit beats (higher score, then
-    smaller name, start, end). mode="greedy": from the best on, each that overlaps no kept one. That is worked out in
-    saved rounds for all regions at once: hits that no undecided better one overlaps are kept, what they overlap goes, until
-    all are decided; most are after a few rounds, as every local best is kept in the first."""
-    tidy = hits.withColumns({"start": F.least("start", "end"), "end": F.greatest("start", "end")}).distinct()
-    best = lambda s: F.struct(-F.col(f"{s}.{score}"), F.col(f"{s}.{name}"), F.col(f"{s}.start"), F.col(f"{s}.end"))
-    on = ["seq_region", "strand", "start", "end", score, name]
-    if mode == "beaten":
-        beaten = overlap_pairs(tidy, tidy).filter(best("r") < best("l")).select("l.*").distinct()
-        return tidy.join(beaten.select(on), on, "left_anti")
-    if mode != "greedy":
-        raise ValueError(f"unknown mode {mode}")
-    own = save(tidy.withColumn("__id", F.xxhash64(*tidy.columns)))
-    first = lambda s: F.struct(best(s), F.col(f"{s}.__id"))
-    edges = save(overlap_pairs(own, own).filter(first("r") < first("l")).select(F.col("l.__id").alias("worse"), F.col("r.__id").alias("better")).distinct())
-    gone = None
-    for _ in range(most_rounds):
-        if edges.isEmpty():
-            return (own if gone is None else own.join(gone, "__id", "left_anti")).drop("__id")
-        # Of what still has a better neighbour: what a kept one overlaps goes, with all its edges.
-        kept = edges.select(F.col("better").alias("__id")).distinct().join(edges.select(F.col("worse").alias("__id")).distinct(), "__id", "left_anti")
-        out = save(edges.join(kept.withColumnRenamed("__id", "better"), "better", "left_semi").select(F.col("worse").alias("__id")).distinct())
-        edges = save(edges.join(out.withColumnRenamed("__id", "worse"), "worse", "left_anti").join(out.withColumnRenamed("__id", "better"), "better", "left_anti"))
-        gone = out if gone is None else gone.unionByName(out)
-    raise RuntimeError(f"overlaps were not resolved in {most_rounds} rounds")
-
-
 def collapse_transcripts(transcripts: DataFrame, coding_only: bool = True, max_per_cluster: int = 100, max_exon: int = 50_000) -> DataFrame:
     """Transcripts with an exon over max_exon go; of those of a cluster with the same introns the widest stays; then the
     max_per_cluster with the longest CDS. gene_id is the cluster. (Internal limits on short introns don't arise here.)"""

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import sequence as sq
 from ..functions.tables import partitions, save, shared_dir
-from ..operators import clusters, evidence, filters, intervals, joining, models, reads, slices
+from ..operators import choice, clusters, evidence, filters, intervals, joining, models, reads, slices
 from ..operators.orfs import chunk_orfs
 from ..sinks import export
 from ..sources import fasta, ingest, tools
@@ -305,12 +305,12 @@ def rfam_threshold(spark, d):
 
 @query
 def rfam_best_hits(spark, d):
-    return clusters.resolve_overlaps(rfam_hits(spark, d).drop("query")).select("seq_region", "strand", "start", "end", "accession", "score")
+    return choice.resolve_overlaps(rfam_hits(spark, d).drop("query")).select("seq_region", "strand", "start", "end", "accession", "score")
 
 
 @query
 def rfam_best_hits_greedy(spark, d):
-    return clusters.resolve_overlaps(rfam_hits(spark, d).drop("query"), mode="greedy").select("seq_region", "strand", "start", "end", "accession", "score")
+    return choice.resolve_overlaps(rfam_hits(spark, d).drop("query"), mode="greedy").select("seq_region", "strand", "start", "end", "accession", "score")
 
 
 @query
