@@ -141,6 +141,9 @@ put("splice_sites", "SELECT doc_id, concat(substr(seq, doc_id % 50 + 1, 2), subs
 ORACLES["exon_strings"] = more(("tx_exons",), RANKED, INTRONS, "a AS (SELECT transcript_id, string_agg(concat(s, ':', e, ':', CASE WHEN strand = '-' THEN '-1' ELSE '1' END), ':' ORDER BY rank) AS exon_string FROM rk GROUP BY 1)", "b AS (SELECT transcript_id, coalesce(string_agg(concat(a, '..', b, ':'), '' ORDER BY a) FILTER (b IS NOT NULL), '') AS intron_string FROM it GROUP BY 1)") + "SELECT a.transcript_id, exon_string, intron_string FROM a JOIN b ON a.transcript_id = b.transcript_id"
 put("bed12_to_exons", 'SELECT transcript_id AS name, seq_region, strand, row_number() OVER (PARTITION BY transcript_id ORDER BY s) AS rank, s AS start, e AS "end" FROM tx_exons', "tx_exons")
 ORACLES["gtf_roundtrip"] = more(("tx_exons",), RANKED) + 'SELECT transcript_id, rank, seq_region, strand, s AS start, e AS "end" FROM rk'
+ORACLES["gtf_of_regions"] = more(("tx_exons",), RANKED) + "SELECT seq_region, strand, transcript_id, count(*) AS n_exons, min(s) AS start, max(e) AS \"end\", CAST(sum(e - s + 1) AS BIGINT) AS bases FROM rk WHERE seq_region IN ('r1', 'r10', 'r2', 'r7') GROUP BY 1, 2, 3"
+# A line for each gene (which has one region), transcript and exon.
+ORACLES["gtf_region_index"] = more(("tx_exons",), RANKED) + "SELECT seq_region, count(*) + count(DISTINCT transcript_id) + count(DISTINCT gene_id) AS n_lines FROM rk GROUP BY 1"
 put("fasta_roundtrip", "SELECT CAST(doc_id AS VARCHAR) AS name, length(seq) AS length, md5(seq) AS digest FROM contigs WHERE length(seq) > 0", "contigs")
 put("repeat_table", "SELECT seq_region, s AS start, e AS \"end\", '+' AS strand, CASE WHEN model = 0 THEN 'trf' ELSE concat('m', model) END AS repeat_name, 'trf' AS repeat_class, 'Tandem repeats' AS repeat_type, 'N' AS repeat_consensus, CAST(1 AS BIGINT) AS repeat_start, e - s + 1 AS repeat_end, CAST(score AS DOUBLE) AS score, 'trf' AS analysis FROM tool_rows", "tool_rows")
 put("simple_feature_table", "SELECT seq_region, s AS start, e AS \"end\", '+' AS strand, '' AS display_label, CAST(score AS DOUBLE) AS score, 'cpg' AS analysis FROM tool_rows", "tool_rows")

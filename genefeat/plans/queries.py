@@ -14,6 +14,7 @@ from ..operators import choice, clusters, evidence, filters, intervals, joining,
 from ..operators.orfs import chunk_orfs
 from ..sinks import export
 from ..sources import fasta, ingest, tools
+from ..sources.regions import region_index
 from . import fixtures, geneset
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -458,6 +459,24 @@ def gtf_roundtrip(spark, d):
     return rows.filter("feature_type = 'exon'").select(F.col("attributes")["transcript_id"].cast("bigint").alias("transcript_id"), F.col("attributes")["exon_number"].cast("bigint").alias("rank"), "seq_region", "strand", "start", "end")
 
 
+@query
+def gtf_of_regions(spark, d):
+    """Exons by transcript of some regions of a GTF, of which only the files that hold them are opened."""
+    path = f"{shared_dir(spark)}/gtf_{uuid.uuid4().hex}"
+    export.write_gtf(tx(spark, d), path)
+    rows, _ = tools.read_gtf(spark, path, regions=["r1", "r10", "r2", "r7"])
+    ids = F.col("attributes")["transcript_id"].cast("bigint").alias("transcript_id")
+    return rows.filter("feature_type = 'exon'").groupBy("seq_region", "strand", ids).agg(F.count("*").alias("n_exons"), F.min("start").alias("start"), F.max("end").alias("end"), F.sum(F.col("end") - F.col("start") + 1).alias("bases"))
+
+
+@query
+def gtf_region_index(spark, d):
+    """What the index of a written GTF says of each region: its lines over all files."""
+    path = f"{shared_dir(spark)}/gtf_{uuid.uuid4().hex}"
+    export.write_gtf(tx(spark, d), path)
+    return region_index(spark, path).groupBy("seq_region").agg(F.sum("n_lines").alias("n_lines"))
+
+
 @query
 def fasta_roundtrip(spark, d):
     """Contigs written as FASTA and read back."""

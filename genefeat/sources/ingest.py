@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from .regions import list_files
 from .tools import Paths
 
 Reader = Callable[[SparkSession, list[str]], tuple[DataFrame, DataFrame]]
@@ -44,8 +45,7 @@ def _current(known: DataFrame) -> DataFrame:
 
 def new_files(spark: SparkSession, path: Paths, known: DataFrame) -> DataFrame:
     """(file, path, size, modified) of files that known has not, or with another size or time. Contents are not read."""
-    meta = "_metadata"
-    found = spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"), F.col(f"{meta}.file_path").alias("path"), F.col(f"{meta}.file_size").alias("size"), F.col(f"{meta}.file_modification_time").alias("modified"))
+    found = list_files(spark, path)
     seen = known.join(_current(known), ["path", "batch"], "left_semi").select("path", "size", "modified")
     return found.join(seen, ["path", "size", "modified"], "left_anti")
 

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .regions import region_files
+
 Paths = str | list[str]
 
 
@@ -53,12 +55,14 @@ def attribute_map(text: Column) -> Column:
 FEATURE = ["seq_region", "source", "feature_type", "start", "end", "score", "strand", "phase", "attributes"]
 
 
-def read_gtf(spark: SparkSession, path: Paths, regions: list[str] | None = None, strand_policy: str = "default_plus") -> tuple[DataFrame, DataFrame]:
+def read_gtf(spark: SparkSession, path: Paths, regions: list[str] | None = None, strand_policy: str = "default_plus", index: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Nine tab-separated columns; comments left out. strand_policy: default_plus takes any other strand for +, fail
-    rejects it."""
+    rejects it. regions: lines of these alone, and malformed ones; files that the folder's index (or the one at `index`)
+    shows to have none are not opened."""
     if strand_policy not in ("default_plus", "fail"):
         raise ValueError(f"unknown strand policy {strand_policy}")
-    lines = _tabs(spark, path)
+    files = region_files(spark, path, regions, index) if regions is not None and isinstance(path, str) else [path]
+    lines = _tabs(spark, path if files == [path] or not files else files).filter(F.lit(bool(files)))
     strand = F.when(_field(6).isin("+", "-"), _field(6))
     fields = {"seq_region": _field(0), "source": _field(1), "feature_type": _field(2), "start": _field(3, "bigint"), "end": _field(4, "bigint"), "score": _field(5, "double"), "strand": F.coalesce(strand, F.lit("+")) if strand_policy == "default_plus" else strand, "phase": _field(7, "int"), "attributes": attribute_map(_field(8))}
     where = ~F.col("line").startswith("#") & (F.trim("line") != "")
