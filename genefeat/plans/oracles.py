@@ -266,15 +266,20 @@ def _best_of(z: Stages, where: str = "true", all_exons: bool = False, clean: boo
     return z.select_best(t, x)
 
 
-def _transcriptomic(z: Stages) -> tuple[str, str]:
-    every, every_x = z.models()
-    genome = z.genome(every, every_x)
-    t = z.without_overlapping_exons(z.put(f"SELECT * FROM {every} WHERE source = 'transcriptomic'"), every_x)
+def _searched(z: Stages, genome: tuple, t: str, every_x: str) -> tuple[str, str]:
+    """Models translated, with those found in their UTRs, and trimmed."""
     t, _ = z.translated(genome, t, z.of(t, every_x), 50)
     found = z.utr_search(genome, t, z.of(t, every_x), 4)
     t = z.put(" UNION ALL ".join(f"SELECT * REPLACE (CAST(tid AS VARCHAR) AS tid) FROM {a}" for a, _ in found))
     x = z.put(" UNION ALL ".join(f"SELECT CAST(tid AS VARCHAR) AS tid, s, e FROM {b}" for _, b in found))
-    t, x = z.trim_five(*z.cut_at_signal(genome, *z.trim_three(t, x)))
+    return z.trim_five(*z.cut_at_signal(genome, *z.trim_three(t, x)))
+
+
+def _transcriptomic(z: Stages) -> tuple[str, str]:
+    every, every_x = z.models()
+    genome = z.genome(every, every_x)
+    t = z.without_overlapping_exons(z.put(f"SELECT * FROM {every} WHERE source = 'transcriptomic'"), every_x)
+    t, x = _searched(z, genome, t, every_x)
     return t, z.select_best(t, x)
 
 
@@ -320,18 +325,25 @@ def _layers(z: Stages) -> str:
     return z.finalise_layers(*z.models("cs IS NOT NULL", text_ids=True))[0]
 
 
-def _finalised(z: Stages) -> tuple[str, ...]:
+def _finalised(z: Stages, by_source: bool = False) -> tuple[str, ...]:
+    """by_source: transcriptomic models are searched, the others code from end to end, and protein ones are cleaned."""
     every, every_x = z.models(text_ids=True)
     genome = z.genome(every, every_x)
     evidence, diamond = z.put(EVIDENCE), z.put(DIAMOND)
     parts, exons = [], []
     for s in ("transcriptomic", "busco", "protein"):
         t = z.without_overlapping_exons(z.put(f"SELECT * REPLACE (tid AS gene_id) FROM {every} WHERE source = '{s}'"), every_x)
-        best = z.select_best(t, every_x)
+        x = every_x
+        if by_source and s == "transcriptomic":
+            t, x = _searched(z, genome, t, x)
+        elif by_source:
+            t = z.put(f"SELECT * REPLACE (s AS cs, e AS ce) FROM {t}")
+            t, x = z.clean(genome, t, z.of(t, x))[:2] if s == "protein" else (t, x)
+        best = z.select_best(t, x)
         parts.append(f"SELECT t.* REPLACE (concat('{s}:', tid) AS tid) FROM {t} t WHERE tid IN (SELECT tid FROM {best} WHERE class = 'good')")
-        exons.append(f"SELECT concat('{s}:', tid) AS tid, s, e FROM {every_x} WHERE tid IN (SELECT tid FROM {t})")
+        exons.append(f"SELECT concat('{s}:', tid) AS tid, s, e FROM {x} WHERE tid IN (SELECT tid FROM {t})")
     t, x = z.finalise_layers(z.put(" UNION ALL ".join(parts)), z.put(" UNION ALL ".join(exons)))
-    told = z.put(f"SELECT t.*, len, rnasamba_coding AS a, cpc2_coding AS b, peptide_length AS p, greatest(rnasamba_prob, cpc2_prob) AS m, d.evalue IS NOT NULL AS hit, v.transcript_id IS NOT NULL AS known FROM {t} t JOIN {z.lengths(t, x)} l ON l.tid = t.tid LEFT JOIN {evidence} v ON CAST(v.transcript_id AS VARCHAR) = regexp_replace(regexp_replace(t.tid, '^[^:]*:', ''), '(_[bpq])+$', '') LEFT JOIN {diamond} d ON d.transcript_id = v.transcript_id")
+    told = z.put(f"SELECT t.*, len, rnasamba_coding AS a, cpc2_coding AS b, peptide_length AS p, greatest(rnasamba_prob, cpc2_prob) AS m, d.evalue IS NOT NULL AS hit, v.transcript_id IS NOT NULL AS known FROM {t} t JOIN {z.lengths(t, x)} l ON l.tid = t.tid LEFT JOIN {evidence} v ON CAST(v.transcript_id AS VARCHAR) = regexp_replace(regexp_replace(t.tid, '^[^:]*:', ''), '(_[bpq]|_m|_utr[53])+$', '') LEFT JOIN {diamond} d ON d.transcript_id = v.transcript_id")
     called = z.put(f"SELECT *, CASE WHEN source IN ('busco', 'protein') THEN 'protein_coding' WHEN hit OR (a AND b AND p >= 75) OR ((a OR b) AND p >= 75 AND m >= 0.8) THEN 'protein_coding' WHEN len >= 200 THEN 'lncRNA' END AS call FROM {told} WHERE known OR source IN ('busco', 'protein')")
     valid = z.put(f"SELECT tid, gene_id, seq_region, strand, source, call AS biotype, s, e, CASE WHEN call <> 'lncRNA' THEN cs END AS cs, CASE WHEN call <> 'lncRNA' THEN ce END AS ce FROM {called} WHERE call IS NOT NULL")
     t, x = z.clean_utrs(*z.clean_geneset(valid, x))
@@ -359,4 +371,6 @@ ORACLES["clean_transcripts"] = stage(_cleaned, "SELECT tid AS transcript_id, mer
 ORACLES["three_prime_trim_at_signal"] = stage(_at_signal, 'SELECT x.tid AS transcript_id, row_number() OVER (PARTITION BY x.tid ORDER BY CASE WHEN strand = \'-\' THEN -x.s ELSE x.s END) AS rank, x.s AS start, x.e AS "end" FROM {1} x JOIN {0} t ON t.tid = x.tid')
 ORACLES["utr_orf_search"] = stage(_utr_search, "SELECT * FROM {}")
 ORACLES["join_transcripts"] = stage(_joins, 'SELECT tid AS transcript_id, len(ex) AS n_exons, ex[1].s AS start, ex[-1].e AS "end" FROM {}')
-ORACLES["finalise_geneset"] = stage(_finalised, f"SELECT gene AS gene_id, new AS transcript_id, biotype, {SPAN}, md5(c.seq) AS cdna, md5(p.seq) AS protein FROM {{0}} t JOIN {{1}} i ON i.tid = t.tid LEFT JOIN {{2}} c ON c.tid = t.tid LEFT JOIN {{3}} p ON p.tid = t.tid")
+FINAL = f"SELECT gene AS gene_id, new AS transcript_id, biotype, {SPAN}, md5(c.seq) AS cdna, md5(p.seq) AS protein FROM {{0}} t JOIN {{1}} i ON i.tid = t.tid LEFT JOIN {{2}} c ON c.tid = t.tid LEFT JOIN {{3}} p ON p.tid = t.tid"
+ORACLES["finalise_geneset"] = stage(_finalised, FINAL)
+ORACLES["finalise_geneset_by_source"] = stage(lambda z: _finalised(z, True), FINAL)
