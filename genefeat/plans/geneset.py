@@ -83,6 +83,7 @@ def select_best(transcripts: DataFrame, chunks: DataFrame | None = None, join: b
         t = save(clean_transcripts(t, cds_sequences(chunks)).withColumn("transcript_id", F.when(F.col("merged"), F.concat("transcript_id", F.lit("_m"))).otherwise(F.col("transcript_id"))).drop("cds_seq", "merged"))
     if search_utr:
         t = utr_orf_search(t.withColumn("cds_seq", F.lit(None).cast("string")), lambda df: compute_translations(df, chunks)).drop("cds_seq", "round")
+        t = t.withColumn("transcript_id", F.col("transcript_id").cast("string"))  # also where no UTR gave a model
         t = save(trim_utrs(t, chunks))
     columns = t.columns
     scored = save(score_models(single_transcript_genes(t)).select(*columns, "is_good"))
