@@ -9,9 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genefeat.functions.tables import save
+from genefeat.functions.tables import drop_saved, save
 from genefeat.llm import decontam, jaccard, mixing, rules, secrets
-from genefeat.llm.common import hold
+from genefeat.llm.common import hold, in_place
 from genefeat.llm.queries import table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -24,14 +24,15 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the smallest id stays (of rows that share it, one); documents
-    without words are no group. What goes is listed and sent to the partition that holds it; texts stay where they are.
-    The setting that allows this is left set, as the join runs when the caller writes the result."""
+    without words are no group. What goes is listed and sent to the partition that holds it; texts stay where they are,
+    and what is left of them is written within the setting that allows this."""
     held = hold(docs.select(COLUMNS))
     found = save(jaccard.held_components(held))
     ids = found.filter("doc_id <> component_id").select("doc_id").distinct()
     gone = found.join(ids, "doc_id", "left_semi").select("__part", "doc_id").distinct()
-    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
-    left = held.join(gone.hint("shuffle_hash"), ["__part", "doc_id"], "left_anti").select(COLUMNS)
+    with in_place(spark):
+        left = save(held.join(gone.hint("shuffle_hash"), ["__part", "doc_id"], "left_anti").select(COLUMNS))
+    drop_saved(held)
     twice = save(found.filter("doc_id is not null and doc_id = component_id").groupBy("doc_id").count().filter("count > 1").select("doc_id"))
     if twice.isEmpty():
         return left
@@ -46,7 +47,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents stay; secrets are masked in the text unless they are spread widely, and n_chars follows."""
-    masked = secrets.mask_live_secrets(docs.select(COLUMNS), max_owners=secrets.few_owners(docs))
+    masked = secrets.mask_live_secrets(docs.select(COLUMNS))
     return masked.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text")).otherwise(F.col("n_chars")).cast("bigint")).select(COLUMNS)
 
 
