@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from . import licenses, rules
-from .secrets import ACCESS, ASSIGN, FEW, HEX, OPAQUE, SHARE
+from .secrets import ACCESS, ASSIGN, HEX, OPAQUE
 
 UP, LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SPACE = r"[\x20\x09-\x0D]"
@@ -34,11 +34,12 @@ def spans(kind: int, pattern: str, group: int = 0, least: int = 0) -> str:
 
 OP1 = f"""WITH b AS ({spans(0, ASSIGN, 2, 6)} UNION ALL {spans(1, ACCESS)} UNION ALL {spans(2, HEX)}),
 lo AS ({spans(3, OPAQUE)}), l AS (SELECT * FROM lo WHERE regexp_matches(v, '[0-9]') AND regexp_matches(v, '[a-z]') AND regexp_matches(v, '[A-Z]') AND NOT EXISTS (SELECT 1 FROM b WHERE b.doc_id = lo.doc_id AND b.s < lo.e AND lo.s < b.e)),
-c AS (SELECT * FROM b UNION ALL SELECT * FROM l), lim AS (SELECT greatest({FEW}, CAST(floor(count(*) * {SHARE}) AS BIGINT)) AS most FROM (SELECT DISTINCT source FROM documents)),
-ow AS (SELECT v, count(DISTINCT coalesce(concat('=', source), '-')) AS owners, count(DISTINCT concat_ws('/', source, lang)) AS repos FROM c GROUP BY 1),
-j AS (SELECT c.*, owners, repos, most FROM c JOIN ow ON c.v = ow.v, lim WHERE kind < 3 OR owners <= most),
+c AS (SELECT * FROM b UNION ALL SELECT * FROM l),
+oo AS (SELECT v, coalesce(concat('=', source), '-') AS o, count(DISTINCT concat_ws('/', source, lang)) AS r FROM c GROUP BY ALL),
+ow AS (SELECT v, sum(r) AS repos, sum(r) * sum(r) <= 3 * sum(r * r) AS live FROM oo GROUP BY 1),
+j AS (SELECT c.*, repos, live FROM c JOIN ow ON c.v = ow.v WHERE kind < 3 OR live),
 n AS (SELECT *, concat(list_extract(['assign', 'access', 'hex', 'owned'], kind + 1), ':', CAST(s AS BIGINT), ':', CAST(e AS BIGINT)) AS t FROM j),
-g AS (SELECT doc_id, count_if(kind = 0) AS n_assign, count_if(kind = 1) AS n_access, count_if(kind = 2) AS n_hex, coalesce(string_agg(t, ',' ORDER BY s, kind) FILTER (kind < 3), '') AS base, string_agg(t, ',' ORDER BY s, kind) AS spans, count_if(owners <= most) AS n_live, count_if(owners > most) AS n_copied, max(repos) AS r FROM n GROUP BY 1)
+g AS (SELECT doc_id, count_if(kind = 0) AS n_assign, count_if(kind = 1) AS n_access, count_if(kind = 2) AS n_hex, coalesce(string_agg(t, ',' ORDER BY s, kind) FILTER (kind < 3), '') AS base, string_agg(t, ',' ORDER BY s, kind) AS spans, count_if(live) AS n_live, count_if(NOT live) AS n_copied, max(repos) AS r FROM n GROUP BY 1)
 SELECT d.doc_id, CAST(coalesce(n_assign, 0) AS BIGINT) AS n_assign, CAST(coalesce(n_access, 0) AS BIGINT) AS n_access, CAST(coalesce(n_hex, 0) AS BIGINT) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, CAST(coalesce(n_live, 0) AS BIGINT) AS n_live, CAST(coalesce(n_copied, 0) AS BIGINT) AS n_copied, CAST(coalesce(r, 0) AS BIGINT) AS most_repos FROM documents d LEFT JOIN g ON d.doc_id = g.doc_id"""
 
 OP2 = f"""WITH i AS (SELECT item_id, {words('text')} AS w FROM benchmark), iw AS (SELECT item_id, w, least(5, len(w)) AS k FROM i WHERE len(w) > 0),
@@ -112,8 +113,8 @@ def _op9() -> str:
     tri AS (SELECT doc_id, unnest(range(1, n - 1)) AS i, w FROM h WHERE n >= 3), tr AS (SELECT doc_id, i, array_to_string(w[i:i + 2], ' ') AS x FROM tri), tw AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, x) AS c FROM tr),
     rep AS (SELECT doc_id, count(DISTINCT j) AS r FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS j FROM tw WHERE c > 1) GROUP BY 1),
     ln AS (SELECT doc_id, count(*) - count(DISTINCT x) AS r FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS x FROM d) WHERE regexp_matches(x, '[^\x20\x09-\x0D]') GROUP BY 1),
-    wc AS (SELECT lang, x, count(*) AS c FROM (SELECT lang, unnest(w) AS x FROM d) GROUP BY 1, 2), wt AS (SELECT lang, sum(c) AS total FROM wc GROUP BY 1), big AS (SELECT lang, total FROM wt WHERE total >= {rules.MIN_WORDS}),
-    cm AS (SELECT wc.lang, x, c / total AS r FROM wc JOIN big USING (lang) WHERE c * {rules.COMMON} >= total), co AS (SELECT lang, 1 - sum(r) AS r FROM cm GROUP BY 1),
+    wc AS (SELECT lang, x, count(*) AS c FROM (SELECT lang, unnest(w) AS x FROM d) GROUP BY 1, 2), wt AS (SELECT lang, sum(c) AS total FROM wc GROUP BY 1),
+    cm AS (SELECT wc.lang, x, c / total AS r FROM wc JOIN wt USING (lang) WHERE c * {rules.COMMON} >= total), co AS (SELECT lang, 1 - sum(r) AS r FROM cm GROUP BY 1),
     dc AS (SELECT doc_id, lang, x, count(*) AS c FROM (SELECT doc_id, lang, unnest(w) AS x FROM d) GROUP BY ALL),
     pj AS (SELECT hh.doc_id, hh.lang, cm.x, cm.r, coalesce(dc.c, 0) / hh.n AS p FROM hh JOIN cm ON hh.lang = cm.lang LEFT JOIN dc ON dc.doc_id = hh.doc_id AND dc.x = cm.x WHERE hh.n >= 100),
     po AS (SELECT doc_id, lang, 1 - sum(p) AS p FROM pj GROUP BY 1, 2), al AS (SELECT doc_id, greatest(p, 0) AS p, r FROM pj UNION ALL SELECT doc_id, greatest(po.p, 0), greatest(co.r, 0) FROM po JOIN co USING (lang)),
@@ -121,8 +122,8 @@ def _op9() -> str:
     rc AS (SELECT lang, {", ".join(f"sum({x}) AS r{i}" for i, x in enumerate(k))}, sum(cp) AS rt FROM hh WHERE cp > 0 GROUP BY 1),
     cl AS (SELECT doc_id, unnest([{", ".join(f"{x} / cp" for x in k)}]) AS p, unnest([{", ".join(f"r{i} / rt" for i in range(7))}]) AS r FROM hh JOIN rc USING (lang) WHERE n >= 50),
     dk AS (SELECT doc_id, sqrt(greatest(0, sum({part}) / 2)) AS js FROM cl GROUP BY 1),
-    f AS (SELECT hh.doc_id, n AS n_words, cp - k3 AS word_chars, k4 AS n_symbols, coalesce(ln.r, 0) AS n_dup_lines, coalesce(rep.r, 0) AS n_repeat_words, coalesce(dw.js, 0) AS a, coalesce(dk.js, 0) AS b FROM hh LEFT JOIN rep USING (doc_id) LEFT JOIN ln USING (doc_id) LEFT JOIN dw USING (doc_id) LEFT JOIN dk USING (doc_id))
-    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND a <= {dw} AND b <= {dc} AS kept FROM f"""
+    f AS (SELECT hh.doc_id, n AS n_words, cp - k3 AS word_chars, k4 AS n_symbols, coalesce(ln.r, 0) AS n_dup_lines, coalesce(rep.r, 0) AS n_repeat_words, coalesce(dw.js, 0) AS a, coalesce(dk.js, 0) AS b, coalesce({rules.COMMON} / total, 0) AS wider FROM hh LEFT JOIN wt USING (lang) LEFT JOIN rep USING (doc_id) LEFT JOIN ln USING (doc_id) LEFT JOIN dw USING (doc_id) LEFT JOIN dk USING (doc_id))
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND a * a <= {dw} * {dw} + wider AND b <= {dc} AS kept FROM f"""
 
 
 def crc32(text: str) -> str:

@@ -6,8 +6,9 @@ most COMMON of them). A document is rejected when the Jensen-Shannon distance (b
 its reference is above a bound. Short texts have noisy histograms, so each test waits for a minimum of words.
 
 Defined results: null and empty texts have no words and fail the base rules; a null language is the language "".
-Every language has its own reference, whatever its share of the corpus. One with under MIN_WORDS words in all has too
-few to tell common words from others, so its documents have no word test. References of languages with at least
+Every language has its own reference, whatever its share of the corpus. One learned from few words is off by itself:
+the square of the bound on word distances is wider by COMMON / (the language's words), which is over what chance can
+add; it fades out as a language grows, and leaves no test to languages of hardly more than COMMON words. References of languages with at least
 MIN_SHARE of all words (so 1/MIN_SHARE of them at most, of COMMON words each) go to the workers as one dictionary, the
 others' as a table joined on the language; a verdict does not depend on which.
 Other columns of the input are not looked at, and pass through whatever their names are where columns are kept.
@@ -28,7 +29,6 @@ from .common import Hashes, binary_list, save, unused, windows
 SYMBOLS = b"#*$%&|<>"
 COMMON = 500
 MIN_SHARE = 1e-3
-MIN_WORDS = COMMON
 CLASSES = ("lower", "upper", "digit", "space", "symbol", "punctuation", "other")
 _CLASS = np.full(256, 6, dtype=np.int64)
 for _i, _set in enumerate((b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b" \t\n\v\f\r", SYMBOLS, b"!\"'(),-./:;?@[\\]^_`{}~+=")):
@@ -158,7 +158,7 @@ def quality_rules(
                 words = (text := text or b"").split()
                 n, counts = len(words), base_counts(text, words, hashes)
                 failed = n < 50 or 100 * counts[3] > 50 * n
-                by_class = by_word = None
+                by_class = by_word = widest = None
                 reference = references.value.get(lang) or own_of.get(lang)
                 if not reference and n and ENTRIES in batch.schema.names:
                     if len(own_of) >= 1000:
@@ -166,11 +166,12 @@ def quality_rules(
                     reference = own_of[lang] = reference_of(batch.column(ENTRIES)[i].as_py(), batch.column(TOTAL)[i].as_py())
                 if reference and n >= min_words_classes:
                     by_class = js_distance(char_classes(text).astype(float), reference[0])
-                if reference and n >= min_words_common and reference[2].sum() >= MIN_WORDS:
+                if reference and n >= min_words_common:
                     other = len(reference[2]) - 1
                     get = reference[1].get
                     by_word = js_distance(np.bincount(np.fromiter((get(w, other) for w in words), dtype=np.int64, count=n), minlength=other + 1).astype(float), reference[2])
-                kept = not failed and (by_class or 0) <= max_class_distance and (by_word or 0) <= max_word_distance
+                    widest = max_word_distance**2 + COMMON / reference[2].sum()
+                kept = not failed and (by_class or 0) <= max_class_distance and (by_word is None or by_word**2 <= widest)
                 rows.append((n, *counts, failed, kept, by_class, by_word))
             columns = list(zip(*rows, strict=True)) or [()] * 9
             types = [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.float64()] * 2

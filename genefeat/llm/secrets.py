@@ -1,10 +1,12 @@
 """Secret scans (1): credentials in whole texts, and how widely each one is copied. DataFrame functions only.
 
 Every text is scanned for three base kinds (assign, access, hex). The method then looks at ownership over the whole
-corpus: each candidate's SHA-256 is counted by distinct repositories and distinct owners. A value that several owners
-have is a copied example; one that a single owner has is live-looking. Opaque tokens (a run of 20 or more token
-characters with lower case, upper case and a digit) are too loose a pattern to report alone: they are added, as kind
-`owned`, only where ownership shows them to be one owner's and they lie outside the base spans.
+corpus: each candidate's SHA-256 is counted by distinct repositories of each owner. What decides is how evenly its
+repositories lie among owners: (sum of r)^2 / (sum of r^2) over owners with r repositories each, which is the number of
+owners where each has as many, and near 1 where one has most. Up to `max_owners` the value belongs to a few and is
+live-looking, beyond it is a copied example. The size of the corpus does not enter. Opaque tokens (a run of 20 or more
+token characters with lower case, upper case and a digit) are too loose a pattern to report alone: they are added, as
+kind `owned`, only where they are live-looking by ownership and lie outside the base spans.
 
 Defined results: a null text is empty; a null owner or repository counts as one more owner or repository; rows that
 repeat are scanned and returned each on its own, and add nothing to distinct counts. Positions are code points from 0,
@@ -29,8 +31,10 @@ HEX = r"[0-9a-f]{24,}"
 OPAQUE = r"[A-Za-z0-9+/_-]{20,}"
 
 
-#: Owners that a live value may have at most: so many, or this share of all.
-FEW, SHARE = 3, 0.001
+#: Owners that a live value may have at most, as its repositories spread over them.
+FEW = 3
+#: A value that is at least this part of all finds is sent to their tasks: there are at most so many such values.
+COMMON_PART = 10_000
 
 
 def _matches(text: Column, pattern: str, kind: int, value_group: int = 0) -> Column:
@@ -63,29 +67,33 @@ def candidates(docs: DataFrame, id_col: str, text_col: str, repo_col: str, owner
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """(value, owners, repos): distinct owners and repositories of each candidate's hash. The groupings narrow one
-    after the other, each with partial sums, so a value that a third of all rows have is a row a task."""
+    """(value, times, owners, repos, squares): finds of each candidate's hash, its distinct owners and repositories, and
+    the sum of the squares of each owner's repositories. The groupings narrow one after the other, each with partial
+    sums, so a value that a third of all rows have is a row a task."""
     each = found.select("owner", "repo", F.explode(F.concat("base", "loose")).alias("c")).select("owner", "repo", F.col("c.value").alias("value"))
-    by_repo = each.groupBy("value", "owner", "repo").agg(F.lit(1).alias("one"))
-    by_owner = by_repo.groupBy("value", "owner").agg(F.count("*").alias("repos"))
-    return by_owner.groupBy("value").agg(F.count("*").alias("owners"), F.sum("repos").alias("repos"))
+    by_repo = each.groupBy("value", "owner", "repo").agg(F.count("*").alias("times"))
+    by_owner = by_repo.groupBy("value", "owner").agg(F.count("*").alias("repos"), F.sum("times").alias("times"))
+    return by_owner.groupBy("value").agg(F.sum("times").alias("times"), F.count("*").alias("owners"), F.sum("repos").alias("repos"), F.sum(F.col("repos") * F.col("repos")).alias("squares"))
 
 
-def few_owners(docs: DataFrame, owner_col: str = "source", few: int = FEW, share: float = SHARE) -> int:
-    """The most owners that a value can have and still be live."""
-    return max(few, int(docs.select(F.col(owner_col).cast("string")).distinct().count() * share))
+def with_ownership(each: DataFrame, owned: DataFrame) -> DataFrame:
+    """each (with a column value) and its value's ownership. The rows of common values stay in their tasks."""
+    total = owned.agg(F.coalesce(F.sum("times"), F.lit(0))).first()[0]
+    common = F.col("times") * COMMON_PART >= total
+    few, rest = F.broadcast(owned.filter(common)), owned.filter(~common)
+    return each.join(few, "value").unionByName(each.join(few.select("value"), "value", "left_anti").join(rest, "value"))
 
 
-def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_col: str = "source", owner_col: str = "source", max_owners: int | None = None) -> DataFrame:
+def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_col: str = "source", owner_col: str = "source", max_owners: int = FEW) -> DataFrame:
     """A row for each row of docs: id, base (spans of the base kinds), spans (with the added ones; array of
-    start, kind, stop, owners, repos), live and copied (how many of them have at most, or over, max_owners owners; by
-    default few_owners() of docs)."""
-    max_owners = few_owners(docs, owner_col) if max_owners is None else max_owners
+    start, kind, stop, owners, repos, live), live and copied (how many of them spread over at most, or over more than,
+    max_owners owners)."""
     found = save(candidates(docs, id_col, text_col, repo_col, owner_col))
     each = found.select("row", F.explode(F.concat("base", "loose")).alias("c")).select("row", "c.*")
-    judged = each.join(ownership(found), "value").filter((F.col("kind") < 3) | (F.col("owners") <= max_owners))
-    span = F.struct("start", "kind", "stop", "owners", "repos")
-    by_row = judged.groupBy("row").agg(F.array_sort(F.collect_list(span)).alias("spans"), F.count_if(F.col("owners") <= max_owners).alias("live"), F.count_if(F.col("owners") > max_owners).alias("copied"))
+    owned = save(ownership(found).withColumn("live", F.col("repos") * F.col("repos") <= F.col("squares") * max_owners))
+    judged = with_ownership(each, owned).filter("kind < 3 or live")
+    span = F.struct("start", "kind", "stop", "owners", "repos", "live")
+    by_row = judged.groupBy("row").agg(F.array_sort(F.collect_list(span)).alias("spans"), F.count_if("live").alias("live"), F.count_if(~F.col("live")).alias("copied"))
     none = F.array().cast(by_row.schema["spans"].dataType)
     joined = found.join(by_row, "row", "left")
     return joined.select(F.col("id").alias(id_col), "base", F.coalesce("spans", none).alias("spans"), F.coalesce("live", F.lit(0)).alias("live"), F.coalesce("copied", F.lit(0)).alias("copied"))
@@ -105,15 +113,14 @@ def secret_report(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFra
     return found.select(id_col, count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"), F.sha2(spans_text(F.col("base")), 256).alias("base_sha256"), spans_text(F.col("spans")).alias("spans"), F.col("live").alias("n_live"), F.col("copied").alias("n_copied"), F.coalesce(F.array_max(F.transform("spans", lambda x: x["repos"])), F.lit(0)).cast("bigint").alias("most_repos"))
 
 
-def mask_live_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mask: str = "[SECRET]", max_owners: int | None = None, owner_col: str = "source", **options) -> DataFrame:
+def mask_live_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mask: str = "[SECRET]", **options) -> DataFrame:
     """docs with each live-looking secret's characters replaced by `mask`; copied examples stay, and so do all rows.
-    Only texts that match a pattern are joined with their spans."""
-    max_owners = few_owners(docs, owner_col) if max_owners is None else max_owners
+    Only texts that match a pattern are joined with their spans. options: those of secret_spans()."""
     text, KEY, HIT, SPANS = F.coalesce(F.col(text_col), F.lit("")), *(unused(x, docs.columns) for x in ("__key", "__hit", "__spans"))
     keyed = docs.withColumn(KEY, F.xxhash64(id_col, text_col)).withColumn(HIT, text.rlike("|".join((ASSIGN, ACCESS, HEX, OPAQUE))))
     hit, rest = keyed.filter(F.col(HIT)), keyed.filter(~F.col(HIT))
-    spans = secret_spans(hit, KEY, text_col, owner_col=owner_col, max_owners=max_owners, **options)
-    live = spans.select(F.col(KEY), F.filter("spans", lambda x: x["owners"] <= max_owners).alias(SPANS)).filter(F.size(SPANS) > 0)
+    spans = secret_spans(hit, KEY, text_col, **options)
+    live = spans.select(F.col(KEY), F.filter("spans", lambda x: x["live"]).alias(SPANS)).filter(F.size(SPANS) > 0)
     joined = hit.join(live.groupBy(KEY).agg(F.first(SPANS).alias(SPANS)), KEY, "left")
 
     def masked(spans: Column) -> Column:

@@ -226,6 +226,40 @@ def test_secrets_of_a_few_owners_are_live_and_of_many_copied(spark):
     assert {(r.n_live, r.most_repos) for r in secrets.secret_report(one_owner, repo_col="repository").collect()} == {(2, 3)}
 
 
+def test_spread_over_owners_counts_their_repositories(spark):
+    """One owner's key, in nine of its repositories, stays live though five others have copied it: 14^2 / (81 + 5) < 3.
+    The same owners with two repositories each have an example, and so has a corpus of many more owners."""
+    key = "0123456789abcdef01234567"
+    mine = [(key, "a", f"a{i}") for i in range(9)] + [(key, x, x) for x in "bcdef"]
+    even = [(key, x, f"{x}{i}") for x in "abcdef" for i in range(2)]
+    others = [("plain", f"o{i}", "r") for i in range(5000)]
+    for rows, live in ((mine, True), (even, False), (mine + others, True), (even + others, False)):
+        docs = documents(spark, [r[0] for r in rows]).drop("source")
+        names = spark.createDataFrame([(i, r[1], r[2]) for i, r in enumerate(rows)], "doc_id bigint, source string, repository string")
+        got = secrets.secret_report(docs.join(names, "doc_id"), repo_col="repository").filter("n_hex > 0").select("n_live", "n_copied").distinct().collect()
+        assert [tuple(r) for r in got] == [(1, 0) if live else (0, 1)]
+
+
+def test_common_and_rare_values_are_judged_alike(spark, monkeypatch):
+    texts = [f"token: {'%024x' % (i % 40 if i % 2 else 7)}" for i in range(200)]
+    docs = documents(spark, texts, source=[f"s{i % 5}" for i in range(200)])
+    wanted = sorted(secrets.secret_report(docs).collect())
+    for part in (1, 5, 100):
+        monkeypatch.setattr(secrets, "COMMON_PART", part)
+        assert sorted(secrets.secret_report(docs).collect()) == wanted
+
+
+def test_the_word_test_has_no_edge(spark):
+    """Languages of 490 to 510 words, half of them one stray document's, keep it alike; of 20,000 words it goes."""
+    stray = lambda n: " ".join(f"xx{k}" for k in range(n))
+    rng = random.Random(3)
+    usual = lambda n: " ".join(rng.choices([f"mot{k}" for k in range(60)], k=n))
+    for size, kept in ((490, True), (499, True), (500, True), (510, True), (20_000, False)):
+        texts = [usual(size - 110), stray(110)]
+        rows = {r.doc_id: r for r in rules.quality_rules(documents(spark, texts, lang="wa"), max_class_distance=1.0).collect()}
+        assert rows[1].kept == kept and not rows[1].base_failed
+
+
 def test_a_text_of_very_many_secrets(spark):
     """Positions and masks of 20,000 matches in one text, which grow with the text and not with its square."""
     parts = [f"é{i} {'%024x' % i}" for i in range(20_000)]
@@ -268,7 +302,7 @@ def test_small_languages_have_their_own_reference(spark, monkeypatch):
         both = rare.unionByName(few).unionByName(big, allowMissingColumns=True)
         rows = {r.doc_id: r for r in rules.quality_rules(both).collect()}
         assert [rows[i].kept for i in range(21)] == [True] * 20 + [False]
-        assert rows[50].kept and rows[50].word_distance is None  # too few words for a reference of common ones
+        assert rows[50].kept and rows[50].word_distance < 0.01  # its own reference
         assert all(rows[i].word_distance < 0.3 for i in range(20)) and rows[20].word_distance > 0.34
         assert {r.doc_id for r in rules.quality_rules(both, keep_columns=True).filter("doc_id < 100").collect()} == {*range(20), 50}
 

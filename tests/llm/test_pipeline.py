@@ -92,7 +92,7 @@ def good_quality(docs):
         total = sum(words[d["lang"]].values())
         common = {x for x, n in words[d["lang"]].items() if n * 500 >= total}
         told = lambda counts: Counter({x: n for x, n in counts.items() if x in common}) + Counter({None: sum(n for x, n in counts.items() if x not in common)})
-        far = js(Counter(map(kind_of, texts[i])), classes[d["lang"]]) > 0.31 or (len(w) >= 100 and total >= 500 and js(told(Counter(w)), told(words[d["lang"]])) > 0.34)
+        far = js(Counter(map(kind_of, texts[i])), classes[d["lang"]]) > 0.31 or (len(w) >= 100 and js(told(Counter(w)), told(words[d["lang"]])) ** 2 > 0.34**2 + 500 / total)
         if not far:
             out.append(d)
     return out
@@ -132,12 +132,11 @@ def masked(docs):
     for d, spans in zip(docs, found, strict=True):
         for *_, v in spans:
             owners.setdefault(v, set()).add(d["source"])
-    most = max(3, int(len({d["source"] for d in docs}) * 0.001))
     out = []
     for d, spans in zip(docs, found, strict=True):
         text, at = "", 0
         for a, b, v in sorted(spans):
-            if len(owners[v]) <= most and b > at:
+            if len(owners[v]) <= 3 and b > at:
                 text, at = text + d["text"][at : max(a, at)] + ("[SECRET]" if a >= at else ""), b
         out.append({**d, "text": None if d["text"] is None else text + d["text"][at:]})
     return out
