@@ -8,6 +8,8 @@ first, last, 5' or 3' depends on the strand: such rules work on oriented exons,
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -138,10 +140,13 @@ def best_first(coding: Column, aa_length: Column, length: Column, key: Column) -
     return F.struct(F.when(coding, 0).otherwise(1).alias("a"), (-F.coalesce(aa_length, F.lit(0))).alias("b"), (-length).alias("c"), key.alias("d"))
 
 
-def canonical_transcripts(transcripts: DataFrame, by: str = "gene_id") -> DataFrame:
-    """(by, canonical_transcript): an aggregate with partial results, not a sort of each group."""
+def canonical_transcripts(transcripts: DataFrame, by: str = "gene_id", carry: Sequence[Column] = ()) -> DataFrame:
+    """(by, canonical_transcript, and what `carry` says of that transcript): an aggregate with partial results, not a sort
+    of each group, and no join to find the transcript's columns again."""
     aa = F.floor(total(cds_exons()) / 3)
-    return transcripts.groupBy(by).agg(F.min_by("transcript_id", best_first(F.col("cds_start").isNotNull(), aa, total(F.col("exons")), F.col("transcript_id"))).alias("canonical_transcript"))
+    best = best_first(F.col("cds_start").isNotNull(), aa, total(F.col("exons")), F.col("transcript_id"))
+    told = F.struct(F.col("transcript_id").alias("canonical_transcript"), *carry)
+    return transcripts.groupBy(by).agg(F.min_by(told, best).alias("__told")).select(by, "__told.*")
 
 
 def select_canonical_gene(genes: DataFrame, cluster: str = "cluster") -> DataFrame:
@@ -151,10 +156,17 @@ def select_canonical_gene(genes: DataFrame, cluster: str = "cluster") -> DataFra
     return canonical_transcripts(single, cluster)
 
 
-def gene_order(genes: DataFrame) -> DataFrame:
-    """genes (gene_id, seq_region, strand, start) with place, from 1, by strand (+ first) and start in their region: a
-    sort within regions, not over all."""
-    return genes.withColumn("place", F.row_number().over(Window.partitionBy("seq_region").orderBy(F.when(F.col("strand") == "-", 1).otherwise(0), "start", "gene_id")).cast("bigint"))
+def gene_order(genes: DataFrame, piece: int = 1_000_000) -> DataFrame:
+    """genes (gene_id, seq_region, strand, start) with place, from 1, by strand (+ first) and start in their region. Genes
+    are sorted within a strand's pieces of a region; of the pieces before, only how many genes they have is added up. A
+    null start comes first on its strand, a null strand counts as +, genes of a null region are in order among themselves."""
+    by = ["seq_region", "__strand", "__piece"]
+    dealt = genes.withColumns({"__strand": F.when(F.col("strand") == "-", 1).otherwise(0), "__piece": F.coalesce(F.floor(F.col("start") / piece), F.lit(-(2**62)))})
+    before = F.sum("n").over(Window.partitionBy("seq_region").orderBy("__strand", "__piece").rowsBetween(Window.unboundedPreceding, -1))
+    pieces = dealt.groupBy(*by).agg(F.count("*").alias("n")).withColumn("__before", F.coalesce(before, F.lit(0))).select(F.col("seq_region").alias("__region"), F.col("__strand").alias("__s"), F.col("__piece").alias("__p"), "__before")
+    same = F.col("seq_region").eqNullSafe(F.col("__region")) & (F.col("__strand") == F.col("__s")) & (F.col("__piece") == F.col("__p"))
+    placed = dealt.join(pieces, same).withColumn("place", F.col("__before") + F.row_number().over(Window.partitionBy(*by).orderBy("start", "gene_id")))
+    return placed.select(*genes.columns, F.col("place").cast("bigint").alias("place"))
 
 
 def gene_biotypes(transcripts: DataFrame) -> DataFrame:
@@ -167,8 +179,7 @@ def gene_biotypes(transcripts: DataFrame) -> DataFrame:
 def override_biotypes(transcripts: DataFrame, coding: str, noncoding: str) -> DataFrame:
     """The gene's by its canonical transcript's coding status, each transcript's by its own."""
     named = lambda c: F.when(c, coding).otherwise(noncoding)
-    heads = canonical_transcripts(transcripts).select(F.col("gene_id").alias("__g"), F.col("canonical_transcript").alias("__t"))
-    codes = transcripts.select(F.col("transcript_id").alias("__t"), F.col("cds_start").isNotNull().alias("__codes")).join(heads, "__t").drop("__t")
+    codes = canonical_transcripts(transcripts, carry=[F.col("cds_start").isNotNull().alias("__codes")]).select(F.col("gene_id").alias("__g"), "__codes")
     joined = transcripts.drop("gene_biotype").join(codes, F.col("gene_id") == F.col("__g"))
     return joined.withColumn("gene_biotype", named(F.col("__codes"))).withColumn("biotype", named(F.col("cds_start").isNotNull())).drop("__g", "__codes")
 

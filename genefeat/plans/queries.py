@@ -47,10 +47,8 @@ def told_exons(t: DataFrame) -> DataFrame:
 
 @query
 def canonical_transcripts(spark, d):
-    t = tx(spark, d)
-    best = models.canonical_transcripts(t)
-    told = t.select(F.col("transcript_id").alias("canonical_transcript"), F.size("exons").cast("bigint").alias("n_exons"), F.size(sq.introns("exons")).cast("bigint").alias("n_introns"), (F.col("end") - F.col("start") + 1).alias("span"))
-    return best.join(told, "canonical_transcript").select("gene_id", "canonical_transcript", "n_exons", "n_introns", "span")
+    told = [F.size("exons").cast("bigint").alias("n_exons"), F.size(sq.introns("exons")).cast("bigint").alias("n_introns"), (F.col("end") - F.col("start") + 1).alias("span")]
+    return models.canonical_transcripts(tx(spark, d), carry=told)
 
 
 @query

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -122,3 +124,23 @@ def test_two_hits(spark):
     hits = spark.createDataFrame([("t", 0.1), ("t", 0.01)], "transcript_id string, evalue double")
     assert {r.transcript_id: r.evalue for r in evidence.combine_evidence(a, a, hits).collect()} == {"t": 0.01, "u": None}
     assert {r.transcript_id: r.evalue for r in evidence.combine_evidence(a, a, hits, single_hit_only=True).collect()} == {"t": None, "u": None}
+
+
+def test_gene_order_is_that_of_whole_regions(spark):
+    """Pieces of any size give the places of one sort, with ties, nulls and regions that share ids."""
+    rng = random.Random(5)
+    rows = [(f"g{i}", rng.choice(["1", "2", None]), rng.choice(["+", "-", None]), rng.choice([None, *range(1, 90)])) for i in range(300)]
+    genes = spark.createDataFrame(rows, "gene_id string, seq_region string, strand string, start bigint")
+    wanted, places = {}, {}
+    for g, region, strand, start in sorted(rows, key=lambda r: (r[2] == "-", -1 if r[3] is None else r[3], r[0])):
+        places[region] = wanted[g] = places.get(region, 0) + 1
+    for piece in (1, 7, 1000):
+        got = models.gene_order(genes, piece)
+        assert {r.gene_id: r.place for r in got.collect()} == wanted and got.columns == [*genes.columns, "place"]
+    assert models.gene_order(genes.filter("false")).count() == 0
+
+
+def test_canonical_transcripts_carry_their_own_columns(spark):
+    t = tx(spark, ("a", "+", [(1, 90)], None, "g"), ("b", "+", [(1, 30), (51, 120)], (1, 60), "g"), ("c", "-", [(5, 9)], None, "h"))
+    got = models.canonical_transcripts(t, carry=[F.size("exons").alias("n"), F.col("cds_start").isNotNull().alias("codes")])
+    assert {tuple(r) for r in got.collect()} == {("g", "b", 2, True), ("h", "c", 1, False)}
