@@ -7,10 +7,13 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from genefeat.llm import chat, decontam, jaccard, licenses, mixing, pst, resample, rules, secrets, suffixes
+from genefeat.llm.common import distinct, ordered
 
 #: Extra columns have the names that operators use inside.
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, id string, n int, kept string, hashes string"
@@ -172,6 +175,31 @@ def test_suffix_tree_is_brute_force(spark, chunk_tokens):
         assert r.score == pytest.approx(score) and r.base_score == pytest.approx(base)
 
 
+def test_texts_split_together_have_their_words(monkeypatch):
+    texts = ["  A b\x0bc\x1c d É \x85x ", None, "", " \n", "Q" * 50 + " y z", "İ K"]
+    want = [[xxhash.xxh3_64_intdigest(w) for w in (t or "").encode().lower().split()] for t in texts]
+    for size in (4 << 20, 20, 1):  # all together, some, each alone
+        monkeypatch.setattr(pst, "_TEXTS", size)
+        assert [[int(h) for part in parts for h in part] for parts in pst.hashed(pa.array(texts), pst.Hashes())] == want
+
+
+def test_ordered_is_a_stable_argsort():
+    rng = np.random.default_rng(3)
+    ties = np.array([*range(50), 2**64 - 1, *range(49, -1, -1)], np.uint64)  # low bits alone tell these apart
+    for h in (ties, *(rng.integers(0, most, n, dtype=np.uint64) for n in (0, 1, 2, 900) for most in (1, 2, 700, 2**63))):
+        by, found = ordered(h)
+        assert by.tolist() == np.argsort(h, kind="stable").tolist() and found.tolist() == np.sort(h).tolist()
+        assert [x.tolist() for x in distinct(h)] == [x.tolist() for x in np.unique(h, return_inverse=True)]
+
+
+def test_counts_by_part_are_those_of_all(spark):
+    """N-grams of all tokens are counted a part of the keys at a time, which bounds the disk that their shuffles take."""
+    chunks = pst.encode(documents(spark, corpus(n=50)), "doc_id", "text", 700, 64)
+    parts = [(0, 1), (0, 2), (1, 2)]
+    whole, first, second = ({r.chunk: pst._totals(r.a).tolist() for r in pst.answered(chunks, 10, lambda row: pst.Chunk(row, {}).unigrams(), True, 3, part).collect()} for part in parts)
+    assert whole == {k: first[k] + second[k] for k in whole} and sum(map(len, first.values())) < 0.6 * sum(map(len, whole.values()))
+
+
 def test_suffix_tree_of_nothing_and_held_out_gain(spark):
     assert pst.score(documents(spark, [])).count() == 0
     rows = pst.score(documents(spark, corpus(n=150))).filter("held_out").agg(F.sum("score"), F.sum("base_score")).first()
