@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.tables import save_bucketed
-from .common import binary_list, mix, partitions, save
+from .common import binary_list, distinct, mix, ordered, partitions, save
 
 PERIOD = 57
 #: Every difference modulo 57 is one of two of these.
@@ -75,6 +75,24 @@ def pack(docs: DataFrame, id_col: str, text_col: str, chunk_bytes: int) -> DataF
     return save_bucketed(made, "chunk")
 
 
+def _offsets(n: int) -> np.ndarray:
+    """Sampled offsets of a document of n bytes or fewer, and some beyond."""
+    return (np.arange(n // PERIOD + 1)[:, None] * PERIOD + np.array(COVER)).ravel()
+
+
+_made: list[np.ndarray] = [np.ones(1, np.uint64)] * 2
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n + 1 or more powers of the base and of its inverse, the same for each chunk of a worker."""
+    if len(_made[0]) <= n:
+        for i, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            powers = np.full(n + 1, base, np.uint64)
+            powers[0] = 1
+            _made[i] = np.multiply.accumulate(powers, out=powers)
+    return _made[0], _made[1]
+
+
 class Chunk:
     """A chunk's bytes, with the bits that came back in fields r1..r3 of its row."""
 
@@ -84,14 +102,9 @@ class Chunk:
         self.lens = np.frombuffer(row["lens"], np.int64)
         self.starts = np.cumsum(self.lens) - self.lens
         n = len(self.b)
-        powers = np.ones(n + 1, np.uint64)
-        powers[1:] = np.uint64(_BASE)
-        np.multiply.accumulate(powers, out=powers)
+        powers, self.inverse = _powers(n)
         self.sums = np.zeros(n + 1, np.uint64)
         np.cumsum(_TABLE[self.b] * powers[:n], out=self.sums[1:])
-        inverse = np.ones(n + 1, np.uint64)
-        inverse[1:] = np.uint64(pow(_BASE, -1, 1 << 64))
-        self.inverse = np.multiply.accumulate(inverse, out=inverse)
         #: How many bytes of its document each position has left.
         self.left = np.repeat(self.starts + self.lens, self.lens) - np.arange(n)
 
@@ -100,13 +113,12 @@ class Chunk:
 
     def tuples(self):
         """Sampled positions, their tuples' distinct hashes, and each position's place there."""
-        n = len(self.b)
-        offset = np.arange(n) - np.repeat(self.starts, self.lens)
-        sampled = np.zeros(PERIOD, bool)
-        sampled[list(COVER)] = True
         length = self.size - PERIOD + 1
-        at = np.flatnonzero(sampled[offset % PERIOD] & (self.left >= length))
-        keys, place = np.unique(self.hash(at, length), return_inverse=True)
+        offsets = _offsets(int(self.lens.max(initial=0)))
+        counts = np.searchsorted(offsets, self.lens - length, "right")
+        inside = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        at = np.repeat(self.starts, counts) + offsets[inside]
+        keys, place = distinct(self.hash(at, length))
         return at, keys, place
 
     def step1(self):
@@ -136,15 +148,15 @@ class Chunk:
 
     def firsts(self, keys: np.ndarray, at: np.ndarray):
         """Distinct keys, the first position that has each (in order of id, then as read), and each position's place."""
-        by = np.argsort(keys, kind="stable")
-        sorted_keys, there = keys[by], at[by]
+        by, sorted_keys = ordered(keys)
+        there = at[by]
         new = np.ones(len(by), bool)
         new[1:] = sorted_keys[1:] != sorted_keys[:-1]
         starts = np.flatnonzero(new)
-        doc = np.searchsorted(self.starts, there, "right") - 1
-        order = (self.rank()[doc] << 36) | (there - self.starts[doc])
-        first = np.empty(0, np.int64)
-        if len(starts):
+        rank = self.rank()
+        first = there[starts]  # where documents lie in order of id, as positions ascend
+        if len(starts) and (rank[1:] < rank[:-1]).any():
+            order = np.repeat((rank << 36) - self.starts, self.lens)[there] + there
             least = np.minimum.reduceat(order, starts)
             first = there[np.flatnonzero(order == np.repeat(least, np.diff(np.append(starts, len(by)))))]
         place = np.empty(len(by), np.int64)
@@ -203,12 +215,8 @@ def _decide(table: pa.Table) -> pa.Table:
     if rows[0]["ids"] is None:
         keys = np.concatenate([np.frombuffer(r["keys"], np.uint32) for r in rows])
         counts = np.concatenate([np.frombuffer(r["counts"], np.uint8) for r in rows])
-        order = np.argsort(keys, kind="stable")
-        new = np.ones(len(keys), bool)
-        new[1:] = keys[order][1:] != keys[order][:-1]
-        name = np.cumsum(new) - 1
-        bits = np.empty(len(keys), bool)
-        bits[order] = np.bincount(name, weights=counts[order])[name] > 1
+        _, name = distinct(keys)
+        bits = (np.bincount(name, weights=counts) > 1)[name]
     else:
         keys = np.concatenate([np.frombuffer(r["keys"], np.uint64) for r in rows])
         # Documents in order of id, and as read (chunk, place in it) where ids are equal.
@@ -216,10 +224,10 @@ def _decide(table: pa.Table) -> pa.Table:
         ranks = {x: i for i, x in enumerate(sorted({x for xs in told for x in xs}))}
         doc = np.concatenate([np.array([ranks[x] for x in xs], np.int64)[np.frombuffer(r["docs"], np.uint16)] for r, xs in zip(rows, told, strict=True)])
         at = np.concatenate([np.frombuffer(r["at"], np.int64 if r["wide"] else np.uint32) for r in rows]).astype(np.int64)
-        by = np.argsort(keys, kind="stable")
+        by, sorted_keys = ordered(keys)
         order = ((doc << 36) | at)[by]
         new = np.ones(len(keys), bool)
-        new[1:] = keys[by][1:] != keys[by][:-1]
+        new[1:] = sorted_keys[1:] != sorted_keys[:-1]
         starts = np.flatnonzero(new)
         least = np.minimum.reduceat(order, starts)
         bits = np.empty(len(keys), bool)

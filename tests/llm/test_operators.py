@@ -102,6 +102,29 @@ def test_difference_cover():
     assert {(a - b) % suffixes.PERIOD for a in suffixes.COVER for b in suffixes.COVER} == set(range(suffixes.PERIOD))
 
 
+@pytest.mark.parametrize("descending", [False, True])
+def test_sampled_positions_and_first_occurrences(descending):
+    """Sampled positions are listed by document, and powers made once for all chunks of a worker, whatever their sizes."""
+    rng = random.Random(11)
+    for n in (0, 1, 7, 40):
+        texts = [bytes(rng.choice(b"ab") for _ in range(rng.choice([0, 43, 44, 45, 150, 400]))) for _ in range(n)]
+        lens = np.array([len(t) for t in texts], np.int64)
+        ids = list(range(n))[:: -1 if descending else 1]
+        chunk = suffixes.Chunk({"bytes": b"".join(texts), "lens": lens.tobytes(), "ids": ids}, 100)
+        at, keys, place = chunk.tuples()
+        starts = np.cumsum(lens) - lens
+        assert at.tolist() == [int(s) + o for s, m in zip(starts, lens, strict=True) for o in range(m - 43) if o % suffixes.PERIOD in suffixes.COVER]
+        named = [bytes(chunk.b[a : a + 44]) for a in at]
+        assert len(keys) == len(set(named)) == len(set(zip(named, place.tolist(), strict=True)))
+        found, first, where = chunk.firsts(keys[place], at)
+        least = {}
+        for a, name in zip(at.tolist(), named, strict=True):
+            doc = int(np.searchsorted(starts, a, "right")) - 1
+            least[name] = min(least.get(name, (n, 0, 0)), (ids[doc], a - int(starts[doc]), a))
+        assert found.tolist() == keys.tolist() and where.tolist() == place.tolist()
+        assert [first[p] for p in place] == [least[name][2] for name in named]
+
+
 def test_suffixes_of_nothing_and_of_equal_ids(spark):
     assert suffixes.duplicate_spans(documents(spark, [])).count() == 0
     got = suffixes.duplicate_spans(documents(spark, ["q" * 50 + "r" * 70] * 3, ids=[4, 4, None]).coalesce(1), with_text=True).collect()
