@@ -22,7 +22,7 @@ def told(name, path):
     return sorted(con.execute(oracles.ORACLES[name]).fetchall(), key=str)
 
 
-@pytest.mark.parametrize("name", ["augment_sets", "sub_chain_filter", "collapse_transcripts"])
+@pytest.mark.parametrize("name", ["augment_sets", "sub_chain_filter", "collapse_transcripts", "translation_coords"])
 def test_a_cds_without_exons_is_none(spark, tmp_path, name):
     d = str(tmp_path)
     # 1000006 (busco) has the place of 6 (transcriptomic), and two exons so short that its CDS lies between them.
