@@ -25,7 +25,7 @@ def test_layout_is_its_chunks(spark):
     assert slices.get_sequence(empty, wanted).collect() == []
 
 
-@pytest.mark.parametrize("name", ["cds_sequences"])
+@pytest.mark.parametrize("name", ["cds_sequences", "transcript_sequences"])
 def test_no_genome_is_written(spark, tmp_path, name):
     """The models end near 1 Mb, so the regions have some 1,000 pieces each; the tables that the query saves have few rows."""
     d, shared = str(tmp_path), shared_dir(spark).removeprefix("file://")
