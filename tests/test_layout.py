@@ -3,6 +3,8 @@
 import glob
 
 import pytest
+from pyspark.sql import functions as F
+
 from genefeat.functions.tables import shared_dir
 from genefeat.operators import models, slices
 from genefeat.plans import queries
@@ -25,7 +27,15 @@ def test_layout_is_its_chunks(spark):
     assert slices.get_sequence(empty, wanted).collect() == []
 
 
-@pytest.mark.parametrize("name", ["cds_sequences", "transcript_sequences"])
+def test_positions_within_the_row(spark):
+    t = spark.createDataFrame([(s, "r", s, [(11, 13), (20, 20), (31, 40)]) for s in "+-"], f"transcript_id string, seq_region string, strand string, exons {models.EXONS}")
+    asked = t.select("transcript_id", "strand", "exons", F.explode(F.sequence(F.lit(0), F.lit(16))).alias("position"))
+    got = {(r.transcript_id, r.position): r.g for r in asked.withColumn("g", models.genomic_position(F.col("position"), F.col("exons"), F.col("strand"))).collect() if r.g is not None}
+    want = {(r.transcript_id, r.position): r.genomic for r in models.sequence_to_genomic(models.numbered_exons(t), asked.select("transcript_id", "position")).collect()}
+    assert got == want and len(got) == 28
+
+
+@pytest.mark.parametrize("name", ["cds_sequences", "transcript_sequences", "compute_translations"])
 def test_no_genome_is_written(spark, tmp_path, name):
     """The models end near 1 Mb, so the regions have some 1,000 pieces each; the tables that the query saves have few rows."""
     d, shared = str(tmp_path), shared_dir(spark).removeprefix("file://")
