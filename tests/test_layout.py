@@ -35,7 +35,7 @@ def test_positions_within_the_row(spark):
     assert got == want and len(got) == 28
 
 
-@pytest.mark.parametrize("name", ["cds_sequences", "transcript_sequences", "compute_translations", "clean_transcripts", "three_prime_trim_at_signal", "utr_orf_search", "select_best_protein"])
+@pytest.mark.parametrize("name", ["cds_sequences", "transcript_sequences", "compute_translations", "clean_transcripts", "three_prime_trim_at_signal", "utr_orf_search", "select_best_protein", "select_best_transcriptomic"])
 def test_no_genome_is_written(spark, tmp_path, name):
     """The models end near 1 Mb, so the regions have some 1,000 pieces each; the tables that the query saves have few rows."""
     d, shared = str(tmp_path), shared_dir(spark).removeprefix("file://")
